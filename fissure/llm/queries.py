@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fissure.llm import bpe, licenses, mixing, quality, secrets, sharding, simhash, token_counts, topk
+from fissure.llm import bpe, licenses, mixing, quality, secrets, sharding, simhash, suffixes, token_counts, topk
 from fissure.llm._common import read
 
 
@@ -34,6 +34,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_passages(read(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(read(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read(spark, sf_dir, "documents"), with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_simhash, op3_topk, op4_quality, op5_licenses, op6_sharding, op8_secrets, op9_mixing, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_simhash, op3_topk, op4_quality, op5_licenses, op6_sharding, op7_suffixes, op8_secrets, op9_mixing, op10_bpe)}
 
 ORACLE_SQL = {
     "op3_topk": """
