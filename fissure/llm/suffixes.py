@@ -2,14 +2,15 @@
 
 Suffixes are retained where a document's content selects them: at the smallest hash of GRAM words among any SPAN neighbouring positions. Two documents
 that share a passage of MIN_WORDS words therefore retain the same suffix within its first SPAN words. Retained suffixes are ordered by their
-first CORE = MIN_WORDS - SPAN + 1 words (by hash); those that stand alone, or only with suffixes of their own document, are dropped. Neighbours that remain are compared and extended to
+first CORE = MIN_WORDS - SPAN + 1 words (by hash); those that stand alone, or only with suffixes of the same text, are dropped. Neighbours that remain are compared and extended to
 the left and right by up to SPAN - 1 words; a match of MIN_WORDS words or more counts. The union of the matches of a document is exactly
-the set of its words that lie in a passage of MIN_WORDS words found in another document.
+the set of its words that lie in a passage of MIN_WORDS words found in another document. Equal texts are compared once; a text of MIN_WORDS words or more that several
+documents hold is a repeated passage as a whole.
 
-In a group of more than GROUP equal suffixes, members are not compared with each other: each of the SPAN windows of MIN_WORDS words around a suffix is hashed and
+In a group of more than GROUP equal suffixes of different texts, members are not compared with each other: each of the SPAN windows of MIN_WORDS words around a suffix is hashed and
 counted, which spreads over tasks and gives the same matches.
 
-Null and empty texts have no words and no passages. Rows that share doc_id and text are one document; other equal texts repeat each other. Extra columns are ignored.
+Null and empty texts have no words and no passages. Rows that share doc_id and text are one document. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -72,22 +73,25 @@ def _starts(doc: np.ndarray, n: int) -> np.ndarray:
 
 
 def retained(docs: DataFrame) -> DataFrame:
-    """``(key, dkey, pos)``: hash of the first CORE words, document and word position of each retained suffix."""
+    """``(key, dkey, doc_id, n_words, pos)``: hash of the first CORE words, text, document and word position of each retained suffix."""
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
         words, doc = word_hashes(batch.column("text"))
         at = anchors(words, doc)
+        start = _starts(doc, batch.num_rows)
         of = doc[at] if len(at) else at
-        return pa.RecordBatch.from_arrays([pa.array(_grams(words, at, CORE).view(np.int64), pa.int64()), batch.column("dkey").take(pa.array(of, pa.int64())), pa.array(at - _starts(doc, batch.num_rows)[of], pa.int32())], names=["key", "dkey", "pos"])
+        take = pa.array(of, pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(_grams(words, at, CORE).view(np.int64), pa.int64()), batch.column("dkey").take(take), batch.column("doc_id").take(take), pa.array(np.diff(start)[of], pa.int32()), pa.array(at - start[of], pa.int32())], names=["key", "dkey", "doc_id", "n_words", "pos"])
 
-    return map_text(docs.select("dkey", "text"), kernel, "key long, dkey long, pos int")
+    return map_text(docs.select("dkey", "doc_id", "text"), kernel, "key long, dkey long, doc_id long, n_words int, pos int")
 
 
 def contexts(docs: DataFrame) -> DataFrame:
-    """The words on both sides of the suffixes at ``docs(dkey, doc_id, text, places)``: hashes outward from the core, 0 past an end of the text."""
+    """The words on both sides of the suffixes at ``docs(dkey, least, text, places)``: short hashes outward from the core, 0 past an end of the text."""
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
         words, doc = word_hashes(batch.column("text"))
+        short = (words >> np.uint64(33)).astype(np.int32) | np.int32(1)
         start = _starts(doc, batch.num_rows)
         places = batch.column("places")
         of = np.repeat(np.arange(batch.num_rows), places.value_lengths().to_numpy(zero_copy_only=False))
@@ -98,11 +102,15 @@ def contexts(docs: DataFrame) -> DataFrame:
         side = []
         for where in (at[:, None] - reach, at[:, None] + CORE - 1 + reach):
             inside = (where >= start[of][:, None]) & (where < start[of + 1][:, None])
-            side.append(np.where(inside, words[np.clip(where, 0, max(0, len(words) - 1))] | np.uint64(1), np.uint64(0)) if len(words) else np.zeros(where.shape, np.uint64))
-        left, right = (pa.FixedSizeListArray.from_arrays(pa.array(x.view(np.int64).ravel()), SPAN - 1).cast(pa.list_(pa.int64())) for x in side)
-        return pa.RecordBatch.from_arrays([flat.field("key"), flat.field("n"), batch.column("dkey").take(pa.array(of)), batch.column("doc_id").take(pa.array(of)), pa.array(pos, pa.int32()), left, right], names=["key", "n", "dkey", "doc_id", "pos", "l", "r"])
+            side.append(np.where(inside, short[np.clip(where, 0, max(0, len(words) - 1))], 0) if len(words) else np.zeros(where.shape, np.int32))
+        left, right = (pa.FixedSizeListArray.from_arrays(pa.array(x.astype(np.int32).ravel()), SPAN - 1).cast(pa.list_(pa.int32())) for x in side)
+        return pa.RecordBatch.from_arrays([flat.field("key"), batch.column("dkey").take(pa.array(of)), batch.column("least").take(pa.array(of)), pa.array(pos, pa.int32()), left, right], names=["key", "dkey", "least", "pos", "l", "r"])
+
+    return map_text(docs.select("dkey", "least", "text", "places"), kernel, "key long, dkey long, least long, pos int, l array<int>, r array<int>")
+
 
-    return map_text(docs.select("dkey", "doc_id", "text", "places"), kernel, "key long, n long, dkey long, doc_id long, pos int, l array<long>, r array<long>")
+def _sides(batch) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(batch.field(c).flatten().to_numpy(zero_copy_only=False).reshape(-1, SPAN - 1) for c in ("l", "r"))
 
 
 def _compare(batches):
@@ -112,8 +120,8 @@ def _compare(batches):
         group = np.repeat(np.arange(len(members)), members.value_lengths().to_numpy(zero_copy_only=False))
         flat = members.flatten()
         dkey, pos = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("dkey", "pos"))
-        ids = flat.field("doc_id")
-        left, right = (flat.field(c).flatten().to_numpy(zero_copy_only=False).reshape(-1, SPAN - 1) for c in ("l", "r"))
+        ids = flat.field("least")
+        left, right = _sides(flat)
         at, starts, ends, other = [], [], [], []
         step = 1
         while True:
@@ -134,7 +142,26 @@ def _compare(batches):
             step += 1
         if at:
             one, two = np.concatenate(at), np.concatenate(other)
-            yield pa.RecordBatch.from_arrays([pa.array(dkey[one]), ids.take(pa.array(one)), pa.array(np.concatenate(starts), pa.int32()), pa.array(np.concatenate(ends), pa.int32()), ids.take(pa.array(two))], names=["dkey", "doc_id", "start", "end", "other"])
+            yield pa.RecordBatch.from_arrays([pa.array(dkey[one]), pa.array(np.concatenate(starts), pa.int32()), pa.array(np.concatenate(ends), pa.int32()), ids.take(pa.array(two))], names=["dkey", "start", "end", "other"])
+
+
+def _windows(batches):
+    """Hashes of the windows of MIN_WORDS words around each suffix, with their starts."""
+    reach = np.arange(SPAN)
+    for batch in batches:
+        flat = pa.StructArray.from_arrays([batch.column(c) for c in ("l", "r")], names=["l", "r"])
+        parts, whole = [], []
+        for side, odd in zip(_sides(flat), (ODD[: SPAN - 1], ODD[SPAN : 2 * SPAN - 1]), strict=True):
+            total = np.zeros((len(side), SPAN), np.uint64)
+            np.cumsum(side.astype(np.uint64) * odd, axis=1, out=total[:, 1:])
+            parts.append(total)
+            whole.append(np.concatenate([np.ones((len(side), 1), bool), np.logical_and.accumulate(side != 0, axis=1)], axis=1))
+        key = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
+        h = _mixed(_mixed(key[:, None] + reach.astype(np.uint64) * ODD[-1]) ^ (parts[0] + parts[1][:, ::-1]))
+        row, j = np.nonzero(whole[0] & whole[1][:, ::-1])
+        take = pa.array(row)
+        pos = batch.column("pos").to_numpy(zero_copy_only=False)
+        yield pa.RecordBatch.from_arrays([pa.array(h[row, j].view(np.int64)), batch.column("dkey").take(take), batch.column("least").take(take), pa.array(pos[row] - j, pa.int32())], names=["h", "dkey", "least", "start"])
 
 
 def _merged(batches):
@@ -150,25 +177,30 @@ def _merged(batches):
                     out.append(list(x))
             spans.append(",".join(f"{a}-{b}" for a, b in out))
             words.append(sum(b - a for a, b in out))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(words, pa.int64()), pa.array(spans, pa.string()), batch.column("shared_with")], names=["doc_id", "dup_words", "spans", "shared_with"])
+        yield pa.RecordBatch.from_arrays([batch.column("dkey"), pa.array(words, pa.int64()), pa.array(spans, pa.string()), batch.column("other")], names=["dkey", "dup_words", "spans", "other"])
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """``(doc_id, dup_words, spans, shared_with)`` for the documents of ``docs(doc_id, text)`` that share a passage with another one.
 
-    ``spans``: word positions start-end, end exclusive, comma-joined; ``shared_with``: the smallest doc_id it was found to share one with, not counting its own.
+    ``spans``: word positions start-end, end exclusive, comma-joined; ``shared_with``: a doc_id that it was found to share one with.
     """
-    keyed = pick(docs, "doc_id", "text").withColumn("dkey", F.xxhash64("doc_id", "text"))
+    keyed = pick(docs, "doc_id", "text").withColumn("dkey", F.xxhash64("text"))
     suffixes = table(retained(keyed))
-    shared = suffixes.groupBy("key").agg(F.min("dkey").alias("low"), F.max("dkey").alias("high"), F.count("*").alias("n")).filter("low <> high").select("key", "n")
-    places = suffixes.join(shared, "key").groupBy("dkey").agg(F.collect_set(F.struct("pos", "key", "n")).alias("places"))
-    around = table(contexts(keyed.join(places, "dkey").dropDuplicates(["dkey"])))
-    members = F.collect_list(F.struct("dkey", "doc_id", "pos", "l", "r")).alias("members")
-    shape = "dkey long, doc_id long, start int, end int, other long"
-    few = around.filter(F.col("n") <= GROUP).groupBy("key").agg(members).select("members").mapInArrow(_compare, shape)
-    window = F.expr(f"transform(sequence(0, {SPAN - 1}), j -> struct(j as j, xxhash64(key, j, slice(l, 1, j), slice(r, 1, {SPAN - 1} - j)) as h, not exists(slice(l, 1, j), x -> x = 0) and not exists(slice(r, 1, {SPAN - 1} - j), x -> x = 0) as ok))")
-    many = around.filter(F.col("n") > GROUP).select("dkey", "doc_id", "pos", F.inline(window)).filter("ok")
-    twice = many.groupBy("h").agg(F.min("dkey").alias("low"), F.max("dkey").alias("high"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("low <> high").select("h", "a", "b")
-    spread = many.join(twice, "h").select("dkey", "doc_id", F.expr("pos - j").alias("start"), F.expr(f"pos - j + {MIN_WORDS}").alias("end"), F.expr("if(a <=> doc_id, b, a)").alias("other"))
-    spans = few.unionAll(spread).groupBy("dkey", "doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"), F.min(F.expr("nullif(other, doc_id)")).alias("shared_with"))
-    return spans.select("doc_id", "spans", "shared_with").mapInArrow(_merged, "doc_id long, dup_words long, spans string, shared_with long")
+    holders = suffixes.groupBy("dkey", "doc_id").agg(F.max("n_words").alias("n_words"))
+    texts = table(holders.groupBy("dkey").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("copies"), F.max("n_words").alias("n_words"), F.min(F.struct("doc_id")).alias("holder")))
+    shared = suffixes.groupBy("key").agg(F.min("dkey").alias("low"), F.max("dkey").alias("high")).filter("low <> high").select("key")
+    places = suffixes.join(shared, "key").groupBy("dkey").agg(F.collect_set(F.struct("pos", "key")).alias("places")).join(texts.select("dkey", "least", "holder.doc_id"), "dkey")
+    asked = keyed.join(places.withColumnRenamed("doc_id", "holder_id"), "dkey").filter("doc_id <=> holder_id")
+    around = table(contexts(asked))
+    hot = around.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP).select("key")
+    members = F.collect_list(F.struct("dkey", "least", "pos", "l", "r")).alias("members")
+    few = around.join(hot, "key", "left_anti").groupBy("key").agg(members).select("members").mapInArrow(_compare, "dkey long, start int, end int, other long")
+    many = around.join(hot, "key", "left_semi").mapInArrow(_windows, "h long, dkey long, least long, start int")
+    twice = many.groupBy("h").agg(F.min("dkey").alias("low"), F.max("dkey").alias("high"), F.min("least").alias("a"), F.max("least").alias("b")).filter("low <> high").select("h", "a", "b")
+    spread = many.join(twice, "h").select("dkey", "start", (F.col("start") + MIN_WORDS).alias("end"), F.expr("if(a <=> least, b, a)").alias("other"))
+    whole = texts.filter(f"copies > 1 and n_words >= {MIN_WORDS}").select("dkey", F.lit(0).alias("start"), F.col("n_words").alias("end"), F.lit(None).cast("long").alias("other"))
+    spans = few.unionAll(spread).unionAll(whole).groupBy("dkey").agg(F.collect_set(F.struct("start", "end")).alias("spans"), F.min("other").alias("other"))
+    merged = spans.mapInArrow(_merged, "dkey long, dup_words long, spans string, other long").join(texts.select("dkey", "least", "most"), "dkey")
+    copy = F.expr("nullif(if(doc_id <=> least, most, least), doc_id)")
+    return holders.select("dkey", "doc_id").join(merged, "dkey").select("doc_id", "dup_words", "spans", F.least(copy, "other").alias("shared_with"))
