@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fissure.plans import groups, rows  # noqa: F401  both register their queries
+from fissure.plans import groups, more, rows  # noqa: F401  they register their queries
 from fissure.plans.bridge import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -347,24 +347,6 @@ def s06_page_text(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", "url", F.size(F.regexp_extract_all("html", F.lit("<[^>]+>"), 0)).cast("long").alias("n_tags"))
 
 
-@query("s13_csv_round_trip", "SELECT cwe, code_before, code_after, commit_url, language FROM vuln_rows")
-def s13_csv_round_trip(spark, sf_dir):
-    import uuid
-
-    from fissure.sources import files, sinks
-
-    path = f"{_shared(spark)}/csv-{uuid.uuid4()}"
-    sinks.canonical_csv(vuln_rows(spark, sf_dir), path)
-    return files.canonical_csv(spark, path).drop("source", "row_id")
-
-
-def _shared(spark) -> str:
-    """The cluster's shared folder, or a temporary one where the session names none, as in tests."""
-    import tempfile
-
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shared-")
-
-
 @query("s14_json_lines", "SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k, count(*) AS n FROM events GROUP BY ALL")
 def s14_json_lines(spark, sf_dir):
     return read(spark, sf_dir, "events").select(F.from_json("props", "k long").alias("p")).groupBy(F.col("p.k").alias("k")).agg(F.count("*").alias("n"))

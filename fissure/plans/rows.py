@@ -174,20 +174,46 @@ def p29_signatures(spark, sf_dir):
     return vuln_rows(spark, sf_dir).select("row_id", udfs.signature(raw, "language").alias("signature"))
 
 
-@query("x06_changed_lines")
+CHANGED = f"""
+    , l AS (SELECT row_id, code_before, code_after, CASE WHEN code_before = '' THEN CAST([] AS VARCHAR[]) ELSE {LINES.format('code_before')} END AS b, CASE WHEN code_after = '' THEN CAST([] AS VARCHAR[]) ELSE {LINES.format('code_after')} END AS a FROM vuln_rows)
+"""
+
+
+@query("x06_changed_lines", CHANGED + """
+    SELECT row_id, CASE WHEN code_after = code_before OR code_after = '' THEN '' ELSE CAST(len(a) AS VARCHAR) END AS added,
+        CASE WHEN code_after = code_before THEN '' WHEN code_after = '' THEN array_to_string(range(1, len(b) + 1), ',') WHEN len(a) > len(b) THEN '' ELSE CAST(len(b) AS VARCHAR) END AS removed,
+        CASE WHEN code_after = code_before THEN '' WHEN code_after = '' THEN array_to_string(range(1, least(10, len(b)) + 1), ',') WHEN len(a) > len(b) THEN '' ELSE CAST(len(b) AS VARCHAR) END AS affected
+    FROM l
+""")
 def x06_changed_lines(spark, sf_dir):
-    return vuln_rows(spark, sf_dir).select("row_id", udfs.changed_lines("code_before", "code_after").alias("c")).select("row_id", "c.added", "c.removed", F.array_sort(F.slice(F.array_distinct("c.removed"), 1, 10)).alias("affected"))
+    rows = vuln_rows(spark, sf_dir).select("row_id", udfs.changed_lines("code_before", "code_after").alias("c"))
+    return rows.select("row_id", F.array_join("c.added", ",").alias("added"), F.array_join("c.removed", ",").alias("removed"), F.array_join(F.slice(F.array_sort(F.array_distinct("c.removed")), 1, 10), ",").alias("affected"))
 
 
-@query("x01_hunks")
+@query("x01_hunks", CHANGED + """
+    SELECT row_id, CASE WHEN code_after = code_before OR code_after = '' OR code_before = '' THEN '' ELSE array_to_string(a[greatest(1, len(a) - 2):], chr(10)) END AS benign,
+        CASE WHEN code_after = code_before OR code_after = '' OR code_before = '' THEN '' WHEN len(a) > len(b) THEN array_to_string(b[greatest(1, len(b) - 1):], chr(10)) ELSE array_to_string(b[greatest(1, len(b) - 2):], chr(10)) END AS vulnerable
+    FROM l
+""")
 def x01_hunks(spark, sf_dir):
-    return vuln_rows(spark, sf_dir).select("row_id", udfs.hunks("code_before", "code_after").alias("h")).select("row_id", F.size("h.benign").alias("n_benign"), F.size("h.vulnerable").alias("n_vulnerable"), F.to_json("h.benign").alias("benign"), F.to_json("h.vulnerable").alias("vulnerable"))
+    rows = vuln_rows(spark, sf_dir).select("row_id", udfs.hunks("code_before", "code_after").alias("h"))
+    return rows.select("row_id", F.array_join(F.flatten("h.benign"), "\n").alias("benign"), F.array_join(F.flatten("h.vulnerable"), "\n").alias("vulnerable"))
 
 
-@query("x02_optimized")
+@query("x02_optimized", """
+    SELECT row_id, code_before <> '' AND code_after <> '' AS optimized, CAST(length(code_before) + length(code_after) AS BIGINT) AS original_size,
+        CASE WHEN code_before <> '' AND code_after <> '' AND b = a THEN 'No significant changes detected' END AS note, CAST(CASE WHEN code_before <> '' AND code_after <> '' AND b <> a AND b <> '' THEN 1 ELSE 0 END AS INTEGER) AS changed_line_count
+    FROM strips
+""")
 def x02_optimized(spark, sf_dir):
     rows = vuln_rows(spark, sf_dir).withColumnsRenamed({"code_before": "vulnerable_code", "code_after": "benign_code"})
-    return review.optimize(rows).select("row_id", "opt.*")
+    return review.optimize(rows).select("row_id", "opt.optimized", "opt.original_size", "opt.note", "opt.changed_line_count")
+
+
+@query("x03_excerpts")
+def x03_excerpts(spark, sf_dir):
+    rows = vuln_rows(spark, sf_dir).withColumnsRenamed({"code_before": "vulnerable_code", "code_after": "benign_code"})
+    return review.optimize(rows).select("row_id", "opt.vulnerable_code", "opt.benign_code", "opt.reduction_ratio", "opt.optimized_size")
 
 
 @query("x04_diffs")

@@ -41,8 +41,8 @@ def bad_json_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.agg(F.count("*").alias("lines"), F.count_if(F.try_parse_json("value").isNull()).alias("bad"))
 
 
-def arrow_files(spark: SparkSession, paths: list[str], columns: str) -> DataFrame:
-    """Rows of Arrow IPC files or streams, one task per file; the files come through Spark's reader, so any store will do."""
+def arrow_rows(contents: DataFrame, columns: str) -> DataFrame:
+    """Rows of Arrow IPC files or streams in the binary column ``content``; missing columns are null, bytes become text."""
     import pyarrow as pa
 
     names = [c.split()[0] for c in columns.split(", ")]
@@ -60,7 +60,12 @@ def arrow_files(spark: SparkSession, paths: list[str], columns: str) -> DataFram
                     text = [a.cast(pa.binary()).cast(pa.string()) if pa.types.is_binary(a.type) or pa.types.is_large_binary(a.type) else a.cast(pa.string()) for a in arrays]
                     yield pa.RecordBatch.from_arrays(text, names=names)
 
-    return spark.read.format("binaryFile").load(paths).select("content").mapInArrow(run, columns)
+    return contents.select("content").mapInArrow(run, columns)
+
+
+def arrow_files(spark: SparkSession, paths: list[str], columns: str) -> DataFrame:
+    """The same from files, one task per file; they come through Spark's reader, so any store will do."""
+    return arrow_rows(spark.read.format("binaryFile").load(paths), columns)
 
 
 def dump_lines(spark: SparkSession, path: str, table: str) -> DataFrame:
