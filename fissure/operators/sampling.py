@@ -58,8 +58,7 @@ def top(rows: DataFrame, group: list[str], n: int, order: list[Column]) -> DataF
 
 def diverse(rows: DataFrame, group: list[str], n: int, by: str) -> DataFrame:
     """``n`` rows of each group in even steps of the order by ``by``; groups of up to ``n`` rows stay whole."""
-    w = Window.partitionBy(*group)
-    rows = rows.withColumn("at", F.row_number().over(w.orderBy(by, "row_id")) - 1).withColumn("of", F.count("*").over(w))
+    rows = with_sizes(rows, group, "of").withColumn("at", F.row_number().over(Window.partitionBy(*group).orderBy(by, "row_id")) - 1)
     step = F.col("of") / F.lit(float(n))
     nearest = F.floor((F.col("at") + 1 - step / 2) / step)
     hit = F.exists(F.array(nearest - 1, nearest, nearest + 1), lambda i: (i >= 0) & (i < n) & (F.floor(i * step + step / 2) == F.col("at")))
