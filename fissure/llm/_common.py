@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -11,9 +12,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes of text that one kernel call sees; a single longer document is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: UTF-8 bytes of the white space class ``[\x20\x09-\x0D]`` that the word rules use.
 SPACE = np.zeros(256, bool)
@@ -29,7 +31,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; one of our own only where the session names none."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
     return sc.getCheckpointDir()
 
 
@@ -51,14 +53,31 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             yield batch.slice(a, b - a)
 
 
-def map_text(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """Apply ``kernel`` to text slices of every partition, without a shuffle."""
+def release() -> None:
+    """Give freed memory back to the system, so that the worker's next task, perhaps of another operator, starts small."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def over_slices(kernel: Callable[[pa.RecordBatch], pa.RecordBatch], done: Callable[[], None] | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``kernel`` for text slices of a partition; ``done`` is called at its end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            yield kernel(part)
+        try:
+            for part in slices(batches):
+                yield kernel(part)
+        finally:
+            if done:
+                done()
+            release()
 
-    return df.mapInArrow(run, schema)
+    return run
+
+
+def map_text(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType, done: Callable[[], None] | None = None) -> DataFrame:
+    """Apply ``kernel`` to text slices of every partition, without a shuffle."""
+    return df.mapInArrow(over_slices(kernel, done), schema)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -88,8 +107,8 @@ def plain_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
-    """The named columns alone, whatever else the table carries."""
-    return df.select(*(F.col(f"`{n}`") for n in names))
+    """The named columns alone, whatever else the table carries; ids as longs."""
+    return df.select(*(F.col(f"`{n}`").cast("long").alias(n) if n == "doc_id" else F.col(f"`{n}`") for n in names))
 
 
 def table(df: DataFrame) -> DataFrame:

@@ -25,8 +25,8 @@ from tokenizers.models import BPE
 
 from fissure.llm._common import map_text, pick
 
-#: Words that a worker remembers before it forgets all.
-MEMORY = 500_000
+#: Words that an encoder remembers as young ones; then these become the old ones, and the old ones before them are forgotten.
+MEMORY = 150_000
 BLANK = regex.compile(r"[\x09-\x0d\x20\x85\xa0  -     　]+")
 
 
@@ -61,7 +61,11 @@ class WordBpe:
         self.word = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", BLANK.pattern[1:-2]))
         self.special = re.compile("(" + "|".join(re.escape(x) for x in sorted(self.specials, key=len, reverse=True)) + ")") if self.specials else None
         self.joined = {pair for token in self.vocab for pair in self._pairs(token)}
-        self.words: dict[str, tuple[bytes, bytes]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.young: dict[str, tuple[bytes, bytes]] = {}
+        self.old: dict[str, tuple[bytes, bytes]] = {}
 
     def _pairs(self, token: str):
         text = token.removesuffix(self.end)
@@ -93,15 +97,16 @@ class WordBpe:
                 continue
             if not part.isascii():
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-            words, memory = self.word.findall(part.lower()), self.words
-            for word in words:
-                got = memory.get(word)
+            young = self.young
+            for word in self.word.findall(part.lower()):
+                got = young.get(word)
                 if got is None:
-                    got = self.encode_word(word)
+                    got = self.old.get(word) or self.encode_word(word)
                     if len(word) < 64:
-                        if len(memory) > MEMORY:
-                            memory.clear()
-                        memory[word] = got
+                        if len(young) >= MEMORY:
+                            self.old, self.young = young, {}
+                            young = self.young
+                        young[word] = got
                 ids.append(got[0])
                 shown.append(got[1])
         return ids, shown
@@ -135,7 +140,7 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, with_ids: b
         names = ["doc_id", "n_tokens", *(["ids", "decoded"] if with_ids else ["ids_sha256", "decoded_sha256"])]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(first, kind), pa.array(second, pa.string())], names=names)
 
-    return map_text(pick(docs, "doc_id", "text"), kernel, "doc_id long, n_tokens long, " + ("ids array<int>, decoded string" if with_ids else "ids_sha256 string, decoded_sha256 string"))
+    return map_text(pick(docs, "doc_id", "text"), kernel, "doc_id long, n_tokens long, " + ("ids array<int>, decoded string" if with_ids else "ids_sha256 string, decoded_sha256 string"), lambda: encoder(vocabulary).forget())
 
 
 def decode_ids(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:

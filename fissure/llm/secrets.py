@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from fissure.llm._common import map_text, pick, slices
+from fissure.llm._common import map_text, pick
 from fissure.llm.charcnn import CLASSES, TABLE, CharCnn, calibrate
 
 #: Fixed patterns of the base findings, in the order of their kinds.
@@ -161,22 +161,21 @@ def redact(docs: DataFrame, recall: float = 0.98, mark: str = "[SECRET]") -> Dat
     """``docs`` with each secret in ``text`` replaced by ``mark``; overlapping spans are replaced together. ``n_chars``, where there is one, is counted anew."""
     found = model(recall)
 
-    def run(batches):
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            _, spans = find_all([x or "" for x in texts], found)
-            out = []
-            for text, row in zip(texts, spans, strict=True):
-                parts, at = [], 0
-                for x in row:
-                    if x["start"] >= at:
-                        parts += [text[at : x["start"]], mark]
-                    at = max(at, x["end"])
-                out.append("".join([*parts, text[at:]]) if row else text)
-            batch = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(out, batch.schema.field("text").type))
-            if "n_chars" in batch.schema.names:
-                i = batch.schema.get_field_index("n_chars")
-                batch = batch.set_column(i, "n_chars", pa.array([None if x is None else len(x) for x in out], batch.schema.field(i).type))
-            yield batch
-
-    return docs.mapInArrow(lambda batches: run(slices(batches)), docs.schema)
+    def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = batch.column("text").to_pylist()
+        _, spans = find_all([x or "" for x in texts], found)
+        out = []
+        for text, row in zip(texts, spans, strict=True):
+            parts, at = [], 0
+            for x in row:
+                if x["start"] >= at:
+                    parts += [text[at : x["start"]], mark]
+                at = max(at, x["end"])
+            out.append("".join([*parts, text[at:]]) if row else text)
+        for name, values in (("text", out), ("n_chars", [None if x is None else len(x) for x in out])):
+            if name in batch.schema.names:
+                i = batch.schema.get_field_index(name)
+                batch = batch.set_column(i, name, pa.array(values, batch.schema.field(i).type))
+        return batch
+
+    return map_text(docs, clean, docs.schema)

@@ -124,20 +124,25 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Of repeated rows of that doc_id one stays; where a component has no doc_id at all, one of its rows stays.
     """
-    found = near_duplicates(docs).filter("doc_id <=> component_id").select("doc_id", "fp").distinct()
-    ids = found.filter("doc_id is not null").select("doc_id").distinct()
-    kept = docs.filter("doc_id is not null").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = docs.filter("doc_id is null")
-    marked = fingerprinted(nameless).join(found.filter("doc_id is null").select("fp"), "fp", "left_semi").dropDuplicates(["fp"])
-    return kept.select(*docs.columns).unionAll(marked.select(*docs.columns))
+    found = cut(near_duplicates(docs).filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp")).distinct())
+    named, nameless = docs.filter("doc_id is not null"), docs.filter("doc_id is null")
+    kept = named.join(found.filter("kept_id is not null").select("kept_id").distinct(), F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    if nameless.isEmpty():
+        return kept
+    marked = _fingerprinted(nameless).join(found.filter("kept_id is null").select("kept_fp"), F.col(MARK) == F.col("kept_fp"), "left_semi").dropDuplicates([MARK])
+    return kept.unionAll(marked.drop(MARK))
 
 
-def fingerprinted(docs: DataFrame) -> DataFrame:
-    """``docs`` with the column ``fp``, for the few rows that have no doc_id to join by."""
-    schema = T.StructType([*docs.schema.fields, T.StructField("fp", T.LongType())])
+#: Column that holds the fingerprint beside a table's own columns.
+MARK = "simhash fingerprint"
+
+
+def _fingerprinted(docs: DataFrame) -> DataFrame:
+    """``docs`` with the column MARK, for the few rows that have no doc_id to join by."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(MARK, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.append_column("fp", pa.array([fingerprint(x) for x in batch.column("text").to_pylist()], pa.int64()))
+            yield batch.append_column(MARK, pa.array([fingerprint(x) for x in batch.column("text").to_pylist()], pa.int64()))
 
     return docs.mapInArrow(run, schema)
