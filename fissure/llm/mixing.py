@@ -4,7 +4,7 @@ A source's target over its size is the number of copies each of its documents sh
 rest is rounded so that the words taken hardly vary: two documents with fractional parts exchange mass, counted in words, at random and
 without bias until one of them is whole. Groups of about ``FAN`` documents of one source are reduced so to a single fractional document each, which
 the next level of the tree pairs with those of other groups. The last step of a source also holds a reserve of about ``FAN`` documents,
-rounds what is left over and evens the remainder out with documents of the reserve.
+rounds what is left over and evens the remainder out with documents of the reserve, within 0 and ``limit`` copies.
 
 Null texts have the size 0; a null source is a source of its own, last in order. Random numbers depend on the seed, the source and the group alone, so
 reruns agree. Repeated rows are documents like others; extra columns are ignored.
@@ -87,21 +87,27 @@ def _reduce(seed: int, level: int):
     return run
 
 
-def _finish(seed: int):
+def _even_out(off: float, size: np.ndarray, up: np.ndarray, least: np.ndarray, most: np.ndarray) -> float:
+    """Add or take copies, larger documents first, as long as that brings the remainder ``off`` nearer to nothing."""
+    for i in range(len(size)):
+        while size[i] and (step := 1 if off > 0 else -1) and least[i] <= up[i] + step <= most[i] and abs(off - step * size[i]) < abs(off):
+            up[i] += step
+            off -= step * size[i]
+    return off
+
+
+def _finish(seed: int, limit: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["size", "doc_id", "mass"], ascending=[False, True, True], ignore_index=True)
-        size, mass = rows["size"].to_numpy(float), rows["mass"].to_numpy(float).copy()
+        size, mass, whole = rows["size"].to_numpy(float), rows["mass"].to_numpy(float).copy(), rows["whole"].to_numpy()
         draws = _draws(seed, "last", *key)
         want = mass.sum()
         up, left = pivot(size, mass, draws)
         if left >= 0:
             up[left] = int(draws.random() * size[left] < mass[left])
-        off = want - (up * size).sum()
-        for i in [*range(len(size)), *range(len(size))]:
-            turn = size[i] if up[i] == 0 else -size[i]
-            if abs(off - turn) < abs(off):
-                up[i] = 1 - up[i]
-                off -= turn
+        off = _even_out(want - (up * size).sum(), size, up, np.zeros(len(up)), np.ones(len(up)))
+        # what whole numbers next to the average can't reach, other numbers of copies may
+        _even_out(off, size, up, -whole, limit - whole)
         return rows.assign(mass=mass, up=up)
 
     return run
@@ -124,17 +130,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), limit: int = LIMI
         settled = settled.unionAll(done.filter("up >= 0"))
         work = done.filter("up < 0").withColumn("node", F.expr(f"node div {FAN}"))
         nodes, level = (-(-nodes // FAN), level + 1)
-    last = work.unionAll(reserve).groupBy("source").applyInPandas(_finish(seed), ROW)
+    last = work.unionAll(reserve).groupBy("source").applyInPandas(_finish(seed, limit), ROW)
     out = settled.unionAll(last).alias("d").join(aims.alias("s"), F.expr("d.source <=> s.source"))
     copies = F.col("whole") + F.col("up")
     return out.select("doc_id", "d.source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def take(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), limit: int = LIMIT, seed: int = 17) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it. Rows that share doc_id, source and size are paired in turn."""
+    """The rows of ``docs``, each as often as the mix takes it. Rows that share doc_id, source and size get the numbers of their group in turn.
+
+    The join and the turn within a group need the same distribution, so that texts are shuffled once.
+    """
     size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    turn = F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy(F.lit(0)))
-    picked = mix(docs, weights, limit, seed).select("doc_id", "source", "size", "copies").withColumn("turn", turn).select(F.struct("doc_id", "source", "size", "turn").alias("mix_key"), "copies")
-    at = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "doc_id", "source", size.alias("size")).withColumn("turn", turn)
-    joined = at.select("row", F.struct("doc_id", "source", "size", "turn").alias("mix_key")).join(picked.filter("copies > 0"), "mix_key")
-    return joined.select("row", F.explode(F.expr("sequence(1, copies)")).alias("copy")).select("row.*")
+    key = lambda n: F.struct(F.col("doc_id").cast("long").alias("doc_id"), "source", n.alias("size")).alias("mix_key")
+    picked = mix(docs, weights, limit, seed).groupBy(key(F.col("size"))).agg(F.sort_array(F.collect_list("copies"), False).alias("copies")).filter("copies[0] > 0")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), key(size))
+    joined = rows.join(picked, "mix_key").withColumn("turn", F.row_number().over(Window.partitionBy("mix_key").orderBy(F.lit(0))))
+    return joined.select("row", F.explode(F.expr("sequence(1, get(copies, turn - 1))")).alias("copy"), F.expr("get(copies, turn - 1)").alias("n")).filter("copy <= n and copy > 0").select("row.*")
