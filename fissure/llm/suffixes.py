@@ -189,15 +189,16 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     suffixes = table(retained(keyed))
     holders = suffixes.groupBy("dkey", "doc_id").agg(F.max("n_words").alias("n_words"))
     texts = table(holders.groupBy("dkey").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("copies"), F.max("n_words").alias("n_words"), F.min(F.struct("doc_id")).alias("holder")))
-    shared = suffixes.groupBy("key").agg(F.min("dkey").alias("low"), F.max("dkey").alias("high")).filter("low <> high").select("key")
+    # written, so that the join below shuffles both sides and Spark can split a key that many rows have
+    shared = table(suffixes.groupBy("key").agg(F.min("dkey").alias("low"), F.max("dkey").alias("high")).filter("low <> high").select("key"))
     places = suffixes.join(shared, "key").groupBy("dkey").agg(F.collect_set(F.struct("pos", "key")).alias("places")).join(texts.select("dkey", "least", "holder.doc_id"), "dkey")
     asked = keyed.join(places.withColumnRenamed("doc_id", "holder_id"), "dkey").filter("doc_id <=> holder_id")
     around = table(contexts(asked))
-    hot = around.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP).select("key")
+    hot = table(around.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP).select("key"))
     members = F.collect_list(F.struct("dkey", "least", "pos", "l", "r")).alias("members")
     few = around.join(hot, "key", "left_anti").groupBy("key").agg(members).select("members").mapInArrow(_compare, "dkey long, start int, end int, other long")
     many = around.join(hot, "key", "left_semi").mapInArrow(_windows, "h long, dkey long, least long, start int")
-    twice = many.groupBy("h").agg(F.min("dkey").alias("low"), F.max("dkey").alias("high"), F.min("least").alias("a"), F.max("least").alias("b")).filter("low <> high").select("h", "a", "b")
+    twice = table(many.groupBy("h").agg(F.min("dkey").alias("low"), F.max("dkey").alias("high"), F.min("least").alias("a"), F.max("least").alias("b")).filter("low <> high").select("h", "a", "b"))
     spread = many.join(twice, "h").select("dkey", "start", (F.col("start") + MIN_WORDS).alias("end"), F.expr("if(a <=> least, b, a)").alias("other"))
     whole = texts.filter(f"copies > 1 and n_words >= {MIN_WORDS}").select("dkey", F.lit(0).alias("start"), F.col("n_words").alias("end"), F.lit(None).cast("long").alias("other"))
     spans = few.unionAll(spread).unionAll(whole).groupBy("dkey").agg(F.collect_set(F.struct("start", "end")).alias("spans"), F.min("other").alias("other"))
