@@ -1,9 +1,9 @@
 """Secret scans: base patterns plus a character network over every candidate with its context.
 
-Candidates are all maximal runs of 16 or more characters of ``[A-Za-z0-9+/_=-]`` that hold a digit, wherever they stand. The network sees the
-candidate's bytes and the text around it; it is trained on labelled findings: generated from formats of public services and from
-lines that hold no secret, with a held-out part for calibration. The threshold is the highest that keeps ``recall`` of the held-out secrets. A
-candidate that a base span already covers adds nothing, so base spans always stay.
+Candidates are the base findings and all maximal runs of 16 or more characters of ``[A-Za-z0-9+/_=-]`` that hold a digit and overlap none, wherever they stand. The network scores
+every candidate from its characters and the text around it; it is trained on labelled findings: generated from formats of public services and from
+lines that hold no secret, with a held-out part for calibration. The threshold is the highest that keeps ``recall`` of the held-out secrets. Base
+findings stay whatever their score; other candidates count from the threshold on.
 
 Null texts count as empty. Offsets are code points. Repeated rows give repeated results; extra columns are ignored.
 """
@@ -106,14 +106,14 @@ def model(recall: float) -> tuple[CharCnn, tuple[float, float], float]:
 
 
 def scan(docs: DataFrame, recall: float = 0.98) -> DataFrame:
-    """``(doc_id, base, spans)`` of every row of ``docs(doc_id, text)``; both are arrays of (kind, start, end) by start."""
+    """``(doc_id, base, spans)`` of every row of ``docs(doc_id, text)``; both are arrays of (kind, start, end, score) by start."""
     found = model(recall)
-    span = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+    span = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("score", T.DoubleType())]))
     schema = T.StructType([pick(docs, "doc_id").schema["doc_id"], T.StructField("base", span), T.StructField("spans", span)])
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
         base, spans = find_all([x or "" for x in batch.column("text").to_pylist()], found)
-        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(base, kind), pa.array(spans, kind)], names=["doc_id", "base", "spans"])
 
     return map_text(pick(docs, "doc_id", "text"), kernel, schema)
@@ -122,22 +122,25 @@ def scan(docs: DataFrame, recall: float = 0.98) -> DataFrame:
 def find_all(texts: list[str], found) -> tuple[list[list[dict]], list[list[dict]]]:
     """Base spans and all spans of each text."""
     net, (a, b), threshold = found
-    base = [base_spans(x) for x in texts]
-    asked: list[tuple[int, int, int]] = []
+    asked: list[tuple[int, int, int, int]] = []
     for i, text in enumerate(texts):
+        base = base_spans(text)
+        asked += [(i, s, k, e) for s, k, e in base]
         for m in CANDIDATE.finditer(text):
-            if DIGIT.search(m.group()) and not any(s < m.end() and m.start() < e for s, _, e in base[i]):
-                asked.append((i, m.start(), m.end()))
-    more: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+            if DIGIT.search(m.group()) and not any(s < m.end() and m.start() < e for s, _, e in base):
+                asked.append((i, m.start(), len(KINDS), m.end()))
+    names, kept, every = (*KINDS, "network"), [[] for _ in texts], [[] for _ in texts]
     for at in range(0, len(asked), 4096):
         part = asked[at : at + 4096]
-        p = 1 / (1 + np.exp(-(a * net.logits(np.stack([encode(texts[i], s, e) for i, s, e in part])) + b)))
-        for (i, s, e), x in zip(part, p, strict=True):
-            if x >= threshold:
-                more[i].append((s, 3, e))
-    names = (*KINDS, "network")
-    shown = lambda spans: [{"kind": names[k], "start": s, "end": e} for s, k, e in sorted(spans)]
-    return [shown(x) for x in base], [shown(x + y) for x, y in zip(base, more, strict=True)]
+        p = 1 / (1 + np.exp(-(a * net.logits(np.stack([encode(texts[i], s, e) for i, s, _, e in part])) + b)))
+        for (i, s, k, e), x in zip(part, p.tolist(), strict=True):
+            span = {"kind": names[k], "start": s, "end": e, "score": x}
+            if k < len(KINDS):
+                kept[i].append(span)
+            if k < len(KINDS) or x >= threshold:
+                every[i].append(span)
+    order = lambda x: (x["start"], names.index(x["kind"]))
+    return [sorted(x, key=order) for x in kept], [sorted(x, key=order) for x in every]
 
 
 def joined(spans: list[dict]) -> str:
