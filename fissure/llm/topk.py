@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from fissure.llm._common import cut
 
 #: Vectors of a ring at which it is aimed, vectors of one searched block, queries of one searched block, and most rings in all.
-RING, BLOCK, QUERIES, MOST = 2048, 8192, 4096, 1024
+RING, BLOCK, QUERIES, MOST = 512, 8192, 4096, 1024
 
 
 def integers(vectors: DataFrame, scale: int = 256) -> DataFrame:
@@ -100,7 +100,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, sample: in
     facts = whole.agg(F.count("*"), F.max(F.size("v")), F.max(F.expr("aggregate(v, 0L, (s, x) -> s + x * x)")), F.count_if(is_query)).first()
     n, size, norm, asked = facts[0], facts[1] or 0, float(facts[2] or 0), facts[3]
     rings = max(1, round(min(MOST, n / RING) ** 0.5))
-    some = whole.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toPandas()
+    turned = whole.withColumn("turn", F.expr("pmod(xxhash64(vec_id), 1000000)"))
+    # a part that holds about, and in the end at most, ``sample`` vectors
+    some = (turned.filter(F.col("turn") < int(1_020_000 * sample / n)) if n > sample else turned).toPandas().sort_values(["turn", "vec_id"], ignore_index=True)[:sample]
     start = _lifted(np.stack([np.pad(np.asarray(v, float), (0, size - len(v))) for v in some["v"]]), norm) if len(some) else np.zeros((1, size + 1))
     pivots = choose_pivots(start, rings)
 
