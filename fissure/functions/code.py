@@ -21,8 +21,15 @@ JS_FUNCTION = r"(?U)(?:function\s+(\w+)|const\s+(\w+)\s*=.*?=>)"
 EMBED_CHARS = 8000
 
 
+#: Literals of which each pattern needs one of each group: looked for first, since most text that isn't code has none.
+NEEDS = {C_CLASS: [("struct", "class")], C_FUNCTION: [("(",), ("{",)], JAVA_CLASS: [("class", "interface", "enum")], JAVA_METHOD: [("(",), ("{",)], C_CLASS_2: [("class",)], C_FUNCTION_2: [("(",), ("{",)], JS_CLASS: [("class",)]}
+
+
 def _first(c: Column, pattern: str, group: int = 1) -> Column:
-    return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
+    found = F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
+    for some in NEEDS.get(pattern, []):
+        found = F.when(reduce(or_, [F.contains(c, F.lit(x)) for x in some]), found)
+    return found
 
 
 def structure(code: Column, language: Column) -> Column:

@@ -18,7 +18,7 @@ from fissure.sources import datasets, files, sinks
 
 def shared(spark, name: str) -> str:
     """A new path in the cluster's shared folder, or in a temporary one where the session names none, as in tests."""
-    return f"{spark.sparkContext.getConf().get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='shared-')}/{name}-{uuid.uuid4()}"
+    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='shared-')}/{name}-{uuid.uuid4()}"
 
 
 @query("s01_cvefixes", """

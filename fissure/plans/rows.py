@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fissure.functions import code, cwe, languages, text, udfs, urls
@@ -16,9 +16,8 @@ from fissure.plans.bridge import classed, cleaned, nodes, pairs, query, read, vu
 """)
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = cleaned(spark, sf_dir).select("language", cwe.primary(F.col("cwes")).alias("primary_cwe"))
-    shares = stats.shares(rows, ["language", "primary_cwe"])
-    ranked = stats.top_per_language(rows, 1_000_000, "primary_cwe").select("language", "primary_cwe", "rank")
-    return shares.join(ranked, ["language", "primary_cwe"]).select("language", "primary_cwe", "n", F.round(F.col("pct"), 2).alias("pct"), "rank")
+    rank = F.row_number().over(Window.partitionBy("language").orderBy(F.desc("n"), "primary_cwe"))
+    return stats.shares(rows, ["language", "primary_cwe"]).select("language", "primary_cwe", "n", F.round("pct", 2).alias("pct"), rank.alias("rank"))
 
 
 @query("p01_normalize_cwe", """
