@@ -202,6 +202,6 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     spread = many.join(twice, "h").select("dkey", "start", (F.col("start") + MIN_WORDS).alias("end"), F.expr("if(a <=> least, b, a)").alias("other"))
     whole = texts.filter(f"copies > 1 and n_words >= {MIN_WORDS}").select("dkey", F.lit(0).alias("start"), F.col("n_words").alias("end"), F.lit(None).cast("long").alias("other"))
     spans = few.unionAll(spread).unionAll(whole).groupBy("dkey").agg(F.collect_set(F.struct("start", "end")).alias("spans"), F.min("other").alias("other"))
-    merged = spans.mapInArrow(_merged, "dkey long, dup_words long, spans string, other long").join(texts.select("dkey", "least", "most"), "dkey")
+    merged = table(spans.mapInArrow(_merged, "dkey long, dup_words long, spans string, other long").join(texts.select("dkey", "least", "most"), "dkey"))
     copy = F.expr("nullif(if(doc_id <=> least, most, least), doc_id)")
     return holders.select("dkey", "doc_id").join(merged, "dkey").select("doc_id", "dup_words", "spans", F.least(copy, "other").alias("shared_with"))
