@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fissure.operators import sampling
 
-#: Rows of a group that are clustered at a time; larger groups are dealt to shards by hash, as in mini-batches.
+#: Rows of a group up to which one task clusters it. Larger groups are clustered as a whole too, in steps over all their rows.
 SHARD = 5000
+STARTS, ROUNDS = 3, 50
 
 
-def kmeans(x: np.ndarray, k: int, seed: int = 42, starts: int = 3, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
+def kmeans(x: np.ndarray, k: int, seed: int = 42, starts: int = STARTS, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """Centers and assignment with the least inertia of several k-means++ starts."""
     r, best = np.random.default_rng(seed), (np.inf, x[:1], np.zeros(len(x), int))
     for _ in range(starts):
@@ -50,23 +54,104 @@ def nearest(x: np.ndarray, centers: np.ndarray, of: np.ndarray) -> list[int]:
 def representatives(rows: DataFrame, group: list[str], n: int, seed: int = 42) -> DataFrame:
     """(group, row_id) of up to ``n`` representatives of each group of ``rows(group, row_id, embedding)``.
 
-    Groups of up to ``n`` rows stay whole. Rows without an embedding take no part. A group of more than SHARD rows is clustered in shards, each with its part of ``n``.
+    Groups of up to ``n`` rows stay whole. Rows without an embedding take no part. Every group is clustered as a whole.
     """
-    sized = sampling.with_sizes(rows.filter("embedding is not null").select(*group, "row_id", "embedding"), group)
-    shards = F.ceil(F.col("group_size") / SHARD)
-    dealt = sized.withColumn("shards", shards).withColumn("shard", F.expr("pmod(xxhash64(row_id), shards)"))
-
-    def pick(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("row_id", ignore_index=True)
-        of, total = int(part["shards"][0]), int(part["group_size"][0])
-        k = n // of + (key[-1] < n % of)
-        if total > n:
-            x = np.stack(part["embedding"].to_numpy()).astype(float)
-            part = part.iloc[sorted(nearest(x, *kmeans(x, min(k, len(x)), seed)))] if k else part.iloc[:0]
+    rows = rows.filter("embedding is not null").select(*group, "row_id", "embedding")
+    schema = rows.select(*group, "row_id").schema
+    counts = rows.groupBy(*group).agg(F.count("*").alias("group_size"))
+    most = max(SHARD, n)
+    large = [tuple(r[g] for g in group) for r in counts.filter((F.col("group_size") > most) & F.expr(" and ".join(f"`{g}` is not null" for g in group))).select(*group).collect()]
+
+    def pick(part: pd.DataFrame) -> pd.DataFrame:
+        if len(part) > n:
+            part = part.sort_values("row_id", ignore_index=True)
+            part = part.iloc[sorted(nearest(x := np.stack(part["embedding"].to_numpy()).astype(float), *kmeans(x, n, seed)))]
         return part[[*group, "row_id"]]
 
-    schema = rows.select(*group, "row_id").schema
-    return dealt.groupBy(*group, "shard").applyInPandas(pick, schema)
+    small = rows.join(counts.filter(F.col("group_size") <= most).select(*group), group).groupBy(*group).applyInPandas(pick, schema)
+    if not large:
+        return small
+    spark = rows.sparkSession
+    numbered = spark.createDataFrame([(*key, i) for i, key in enumerate(large)], T.StructType([*schema.fields[:-1], T.StructField("gid", T.LongType())]))
+    wide = rows.join(F.broadcast(numbered), group).select("gid", "row_id", F.col("embedding").cast("array<double>").alias("embedding")).persist()
+    try:
+        picked = _whole(wide, len(large), n, seed)
+    finally:
+        wide.unpersist()
+    return small.unionByName(spark.createDataFrame([(*large[g], row) for g, row in picked], schema))
+
+
+def _whole(rows: DataFrame, groups: int, n: int, seed: int) -> list[tuple[int, int]]:
+    """(gid, row_id) of ``n`` representatives of each group of ``rows(gid, row_id, embedding)``: the steps of ``kmeans`` for all groups and starts at once.
+
+    A step is one pass over all rows with the centers at hand; partitions send what they sum up for each group, start and center.
+    """
+    spark = rows.sparkSession
+
+    def each(kernel: Callable, schema: str, centers: dict) -> DataFrame:
+        """``kernel(rows' ids, their vectors, centers)`` of every group of a batch and each of its starts in ``centers``, as (part, gid, start, *values)."""
+        sent = spark.sparkContext.broadcast(centers)
+
+        def run(frames):
+            part = TaskContext.get().partitionId()
+            for turn, frame in enumerate(frames):
+                for gid, mine in frame.groupby("gid"):
+                    x, ids = np.stack(mine["embedding"].to_numpy()), mine["row_id"].to_numpy()
+                    for start in range(STARTS):
+                        if (gid, start) in sent.value:
+                            yield pd.DataFrame([((part << 32) + turn, gid, start, *v) for v in kernel(ids, x, sent.value[gid, start], start)], columns=[f.split()[0] for f in f"part long, gid long, start int, {schema}".split(", ")])
+
+        return rows.mapInPandas(run, f"part long, gid long, start int, {schema}")
+
+    def distances(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+        return np.stack([((x - c) ** 2).sum(1) for c in centers], 1)
+
+    def race(ids, x, centers, start):
+        """The row that is first when each waits for a time that its squared distance to the next center shortens: drawn in proportion to it."""
+        d = distances(x, centers).min(1) if len(centers) else np.ones(len(x))
+        u = [(int.from_bytes(hashlib.md5(f"{seed}:{start}:{len(centers)}:{i}".encode()).digest()[:7]) + 1) / (1 << 56) for i in ids]
+        with np.errstate(divide="ignore"):
+            wait = np.where(d > 0, -np.log(u) / d, np.inf)
+        at = min(range(len(ids)), key=lambda i: (wait[i], ids[i]))
+        return [(float(wait[at]), int(ids[at]), x[at].tolist())]
+
+    def sums(ids, x, centers, start):
+        d = distances(x, centers)
+        of = d.argmin(1)
+        return [(i, int((of == i).sum()), x[of == i].sum(0).tolist(), float(d[of == i, i].sum())) for i in range(len(centers)) if (of == i).any()]
+
+    def first(ids, x, centers, start):
+        d = distances(x, centers)
+        of = d.argmin(1)
+        best = [min(np.flatnonzero(of == i), key=lambda j: (d[j, i], ids[j])) for i in range(len(centers)) if (of == i).any()]
+        return [(int(of[j]), float(d[j, of[j]]), int(ids[j])) for j in best]
+
+    def total(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("part")
+        return part.iloc[:1].assign(n=part["n"].sum(), total=[np.stack(part["total"].to_numpy()).sum(0).tolist()], inertia=part["inertia"].sum())
+
+    centers: dict = {(g, s): np.zeros((0, 0)) for g in range(groups) for s in range(STARTS)}
+    for _ in range(n):
+        drawn = each(race, "wait double, row_id long, embedding array<double>", centers).groupBy("gid", "start").agg(F.min_by("embedding", F.struct("wait", "row_id")).alias("c"))
+        for r in drawn.collect():
+            old = centers[r["gid"], r["start"]]
+            centers[r["gid"], r["start"]] = np.array([*old, r["c"]])
+    moving, inertia = dict(centers), {}
+    for _ in range(ROUNDS):
+        kind = "center int, n long, total array<double>, inertia double"
+        found = each(sums, kind, moving).groupBy("gid", "start", "center").applyInPandas(total, f"part long, gid long, start int, {kind}").collect()
+        now = {k: c.copy() for k, c in moving.items()}
+        inertia |= dict.fromkeys(moving, 0.0)
+        for r in sorted(found, key=lambda r: (r["gid"], r["start"], r["center"])):
+            now[r["gid"], r["start"]][r["center"]] = np.array(r["total"]) / r["n"]
+            inertia[r["gid"], r["start"]] += r["inertia"]
+        centers |= now
+        moving = {k: c for k, c in now.items() if (c != moving[k]).any()}
+        if not moving:
+            break
+    best = {(g, s): centers[g, s] for g in range(groups) for s in [min(range(STARTS), key=lambda s: inertia[g, s])]}
+    found = each(first, "center int, d double, row_id long", best).groupBy("gid", "center").agg(F.min_by("row_id", F.struct("d", "row_id")).alias("row_id"))
+    return sorted((r["gid"], r["row_id"]) for r in found.collect())
 
 
 def select(rows: DataFrame, group: list[str], n: int, method: str = "kmeans", stratum: str = "source", seed: int = 42) -> DataFrame:

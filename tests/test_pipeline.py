@@ -126,6 +126,26 @@ def test_clusters(spark):
     assert sorted(x["embedding"] is None for x in calls.collect()) == [False, True]
 
 
+def test_large_groups_are_clustered_as_a_whole(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(cluster, "SHARD", 20)
+    r = np.random.default_rng(1)
+    near = lambda i, k: (r.normal(0, 0.1, 4) + 9 * np.array([i % k, (i % k) ** 2 % 5, 0, 1])).tolist()
+    data = [(i, "g", near(i, 10)) for i in range(300)] + [(1000 + i, "one", near(i, 3)) for i in range(20)] + [(2000 + i, "same", [1.0] * 4) for i in range(25)]
+    rows = spark.createDataFrame(data, "row_id long, g string, embedding array<float>")
+    picked = cluster.representatives(rows, ["g"], 10).collect()
+    assert {x["row_id"] % 10 for x in picked if x["g"] == "g"} == set(range(10))
+    assert {(x["row_id"] - 1000) % 3 for x in picked if x["g"] == "one"} == {0, 1, 2}
+    assert [x["row_id"] for x in picked if x["g"] == "same"] == [2000]
+    by = {x[0]: np.array(x[2], np.float32).astype(float) for x in data}
+    for k in range(10):
+        mine = [i for i in range(300) if i % 10 == k]
+        middle = np.mean([by[i] for i in mine], 0)
+        assert min(mine, key=lambda i: ((by[i] - middle) ** 2).sum()) in {x["row_id"] for x in picked}
+    assert sorted(picked) == sorted(cluster.representatives(rows.repartition(7), ["g"], 10).collect())
+
+
 def test_entries_and_documents(spark, tmp_path):
     pairs = taxonomy.flatten(spark, TREE)[1]
     cleaned = clean.clean(six(spark))
