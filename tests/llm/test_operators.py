@@ -331,6 +331,20 @@ def test_network_on_unseen_findings():
     assert (p[y == 1] >= threshold).mean() > 0.93 and (p[y == 0] >= threshold).mean() < 0.02
 
 
+def test_secrets_behind_long_prefixes():
+    r = np.random.default_rng(5)
+    key = lambda n: "".join(r.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), n))
+    prefixes = ("/some/long/path/name/of/a/service/", "PAYMENT_SERVICE_PRODUCTION_CLIENT=", "/some/long/path/name/of/a/service/" * 3)
+    texts = [f"see {p}{key(40)} there" for p in prefixes for _ in range(50)]
+    plain = [f"see {p}other/names/of/version2/ there" for p in prefixes]
+    _, spans = secrets.find_all(texts + plain, secrets.model(0.98))
+    assert np.mean([any(x["end"] == len(t) - 6 for x in row) for t, row in zip(texts, spans, strict=False)]) > 0.9
+    assert not any(spans[len(texts) :])
+    data = secrets.hidden(600, seed=98)
+    _, spans = secrets.find_all([d[0] for d in data], secrets.model(0.98))
+    assert np.mean([any(x["start"] < d[2] and d[1] < x["end"] for x in row) for d, row in zip(data, spans, strict=True) if d[3]]) > 0.93
+
+
 # 9
 
 
