@@ -1,9 +1,9 @@
 """Secret scans: base patterns plus a character network over every candidate with its context.
 
-Candidates are the base findings and all maximal runs of 16 or more characters of ``[A-Za-z0-9+/_=-]`` that hold a digit and overlap none, wherever they stand. The network scores
+Candidates are the base findings and all maximal runs of 16 or more characters of ``[A-Za-z0-9+/_=-]``, wherever they stand, but for runs that lie in base findings as a whole. The network scores
 every candidate over its whole length, by overlapping windows with the text around them, of which the highest score counts; it is trained on labelled findings: generated from formats
 of public services, alone and behind long prefixes, and from lines that hold no secret, with a held-out part for calibration. The threshold is the highest that keeps ``recall`` of the held-out secrets. Base
-findings stay whatever their score; other candidates count from the threshold on.
+findings stay whatever their score; other candidates count from the threshold on, each as the whole run.
 
 Null texts count as empty. Offsets are code points. Repeated rows give repeated results; extra columns are ignored.
 """
@@ -29,7 +29,6 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 MIN_ASSIGN, MIN_ACCESS = 12, 18
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-DIGIT = re.compile(r"[0-9]")
 BEFORE, INSIDE, AFTER = 24, 32, 4
 #: Characters from one window of a candidate to the next.
 STEP = 8
@@ -48,6 +47,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def covered(start: int, end: int, base: list[tuple[int, int, int]]) -> bool:
+    """Whether base findings, sorted, hold every character of a run."""
+    for a, _, b in base:
+        if a <= start < b:
+            start = b
+    return start >= end
+
+
 def encode(text: str, start: int, end: int) -> np.ndarray:
     """Classes of the characters before, in and after a candidate; those inside are numbered apart."""
 
@@ -82,15 +89,14 @@ def findings(n: int = 4000, seed: int = 11) -> list[tuple[str, int, int, int]]:
     for i in range(n):
         before, after = prose(r.integers(0, 6)), prose(r.integers(0, 4))
         if i % 2:
-            kind = r.integers(0, 6)
-            body = [draw(full, r.integers(20, 45)), "ghp_" + draw(full, 36), "sk-" + draw(full, r.integers(24, 48)), draw(full + "+/", r.integers(24, 60)) + "=", draw(upper + digits, r.integers(18, 32)), draw(hexes, r.choice([32, 40, 64]))][kind]
-            if not DIGIT.search(body):
-                body += "7x"
+            kind = r.integers(0, 7)
+            body = [draw(full, r.integers(20, 45)), "ghp_" + draw(full, 36), "sk-" + draw(full, r.integers(24, 48)), draw(full + "+/", r.integers(24, 60)) + "=", draw(upper + digits, r.integers(18, 32)), draw(hexes, r.choice([32, 40, 64])), draw(lower + upper, r.integers(20, 45))][kind]
             lead = str(r.choice(["key = ", "auth: ", "Authorization: Bearer ", "api-token=", "client_key: \"", "credential ", "pwd=", "export ACCESS=", ""])) if kind else str(r.choice(["key = ", "auth: ", "Bearer ", "credential=", "pwd: \""]))
         else:
-            kind = r.integers(0, 7)
-            body = [draw(digits, r.integers(16, 20)), "-".join(word() for _ in range(5)) + "-" + draw(digits, 2), word() + "_" + word() + "_" + word() + "_v" + draw(digits, 1), "2" + draw(digits, 3) + "-" + draw(digits, 2) + "-" + draw(digits, 2) + "-" + draw(digits, 8), "/".join([word() + word(), word() + word(), word() + draw(digits, 2)]), "-" * 12 + draw(digits, 1) + "-" * 12, word() + word() + word() + word() + word() + word() + draw(digits, 1)][kind]
-            body += "0" * max(0, 16 - len(body))
+            kind = r.integers(0, 13)
+            words = [word() for _ in range(r.integers(3, 7))]
+            body = [draw(digits, r.integers(16, 20)), "-".join(word() for _ in range(5)) + "-" + draw(digits, 2), word() + "_" + word() + "_" + word() + "_v" + draw(digits, 1), "2" + draw(digits, 3) + "-" + draw(digits, 2) + "-" + draw(digits, 2) + "-" + draw(digits, 8), "/".join([word() + word(), word() + word(), word() + draw(digits, 2)]), "-" * 12 + draw(digits, 1) + "-" * 12, word() + word() + word() + word() + word() + word() + draw(digits, 1), words[0] + "".join(w.capitalize() for w in words[1:]), str(r.choice(["_", "-"])).join(words).upper(), "/".join(words), str(r.choice(["_", "-", "/"])).join(w.capitalize() for w in words), "".join(words), str(r.choice(["-", "=", "_", "/", "-=", "A", "x", "+"])) * r.integers(16, 80)][kind]
+            body += (body[-1] if kind > 6 else "0") * max(0, 16 - len(body))
             lead = str(r.choice(["", "", "see ", "page ", "id ", "call ", "version "]))
         text = f"{before} {lead}{body} {after}"
         at = text.index(body)
@@ -117,7 +123,7 @@ def hidden(n: int = 2000, seed: int = 12) -> list[tuple[str, int, int, int]]:
 
 def run_of(text: str, start: int, end: int) -> tuple[int, int] | None:
     """The candidate run that holds a finding; None where the filter lets none through."""
-    return next(((m.start(), m.end()) for m in CANDIDATE.finditer(text) if m.start() <= start and end <= m.end() and DIGIT.search(m.group())), None)
+    return next(((m.start(), m.end()) for m in CANDIDATE.finditer(text) if m.start() <= start and end <= m.end()), None)
 
 
 def best_scores(net: CharCnn, spans: list[tuple[str, int, int]], sent: int = 4096) -> np.ndarray:
@@ -182,7 +188,7 @@ def find_all(texts: list[str], found) -> tuple[list[list[dict]], list[list[dict]
         base = base_spans(text)
         asked += [(i, s, k, e) for s, k, e in base]
         for m in CANDIDATE.finditer(text):
-            if DIGIT.search(m.group()) and not any(s < m.end() and m.start() < e for s, _, e in base):
+            if not covered(m.start(), m.end(), base):
                 asked.append((i, m.start(), len(KINDS), m.end()))
     names, kept, every = (*KINDS, "network"), [[] for _ in texts], [[] for _ in texts]
     p = 1 / (1 + np.exp(-(a * best_scores(net, [(texts[i], s, e) for i, s, _, e in asked]) + b)))

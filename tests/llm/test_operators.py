@@ -345,6 +345,19 @@ def test_secrets_behind_long_prefixes():
     assert np.mean([any(x["start"] < d[2] and d[1] < x["end"] for x in row) for d, row in zip(data, spans, strict=True) if d[3]]) > 0.93
 
 
+def test_runs_beside_base_findings_and_without_digits():
+    r = np.random.default_rng(6)
+    key = lambda n, more="": "".join(r.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ" + more), n))
+    beside = [f"xoxb-1234567890123456-{key(24, '0123456789')}" for _ in range(50)]
+    _, spans = secrets.find_all(beside, secrets.model(0.98))
+    assert all([x["kind"] for x in row if x["kind"] != "network"] == ["hex"] for row in spans)
+    assert np.mean([any(x["start"] == 0 and x["end"] == len(t) for x in row) for t, row in zip(beside, spans, strict=True)]) > 0.9
+    _, spans = secrets.find_all([f"key = {key(32)}" for _ in range(50)] + ["see getUserNameFromRequestHeader", "-" * 40, "/usr/share/common/licenses/apache"], secrets.model(0.98))
+    assert np.mean([any(x["end"] == 38 for x in row) for row in spans[:50]]) > 0.9 and not any(spans[50:])
+    assert any(not any(c.isdigit() for c in t[a:b]) for t, a, b, y in secrets.findings(400) if y)
+    assert [len(x) for x in secrets.find_all(["deadbeefdeadbeef", "token=abcdefghijklmnop"], secrets.model(0.98))[1]] == [1, 1]
+
+
 # 9
 
 
