@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 from tokenizers.models import BPE
 
 from fissure.llm._common import map_text, pick
@@ -123,8 +124,8 @@ def encoder(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def encode_documents(docs: DataFrame, vocabulary: str | None = None, with_ids: bool = True) -> DataFrame:
-    """``(doc_id, n_tokens, ids, decoded)`` of ``docs(doc_id, text)``, or, without ids, the digests of both."""
+def encode_documents(docs: DataFrame, vocabulary: str | None = None, with_ids: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, n_tokens, ids, decoded)`` of ``docs(doc_id, text)``, or, without ids, the digests of both. Columns named in ``keep`` stay, after doc_id."""
     vocabulary = vocabulary or default_vocabulary()
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -138,9 +139,12 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, with_ids: b
             second.append(decoded.decode() if with_ids else hashlib.sha256(decoded).hexdigest())
         kind = pa.list_(pa.int32()) if with_ids else pa.string()
         names = ["doc_id", "n_tokens", *(["ids", "decoded"] if with_ids else ["ids_sha256", "decoded_sha256"])]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(first, kind), pa.array(second, pa.string())], names=names)
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(batch.column, keep), pa.array(n, pa.int64()), pa.array(first, kind), pa.array(second, pa.string())], names=[names[0], *keep, *names[1:]])
 
-    return map_text(pick(docs, "doc_id", "text"), kernel, "doc_id long, n_tokens long, " + ("ids array<int>, decoded string" if with_ids else "ids_sha256 string, decoded_sha256 string"), lambda: encoder(vocabulary).forget())
+    rows = pick(docs, "doc_id", *keep, "text")
+    kinds = {"n_tokens": T.LongType()} | ({"ids": T.ArrayType(T.IntegerType()), "decoded": T.StringType()} if with_ids else {"ids_sha256": T.StringType(), "decoded_sha256": T.StringType()})
+    schema = T.StructType([*rows.drop("text").schema.fields, *(T.StructField(name, kind) for name, kind in kinds.items())])
+    return map_text(rows, kernel, schema, lambda: encoder(vocabulary).forget())
 
 
 def decode_ids(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:

@@ -432,6 +432,19 @@ def test_bpe(docs, rows):
     assert of(bpe.decode_ids(encoded), "doc_id", "decoded") == of(encoded, "doc_id", "decoded")
 
 
+def test_pipeline_yields_ids(spark, docs):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(bpe.default_vocabulary())
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, "")
+    assert out.columns == ["doc_id", "source", "n_tokens", "ids", "decoded"]
+    want = Counter((r["doc_id"], r["source"], tuple(t.encode(r["text"] or "", add_special_tokens=False).ids)) for r in docs.collect())
+    got = out.collect()
+    assert Counter((r["doc_id"], r["source"], tuple(r["ids"])) for r in got) == want
+    assert all(r["n_tokens"] == len(r["ids"]) and r["decoded"] == t.decode(r["ids"], skip_special_tokens=False) for r in got)
+
+
 def test_bpe_random_texts():
     import random
 
