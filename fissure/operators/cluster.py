@@ -163,6 +163,18 @@ def select(rows: DataFrame, group: list[str], n: int, method: str = "kmeans", st
     return rows.join(picked.select(*group, "row_id"), [*group, "row_id"], "left_semi").unionByName(sampling.capped(rows.join(whole, group, "left_anti"), group, stratum, n, seed))
 
 
+def tiered(rows: DataFrame, group: list[str], n: int = 10, least: int = 100, seed: int = 42) -> DataFrame:
+    """Groups of ``least`` rows and more by k-means over the whole group; smaller ones, and those with an embedding that can't be clustered, give up to ``n`` random rows.
+
+    An embedding is missing, empty, of another length than others of its group, or has a value that is missing or not finite.
+    """
+    fit = F.coalesce(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
+    counts = rows.groupBy(*group).agg(F.count("*").alias("all"), F.min(fit).alias("fit"), F.min(F.size("embedding")).alias("low"), F.max(F.size("embedding")).alias("high"))
+    whole = counts.filter((F.col("all") >= least) & F.col("fit") & (F.col("low") == F.col("high")) & (F.col("low") > 0)).select(*group)
+    picked = representatives(rows.join(whole, group, "left_semi"), group, n, seed)
+    return rows.join(picked, [*group, "row_id"], "left_semi").unionByName(sampling.random(rows.join(whole, group, "left_anti"), group, n, seed))
+
+
 def embed(rows: DataFrame, embedder: Callable[[list[str]], Iterable], cache: DataFrame | None = None, batch: int = 64) -> DataFrame:
     """(text_hash, embedding) of the distinct texts of ``rows(text)`` that ``cache`` doesn't have, and those of the cache.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable
 
 import pandas as pd
@@ -42,13 +43,22 @@ def prompt(template: str, **fields: Column) -> Column:
     return out
 
 
-def review(rows: DataFrame, generate: Callable[[str], str], templates: dict[str, str], *, tries: int = 2, version: str = "v1", now: str = "1970-01-01T00:00:00Z") -> DataFrame:
+def review(rows: DataFrame, generate: Callable[[str], str], templates: dict[str, str], *, tries: int = 2, attempts: int = 3, delay: float = 1.0, version: str = "v1", now: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """(row_id, review, confidence, status) of ``rows(row_id, CWE, vulnerable, benign)`` in three stages each.
 
-    ``generate(prompt)`` is called on the executors. A failure gives a placeholder. A review below the confidence threshold is asked for again, ``tries`` times in all. ``now`` is the stamp of
+    ``generate(prompt)`` is called on the executors, up to ``attempts`` times where it raises an error, with ``delay`` seconds, then twice as many, in between. The last error, or a reply without
+    JSON, gives a placeholder. A review below the confidence threshold is asked for again, ``tries`` times in all. ``now`` is the stamp of
     all reviews, so that reruns agree.
     """
 
+    def ask(text: str) -> str:
+        for attempt in range(attempts - 1):
+            try:
+                return generate(text)
+            except Exception:  # noqa: BLE001  the client is the caller's
+                time.sleep(delay * 2**attempt)
+        return generate(text)
+
     def one(row) -> tuple[str, float, str]:
         done: dict = {}
         for _ in range(tries):
@@ -58,7 +68,7 @@ def review(rows: DataFrame, generate: Callable[[str], str], templates: dict[str,
                     text = templates.get(stage, "")
                     for name, value in {**values, "previous": json.dumps(done)}.items():
                         text = text.replace("{" + name + "}", value)
-                    reply = replies.parse_reply(generate(text))
+                    reply = replies.parse_reply(ask(text))
                     if reply is None:
                         raise ValueError("no JSON in the reply")
                     done[stage] = json.loads(reply)

@@ -220,6 +220,13 @@ def m12_size_tiers(spark, sf_dir):
     return stats.size_classes(vuln_rows(spark, sf_dir), ["source"]).withColumnRenamed("size_class", "tier")
 
 
+@query("m12_tiered")
+def m12_tiered(spark, sf_dir):
+    """Picked rows of the two-tier job; the embeddings of one label are incomplete."""
+    rows = read(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("row_id"), F.when(F.col("vec_id") != 3, F.col("embedding")).alias("embedding"))
+    return cluster.tiered(rows, ["label"]).select("label", "row_id")
+
+
 @query("m09_random", "SELECT source, count(*) AS n FROM (SELECT source, row_number() OVER (PARTITION BY source ORDER BY md5('42:' || row_id)) AS rn FROM vuln_rows) WHERE rn <= 9 GROUP BY source")
 def m09_random(spark, sf_dir):
     return sampling.select(scored(spark, sf_dir), ["source"], 9, "random").groupBy("source").agg(F.count("*").alias("n"))

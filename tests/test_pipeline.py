@@ -146,6 +146,36 @@ def test_large_groups_are_clustered_as_a_whole(spark, monkeypatch):
     assert sorted(picked) == sorted(cluster.representatives(rows.repartition(7), ["g"], 10).collect())
 
 
+def test_tiers(spark):
+    at = lambda i: [50.0 * (i % 10), float(i % 3)]
+    data = [(i, "large", at(i)) for i in range(120)] + [(200 + i, "small", at(i)) for i in range(99)] + [(400 + i, "missing", at(i) if i else None) for i in range(120)]
+    data += [(600 + i, "ragged", at(i) if i else [1.0]) for i in range(120)] + [(800 + i, "nan", at(i) if i else [float("nan"), 1.0]) for i in range(120)] + [(1000 + i, "few", None) for i in range(7)]
+    rows = spark.createDataFrame(data, "row_id long, g string, embedding array<float>")
+    got = {}
+    for x in cluster.tiered(rows, ["g"]).collect():
+        got.setdefault(x["g"], set()).add(x["row_id"])
+    assert {g: len(x) for g, x in got.items()} == {"large": 10, "small": 10, "missing": 10, "ragged": 10, "nan": 10, "few": 7}
+    assert {i % 10 for i in got["large"]} == set(range(10))
+    for g in ("small", "missing", "ragged", "nan"):
+        assert got[g] == {x["row_id"] for x in sampling.random(rows.filter(f"g = '{g}'"), ["g"], 10).collect()}
+
+
+def test_reviews_are_tried_again_on_errors(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def generate(prompt: str) -> str:
+        n = len(os.listdir(folder))
+        open(f"{folder}/{n}", "w").close()
+        if prompt == "never" or n < 2:
+            raise ConnectionError("down")
+        return '{"confidence": 1}'
+
+    rows = spark.createDataFrame([(1, "CWE-1", "a", "b")], "row_id long, CWE string, vulnerable string, benign string")
+    ask = lambda text: review.review(rows, generate, {s: text for s in review.STAGES}, tries=1, delay=0.01).collect()[0]["status"]
+    assert ask("late") == "ok" and len(os.listdir(folder)) == 5
+    assert ask("never") == "failed" and len(os.listdir(folder)) == 8
+
+
 def test_entries_and_documents(spark, tmp_path):
     pairs = taxonomy.flatten(spark, TREE)[1]
     cleaned = clean.clean(six(spark))
