@@ -108,29 +108,43 @@ def links(fps: DataFrame) -> DataFrame:
     return near.unionAll(groups.mapInArrow(_forests, "a long, b long")).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``(doc_id, fp, fingerprint, component_id)`` for every row of ``docs(doc_id, text)``."""
+def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, fp)`` of every row, and ``(fp, root, component_id)`` of every fingerprint."""
     each = cut(fingerprints(docs))
     roots = connected_components(links(each.select("fp").distinct()))
     least = each.groupBy("fp").agg(F.min("doc_id").alias("least"))
     rooted = least.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     of = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = rooted.join(of, "root").select("fp", "component_id")
+    return each, rooted.join(of, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``(doc_id, fp, fingerprint, component_id)`` for every row of ``docs(doc_id, text)``."""
+    each, by_fp = _components(docs)
     return each.join(by_fp, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` without all but one document of each component: the one whose doc_id is the component's id.
+    """``docs`` without all but one document of each component: one whose doc_id is the component's id.
 
-    Of repeated rows of that doc_id one stays; where a component has no doc_id at all, one of its rows stays.
+    Of repeated rows of that doc_id one stays, and where they hold different texts, one of the component's; where a component has no doc_id at all, one of its rows stays.
     """
-    found = cut(near_duplicates(docs).filter("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id"), F.col("fp").alias("kept_fp")).distinct())
+    each, by_fp = _components(docs)
+    found = cut(each.join(by_fp, "fp").filter("doc_id <=> component_id").groupBy("root").agg(F.min("component_id").alias("kept_id"), F.min("fp").alias("kept_fp")))
+    twice = cut(each.filter("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high").select(F.col("doc_id").alias("twice_id")))
     named, nameless = docs.filter("doc_id is not null"), docs.filter("doc_id is null")
-    kept = named.join(found.filter("kept_id is not null").select("kept_id").distinct(), F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    if nameless.isEmpty():
-        return kept
-    marked = _fingerprinted(nameless).join(found.filter("kept_id is null").select("kept_fp"), F.col(MARK) == F.col("kept_fp"), "left_semi").dropDuplicates([MARK])
-    return kept.unionAll(marked.drop(MARK))
+    ids = found.filter("kept_id is not null")
+    several, missing = not twice.isEmpty(), not nameless.isEmpty()
+    once = ids.join(twice, F.col("kept_id") == F.col("twice_id"), "left_anti") if several else ids
+    kept = named.join(once.select("kept_id"), F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    if several:
+        marked = _fingerprinted(named.join(twice, F.col("doc_id") == F.col("twice_id"), "left_semi"))
+        marked = marked.join(ids.select("kept_id", "kept_fp"), (F.col("doc_id") == F.col("kept_id")) & (F.col(MARK) == F.col("kept_fp")), "left_semi").dropDuplicates(["doc_id", MARK])
+        kept = kept.unionAll(marked.drop(MARK))
+    if missing:
+        marked = _fingerprinted(nameless).join(found.filter("kept_id is null").select("kept_fp"), F.col(MARK) == F.col("kept_fp"), "left_semi").dropDuplicates([MARK])
+        kept = kept.unionAll(marked.drop(MARK))
+    return kept
 
 
 #: Column that holds the fingerprint beside a table's own columns.
@@ -138,7 +152,7 @@ MARK = "simhash fingerprint"
 
 
 def _fingerprinted(docs: DataFrame) -> DataFrame:
-    """``docs`` with the column MARK, for the few rows that have no doc_id to join by."""
+    """``docs`` with the column MARK, for the few rows that have no doc_id to join by, or one that holds several texts."""
     schema = T.StructType([*docs.schema.fields, T.StructField(MARK, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -117,6 +117,13 @@ def test_keep_one(docs, rows):
     assert kept.count() == len(set(linked(fps).values()))
 
 
+def test_keep_one_of_ids_with_several_texts(spark):
+    a, b, c = (" ".join(f"{k}{i * i % 97}" for i in range(60)) for k in "abc")
+    data = [(1, a), (1, b), (1, b), (2, a), (0, c), (3, c), (1, c), (4, b)]
+    kept = simhash.keep_one(spark.createDataFrame(data, "doc_id long, text string").repartition(3))
+    assert of(kept, "doc_id", "text") == Counter([(1, a), (1, b), (0, c)])
+
+
 def test_components_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 99), (5, 5)], "a long, b long")
     assert of(components.connected_components(links), "node", "root") == Counter([(i, 0) for i in range(61)] + [(99, 99), (100, 99)])
