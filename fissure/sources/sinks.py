@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 
 from pyspark.sql import DataFrame
@@ -59,13 +60,15 @@ def stats_csv(stats: DataFrame, path: str) -> None:
     stats.coalesce(1).write.mode("overwrite").csv(path, header=True)
 
 
-def counts_json(counts: DataFrame, path: str, most: int = 100_000) -> None:
-    """{source: {cwe: n}} of a report of at most ``most`` lines."""
-    out: dict[str, dict[str, int]] = {}
-    for row in counts.orderBy("source", "cwe").limit(most).collect():
-        out.setdefault(row["source"], {})[row["cwe"]] = row["n"]
+def counts_json(counts: DataFrame, path: str) -> None:
+    """{source: {cwe: n}} of all lines of a report, written source by source."""
+    lines = counts.orderBy("source", "cwe").select("source", "cwe", "n").toLocalIterator()
     with open(path, "w", encoding="utf-8") as file:
-        json.dump(out, file, indent=2, ensure_ascii=False)
+        file.write("{")
+        for i, (source, rows) in enumerate(itertools.groupby(lines, key=lambda r: r["source"])):
+            body = json.dumps({source: {r["cwe"]: r["n"] for r in rows}}, indent=2, ensure_ascii=False)
+            file.write(("," if i else "") + body[1:-2])
+        file.write("\n}" if file.tell() > 1 else "}")
 
 
 def yaml_export(entries: DataFrame, path: str, per_group: int = 5) -> None:

@@ -176,6 +176,16 @@ def test_reviews_are_tried_again_on_errors(spark, tmp_path):
     assert ask("never") == "failed" and len(os.listdir(folder)) == 8
 
 
+def test_counts_json_has_all_lines(spark, tmp_path):
+    counts = spark.range(100_003).select(F.concat(F.lit("sé"), F.col("id") % 3).alias("source"), F.format_string("CWE-%06d", "id").alias("cwe"), F.col("id").alias("n"))
+    for name, rows in (("all", counts), ("none", counts.filter("n < 0"))):
+        sinks.counts_json(rows, str(tmp_path / name))
+        want = {}
+        for r in rows.orderBy("source", "cwe").collect():
+            want.setdefault(r["source"], {})[r["cwe"]] = r["n"]
+        assert (tmp_path / name).read_text(encoding="utf-8") == json.dumps(want, indent=2, ensure_ascii=False)
+
+
 def test_entries_and_documents(spark, tmp_path):
     pairs = taxonomy.flatten(spark, TREE)[1]
     cleaned = clean.clean(six(spark))
