@@ -1,8 +1,8 @@
-"""License scans with a positional rare-token index.
+"""License scans by positional rare tokens.
 
-Notices are short templates of words. Their words are indexed by (template, position), and weighted by inverse document frequency over the
-whole corpus. In a file, each template's rarest words (``ANCHORS`` of them) are looked up at all places where they stand; each place implies a
-start of the template, and the postings of the template's other words are intersected by relative position, give or take
+Notices are short templates of words, weighted by inverse document frequency over the
+whole corpus. Every file is compared with each template in turn, without an index: the template's rarest words (``ANCHORS`` of them) are looked up at all places where they stand; each place implies a
+start of the template, and the template's other words are looked for at their relative positions, give or take
 ``SLACK`` words. A start counts if words with at least ``cover`` of the template's weight agree and all its key phrases stand there word for word.
 
 Null texts count as empty. A file without licence words has no places, empty labels and the score 0. Repeated rows give repeated results;

@@ -1,10 +1,10 @@
 """Suffix-array dedup with sparse suffixes.
 
 Suffixes are retained where a document's content selects them: at the smallest hash of GRAM words among any SPAN neighbouring positions. Two documents
-that share a passage of MIN_WORDS words therefore retain the same suffix within its first SPAN words. Retained suffixes are ordered by their
-first CORE = MIN_WORDS - SPAN + 1 words (by hash); those that stand alone, or only with suffixes of the same text, are dropped. Neighbours that remain are compared and extended to
+that share a passage of MIN_WORDS words therefore retain the same suffix within its first SPAN words. Retained suffixes are grouped, not sorted, by their
+first CORE = MIN_WORDS - SPAN + 1 words (by hash); those that stand alone, or only with suffixes of the same text, are dropped. The members of a group that remain are compared, each with each, and extended to
 the left and right by up to SPAN - 1 words; a match of MIN_WORDS words or more counts. The union of the matches of a document is exactly
-the set of its words that lie in a passage of MIN_WORDS words found in another document. Equal texts are compared once; a text of MIN_WORDS words or more that several
+the set of its words that lie in a passage of MIN_WORDS words found in another document; what repeats only inside one document is not reported. Equal texts are compared once; a text of MIN_WORDS words or more that several
 documents hold is a repeated passage as a whole.
 
 In a group of more than GROUP equal suffixes of different texts, members are not compared with each other: each of the SPAN windows of MIN_WORDS words around a suffix is hashed and
