@@ -1,14 +1,14 @@
 """Suffix-array dedup with sparse suffixes.
 
 Suffixes are retained where a document's content selects them: at the smallest hash of GRAM words among any SPAN neighbouring positions. Two documents
-that share a passage of MIN_WORDS words therefore retain the same suffix within its first SPAN words. Retained suffixes are grouped, not sorted, by their
-first CORE = MIN_WORDS - SPAN + 1 words (by hash); those that stand alone, or only with suffixes of the same text, are dropped. The members of a group that remain are compared, each with each, and extended to
-the left and right by up to SPAN - 1 words; a match of MIN_WORDS words or more counts. The union of the matches of a document is exactly
+that share a passage of MIN_WORDS words therefore retain the same suffix within its first SPAN words. Retained suffixes are sorted by (the hash of) their
+first CORE = MIN_WORDS - SPAN + 1 words; those that stand alone, or only with suffixes of the same text, are dropped. A suffix is then extended by up to SPAN - 1 words
+to the left and the rest to the right: for each such reach, neighbours in the order of the extended suffixes are compared, and equal ones of different texts are matches. The union of the matches of a document is exactly
 the set of its words that lie in a passage of MIN_WORDS words found in another document; what repeats only inside one document is not reported. Equal texts are compared once; a text of MIN_WORDS words or more that several
 documents hold is a repeated passage as a whole.
 
-In a group of more than GROUP equal suffixes of different texts, members are not compared with each other: each of the SPAN windows of MIN_WORDS words around a suffix is hashed and
-counted, which spreads over tasks and gives the same matches.
+Groups of up to GROUP suffixes with one core are sorted and compared in the task that holds them, of which a task sees one batch at a time. The extended suffixes of a larger group are
+grouped by their hashes, which spreads over tasks and gives the same matches.
 
 Null and empty texts have no words and no passages. Rows that share doc_id and text are one document. Extra columns are ignored.
 """
@@ -110,55 +110,73 @@ def contexts(docs: DataFrame) -> DataFrame:
 
 
 def _sides(batch) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(batch.field(c).flatten().to_numpy(zero_copy_only=False).reshape(-1, SPAN - 1) for c in ("l", "r"))
+    return tuple(batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(-1, SPAN - 1) for c in ("l", "r"))
+
+
+def _passages(batch) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the SPAN passages of MIN_WORDS words that hold each suffix's core, the one that reaches ``j`` words to its left in column ``j``; which of them lie in the text."""
+    reach = np.arange(SPAN)
+    parts, whole = [], []
+    for side, odd in zip(_sides(batch), (ODD[: SPAN - 1], ODD[SPAN : 2 * SPAN - 1]), strict=True):
+        total = np.zeros((len(side), SPAN), np.uint64)
+        np.cumsum(side.astype(np.uint64) * odd, axis=1, out=total[:, 1:])
+        parts.append(total)
+        whole.append(np.concatenate([np.ones((len(side), 1), bool), np.logical_and.accumulate(side != 0, axis=1)], axis=1))
+    key = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
+    return _mixed(_mixed(key[:, None] + reach.astype(np.uint64) * ODD[-1]) ^ (parts[0] + parts[1][:, ::-1])), whole[0] & whole[1][:, ::-1]
+
+
+def _neighbours(part: pa.RecordBatch) -> pa.RecordBatch:
+    """The span of each suffix that another text's suffix shares a passage with. ``part`` holds whole groups.
+
+    For each reach to the left the suffixes are sorted by the passage, so that equal ones are neighbours. All passages of a suffix hold its core, so those found unite to one span.
+    """
+    h, whole = _passages(part)
+    dkey, pos = (part.column(c).to_numpy(zero_copy_only=False) for c in ("dkey", "pos"))
+    n = len(dkey)
+    least, most, of = np.full(n, SPAN), np.full(n, -1), np.full(n, -1)
+    for j in range(SPAN):
+        rows = np.flatnonzero(whole[:, j])
+        rows = rows[np.lexsort((dkey[rows], h[rows, j]))]
+        run = np.concatenate([[0], np.flatnonzero(np.diff(h[rows, j].view(np.int64))) + 1]) if len(rows) else np.zeros(0, np.int64)
+        size = np.diff(np.append(run, len(rows)))
+        first, last = rows[run], rows[run + size - 1]
+        several = np.repeat(dkey[first] != dkey[last], size)
+        hit, one, two = rows[several], np.repeat(first, size)[several], np.repeat(last, size)[several]
+        least[hit], most[hit] = np.minimum(least[hit], j), j
+        of[hit] = np.where(dkey[one] == dkey[hit], two, one)
+    hit = np.flatnonzero(most >= 0)
+    return pa.RecordBatch.from_arrays([pa.array(dkey[hit]), pa.array(pos[hit] - most[hit], pa.int32()), pa.array(pos[hit] + MIN_WORDS - least[hit], pa.int32()), part.column("least").take(pa.array(of[hit]))], names=["dkey", "start", "end", "other"])
 
 
 def _compare(batches):
-    """Spans of each member of a group, from comparing it with the members after it, one step further in each round."""
+    """``_neighbours`` of sorted rows, as many groups at a time as a batch completes; only the last group waits for the next batch."""
+    rest: list[pa.RecordBatch] = []
     for batch in batches:
-        members = batch.column("members")
-        group = np.repeat(np.arange(len(members)), members.value_lengths().to_numpy(zero_copy_only=False))
-        flat = members.flatten()
-        dkey, pos = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("dkey", "pos"))
-        ids = flat.field("least")
-        left, right = _sides(flat)
-        at, starts, ends, other = [], [], [], []
-        step = 1
-        while True:
-            i = np.flatnonzero(group[:-step] == group[step:]) if step < len(group) else np.zeros(0, np.int64)
-            if not len(i):
-                break
-            i = i[dkey[i] != dkey[i + step]]
-            for a in range(0, len(i), 1 << 16):
-                x = i[a : a + (1 << 16)]
-                y = x + step
-                l, r = (np.logical_and.accumulate((s[x] == s[y]) & (s[x] != 0), axis=1).sum(1) for s in (left, right))  # noqa: E741
-                ok = l + r >= SPAN - 1
-                for one, two in ((x[ok], y[ok]), (y[ok], x[ok])):
-                    at.append(one)
-                    other.append(two)
-                    starts.append(pos[one] - l[ok])
-                    ends.append(pos[one] + CORE + r[ok])
-            step += 1
-        if at:
-            one, two = np.concatenate(at), np.concatenate(other)
-            yield pa.RecordBatch.from_arrays([pa.array(dkey[one]), pa.array(np.concatenate(starts), pa.int32()), pa.array(np.concatenate(ends), pa.int32()), ids.take(pa.array(two))], names=["dkey", "start", "end", "other"])
+        if not batch.num_rows:
+            continue
+        key = batch.column("key").to_numpy(zero_copy_only=False)
+        edges = np.flatnonzero(np.diff(key)) + 1
+        if rest and rest[-1].column("key")[-1].as_py() != key[0]:
+            yield from map(_neighbours, _joined(rest))
+            rest = []
+        if len(edges):
+            yield from map(_neighbours, _joined([*rest, batch.slice(0, edges[-1])]))
+            rest, batch = [], batch.slice(edges[-1])
+        rest.append(batch)
+    if rest:
+        yield from map(_neighbours, _joined(rest))
+
+
+def _joined(parts: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    return pa.Table.from_batches(parts).combine_chunks().to_batches()
 
 
 def _windows(batches):
-    """Hashes of the windows of MIN_WORDS words around each suffix, with their starts."""
-    reach = np.arange(SPAN)
+    """Passages around each suffix, with their starts."""
     for batch in batches:
-        flat = pa.StructArray.from_arrays([batch.column(c) for c in ("l", "r")], names=["l", "r"])
-        parts, whole = [], []
-        for side, odd in zip(_sides(flat), (ODD[: SPAN - 1], ODD[SPAN : 2 * SPAN - 1]), strict=True):
-            total = np.zeros((len(side), SPAN), np.uint64)
-            np.cumsum(side.astype(np.uint64) * odd, axis=1, out=total[:, 1:])
-            parts.append(total)
-            whole.append(np.concatenate([np.ones((len(side), 1), bool), np.logical_and.accumulate(side != 0, axis=1)], axis=1))
-        key = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
-        h = _mixed(_mixed(key[:, None] + reach.astype(np.uint64) * ODD[-1]) ^ (parts[0] + parts[1][:, ::-1]))
-        row, j = np.nonzero(whole[0] & whole[1][:, ::-1])
+        h, whole = _passages(batch)
+        row, j = np.nonzero(whole)
         take = pa.array(row)
         pos = batch.column("pos").to_numpy(zero_copy_only=False)
         yield pa.RecordBatch.from_arrays([pa.array(h[row, j].view(np.int64)), batch.column("dkey").take(take), batch.column("least").take(take), pa.array(pos[row] - j, pa.int32())], names=["h", "dkey", "least", "start"])
@@ -195,8 +213,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     asked = keyed.join(places.withColumnRenamed("doc_id", "holder_id"), "dkey").filter("doc_id <=> holder_id")
     around = table(contexts(asked))
     hot = table(around.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP).select("key"))
-    members = F.collect_list(F.struct("dkey", "least", "pos", "l", "r")).alias("members")
-    few = around.join(hot, "key", "left_anti").groupBy("key").agg(members).select("members").mapInArrow(_compare, "dkey long, start int, end int, other long")
+    few = around.join(hot, "key", "left_anti").repartition("key").sortWithinPartitions("key").mapInArrow(_compare, "dkey long, start int, end int, other long")
     many = around.join(hot, "key", "left_semi").mapInArrow(_windows, "h long, dkey long, least long, start int")
     twice = table(many.groupBy("h").agg(F.min("dkey").alias("low"), F.max("dkey").alias("high"), F.min("least").alias("a"), F.max("least").alias("b")).filter("low <> high").select("h", "a", "b"))
     spread = many.join(twice, "h").select("dkey", "start", (F.col("start") + MIN_WORDS).alias("end"), F.expr("if(a <=> least, b, a)").alias("other"))

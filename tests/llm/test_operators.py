@@ -299,6 +299,47 @@ def test_suffixes(docs, rows, group):
     assert {9, 10} <= {g["doc_id"] for g in got} and next(g["shared_with"] for g in got if g["doc_id"] == 9) == 10
 
 
+def suffix_batches(key, dkey, left, right, size):
+    import pyarrow as pa
+
+    side = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x.astype(np.int32).ravel()), suffixes.SPAN - 1).cast(pa.list_(pa.int32()))
+    whole = pa.RecordBatch.from_arrays([pa.array(key), pa.array(dkey), pa.array(dkey), pa.array(np.full(len(key), 20), pa.int32()), side(left), side(right)], names=["key", "dkey", "least", "pos", "l", "r"])
+    return [whole.slice(i, size) for i in range(0, len(key), size)]
+
+
+@pytest.mark.parametrize("size", [1, 7, 1000])
+def test_neighbours_of_sorted_suffixes(size):
+    r = np.random.default_rng(8)
+    key, n = np.sort(r.integers(0, 30, 300)), suffixes.SPAN - 1
+    dkey = r.integers(0, 150, 300)
+    left, right = (np.where(np.arange(n) < r.integers(0, n + 1, 300)[:, None], r.integers(1, 3, 300)[:, None], r.integers(0, 3, (300, 1))) for _ in range(2))
+    same = lambda x, i, j: int(np.logical_and.accumulate((x[i] == x[j]) & (x[i] != 0)).sum())
+    want = defaultdict(set)
+    for i in range(300):
+        for j in range(300):
+            if key[i] == key[j] and dkey[i] != dkey[j] and same(left, i, j) + same(right, i, j) >= n:
+                want[int(dkey[i])] |= set(range(20 - same(left, i, j), 20 + suffixes.CORE + same(right, i, j)))
+    got = defaultdict(set)
+    for batch in suffixes._compare(iter(suffix_batches(key, dkey, left, right, size))):
+        for x in batch.to_pylist():
+            got[x["dkey"]] |= set(range(x["start"], x["end"]))
+            assert x["other"] != x["dkey"]
+    assert got == want and len(want) > 20
+
+
+def test_many_groups_of_suffixes_stay_small():
+    import tracemalloc
+
+    groups, members, n = 1000, 200, suffixes.SPAN - 1
+    key, dkey = np.repeat(np.arange(groups), members), np.tile(np.arange(members), groups)
+    batches = suffix_batches(key, dkey, np.ones((len(key), n)), np.ones((len(key), n)), 10_000)
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in suffixes._compare(iter(batches)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == groups * members and peak < 64 << 20
+
+
 # 8
 
 
