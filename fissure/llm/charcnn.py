@@ -4,29 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Classes of characters that the network tells apart.
-CLASSES = 42
+#: Characters that the network tells apart: nothing, other ones, those beyond ASCII, and the printable ASCII characters one by one.
+CLASSES = 98
 
 
 def char_classes() -> np.ndarray:
-    """Class of each byte: letters by case group, digits, hex letters, and marks one by one."""
-    table = np.full(256, 1, np.int64)
-    for b in range(256):
-        c = chr(b)
-        if b >= 128:
-            table[b] = 2
-        elif c in "abcdef":
-            table[b] = 3
-        elif c.islower():
-            table[b] = 4
-        elif c in "ABCDEF":
-            table[b] = 5
-        elif c.isupper():
-            table[b] = 6
-        elif c.isdigit():
-            table[b] = 7
-    for k, c in enumerate(" \n\"'`:=+/_.-,;|@#$%&*()[]{}<>?!"):
-        table[ord(c)] = 8 + k
+    """Class of each code point up to 127; all higher ones are looked up at 128."""
+    table = np.ones(129, np.int64)
+    table[32:127] = np.arange(3, 98)
+    table[128] = 2
     return table
 
 
@@ -77,7 +63,8 @@ class CharCnn:
                 ge = np.zeros_like(self.p["e"])
                 size, n = ge.shape[1], act.shape[1]
                 for i in range(self.width):
-                    np.add.at(ge, x[rows][:, i : i + n], dw[:, :, i * size : (i + 1) * size])
+                    at_, part = x[rows][:, i : i + n].ravel(), dw[:, :, i * size : (i + 1) * size].reshape(-1, size)
+                    ge += np.stack([np.bincount(at_, part[:, k], len(ge)) for k in range(size)], axis=1)
                 g = {"e": ge, "w": np.tensordot(wide, da, ((0, 1), (0, 1))), "b": da.sum((0, 1)), "v": hidden.T @ d, "c": np.array([d.sum()])}
                 t += 1
                 for k in self.p:
@@ -86,14 +73,29 @@ class CharCnn:
                     self.p[k] = self.p[k] - rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(s[k] / (1 - 0.999**t)) + 1e-8)
 
 
+def probability(a: float, b: float, z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(a * z + b, -40, 40)))
+
+
 def calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset that turn scores into probabilities (Newton steps on the logistic loss)."""
-    a, b = 1.0, 0.0
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-(a * z + b)))
+    """Slope and offset that turn scores into probabilities (damped Newton steps on the logistic loss).
+
+    The classes aim a little off 0 and 1, as if each had one more row of either kind, so that the slope stays finite where they can be told apart entirely.
+    """
+    aim = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+
+    def loss(a: float, b: float) -> float:
+        t = a * z + b
+        return float((np.logaddexp(0, t) - aim * t).sum())
+
+    a, b = 1.0 / (np.abs(z).mean() + 1e-9), 0.0
+    for _ in range(50):
+        p = probability(a, b, z)
         w = p * (1 - p) + 1e-9
-        g = np.array([((p - y) * z).sum() + 0.01 * (a - 1), (p - y).sum() + 0.01 * b])
-        h = np.array([[(w * z * z).sum() + 0.01, (w * z).sum()], [(w * z).sum(), w.sum() + 0.01]])
-        step = np.linalg.solve(h, g)
-        a, b = a - step[0], b - step[1]
+        g = np.array([((p - aim) * z).sum(), (p - aim).sum()])
+        h = np.array([[(w * z * z).sum() + 1e-6, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-6]])
+        step, damp = np.linalg.solve(h, g), 1.0
+        while damp > 1e-6 and loss(a - damp * step[0], b - damp * step[1]) > loss(a, b):
+            damp /= 2
+        a, b = a - damp * step[0], b - damp * step[1]
     return float(a), float(b)

@@ -1,9 +1,10 @@
 """Secret scans: base patterns plus a character network over every candidate with its context.
 
-Candidates are the base findings and all maximal runs of 16 or more characters of ``[A-Za-z0-9+/_=-]``, wherever they stand, but for runs that lie in base findings as a whole. The network scores
-every candidate over its whole length, by overlapping windows with the text around them, of which the highest score counts; it is trained on labelled findings: generated from formats
+Candidates are the base findings, all runs of 16 or more characters of ``[A-Za-z0-9+/_=.-]`` that neither begin nor end with a dot, wherever they stand, and what follows a word such as key, auth or
+pwd, if it has 12 or more characters of any kind but white space, quotes and angle brackets. Runs that lie in base findings as a whole are not asked about again. The network reads characters one by one; it scores
+every candidate over its whole length, by overlapping windows with the text around them, of which the highest score counts. It is trained on labelled findings: generated from formats
 of public services, alone and behind long prefixes, and from lines that hold no secret, with a held-out part for calibration. The threshold is the highest that keeps ``recall`` of the held-out secrets. Base
-findings stay whatever their score; other candidates count from the threshold on, each as the whole run.
+findings stay whatever their score; other candidates count from the threshold on, each as a whole.
 
 Null texts count as empty. Offsets are code points. Repeated rows give repeated results; extra columns are ignored.
 """
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from fissure.llm._common import map_text, pick
-from fissure.llm.charcnn import CLASSES, TABLE, CharCnn, calibrate
+from fissure.llm.charcnn import CLASSES, TABLE, CharCnn, calibrate, probability
 
 #: Fixed patterns of the base findings, in the order of their kinds.
 KINDS = ("assign", "access", "hex")
@@ -28,7 +29,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 MIN_ASSIGN, MIN_ACCESS = 12, 18
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-][A-Za-z0-9+/_=.-]{14,}[A-Za-z0-9+/_=-]")
+LEADS = ("key", "auth", "bearer", "pwd", "passphrase", "credential", "pin", "login")
+LED = re.compile(rf"""\b(?:[a-z]+[_-])*(?:{"|".join(LEADS)})[a-z_-]{{0,16}}["']?\x20*[:=\x20]\x20*["']?([^\s"'<>]{{12,}})""", re.I | re.A)
 BEFORE, INSIDE, AFTER = 24, 32, 4
 #: Characters from one window of a candidate to the next.
 STEP = 8
@@ -47,19 +50,32 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def covered(start: int, end: int, base: list[tuple[int, int, int]]) -> bool:
-    """Whether base findings, sorted, hold every character of a run."""
+def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """(start, end) of what the network is asked about beside the base findings, which are sorted; runs that these hold as a whole are left out."""
+    runs = {m.span() for m in CANDIDATE.finditer(text)}
+    low = text.lower()
+    if any(w in low for w in LEADS):
+        runs |= {m.span(1) for m in LED.finditer(text)}
+    out, whole = [], []
     for a, _, b in base:
-        if a <= start < b:
-            start = b
-    return start >= end
+        if whole and a <= whole[-1][1]:
+            whole[-1][1] = max(whole[-1][1], b)
+        else:
+            whole.append([a, b])
+    at = 0
+    for a, b in sorted(runs):
+        while at < len(whole) and whole[at][1] < b:
+            at += 1
+        if at == len(whole) or not (whole[at][0] <= a and b <= whole[at][1]):
+            out.append((a, b))
+    return out
 
 
 def encode(text: str, start: int, end: int) -> np.ndarray:
     """Classes of the characters before, in and after a candidate; those inside are numbered apart."""
 
     def codes(part: str) -> np.ndarray:
-        return TABLE[np.frombuffer(part.encode("latin-1", "replace"), np.uint8)]
+        return TABLE[np.minimum(np.frombuffer(part.encode("utf-32-le", "surrogatepass"), "<u4"), 128)]
 
     row = np.zeros(BEFORE + INSIDE + AFTER, np.int64)
     head = codes(text[max(0, start - BEFORE) : start])
@@ -77,45 +93,118 @@ def windows(start: int, end: int) -> list[tuple[int, int]]:
     return [(at, min(end, at + INSIDE)) for at in [*range(start, last, STEP), last]]
 
 
-def findings(n: int = 4000, seed: int = 11) -> list[tuple[str, int, int, int]]:
+SYLLABLES = "th er on an re le de en que ion ge sch ado ing heit keit ung lich ver ein und tion ment able ness ous ant ist mar ter ro la ci ca te da do ra os el wh ed ore in tz ber ch eau ou is ar ie por con".split()
+#: Ordinary words of four languages and of programs, for strings that hold no secret.
+WORDS_ = """the quick brown fox jumps over lazy dog get set user name from request header value index count number list file path data table row column key type class
+object string width height color image button event handler service config manager factory builder server client response error message session account order item price
+product customer address street company example article world house water people school church country number night light write things about through because between
+against during without before after under while where there which their would could should first second great little small young always never every other many some
+und der die das nicht haus wasser leben arbeit zeit schule freund straße gesundheit versicherung gesellschaft wirtschaft entwicklung rechts schutz verordnung grund recht
+les des une pour dans avec maison travail enfant gouvernement toujours monde ville temps homme femme jour los las una para con casa trabajo gobierno ciudad siempre mundo
+mujer tiempo agua noche""".split()
+LOWER_, UPPER_, DIGITS, HEXES = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
+FULL = LOWER_ + UPPER_ + DIGITS
+
+
+class Draws:
+    """Words, prose and strings by format rules."""
+
+    def __init__(self, seed: int):
+        self.r = np.random.default_rng(seed)
+
+    def of(self, letters: str, low: int, high: int | None = None) -> str:
+        return "".join(letters[i] for i in self.r.integers(0, len(letters), low if high is None else self.r.integers(low, high)))
+
+    def one(self, *choices: str) -> str:
+        return choices[self.r.integers(len(choices))]
+
+    def word(self, low: int = 1, high: int = 5) -> str:
+        """An ordinary word, or one of ``low`` to ``high`` syllables; some syllables are a vowel between any two letters."""
+        if high <= 5 and self.r.random() < 0.5:
+            return WORDS_[self.r.integers(len(WORDS_))].replace("ß", "ss")
+        loose = self.r.random() < 0.2
+        return "".join(self.of(LOWER_, 1) + self.of("aeiou", 1) + self.of(LOWER_, 0, 2) if loose and self.r.random() < 0.5 else SYLLABLES[i] for i in self.r.integers(0, len(SYLLABLES), self.r.integers(low, high)))
+
+    def cased(self) -> str:
+        w = self.word()
+        return w if self.r.random() < 0.5 else w.capitalize() if self.r.random() < 0.5 else w.upper()
+
+    def prose(self, high: int) -> str:
+        return " ".join(self.word() + self.mark() for _ in range(self.r.integers(0, high)))
+
+    def mark(self) -> str:
+        return self.one("", "", "", "", "", "", ",", ".", ". ", ":", "é", "ü", "ß", "!", "?", self.of("#$%&*|<>~^@", 1) * self.r.integers(1, 4))
+
+    def uuid(self) -> str:
+        return "-".join(self.of(HEXES, n) for n in (8, 4, 4, 4, 12))
+
+    def secret(self) -> tuple[str, str]:
+        """What leads to a secret, and the secret."""
+        kind = self.r.integers(0, 11)
+        lead = self.one("key = ", "auth: ", "Authorization: Bearer ", "api-token=", 'client_key: "', "credential ", "pwd=", "export ACCESS=", "", "")
+        strong = self.one("key = ", "auth: ", "Bearer ", "credential=", 'pwd: "', "private_key=", "login: ", "KEY=")
+        mark = self.one("_", "-")
+        if kind == 0:
+            return strong, self.of(FULL, 16, 45)
+        if kind == 1:
+            return lead, mark.join([self.of(LOWER_, 2, 6), *(self.one("live", "test", "proj", "pat", "v1") for _ in range(self.r.integers(0, 2))), self.of(FULL + self.one("", "_-"), 16, 49)])
+        if kind == 2:
+            return lead, self.of(FULL + "+/", 24, 61) + "=" * self.r.integers(0, 3)
+        if kind == 3:
+            return lead, self.of(UPPER_ + DIGITS, 18, 33)
+        if kind == 4:
+            return strong, self.of(HEXES, int(self.one("32", "40", "64")))
+        if kind == 5:
+            return lead, self.of(LOWER_ + UPPER_, 20, 45)
+        if kind == 6:
+            return lead, "eyJ" + self.of(FULL, 15, 40) + ".eyJ" + self.of(FULL, 30, 90) + "." + self.of(FULL + "_-", 43)
+        if kind == 7:
+            return lead, "-".join([self.of(LOWER_, 4), self.of(DIGITS, 10, 14), self.of(DIGITS, 10, 14), self.of(FULL, 24)])
+        if kind == 8:
+            return strong, self.of(FULL + "!#$%&*+?@^~", 12, 24)
+        if kind == 9:
+            return lead, self.of(FULL, 2, 8) + self.of(FULL + "_-", 22, 45)
+        return self.one("client_key ", "auth: ", "credential: ", "key="), self.uuid()
+
+    def harmless(self) -> tuple[str, str]:
+        """What leads to a string that is no secret, and the string."""
+        kind, words = self.r.integers(0, 19), [self.word() for _ in range(self.r.integers(3, 7))]
+        lead = self.one("", "", "", "see ", "page ", "id ", "call ", "version ", "https://", "key: ", "the key ", "pin ", "login = ", "author ")
+        some = [
+            lambda: self.of(DIGITS, 16, 21), lambda: "-".join(words) + "-" + self.of(DIGITS, 2), lambda: "_".join(words[:3]) + "_v" + self.of(DIGITS, 1), lambda: f"2{self.of(DIGITS, 3)}-{self.of(DIGITS, 2)}-{self.of(DIGITS, 2)}-{self.of(DIGITS, 8)}",
+            lambda: "/".join([*words, self.word() + self.of(DIGITS, 2)]), lambda: "-" * 12 + self.of(DIGITS, 1) + "-" * 12, lambda: "".join(words) + self.of(DIGITS, 1), lambda: words[0] + "".join(w.capitalize() for w in words[1:]),
+            lambda: self.one("_", "-").join(words).upper(), lambda: "/".join(words), lambda: self.one("_", "-", "/").join(w.capitalize() for w in words), lambda: "".join(words), lambda: self.one("-", "=", "_", "/", "-=", "A", "x", "+", "-.") * self.r.integers(16, 80),
+            lambda: self.word(8, 14), lambda: self.word(8, 14).capitalize(), lambda: f"www.{self.word()}{self.word()}.{self.one('com', 'org', 'de', 'fr')}/" + "/".join(words), lambda: ".".join(words) + self.one(".py", ".html", ".txt", ".Der"), lambda: f"{words[0]}.{self.word().capitalize()}{self.word()}.{self.word()}",
+            lambda: f"2{self.of(DIGITS, 3)}-{self.of(DIGITS, 2)}-{self.of(DIGITS, 2)}T{self.of(DIGITS, 2)}:00:{self.of(DIGITS, 2)}.{self.of(DIGITS, 3)}Z",
+        ]
+        if self.r.random() < 0.06:
+            return self.one("row ", "id ", "", "was "), self.uuid()
+        body = some[kind]()
+        return lead, body + self.word(2, 5) * (len(body) < 16) + "er" * 8 * (len(body) < 12)
+
+
+def findings(n: int = 6000, seed: int = 11) -> list[tuple[str, int, int, int]]:
     """Labelled findings (text, start, end, secret 0 or 1), half of each class, drawn from format rules."""
-    r = np.random.default_rng(seed)
-    lower, upper, digits, hexes = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
-    full = lower + upper + digits
-    draw = lambda s, k: "".join(r.choice(list(s), k))
-    word = lambda: "".join(r.choice(["th", "er", "on", "an", "re", "le", "de", "en", "que", "ion", "ge", "sch", "ado", "ing"], r.integers(1, 5)))
-    prose = lambda k: " ".join(word() for _ in range(k))
-    out = []
+    d, out = Draws(seed), []
     for i in range(n):
-        before, after = prose(r.integers(0, 6)), prose(r.integers(0, 4))
-        if i % 2:
-            kind = r.integers(0, 7)
-            body = [draw(full, r.integers(20, 45)), "ghp_" + draw(full, 36), "sk-" + draw(full, r.integers(24, 48)), draw(full + "+/", r.integers(24, 60)) + "=", draw(upper + digits, r.integers(18, 32)), draw(hexes, r.choice([32, 40, 64])), draw(lower + upper, r.integers(20, 45))][kind]
-            lead = str(r.choice(["key = ", "auth: ", "Authorization: Bearer ", "api-token=", "client_key: \"", "credential ", "pwd=", "export ACCESS=", ""])) if kind else str(r.choice(["key = ", "auth: ", "Bearer ", "credential=", "pwd: \""]))
-        else:
-            kind = r.integers(0, 13)
-            words = [word() for _ in range(r.integers(3, 7))]
-            body = [draw(digits, r.integers(16, 20)), "-".join(word() for _ in range(5)) + "-" + draw(digits, 2), word() + "_" + word() + "_" + word() + "_v" + draw(digits, 1), "2" + draw(digits, 3) + "-" + draw(digits, 2) + "-" + draw(digits, 2) + "-" + draw(digits, 8), "/".join([word() + word(), word() + word(), word() + draw(digits, 2)]), "-" * 12 + draw(digits, 1) + "-" * 12, word() + word() + word() + word() + word() + word() + draw(digits, 1), words[0] + "".join(w.capitalize() for w in words[1:]), str(r.choice(["_", "-"])).join(words).upper(), "/".join(words), str(r.choice(["_", "-", "/"])).join(w.capitalize() for w in words), "".join(words), str(r.choice(["-", "=", "_", "/", "-=", "A", "x", "+"])) * r.integers(16, 80)][kind]
-            body += (body[-1] if kind > 6 else "0") * max(0, 16 - len(body))
-            lead = str(r.choice(["", "", "see ", "page ", "id ", "call ", "version "]))
-        text = f"{before} {lead}{body} {after}"
-        at = text.index(body)
+        before, after = d.prose(6), d.prose(4)
+        lead, body = d.secret() if i % 2 else d.harmless()
+        text = f"{before} {lead}{body}{d.mark()} {after}"
+        at = len(before) + 1 + len(lead)
         out.append((text, at, at + len(body), i % 2))
     return out
 
 
 def hidden(n: int = 2000, seed: int = 12) -> list[tuple[str, int, int, int]]:
     """Labelled findings like ``findings`` in runs that begin with a path, a part of an address, or a name; those without a secret are as long."""
-    r = np.random.default_rng(seed)
-    word = lambda: "".join(r.choice(["th", "er", "on", "an", "re", "le", "de", "en", "que", "ion", "ge", "sch", "ado", "ing"], r.integers(1, 5)))
-    out = []
+    d, out = Draws(seed), []
     for text, start, end, secret in findings(n, seed + 1000):
-        mark = str(r.choice(["/", "/", "_", "-"]))
-        words = [w if r.random() < 0.5 else w.capitalize() if r.random() < 0.5 else w.upper() for w in (word() for _ in range(r.integers(3, 16)))]
-        if r.random() < 0.3:
-            words[r.integers(len(words))] += str(r.integers(1, 2100))
-        prefix = mark * (r.random() < 0.7) + mark.join(words) + str(r.choice(["/", "=", "_", "-"]))
-        suffix = "/" + word() if r.random() < 0.2 else ""
+        mark = d.one("/", "/", "_", "-")
+        words = [d.cased() for _ in range(d.r.integers(3, 16))]
+        if d.r.random() < 0.3:
+            words[d.r.integers(len(words))] += str(d.r.integers(1, 2100))
+        prefix = mark * (d.r.random() < 0.7) + mark.join(words) + d.one("/", "=", "_", "-")
+        suffix = "/" + d.word() if d.r.random() < 0.2 else ""
         at = start + len(prefix)
         out.append((text[:start] + prefix + text[start:end] + suffix + text[end:], at, at + end - start, secret))
     return out
@@ -123,7 +212,7 @@ def hidden(n: int = 2000, seed: int = 12) -> list[tuple[str, int, int, int]]:
 
 def run_of(text: str, start: int, end: int) -> tuple[int, int] | None:
     """The candidate run that holds a finding; None where the filter lets none through."""
-    return next(((m.start(), m.end()) for m in CANDIDATE.finditer(text) if m.start() <= start and end <= m.end()), None)
+    return next((run for run in candidates(text, []) if run[0] <= start and end <= run[1]), None)
 
 
 def best_scores(net: CharCnn, spans: list[tuple[str, int, int]], sent: int = 4096) -> np.ndarray:
@@ -161,7 +250,7 @@ def model(recall: float) -> tuple[CharCnn, tuple[float, float], float]:
     y = np.array([d[3] for d, run in kept if run], float)
     z = best_scores(net, [(d[0], *run) for d, run in kept if run])
     a, b = calibrate(z, y)
-    p = np.sort(1 / (1 + np.exp(-(a * z[y == 1] + b))))
+    p = np.sort(probability(a, b, z[y == 1]))
     missed = sum(d[3] for d, run in kept if not run)
     return net, (a, b), float(p[max(0, int((1 - recall) * (len(p) + missed)) - missed)])
 
@@ -187,11 +276,9 @@ def find_all(texts: list[str], found) -> tuple[list[list[dict]], list[list[dict]
     for i, text in enumerate(texts):
         base = base_spans(text)
         asked += [(i, s, k, e) for s, k, e in base]
-        for m in CANDIDATE.finditer(text):
-            if not covered(m.start(), m.end(), base):
-                asked.append((i, m.start(), len(KINDS), m.end()))
+        asked += [(i, s, len(KINDS), e) for s, e in candidates(text, base)]
     names, kept, every = (*KINDS, "network"), [[] for _ in texts], [[] for _ in texts]
-    p = 1 / (1 + np.exp(-(a * best_scores(net, [(texts[i], s, e) for i, s, _, e in asked]) + b)))
+    p = probability(a, b, best_scores(net, [(texts[i], s, e) for i, s, _, e in asked]))
     for (i, s, k, e), x in zip(asked, p.tolist(), strict=True):
         span = {"kind": names[k], "start": s, "end": e, "score": x}
         if k < len(KINDS):

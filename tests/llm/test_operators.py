@@ -406,6 +406,40 @@ def test_runs_beside_base_findings_and_without_digits():
     assert [len(x) for x in secrets.find_all(["deadbeefdeadbeef", "token=abcdefghijklmnop"], secrets.model(0.98))[1]] == [1, 1]
 
 
+def test_formats_that_were_not_learnt():
+    d = secrets.Draws(41)
+    full = secrets.FULL
+    planted = {
+        "ghp": lambda: f"auth: Bearer ghp_{d.of(full, 36)} x", "xoxb": lambda: f"xoxb-{d.of(secrets.DIGITS, 12)}-{d.of(secrets.DIGITS, 12)}-{d.of(full, 24)}", "jwt": lambda: f"see eyJ{d.of(full, 20)}.eyJ{d.of(full, 60)}.{d.of(full + '_-', 43)} then",
+        "letters": lambda: f"das ist {d.of(full[:52], 34)} und", "glpat": lambda: f"glpat-{d.of(full + '_-', 20)}", "AIza": lambda: f"url?key=AIza{d.of(full + '_-', 35)}&x=1", "SG": lambda: f"SG.{d.of(full + '_-', 22)}.{d.of(full + '_-', 43)}", "aws": lambda: f"aws_secret_access_key {d.of(full + '+/', 40)}",
+    }
+    for name, draw in planted.items():
+        texts = [draw() for _ in range(60)]
+        _, spans = secrets.find_all(texts, secrets.model(0.98))
+        assert np.mean([any(x["kind"] == "network" for x in row) for row in spans]) > 0.85, name
+    _, spans = secrets.find_all(["eyJhbGciOiJIUzI1NiJ9x.eyJzdWIiOiIxMjM0NTY3ODkwIn0Qk.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"], secrets.model(0.98))
+    assert [(x["start"], x["end"]) for x in spans[0]] == [(0, 95)]  # one run, dots and all
+    clean = [f"see getUserNameFromRequestHeader{k}" for k in range(9)] + ["https://www.example.com/articles/2019/07/how-to-write-things-1234", "mail jane.roe77@example-company.org or", "row b6d0b4fc-e0e9-4605-a048-df801e8e02d3 was", "pin Krankenversicherungsgesellschaft, the key Rechtsschutzversicherung."]
+    assert not any(secrets.find_all(clean, secrets.model(0.98))[1])
+
+
+def test_documents_without_secrets_are_left_alone():
+    import pandas as pd
+
+    texts = pd.read_parquet("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].fillna("").tolist()
+    base, every = secrets.find_all(texts, secrets.model(0.98))
+    assert sum(map(len, base)) > 30
+    assert sum(any(x["kind"] == "network" for x in row) and not b for row, b in zip(every, base, strict=True)) <= len(texts) // 500
+
+
+def test_candidates_beside_base_findings():
+    text = "token=" + "a1" * 10 + " " + "b" * 15 + " xx.yy.zz.uu.vv.ww. pwd: short#and!odd "
+    got = [text[a:b] for a, b in secrets.candidates(text, secrets.base_spans(text))]
+    assert got == ["xx.yy.zz.uu.vv.ww", "short#and!odd"]
+    many = " ".join(f"token={i:020d}" for i in range(3000)) + " " + " ".join(f"{i:x}zzzzzzzzzzzzzzzzz" for i in range(3000))
+    assert len(secrets.candidates(many, secrets.base_spans(many))) == 3000
+
+
 # 9
 
 
