@@ -8,12 +8,14 @@ interval-joined to the document's sections by binary search. A token that crosse
 * ``split``: in shares, by its bytes in each section.
 
 A section is a line with its line feed. Sections partition a text, so the counts of a document add up to its tokens under every
-rule. Null and empty texts have one empty section and no tokens. Repeated rows give repeated results; extra columns are ignored.
+rule. Null and empty texts have one empty section and no tokens. Runs of LONG or more white space characters, which the library's pattern can't
+get through, are encoded as the one word that the pattern makes of them. Repeated rows give repeated results; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -22,6 +24,9 @@ from pyspark.sql import DataFrame
 
 from fissure.llm._common import CONTINUATION, map_text, pick, sums, utf8
 
+#: White space characters in a row that are set apart.
+LONG = 4096
+RUN = re.compile(rf"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{{{LONG},}}")
 RULES = ("start", "majority", "split")
 SCHEMA = "doc_id long, section int, start_char long, end_char long, n_tokens double, n_crossing long, doc_tokens long"
 
@@ -44,6 +49,19 @@ def encoder(path: str):
     return tiktoken.Encoding("counts", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), lengths
 
 
+def encode(encoding, text: str) -> np.ndarray:
+    """Ids of a text.
+
+    The pattern takes a run of white space as one word, but leaves its last character to what follows; so a text can be cut before and after such a word.
+    """
+    parts, at = [], 0
+    for run in RUN.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        parts += [encoding.encode_to_numpy(text[at : run.start()], disallowed_special=()), np.array(encoding._encode_single_piece(text[run.start() : end]), np.uint32)]
+        at = end
+    return np.concatenate([*parts, encoding.encode_to_numpy(text[at:], disallowed_special=())])
+
+
 def attribute(ends: np.ndarray, cuts: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of each section and tokens that begin there and cross its end.
 
@@ -82,7 +100,7 @@ def section_token_counts(docs: DataFrame, rule: str = "majority", vocabulary: st
         out: list[list[np.ndarray]] = [[] for _ in range(7)]
         for i, text in enumerate(batch.column("text").to_pylist()):
             raw = data[offsets[i] : offsets[i + 1]]
-            ends = np.cumsum(lengths[encoding.encode_to_numpy(text, disallowed_special=())]) if text else np.zeros(0, np.int64)
+            ends = np.cumsum(lengths[encode(encoding, text)]) if text else np.zeros(0, np.int64)
             cuts = np.flatnonzero(raw == 10) + 1
             if not len(cuts) or cuts[-1] < len(raw):
                 cuts = np.append(cuts, len(raw))

@@ -47,6 +47,24 @@ def test_token_counts(docs, rows):
             assert [text[a:b] for _, a, b, _, _ in parts] == (text.split("\n") and [x for x in re.split(r"(?<=\n)", text) if x] or [""])
 
 
+def test_long_white_space(spark, monkeypatch):
+    import random
+
+    encoding, _ = token_counts.encoder(token_counts.default_vocabulary())
+    monkeypatch.setattr(token_counts, "RUN", re.compile(token_counts.RUN.pattern.replace("4096", "3")))
+    r = random.Random(4)
+    for _ in range(2000):
+        text = "".join(r.choice([" ", "  ", "   ", "\n", "\n\n\n", "\t", "\u3000", "\x1c", "\x85", "ab", "1", ".", "é", "'s"]) for _ in range(r.randint(0, 20)))
+        assert token_counts.encode(encoding, text).tolist() == encoding.encode_ordinary(text)
+    monkeypatch.undo()
+    data = [(1, "a" + " " * 1_000_001 + "b"), (2, "\n" * 1_000_000), (3, " \t" * 600_000 + "x"), (4, "a b")]
+    got = defaultdict(float)
+    for x in token_counts.section_token_counts(spark.createDataFrame(data, "doc_id long, text string")).groupBy("doc_id").agg(F.sum("n_tokens"), F.max("doc_tokens"), F.max("end_char")).collect():
+        assert x[1] == pytest.approx(x[2]) and x[3] == len(dict(data)[x[0]])
+        got[x[0]] = x[1]
+    assert got[4] == 2 and got[2] == pytest.approx(len(encoding._encode_single_piece("\n" * 1_000_000)))
+
+
 def test_crossing_tokens():
     ends, cuts = np.array([2, 5, 9, 10]), np.array([4, 6, 10])
     assert token_counts.attribute(ends, cuts, "start")[0].tolist() == [2, 1, 1]
