@@ -171,6 +171,22 @@ def test_topk(spark):
     assert topk.top_k(few.limit(0), F.expr("vec_id % 50 = 0")).count() == 0
 
 
+@pytest.mark.parametrize("magnitude", [1e3, 1e5, 5e5])
+def test_topk_of_large_numbers(spark, magnitude, monkeypatch):
+    monkeypatch.setattr(topk, "QUERIES", 7)
+    monkeypatch.setattr(topk, "RING", 64)
+    r = np.random.default_rng(3)
+    v = (r.normal(0, magnitude, (1500, 16)) + magnitude * r.integers(0, 3, (1500, 1))).astype("float32")
+    whole = np.floor(256 * v.astype(float)).astype(np.int64)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    want = set()
+    for q in range(0, 1500, 5):
+        scores = whole @ whole[q]
+        order = [i for i in np.lexsort((np.arange(1500), -scores)) if i != q][:5]
+        want |= {(q, k + 1, int(i), int(scores[i])) for k, i in enumerate(order)}
+    assert set(of(topk.top_k(df, F.expr("vec_id % 5 = 0")), "query_id", "rank", "vec_id", "score")) == want
+
+
 # 4
 
 
