@@ -7,7 +7,8 @@ the bit set. Matches of the segment table are verified over all 64 bits.
 
 A segment value that more than ``BUCKET`` fingerprints share (many near copies of one text) is not joined pair by pair. Its members are
 keyed again by the 16-bit halves of the other segment in the same way; each resulting group agrees, up to a bit each, on 48 of 64
-bits, and returns a spanning forest of its links instead of the links themselves. No link between different fingerprints is lost.
+bits, and returns a spanning forest of its links instead of the links themselves. A group of more than ``CROWD`` is keyed once more, by the 8-bit halves of the 16 bits that are left. No link between different
+fingerprints is lost.
 
 Null and empty texts have no words and the fingerprint zero, which is linked like any other. Null doc_ids are kept; a component's id is
 its smallest doc_id that is not null. Repeated rows give repeated results; extra columns are ignored.
@@ -33,6 +34,8 @@ SHINGLE = 3
 SEED = 42
 #: Fingerprints with one segment value that are still joined pair by pair.
 BUCKET = 64
+#: Fingerprints that one task compares with each other.
+CROWD = 2048
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -104,7 +107,17 @@ def links(fps: DataFrame) -> DataFrame:
         .select("fp", "key", F.expr(f"{rest} & 65535L").alias("low"), F.expr(f"shiftrightunsigned({rest}, 16)").alias("high"))
         .select("fp", "key", F.explode(F.expr(f"concat({_ball('low', 16)}, transform({_ball('high', 16)}, x -> x | 65536L))")).alias("part"))
     )
-    groups = again.groupBy("key", "part").agg(F.collect_set("fp").alias("fps")).filter("size(fps) > 1").select("fps")
+    again = cut(again.distinct())
+    crowds = again.groupBy("key", "part").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD).select("key", "part")
+    few = again.join(crowds, ["key", "part"], "left_anti").groupBy("key", "part").agg(F.collect_set("fp").alias("fps"))
+    left = f"(case when part < 65536L then shiftrightunsigned({rest}, 16) else {rest} & 65535L end)"
+    many = (
+        again.join(crowds, ["key", "part"])
+        .select("fp", "key", "part", F.expr(f"{left} & 255L").alias("low"), F.expr(f"shiftrightunsigned({left}, 8)").alias("high"))
+        .select("fp", "key", "part", F.explode(F.expr(f"concat({_ball('low', 8)}, transform({_ball('high', 8)}, x -> x | 256L))")).alias("last"))
+        .groupBy("key", "part", "last").agg(F.collect_set("fp").alias("fps"))
+    )
+    groups = few.select("fps").unionAll(many.select("fps")).filter("size(fps) > 1")
     return near.unionAll(groups.mapInArrow(_forests, "a long, b long")).distinct()
 
 

@@ -110,9 +110,10 @@ def test_simhash(docs, rows):
     assert of(simhash.near_duplicates(docs), "doc_id", "fingerprint", "component_id") == Counter((i, f"{f:016x}", least.get(root[f])) for i, f in fps)
 
 
-@pytest.mark.parametrize("bucket", [0, 4, 64])
-def test_simhash_links(spark, bucket, monkeypatch):
+@pytest.mark.parametrize(("bucket", "crowd"), [(0, 2048), (0, 1), (4, 8), (64, 2048)])
+def test_simhash_links(spark, bucket, crowd, monkeypatch):
     monkeypatch.setattr(simhash, "BUCKET", bucket)
+    monkeypatch.setattr(simhash, "CROWD", crowd)
     r = np.random.default_rng(1)
     centers = r.integers(0, 1 << 63, 6, dtype=np.uint64)
     values = {int(c) ^ sum(1 << int(b) for b in r.choice(64, r.integers(0, 5), replace=False)) for c in centers for _ in range(60)}
