@@ -4,10 +4,12 @@ A source's target over its size is the number of copies each of its documents sh
 rest is rounded so that the words taken hardly vary: two documents with fractional parts exchange mass, counted in words, at random and
 without bias until one of them is whole. Groups of about ``FAN`` documents of one source are reduced so to a single fractional document each, which
 the next level of the tree pairs with those of other groups. The last step of a source also holds a reserve of about ``FAN`` documents,
-rounds what is left over and evens the remainder out with documents of the reserve, within 0 and ``limit`` copies.
+rounds what is left over and evens the remainder out with documents of the reserve, within 0 and ``limit`` copies. Evening out follows the sizes, not chance: documents of the reserve, about ``FAN`` of a
+source, may be taken a little more or less often than their share; all others are rounded without bias.
 
 Null texts have the size 0; a null source is a source of its own, last in order. Random numbers depend on the seed, the source and the group alone, so
-reruns agree. Repeated rows are documents like others; extra columns are ignored.
+reruns agree. Rows are dealt to groups by a hash of their content and their number among equal rows, so that neither a doc_id that many rows share nor missing ones gather in a group. Repeated rows
+are documents like others; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +25,10 @@ from fissure.llm._common import cut, pick
 
 FAN = 512
 LIMIT = 3
-ROW = "doc_id long, source string, size long, whole long, mass double, up long, node long"
+ROW = "doc_id long, source string, size long, content long, turn long, whole long, mass double, up long, node long"
+ORDER = ["doc_id", "content", "turn", "mass"]
+#: Copies of one row that are written one after another.
+RUN = 64
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), limit: int = LIMIT) -> DataFrame:
@@ -78,7 +83,7 @@ def pivot(size: np.ndarray, mass: np.ndarray, draws: np.random.Generator) -> tup
 
 def _reduce(seed: int, level: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["size", "doc_id", "mass"], ignore_index=True)
+        rows = rows.sort_values(["size", *ORDER], ignore_index=True)
         mass = rows["mass"].to_numpy(float).copy()
         up, left = pivot(rows["size"].to_numpy(float), mass, _draws(seed, level, *key))
         open_ = np.arange(len(rows)) == left
@@ -98,7 +103,7 @@ def _even_out(off: float, size: np.ndarray, up: np.ndarray, least: np.ndarray, m
 
 def _finish(seed: int, limit: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["size", "doc_id", "mass"], ascending=[False, True, True], ignore_index=True)
+        rows = rows.sort_values(["size", *ORDER], ascending=[False, *[True] * len(ORDER)], ignore_index=True)
         size, mass, whole = rows["size"].to_numpy(float), rows["mass"].to_numpy(float).copy(), rows["whole"].to_numpy()
         draws = _draws(seed, "last", *key)
         want = mass.sum()
@@ -113,13 +118,21 @@ def _finish(seed: int, limit: int):
     return run
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), limit: int = LIMIT, seed: int = 17) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, copies, taken)`` for every row of ``docs(doc_id, text, source)``."""
-    sizes = pick(docs, "doc_id", "source", "text").select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"))
+def _key(docs: DataFrame) -> list:
+    """The columns ``doc_id, source, size, content`` of ``docs``; rows that agree in these are equal in all columns that can be hashed."""
+    known = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.col("source"), size.alias("size"), F.xxhash64(*known, *(c.isNull() for c in known)).alias("content")]
+
+
+def _mixed(sizes: DataFrame, weights: tuple[int, ...], limit: int, seed: int) -> DataFrame:
+    """``(doc_id, source, size, content, source_size, target, copies)`` for every row of ``sizes(doc_id, source, size, content)``."""
     sizes = cut(sizes)
     aims = cut(targets(sizes, weights, limit))
     rate = F.when(F.col("s.source_size") > 0, F.col("s.target") / F.col("s.source_size")).otherwise(0.0)
-    rows = sizes.alias("d").join(aims.alias("s"), F.expr("d.source <=> s.source")).select("d.doc_id", "d.source", "size", F.floor(rate).alias("whole"), (F.col("size") * (rate - F.floor(rate))).alias("mass"), F.lit(0).cast("long").alias("up"), F.expr(f"pmod(xxhash64(d.doc_id, {seed}), cast(ceil(s.n / {FAN}) as bigint))").alias("node"))
+    apart = sizes.groupBy("doc_id", "source", "size", "content").agg(F.count("*").alias("n")).select("doc_id", "source", "size", "content", F.explode(F.expr("sequence(1L, n)")).alias("turn"))
+    node = F.expr(f"pmod(xxhash64(d.doc_id, d.content, d.turn, {seed}), cast(ceil(s.n / {FAN}) as bigint))").alias("node")
+    rows = cut(apart.alias("d").join(aims.alias("s"), F.expr("d.source <=> s.source")).select("d.doc_id", "d.source", "size", "content", "turn", F.floor(rate).alias("whole"), (F.col("size") * (rate - F.floor(rate))).alias("mass"), F.lit(0).cast("long").alias("up"), node))
     loose = (F.col("mass") > 1e-9) & (F.col("mass") < F.col("size") - 1e-9)
     settled = rows.filter(~loose).withColumn("up", F.expr("cast(mass > size / 2 as bigint)"))
     work, reserve = rows.filter(loose & (F.col("node") > 0)), rows.filter(loose & (F.col("node") == 0))
@@ -132,18 +145,29 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), limit: int = LIMI
         nodes, level = (-(-nodes // FAN), level + 1)
     last = work.unionAll(reserve).groupBy("source").applyInPandas(_finish(seed, limit), ROW)
     out = settled.unionAll(last).alias("d").join(aims.alias("s"), F.expr("d.source <=> s.source"))
-    copies = F.col("whole") + F.col("up")
-    return out.select("doc_id", "d.source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return out.select("doc_id", "d.source", "size", "content", "source_size", "target", (F.col("whole") + F.col("up")).alias("copies"))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), limit: int = LIMIT, seed: int = 17) -> DataFrame:
+    """``(doc_id, source, size, source_size, target, copies, taken)`` for every row of ``docs(doc_id, text, source)``."""
+    plain = pick(docs, "doc_id", "source", "text")
+    mixed = _mixed(plain.select(*_key(plain)), weights, limit, seed)
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def take(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), limit: int = LIMIT, seed: int = 17) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it. Rows that share doc_id, source and size get the numbers of their group in turn.
+    """The rows of ``docs``, each as often as the mix takes it.
 
-    The join and the turn within a group need the same distribution, so that texts are shuffled once.
+    Texts are shuffled once, to the copies of their row. Equal rows are told apart by nothing, so they share their copies: one of them is written as often as all are taken, in runs of up to RUN copies
+    that Spark can deal out.
     """
-    size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    key = lambda n: F.struct(F.col("doc_id").cast("long").alias("doc_id"), "source", n.alias("size")).alias("mix_key")
-    picked = mix(docs, weights, limit, seed).groupBy(key(F.col("size"))).agg(F.sort_array(F.collect_list("copies"), False).alias("copies")).filter("copies[0] > 0")
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), key(size))
-    joined = rows.join(picked, "mix_key").withColumn("turn", F.row_number().over(Window.partitionBy("mix_key").orderBy(F.lit(0))))
-    return joined.select("row", F.explode(F.expr("sequence(1, get(copies, turn - 1))")).alias("copy"), F.expr("get(copies, turn - 1)").alias("n")).filter("copy <= n and copy > 0").select("row.*")
+    key = F.struct("doc_id", "source", "size", "content").alias("mix_key")
+    picked = cut(_mixed(docs.select(*_key(docs)), weights, limit, seed).groupBy(key).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).filter("copies > 0"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.struct(*_key(docs)).alias("mix_key"))
+    again = F.explode(F.expr("sequence(1L, copies)"))
+    out = rows.join(picked.filter("rows = 1"), "mix_key").select("row", again).select("row.*")
+    if not picked.filter("rows > 1").isEmpty():
+        runs = picked.filter("rows > 1").select("mix_key", F.explode(F.expr(f"transform(sequence(0L, (copies - 1) div {RUN}), i -> least({RUN}L, copies - i * {RUN}))")).alias("copies"))
+        one = rows.join(picked.filter("rows > 1").select("mix_key"), "mix_key", "left_semi").groupBy("mix_key").agg(F.first("row").alias("row"))
+        out = out.unionAll(one.join(runs, "mix_key").select("row", again).select("row.*"))
+    return out

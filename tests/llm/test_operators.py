@@ -508,6 +508,26 @@ def test_mixing(docs, rows):
     assert out.columns == docs.columns and out.count() == sum(g["copies"] for g in got)
 
 
+def test_mixing_of_rows_without_ids(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "FAN", 16)
+    monkeypatch.setattr(mixing, "RUN", 4)
+    r = np.random.default_rng(7)
+    some = [(None, "w " * int(r.integers(0, 40)), f"s{i % 2}", i % 3) for i in range(500)]
+    data = some + [(None, "a b c", "s1", 1)] * 300 + [(5, f"x{i} y z", "s0", i) for i in range(200)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string, more long")
+    key = lambda rows: Counter((x["doc_id"], x["source"], x["taken"], x["size"]) for x in rows)
+    got = mixing.mix(df.repartition(4)).collect()
+    assert key(got) == key(mixing.mix(df.repartition(2, "text")).collect()) and len(got) == len(data)
+    groups = mixing._mixed(df.select(*mixing._key(df)), (1, 2, 3), 3, 17)
+    assert groups.count() == len(data)
+    for s in ("s0", "s1"):
+        mine = [x for x in got if x["source"] == s]
+        assert abs(sum(x["taken"] for x in mine) - mine[0]["target"]) <= 40
+    out = of(mixing.take(df.repartition(4)), *df.columns)
+    assert out == of(mixing.take(df.repartition(2, "text")), *df.columns) and set(out) <= set(data)
+    assert all(n <= 3 * data.count(x) for x, n in out.items())
+
+
 def test_mixing_in_a_tree(spark, monkeypatch):
     monkeypatch.setattr(mixing, "FAN", 4)
     r = np.random.default_rng(6)
