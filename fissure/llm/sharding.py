@@ -8,7 +8,7 @@ The driver sees the order at a bounded resolution: sums of up to 65,536 digest p
 capacity from below; prefixes that its cuts fall into are looked up at a finer resolution until every cut lies between two groups. Then the bound is reached, so it is
 the least capacity.
 
-A null text has no bytes, size 1, no checksum, and forms a group with other null texts. Repeated rows are rows like others; extra columns are ignored.
+A null text has no bytes, size 1, no checksum, and forms a group with other null texts. Slots are counted in groups by a hash of doc_id and text, so that missing or repeated doc_ids don't gather. Repeated rows are rows like others; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -99,7 +99,7 @@ def shard(docs: DataFrame, shards: int = 16) -> DataFrame:
         number = number + (F.col("sha") >= key).cast("int")
     for i, sha in enumerate(alone):
         number = F.when(F.col("sha") == sha, i).otherwise(number)
-    placed = rows.withColumn("shard", number.cast("int")).withColumn("bucket", F.expr(f"pmod(xxhash64(doc_id), {SLOT_BUCKETS})"))
+    placed = rows.withColumn("shard", number.cast("int")).withColumn("bucket", F.expr(f"pmod(xxhash64(doc_id, sha), {SLOT_BUCKETS})"))
     counts = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     offsets = counts.select("shard", "bucket", (F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")).alias("before"))
     turn = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("doc_id", "sha"))
