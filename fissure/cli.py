@@ -5,8 +5,9 @@ from __future__ import annotations
 import argparse
 import logging
 import sys
+from collections.abc import Callable
 
-from fissure.operators import benchmark
+from fissure.operators import benchmark, review
 from fissure.plans import pipeline
 from fissure.session import session
 from fissure.sources import sinks
@@ -17,21 +18,41 @@ log = logging.getLogger("fissure")
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="fissure", description="Curate corpora of vulnerable and fixed code.")
     commands = out.add_subparsers(dest="command", required=True)
-    for name, help_ in (("normalize", "raw datasets to canonical rows"), ("clean", "canonical rows to cleaned rows"), ("transform", "cleaned rows to entries"), ("sample", "one entry per source"), ("pipeline", "all of these")):
+    for name, help_ in (("normalize", "raw datasets to canonical rows"), ("clean", "canonical rows to cleaned rows"), ("transform", "cleaned rows to entries"), ("sample", "one entry per source"), ("optimize", "entries cut down to their changes, as JSON lines"), ("pipeline", "all of these")):
         command = commands.add_parser(name, help=help_)
         command.add_argument("--config", default="")
         command.add_argument("--source", default="")
         command.add_argument("--out", default="")
         command.add_argument("--taxonomy", default="")
         command.add_argument("--datasets", nargs="*")
-        command.add_argument("--limit", type=positive)
+        command.add_argument("--limit", type=number(1))
+        command.add_argument("--set", nargs="*", type=setting, default=[], metavar="KEY=VALUE", help="any other setting of the configuration")
     return out
 
 
-def positive(text: str) -> int:
-    if (n := int(text)) <= 0:
-        raise argparse.ArgumentTypeError("must be positive")
-    return n
+def number(low: float | None = None, high: float | None = None, kind: type = int) -> Callable[[str], float]:
+    """A parser of numbers from ``low`` to ``high``."""
+
+    def parse(text: str) -> float:
+        try:
+            n = kind(text)
+        except ValueError as e:
+            raise argparse.ArgumentTypeError(f"{text!r} is no number") from e
+        if not (low is None or n >= low) or not (high is None or n <= high):
+            raise argparse.ArgumentTypeError(f"{text} isn't within {'-' if low is None else low} to {'-' if high is None else high}")
+        return n
+
+    return parse
+
+
+def setting(text: str) -> tuple[str, object]:
+    """``key=value``, cut at the first ``=``; the value is read as YAML, so that numbers, lists and truth values come out as such."""
+    import yaml
+
+    key, mark, value = text.partition("=")
+    if not mark or not key.strip():
+        raise argparse.ArgumentTypeError(f"{text!r} isn't KEY=VALUE")
+    return key.strip(), yaml.safe_load(value) if value else ""
 
 
 def main(args: list[str] | None = None) -> int:
@@ -41,11 +62,15 @@ def main(args: list[str] | None = None) -> int:
     for name in ("source", "out", "taxonomy", "datasets", "limit"):
         if getattr(asked, name):
             setattr(config, name, getattr(asked, name))
+    if wrong := sorted({k for k, _ in asked.set} - set(config.__dataclass_fields__)):
+        log.error("unknown settings: %s", ", ".join(wrong))
+        return 1
+    for name, value in asked.set:
+        setattr(config, name, tuple(value) if isinstance(value, list) and name != "datasets" else value)
     spark = session()
     try:
         if asked.command == "normalize":
-            rows, errors = pipeline.normalize(spark, config)
-            sinks.parquet(rows, f"{config.out}/canonical")
+            _, errors = pipeline.normalize(spark, config)
             for name, error in errors.items():
                 log.warning("%s: %s", name, error)
         elif asked.command == "clean":
@@ -56,6 +81,9 @@ def main(args: list[str] | None = None) -> int:
             found = pipeline.transformed(spark, pipeline.load(spark, config.source), config)
             found.write.mode("overwrite").parquet(f"{config.out}/entries")
             sinks.json_lines(benchmark.group_lines(spark.read.parquet(f"{config.out}/entries")), f"{config.out}/benchmark")
+        elif asked.command == "optimize":
+            bad = review.optimize_files(spark, config.source, f"{config.out}/optimized")
+            log.info("%d lines that are no JSON objects left out", bad)
         elif asked.command == "sample":
             sinks.samples(spark.read.parquet(config.source), f"{config.out}/samples", config.now)
         else:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from difflib import SequenceMatcher, unified_diff
 
 CONTEXT, GAP = 5, 3
@@ -50,30 +52,25 @@ def compact(before: str | None, after: str | None, most: int = 50) -> str:
     return "\n".join([*head, *lines[5 : 5 + room], f"... (truncated {len(lines) - 5 - room} lines)"])
 
 
-def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(ranges):
-        if out and a - out[-1][1] <= GAP:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+def marks(n: int, ranges: list[tuple[int, int]]) -> bytes:
+    """One byte for each of ``n`` lines: 1 where it lies in a range, or in a gap of up to GAP lines between two."""
+    flags = bytearray(n)
+    for a, b in ranges:
+        flags[a:b] = b"\1" * (b - a)
+    return re.sub(rb"(?<=\x01)\x00{1,%d}(?=\x01)" % GAP, lambda m: b"\1" * len(m[0]), flags)
 
 
-def excerpt(lines: list[str], ranges: list[tuple[int, int]], context: int = CONTEXT) -> str:
-    """Numbered lines around the ranges, changed ones marked, gaps as dots; without ranges the whole or its two ends."""
-    shown = lambda i, mark="   ": f"{mark} {i + 1:4d} | {lines[i]}"
+def excerpt(lines: list[str], flags: bytes, context: int = CONTEXT) -> str:
+    """Numbered lines, those with a mark and ``context`` lines around them, dots where lines are left out between; without marks the whole or its two ends."""
     n = len(lines)
-    if not ranges:
-        rows = [f"   {i + 1:4d} | {line}" for i, line in enumerate(lines)]
-        return "\n".join(rows if n <= 2 * context + 2 else [*rows[:context], "...", *rows[n - context :]])
-    out, done = [], None
-    for a, b in sorted(ranges):
-        first, last = max(0, a - context), min(n, b + context)
-        if done is not None and first > done:
-            out.append("...")
-        out += [shown(i, ">>>" if a <= i < b else "   ") for i in range(max(first, done or 0), last)]
-        done = last
+    if any(flags):
+        shown = [i for i in range(n) if any(flags[max(0, i - context) : i + context + 1])]
+    else:
+        shown = [*range(min(n, context)), *range(max(context, n - context), n)] if n > 2 * context + 2 else list(range(n))
+    out = []
+    for before, i in zip([i - 1 for i in shown[:1]] + shown, shown, strict=False):
+        mark = (">>> " if flags[i] else "    ") if any(flags) else "   "
+        out += ["..."] * (i > before + 1) + [f"{mark}{i + 1:4d} | {lines[i]}"]
     return "\n".join(out)
 
 
@@ -84,13 +81,36 @@ def optimized(vulnerable: str | None, benign: str | None, context: int = CONTEXT
         return {"vulnerable_code": vulnerable, "benign_code": benign, "optimized": False, "reduction_ratio": 0.0, "changed_line_count": 0, "optimized_size": sizes["original_size"], "note": None} | sizes
     old, new = vulnerable.strip().splitlines(), benign.strip().splitlines()
     changes = opcodes(old, new)
-    left, right = _merged([(a, b) for _, a, b, _, _ in changes if b > a]), _merged([(c, d) for *_, c, d in changes if d > c])
-    if not left and not right:
+    left, right = marks(len(old), [(a, b) for _, a, b, _, _ in changes]), marks(len(new), [(c, d) for *_, c, d in changes])
+    if not any(left) and not any(right):
         short = [x[:200] + "..." if len(x) > 200 else x for x in (vulnerable, benign)]
         return {"vulnerable_code": short[0], "benign_code": short[1], "optimized": True, "reduction_ratio": 0.9, "changed_line_count": 0, "optimized_size": sum(map(len, short)), "note": "No significant changes detected"} | sizes
     cut = excerpt(old, left, context), excerpt(new, right, context)
     size = sum(map(len, cut))
-    return {"vulnerable_code": cut[0], "benign_code": cut[1], "optimized": True, "reduction_ratio": 1.0 - size / sizes["original_size"], "changed_line_count": len(left), "optimized_size": size, "note": None} | sizes
+    return {"vulnerable_code": cut[0], "benign_code": cut[1], "optimized": True, "reduction_ratio": 1.0 - size / sizes["original_size"], "changed_line_count": len(re.findall(rb"\x01+", left)), "optimized_size": size, "note": None} | sizes
+
+
+def optimized_line(line: str) -> str | None:
+    """An entry as JSON text with its code replaced by the excerpts and ``_optimization`` added where it was cut; None if the text is no JSON object."""
+    try:
+        entry = json.loads(line)
+    except ValueError:
+        return None
+    if not isinstance(entry, dict):
+        return None
+
+    def text(side: object) -> str:
+        if isinstance(side, dict):
+            return next((str(side[k]) for k in ("context", "func", "code") if side.get(k)), "")
+        return side if isinstance(side, str) else ""
+
+    names = ("vulnerable_code", "benign_code")
+    got = optimized(*(text(entry.get(name)) for name in names))
+    if got["optimized"]:
+        for name in names:
+            entry[name] = {**entry[name], "context": got[name], "_original_size": got["original_size"]} if isinstance(entry.get(name), dict) else got[name]
+        entry["_optimization"] = {"enabled": True} | {k: got[k] for k in ("reduction_ratio", "original_size", "optimized_size")}
+    return json.dumps(entry, ensure_ascii=False)
 
 
 def lines_from_patch(patch: str | None, function: str | None) -> list[list[str]]:

@@ -30,7 +30,7 @@ def pieces(code: str, kind: str) -> list[tuple[str, int, int]]:
                 end = code.find("\n", end)
                 if end < 0:
                     end = len(code)
-                elif kind == "c" and code[:end].endswith(("\\", "\\\r")):
+                elif kind == "c" and code[max(0, end - 2) : end].endswith(("\\", "\\\r")):
                     end += 1
                     continue
                 break
@@ -166,7 +166,7 @@ def count_functions(code: str | None, language: str | None) -> int:
                 count += 1
                 stack.append("block")
             else:
-                stack.append("block" if top == "block" or head[-1:] != ["="] else "block")
+                stack.append("block")
             now = []
         elif t == "}":
             closed = stack.pop() if len(stack) > 1 else "scope"

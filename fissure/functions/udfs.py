@@ -95,6 +95,12 @@ def optimized(vulnerable: pd.Series, benign: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([diffs.optimized(v, b) for v, b in zip(vulnerable, benign, strict=True)], columns=names)
 
 
+@vectorized("string")
+def optimized_line(line: pd.Series) -> pd.Series:
+    """Lines of JSON, each an entry, with its code cut to the changes; null for what is no JSON object."""
+    return pd.Series([diffs.optimized_line(x) for x in line], dtype=object)
+
+
 @vectorized("array<array<string>>")
 def patch_lines(patch: pd.Series, function: pd.Series) -> pd.Series:
     return pd.Series([diffs.lines_from_patch(p, f) for p, f in zip(patch, function, strict=True)], dtype=object)

@@ -143,3 +143,17 @@ def flattened(documents: DataFrame, outer_wins: bool = False) -> DataFrame:
 def flat_entry(rows: DataFrame) -> DataFrame:
     """The older flat entry of canonical rows: lines of both sides, first id, shown language."""
     return rows.select("row_id", languages.shown(F.col("language")).alias("language"), code.lines_of(F.col("code_after")).alias("benign_lines"), code.lines_of(F.col("code_before")).alias("vulnerable_lines"), cwe.normalize_first(F.col("cwe")).alias("CWE"), "source", F.col("commit_url").alias("commit"))
+
+
+def merged(first: DataFrame, second: DataFrame) -> DataFrame:
+    """(language, key, pos, item) of two nested documents ``(document)``: under each key the entries of the first, then those of the second, each with all its fields as JSON text."""
+    from pyspark.sql import Window
+
+    def items(documents: DataFrame, turn: int) -> DataFrame:
+        parsed = documents.select(F.from_json("document", "map<string,map<string,array<string>>>").alias("d")).select(F.explode("d").alias("language", "m"))
+        return parsed.select("language", F.explode("m").alias("key", "items")).select("language", "key", F.lit(turn).alias("turn"), F.posexplode("items").alias("pos", "item"))
+
+    both = items(first, 0).unionByName(items(second, 1))
+    counts = both.groupBy("language", "key", "turn").agg(F.count("*").alias("n"))
+    before = counts.select("language", "key", "turn", (F.sum("n").over(Window.partitionBy("language", "key").orderBy("turn")) - F.col("n")).alias("before"))
+    return both.join(before, ["language", "key", "turn"]).select("language", "key", (F.col("before") + F.col("pos")).cast("int").alias("pos"), "item")

@@ -7,8 +7,9 @@ import time
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fissure.functions import code, diffs, replies, udfs
 from fissure.functions.text import strip
@@ -43,25 +44,43 @@ def prompt(template: str, **fields: Column) -> Column:
     return out
 
 
-def review(rows: DataFrame, generate: Callable[[str], str], templates: dict[str, str], *, tries: int = 2, attempts: int = 3, delay: float = 1.0, version: str = "v1", now: str = "1970-01-01T00:00:00Z") -> DataFrame:
-    """(row_id, review, confidence, status) of ``rows(row_id, CWE, vulnerable, benign)`` in three stages each.
+def client(primary: Callable[[str], str], backup: Callable[[str], str] | None = None, attempts: int = 3, delay: float = 1.0, backup_delay: float | None = None) -> Callable[[str], str]:
+    """A ``generate`` that asks ``primary`` up to ``attempts`` times, ``delay`` seconds apart, then twice as many, and then ``backup`` in the same way; the last error is raised."""
+
+    def ask(prompt: str) -> str:
+        error: Exception = RuntimeError("nothing to ask")
+        for endpoint, wait in ((primary, delay), (backup, delay if backup_delay is None else backup_delay)):
+            for attempt in range(attempts if endpoint else 0):
+                if attempt:
+                    time.sleep(wait * 2 ** (attempt - 1))
+                try:
+                    return endpoint(prompt)
+                except Exception as e:  # noqa: BLE001  the endpoint is the caller's
+                    error = e
+        raise error
+
+    return ask
+
+
+def review(rows: DataFrame, generate: Callable[[str], str], templates: dict[str, str], *, limit: int | None = None, tries: int = 2, attempts: int = 3, delay: float = 1.0, version: str = "v1", now: str = "1970-01-01T00:00:00Z") -> DataFrame:
+    """(row_id, review, confidence, status, calls, regenerations) of ``rows(row_id, CWE, vulnerable, benign)``, or of the first ``limit`` of them by row_id, in three stages each.
 
     ``generate(prompt)`` is called on the executors, up to ``attempts`` times where it raises an error, with ``delay`` seconds, then twice as many, in between. The last error, or a reply without
     JSON, gives a placeholder. A review below the confidence threshold is asked for again, ``tries`` times in all. ``now`` is the stamp of
     all reviews, so that reruns agree.
     """
 
-    def ask(text: str) -> str:
-        for attempt in range(attempts - 1):
-            try:
-                return generate(text)
-            except Exception:  # noqa: BLE001  the client is the caller's
-                time.sleep(delay * 2**attempt)
-        return generate(text)
-
-    def one(row) -> tuple[str, float, str]:
+    def one(row) -> tuple[str, float, str, int, int]:
         done: dict = {}
-        for _ in range(tries):
+        calls = 0
+
+        def counted(text: str) -> str:
+            nonlocal calls
+            calls += 1
+            return generate(text)
+
+        ask = client(counted, attempts=attempts, delay=delay)
+        for turn in range(tries):
             try:
                 values = {"code_before": row.vulnerable or "", "code_after": row.benign or "", "cwe": row.CWE or "", "diff": diffs.compact(row.vulnerable, row.benign)}
                 for stage in STAGES:
@@ -73,18 +92,26 @@ def review(rows: DataFrame, generate: Callable[[str], str], templates: dict[str,
                         raise ValueError("no JSON in the reply")
                     done[stage] = json.loads(reply)
             except Exception as e:  # noqa: BLE001  the client is the caller's
-                return json.dumps({"error": str(e), "metadata": {"generated_at": now, "prompt_version": version}}), 0.0, "failed"
+                return json.dumps({"error": str(e), "metadata": {"generated_at": now, "prompt_version": version}}), 0.0, "failed", calls, turn
             score = replies.confidence(done, row.CWE)
             if score >= replies.REGENERATE_BELOW:
                 break
-        return json.dumps({**done, "metadata": {"generated_by": "model", "generated_at": now, "prompt_version": version, "confidence": score}}), score, "ok"
+        return json.dumps({**done, "metadata": {"generated_by": "model", "generated_at": now, "prompt_version": version, "confidence": score}}), score, "ok", calls, turn
 
     def run(frames):
         for frame in frames:
             out = [one(r) for r in frame.itertuples(index=False)]
-            yield pd.DataFrame({"row_id": frame["row_id"], "review": [o[0] for o in out], "confidence": [o[1] for o in out], "status": [o[2] for o in out]})
+            yield pd.DataFrame({"row_id": frame["row_id"], **{name: [o[i] for o in out] for i, name in enumerate(("review", "confidence", "status", "calls", "regenerations"))}})
+
+    asked = rows.select("row_id", "CWE", "vulnerable", "benign")
+    asked = asked if limit is None else asked.orderBy("row_id").limit(limit)
+    return asked.mapInPandas(run, "row_id long, review string, confidence double, status string, calls int, regenerations int")
 
-    return rows.select("row_id", "CWE", "vulnerable", "benign").mapInPandas(run, "row_id long, review string, confidence double, status string")
+
+def review_stats(rows: DataFrame, reviews: DataFrame) -> DataFrame:
+    """One row: the entries of ``rows``, those that were not asked about since they had a review, calls of the model, failures and regenerations."""
+    done = reviews.agg(F.count("*").alias("asked"), F.coalesce(F.sum("calls"), F.lit(0)).alias("api_calls"), F.count_if(F.col("status") == "failed").alias("failures"), F.coalesce(F.sum("regenerations"), F.lit(0)).alias("regenerations"))
+    return rows.agg(F.count("*").alias("total_processed")).crossJoin(done).select("total_processed", (F.col("total_processed") - F.col("asked")).alias("cache_hits"), "api_calls", "failures", "regenerations")
 
 
 def pending(rows: DataFrame, done: DataFrame) -> DataFrame:
@@ -98,12 +125,13 @@ def cache_key(vulnerable: Column, benign: Column, cwe: Column) -> Column:
 
 
 def quality_report(reviews: DataFrame, low: float = 0.75) -> DataFrame:
-    """(metric, value, n): average confidence, histograms of severity and fix quality, and reviews of low confidence."""
+    """(metric, value, n, x): average confidence, the number of reviews of low confidence, the 20 lowest by row number, and histograms of severity and fix quality."""
     field = lambda path: F.coalesce(F.get_json_object("review", path), F.lit("UNKNOWN"))
     histogram = lambda name, path: reviews.groupBy(field(path).alias("value")).agg(F.count("*").alias("n"), F.lit(None).cast("double").alias("x")).select(F.lit(name).alias("metric"), "value", "n", "x")
     mean = reviews.agg(F.count("*").alias("n"), F.bround(F.avg("confidence"), 3).alias("x")).select(F.lit("confidence").alias("metric"), F.lit("average").alias("value"), "n", "x")
     few = reviews.agg(F.count_if(F.col("confidence") < low).alias("n")).select(F.lit("confidence").alias("metric"), F.lit("low").alias("value"), "n", F.lit(low).alias("x"))
-    return mean.unionByName(few).unionByName(histogram("severity", "$.vulnerability_analysis.severity")).unionByName(histogram("fix_quality", "$.fix_analysis.fix_quality"))
+    lowest = low_confidence(reviews, low).select(F.lit("low_confidence").alias("metric"), F.col("row_id").cast("string").alias("value"), F.lit(1).cast("long").alias("n"), F.col("confidence").alias("x"))
+    return mean.unionByName(few).unionByName(lowest).unionByName(histogram("severity", "$.vulnerability_analysis.severity")).unionByName(histogram("fix_quality", "$.fix_analysis.fix_quality"))
 
 
 def low_confidence(reviews: DataFrame, low: float = 0.75, n: int = 20) -> DataFrame:
@@ -112,5 +140,36 @@ def low_confidence(reviews: DataFrame, low: float = 0.75, n: int = 20) -> DataFr
 
 def optimize(rows: DataFrame) -> DataFrame:
     """``rows`` with ``opt``: both sides cut to their changes, for nested or plain code columns."""
-    pick = lambda name: code.first_field(F.col(f"{name}.context"), F.col(f"{name}.func")) if dict(rows.dtypes)[name].startswith("struct") else F.col(name)
-    return rows.withColumn("opt", udfs.optimized(pick("vulnerable_code"), pick("benign_code")))
+    return rows.withColumn("opt", udfs.optimized(_code(rows, "vulnerable_code"), _code(rows, "benign_code")))
+
+
+def _code(rows: DataFrame, name: str) -> Column:
+    """A plain column, or the first of a nested one's fields context, func and code that is not empty."""
+    kind = rows.schema[name].dataType
+    if not isinstance(kind, T.StructType):
+        return F.col(name)
+    return code.first_field(*[F.col(f"{name}.{f}") for f in ("context", "func", "code") if f in kind.names] or [F.lit("")])
+
+
+def optimized_entries(rows: DataFrame) -> DataFrame:
+    """``rows`` whose code is replaced by its excerpt where it was cut, with ``_optimization``; nested sides keep their other fields and get ``_original_size``."""
+    cut = optimize(rows)
+    done = F.col("opt.optimized")
+
+    def side(name: str) -> Column:
+        kind = rows.schema[name].dataType
+        if not isinstance(kind, T.StructType):
+            return F.when(done, F.col(f"opt.{name}")).otherwise(F.col(name)).alias(name)
+        before = F.col(f"{name}.context") if "context" in kind.names else F.lit(None).cast("string")
+        new = F.col(name).withField("context", F.when(done, F.col(f"opt.{name}")).otherwise(before)).withField("_original_size", F.when(done, F.col("opt.original_size")))
+        return new.alias(name)
+
+    facts = F.when(done, F.struct(F.lit(True).alias("enabled"), F.col("opt.reduction_ratio").alias("reduction_ratio"), F.col("opt.original_size").alias("original_size"), F.col("opt.optimized_size").alias("optimized_size")))
+    return cut.select(*[side(c) if c in ("vulnerable_code", "benign_code") else F.col(f"`{c}`") for c in rows.columns], facts.alias("_optimization"))
+
+
+def optimize_files(spark: SparkSession, source: str, target: str) -> int:
+    """Write the JSON lines of ``source`` with their entries optimized to ``target``, whatever other fields they have; the number of lines that are no JSON objects, which are left out."""
+    lines = spark.read.text(source).filter("trim(value) <> ''").select(udfs.optimized_line("value").alias("value"))
+    lines.filter("value is not null").write.mode("overwrite").text(target)
+    return lines.filter("value is null").count()

@@ -87,3 +87,13 @@ def one_per_source(entries: DataFrame) -> DataFrame:
     """The first entry of each source in the order of the document: language, class, position."""
     order = F.struct("language", "cwd", "pos")
     return entries.groupBy("source").agg(F.min_by(F.struct(*entries.columns), order).alias("row")).select("row.*")
+
+
+def spot_check(rows: DataFrame, passed: Column, n: int = 60, seed: int = 7) -> DataFrame:
+    """``n`` random rows with ``passed``."""
+    return rows.orderBy(shuffled(seed), "row_id").limit(n).withColumn("passed", F.coalesce(passed, F.lit(False)))
+
+
+def tally(checked: DataFrame) -> DataFrame:
+    """How many of the rows of ``spot_check`` passed and failed: one row."""
+    return checked.agg(F.count("*").alias("checked"), F.count_if("passed").alias("passed"), F.count_if(~F.col("passed")).alias("failed"))

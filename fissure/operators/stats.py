@@ -20,10 +20,14 @@ def counts(rows: DataFrame, key: str = "cwe", exclude_unknown: bool = False) ->
     return rows.groupBy(key).agg(F.count("*").alias("n"))
 
 
-def statistics(rows: DataFrame, key: str = "cwe") -> DataFrame:
-    """total, distinct ids, rows whose id is unknown or empty, and the others: one row."""
-    missing = text(F.col(key)).isin("Unknown", "")
-    return rows.agg(F.count("*").alias("total"), F.count_distinct(F.coalesce(F.col(key), F.lit(""))).alias("distinct_ids"), F.count_if(missing).alias("unknown"), F.count_if(~missing).alias("valid"))
+def statistics(rows: DataFrame, key: str = "cwe", row: str = "row_id") -> DataFrame:
+    """total, distinct ids, rows whose id is unknown or empty, the others, and the ten most frequent ids with their numbers (of equal ones the one seen first): one row."""
+    each = rows.groupBy(F.coalesce(F.col(key), F.lit("")).alias("id")).agg(F.count("*").alias("n"), F.min(row).alias("first_row"))
+    missing = F.when(F.col("id").isin("Unknown", ""), F.col("n")).otherwise(0)
+    totals = each.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct_ids"), F.coalesce(F.sum(missing), F.lit(0)).alias("unknown"))
+    top = each.orderBy(F.desc("n"), "first_row", "id").limit(10).agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("less"), "first_row", "id"))).alias("top"))
+    most = F.transform("top", lambda x: F.struct(x["id"].alias("id"), (-x["less"]).alias("n")))
+    return totals.crossJoin(top).select("total", "distinct_ids", "unknown", (F.col("total") - F.col("unknown")).alias("valid"), most.alias("most_common"))
 
 
 def most_common(rows: DataFrame, n: int = 10, key: str = "cwe", row: str = "row_id") -> DataFrame:

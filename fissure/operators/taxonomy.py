@@ -50,19 +50,30 @@ def mapping(pairs: DataFrame) -> DataFrame:
     return listed.select("cwe", F.transform("s", lambda x: x["cwd"]).alias("cwds"))
 
 
+#: Ids up to which the classes of further ids are looked up in one map that every task holds.
+FEW = 20_000
+
+
 def with_cwds(rows: DataFrame, pairs: DataFrame, cwes: str = "cwes") -> DataFrame:
     """``rows`` with primary_cwe, other_cwes, cwd and other_cwds of the id list ``cwes``.
 
-    The lookup is a join for the primary id and, for the others, one map of the whole mapping. A taxonomy is a few thousand pairs by nature; the map is built by an aggregation, not collected.
+    The primary id is looked up by a join. The others are looked up in a map of the whole mapping if that has up to FEW ids, which is counted first; beyond, by joins of the distinct lists of other ids.
     """
-    table = mapping(pairs)
-    as_map = table.agg(F.map_from_entries(F.collect_list(F.struct("cwe", F.get("cwds", F.lit(0)).alias("cwd")))).alias("first_cwd"))
-    known: Column = F.col("first_cwd")
-    rows = rows.join(F.broadcast(as_map))
+    first = mapping(pairs).select(F.col("cwe").alias("primary_cwe"), F.get("cwds", F.lit(0)).alias("first_cwd"))
     primary = ids.primary(F.col(cwes))
-    rows = rows.withColumn("primary_cwe", primary).withColumn("other_cwes", ids.others(F.col(cwes))).withColumn("cwd", F.when(~ids.is_unknown(primary), known[primary]))
-    mapped = F.transform("other_cwes", lambda c: known[c])
-    return rows.withColumn("other_cwds", F.array_distinct(F.filter(mapped, lambda x: x.isNotNull() & ~x.eqNullSafe(F.col("cwd"))))).drop("first_cwd")
+    names = rows.columns
+    rows = rows.withColumn("primary_cwe", primary).withColumn("other_cwes", ids.others(F.col(cwes)))
+    if first.limit(FEW + 1).count() <= FEW:
+        known: Column = F.col("known_cwds")
+        rows = rows.join(F.broadcast(first.agg(F.map_from_entries(F.collect_list(F.struct("primary_cwe", "first_cwd"))).alias("known_cwds"))))
+        rows = rows.withColumn("cwd", known[F.col("primary_cwe")]).withColumn("mapped_cwds", F.transform("other_cwes", lambda c: known[c]))
+    else:
+        lists = rows.select("other_cwes").distinct().select("other_cwes", F.posexplode("other_cwes").alias("i", "primary_cwe")).join(first, "primary_cwe")
+        lists = lists.groupBy("other_cwes").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "first_cwd"))), lambda x: x["first_cwd"]).alias("mapped_cwds"))
+        rows = rows.join(first.withColumnRenamed("first_cwd", "cwd"), "primary_cwe", "left").join(lists, "other_cwes", "left")
+    cwd = F.when(~ids.is_unknown(F.col("primary_cwe")), F.col("cwd"))
+    others = F.array_distinct(F.filter(F.coalesce("mapped_cwds", F.array().cast("array<string>")), lambda x: x.isNotNull() & ~x.eqNullSafe(F.col("cwd"))))
+    return rows.withColumn("cwd", cwd).withColumn("other_cwds", others).select(*names, "primary_cwe", "other_cwes", "cwd", "other_cwds")
 
 
 def all_cwds(rows: DataFrame, pairs: DataFrame, cwe: str = "cwe") -> DataFrame:
@@ -98,9 +109,10 @@ def outside(nodes: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def dense_counts(rows: DataFrame, targets: DataFrame, sources: DataFrame) -> DataFrame:
-    """(source, cwe, n) for every source and target id, zeros included; both lists are small by nature."""
-    counts = rows.join(F.broadcast(targets), "cwe", "left_semi").groupBy("source", "cwe").agg(F.count("*").alias("n"))
-    grid = sources.select("source").distinct().join(F.broadcast(targets.select("cwe").distinct()))
+    """(source, cwe, n) for every source and target id, zeros included: the result has a row for every pair of the two, so both lists are to be short."""
+    counts = rows.join(targets, "cwe", "left_semi").groupBy("source", "cwe").agg(F.count("*").alias("n"))
+    listed = targets.agg(F.collect_set("cwe").alias("listed"))
+    grid = sources.select("source").distinct().crossJoin(listed).select("source", F.explode("listed").alias("cwe"))
     return grid.join(counts, ["source", "cwe"], "left").select("source", "cwe", F.coalesce("n", F.lit(0)).alias("n"))
 
 

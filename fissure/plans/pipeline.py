@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,23 +37,38 @@ class Config:
     cluster_method: str = "stratified"
     max_per_group: int = 300
     url_validation: bool = False
+    url_cache: str = ""
+    cvefixes_dump: str = ""
+    embeddings: str = ""
     now: str = "1970-01-01T00:00:00Z"
-    extra: dict = field(default_factory=dict)
 
     @classmethod
     def from_yaml(cls, path: str) -> Config:
-        """Sections ``clean``, ``transform``, ``sample`` and ``datasets`` as the field names below say; unknown keys go to ``extra``."""
+        """Sections ``clean``, ``transform``, ``sample`` and so on hold settings by the field names above, as does the top; an unknown name is an error."""
         import yaml
 
         with open(path, encoding="utf-8") as file:
             raw = yaml.safe_load(file) or {}
-        known = {k: v for section in raw.values() if isinstance(section, dict) for k, v in section.items() if k in cls.__dataclass_fields__}
-        known |= {k: v for k, v in raw.items() if k in cls.__dataclass_fields__ and not isinstance(v, dict)}
-        rest = {k: v for k, v in raw.items() if k not in known}
+        known = {k: v for k, v in raw.items() if not isinstance(v, dict) or k in cls.__dataclass_fields__}
+        for section in (v for k, v in raw.items() if k not in known):
+            known |= section
+        if wrong := sorted(set(known) - set(cls.__dataclass_fields__)):
+            raise ValueError(f"unknown settings: {', '.join(wrong)}")
         for name in ("excluded", "allowed_languages"):
             if name in known:
                 known[name] = tuple(known[name])
-        return cls(**known, extra=rest)
+        return cls(**known)
+
+    def check(self, can_ask: bool = False) -> None:
+        """Raise an error for settings that would have no effect."""
+        if self.url_validation and not (self.url_cache or can_ask):
+            raise ValueError("url_validation needs url_cache, or a function that asks")
+        if self.cluster_method not in ("stratified", "kmeans"):
+            raise ValueError(f"unknown cluster_method {self.cluster_method!r}")
+        if self.cluster_method == "kmeans" and not self.embeddings:
+            raise ValueError("cluster_method kmeans needs embeddings")
+        if self.dedup not in (None, "compat", "fixed"):
+            raise ValueError(f"unknown dedup {self.dedup!r}")
 
 
 def steps(config: Config) -> tuple[clean.Step, ...]:
@@ -60,11 +76,11 @@ def steps(config: Config) -> tuple[clean.Step, ...]:
 
 
 def normalize(spark: SparkSession, config: Config) -> tuple[DataFrame, dict[str, str]]:
-    """Canonical rows and the errors of datasets that could not be read; an error if none could."""
-    rows, errors = datasets.normalize_all(spark, config.source, config.datasets)
+    """Canonical rows, written under ``out``, and the errors of datasets that could not be read; an error if none could."""
+    rows, errors = datasets.normalize_all(spark, config.source, f"{config.out}/canonical", config.datasets, config.limit)
     if rows is None:
         raise RuntimeError(f"no dataset could be read: {errors}")
-    return datasets.limited(rows, config.limit)[0], errors
+    return rows, errors
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:
@@ -80,30 +96,46 @@ def cleaned(rows: DataFrame, config: Config) -> tuple[DataFrame, DataFrame]:
     return out, clean.funnel(rows, steps(config))
 
 
-def transformed(spark: SparkSession, rows: DataFrame, config: Config, pairs: DataFrame | None = None, fixes: DataFrame | None = None, cves: DataFrame | None = None, validity: DataFrame | None = None) -> DataFrame:
-    """Entries of cleaned rows, groups capped."""
+def validity(spark: SparkSession, rows: DataFrame, config: Config, ask: Callable[[str], int | None] | None = None) -> DataFrame:
+    """(repo_key, valid, status_code) of the repositories of ``rows``, from the cache and else from ``ask``; what was asked is added to the cache."""
+    cache = spark.createDataFrame([], "repo_key string, valid boolean, status_code int")
+    if config.url_cache:
+        cache = spark.read.schema(cache.schema).json(config.url_cache)
+    path = f"{config.out}/urls"
+    benchmark.checked_urls(rows, cache, ask).write.mode("overwrite").parquet(path)
+    known = spark.read.parquet(path)
+    if config.url_cache and ask:
+        known.filter("status_code is not null").join(cache, "repo_key", "left_anti").write.mode("append").json(config.url_cache)
+    return known
+
+
+def transformed(spark: SparkSession, rows: DataFrame, config: Config, pairs: DataFrame | None = None, ask: Callable[[str], int | None] | None = None) -> DataFrame:
+    """Entries of cleaned rows, with the CVE of their commit and its description where a dump is given, groups capped.
+
+    ``ask(repo_key)`` gives the status of a repository's address; without it only those in ``url_cache`` count as valid.
+    """
+    config.check(ask is not None)
     pairs = pairs if pairs is not None else taxonomy.flatten(spark, taxonomy.load(config.taxonomy))[1]
-    if config.url_validation and validity is not None:
-        rows = benchmark.valid_urls(rows, validity)
-    if fixes is not None:
-        rows = benchmark.with_cve(rows, fixes)
-    if cves is not None and fixes is not None:
-        rows = benchmark.with_description(rows, cves)
+    if config.url_validation:
+        rows = benchmark.valid_urls(rows, validity(spark, rows, config, ask))
+    if config.cvefixes_dump:
+        rows = benchmark.with_cve(rows, datasets.dump_fixes(spark, config.cvefixes_dump))
+        rows = benchmark.with_description(rows, datasets.dump_descriptions(spark, config.cvefixes_dump))
     found = benchmark.entries(rows, pairs, keep_classless=config.keep_classless, strip_comments=config.remove_comments, single_function=config.filter_multiple_functions, with_hunks=config.with_hunks)
-    if config.cluster_method == "kmeans" and "embedding" in rows.columns:
-        found = found.join(rows.select("row_id", "source", "embedding"), ["row_id", "source"])
-        return cluster.select(found, ["language", "cwd"], config.max_per_group).drop("embedding")
+    if config.cluster_method == "kmeans":
+        embeddings = spark.read.parquet(config.embeddings).select("source", "row_id", "embedding")
+        return cluster.select(found.join(embeddings, ["source", "row_id"], "left"), ["language", "cwd"], config.max_per_group).drop("embedding").select(*found.columns)
     return sampling.capped(found, ["language", "cwd"], "source", config.max_per_group)
 
 
-def run(spark: SparkSession, config: Config) -> DataFrame:
+def run(spark: SparkSession, config: Config, ask: Callable[[str], int | None] | None = None) -> DataFrame:
     """All steps; canonical rows, funnel, entries and samples are written under ``out``."""
+    config.check(ask is not None)
     rows, _ = normalize(spark, config)
-    sinks.parquet(rows, f"{config.out}/canonical")
-    kept, funnel = cleaned(spark.read.parquet(f"{config.out}/canonical"), config)
+    kept, funnel = cleaned(rows, config)
     sinks.parquet(kept, f"{config.out}/cleaned")
     funnel.write.mode("overwrite").parquet(f"{config.out}/funnel")
-    found = transformed(spark, spark.read.parquet(f"{config.out}/cleaned"), config)
+    found = transformed(spark, spark.read.parquet(f"{config.out}/cleaned"), config, ask=ask)
     found.write.mode("overwrite").parquet(f"{config.out}/entries")
     found = spark.read.parquet(f"{config.out}/entries")
     sinks.json_lines(benchmark.group_lines(found), f"{config.out}/benchmark")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-#: Adaptive plans size and split shuffles; Arrow batches are bounded by bytes, so that long texts don't pile up in one.
+#: Adaptive plans size and split shuffles; Arrow batches are bounded by rows, so that long texts don't pile up in one.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -72,6 +72,14 @@ def newest_version(names: list[str]) -> str | None:
     return max(found)[1] if found else None
 
 
+def newest_dump(spark: SparkSession, root: str) -> str:
+    """Path of the dumps of the newest version under ``root``; of all, if none has a version in its name."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/Data")
+    listed = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    name = newest_version([x.getPath().getParent().getName() for x in listed])
+    return f"{root}/{name or '*'}/Data/*.sql.gz"
+
+
 def megavul(spark: SparkSession, path: str) -> DataFrame:
     """From JSON arrays; entries, commits, files and functions are unfolded, missing lists give no rows."""
     shape = "cwe_ids array<string>, commits array<struct<git_url:string,repo_name:string,commit_hash:string,files:array<struct<language:string,vulnerable_functions:array<struct<func_before:string,func_after:string>>>>>>"
@@ -169,7 +177,7 @@ def _under(reader: Callable, *places: str) -> Callable[[SparkSession, str], Data
 
 #: Dataset name -> reader of (spark, root). The pair dataset is left out on purpose: later stages exclude it.
 READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "cvefixes": _under(cvefixes_dump, "cvefixes/*/Data/*.sql.gz"),
+    "cvefixes": lambda spark, root: cvefixes_dump(spark, newest_dump(spark, f"{root}/cvefixes")),
     "jacontebe": _under(jacontebe, "JaConTeBe"),
     "juliet": _under(juliet, "juliet/juliet_test_suite_c_1_3-train.arrow", "juliet/juliet_test_suite_c_1_3-test.arrow"),
     "megavul": _under(megavul, "megavul/megavul/*/c_cpp/cve_with_graph_abstract_commit.json"),
@@ -186,16 +194,19 @@ def normalize(spark: SparkSession, name: str, root: str) -> DataFrame:
     return READERS[name](spark, root).withColumn("source", F.lit(name)).withColumn("row_id", F.monotonically_increasing_id() + 1)
 
 
-def normalize_all(spark: SparkSession, root: str, names: list[str] | None = None) -> tuple[DataFrame | None, dict[str, str]]:
-    """Union of all datasets that can be read, and the errors of the others."""
-    found, errors = None, {}
+def normalize_all(spark: SparkSession, root: str, path: str, names: list[str] | None = None, limit: int | None = None) -> tuple[DataFrame | None, dict[str, str]]:
+    """Canonical rows of all datasets that can be read, at most the first ``limit`` of each, and the errors of the others.
+
+    Each dataset is written by itself under ``path``, so that one whose files turn out to be missing or damaged is reported and leaves the others as they are.
+    """
+    found, errors = [], {}
     for name in names or sorted(READERS):
         try:
-            rows = normalize(spark, name, root)
-            found = rows if found is None else found.unionByName(rows)
-        except Exception as e:  # noqa: BLE001  a missing dataset is reported, not fatal
+            limited(normalize(spark, name, root), limit)[0].drop("source").write.mode("overwrite").parquet(f"{path}/source={name}")
+            found.append(f"{path}/source={name}")
+        except Exception as e:  # noqa: BLE001  a missing or damaged dataset is reported, not fatal
             errors[name] = str(e).splitlines()[0]
-    return found, errors
+    return spark.read.option("basePath", path).parquet(*found) if found else None, errors
 
 
 def limited(rows: DataFrame, n: int | None) -> tuple[DataFrame, Column]:

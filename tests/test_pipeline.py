@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import argparse
 import csv
 import gzip
 import json
 import os
+import re
 from collections import Counter
 
 import pyarrow as pa
@@ -13,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fissure import cli
-from fissure.operators import benchmark, clean, cluster, dedup, review, sampling, taxonomy
+from fissure.operators import benchmark, clean, cluster, dedup, review, sampling, stats, taxonomy
 from fissure.plans import pipeline
 from fissure.sources import datasets, files, sinks
 from fissure.streaming import ingest
@@ -271,7 +273,10 @@ def test_readers(spark, tmp_path):
     dump += ["INSERT INTO file_change VALUES('1','h1','f.c','o','n','t','d','d','1','int b;','int a;','1','1','C','1');", "INSERT INTO file_change VALUES('2','h1','g.py','o','n','t','d','d','1','b','a','1','1','Python','1');"]
     with gzip.open(f"{root}/cvefixes/CVEfixes_v1.0.8/Data/x.sql.gz", "wt") as f:
         f.write("\n".join(dump))
-    rows, errors = datasets.normalize_all(spark, root)
+    os.makedirs(f"{root}/cvefixes/CVEfixes_v1.0.7/Data")
+    with gzip.open(f"{root}/cvefixes/CVEfixes_v1.0.7/Data/x.sql.gz", "wt") as f:
+        f.write("\n".join(x.replace("int a;", "int old;") for x in dump))
+    rows, errors = datasets.normalize_all(spark, root, f"{root}/canonical")
     assert not errors
     got = {}
     for r in rows.collect():
@@ -283,7 +288,12 @@ def test_readers(spark, tmp_path):
     assert got["juliet"] == [("CWE-15", "c\nd", "a\nb", "", "c")] * 2
     assert got["jacontebe"] == [("CWE-362", "class A { } // é", "", "https://l &", "java")]
     assert got["cvefixes"] == [("CWE-119|CWE-9", "int a;", "int b;", "https://github.com/o/r/commit/h1", "c")]
-    path = f"{root}/cvefixes/*/Data/*.sql.gz"
+    path = datasets.newest_dump(spark, f"{root}/cvefixes")
+    assert path.endswith("CVEfixes_v1.0.8/Data/*.sql.gz")
+    open(f"{root}/sven/data_train_val/val/cwe-1.jsonl", "w").write("x")
+    open(f"{root}/juliet/juliet_test_suite_c_1_3-test.arrow", "wb").write(b"damaged")
+    some, errors = datasets.normalize_all(spark, root, f"{root}/again", ["juliet", "msr", "primevul", "megavul"], 1)
+    assert set(errors) == {"juliet"} and {r["source"]: r["count"] for r in some.groupBy("source").count().collect()} == {"msr": 1, "primevul": 1, "megavul": 1}
     assert Counter(map(tuple, datasets.dump_fixes(spark, path).collect())) == Counter([("h1", "CVE-1"), ("h1", "CVE-2")])
     assert datasets.dump_descriptions(spark, path).first()["description"] == "[{'lang': 'en', 'value': 'text'}]"
     assert {r["cwe"]: r["n"] for r in files.dump_cwe_tally(spark, path).collect()} == {"CWE-9": 1, "CWE-119": 1}
@@ -336,18 +346,139 @@ def test_pipeline_and_commands(spark, tmp_path):
             for i in range(3):
                 f.write(json.dumps({"func_src_before": f"int f{i}() {{ return {i}; }}", "func_src_after": f"int f{i}() {{ return -{i}1; }}", "vul_type": "CWE-22", "commit_link": "l", "file_name": "x.c" if i else "x.py"}) + "\n")
     json.dump(TREE, open(f"{root}/tree.json", "w"))
-    open(f"{root}/run.yaml", "w").write(f"datasets: [sven]\nclean:\n  min_length: 5\ntransform:\n  max_per_group: 3\nsource: {root}/raw\nout: {root}/out\ntaxonomy: {root}/tree.json\nother: 1\n")
+    open(f"{root}/run.yaml", "w").write(f"datasets: [sven]\nclean:\n  min_length: 5\ntransform:\n  max_per_group: 3\nsource: {root}/raw\nout: {root}/out\ntaxonomy: {root}/tree.json\n")
     config = pipeline.Config.from_yaml(f"{root}/run.yaml")
-    assert config.min_length == 5 and config.max_per_group == 3 and "other" in config.extra
+    assert config.min_length == 5 and config.max_per_group == 3
+    open(f"{root}/bad.yaml", "w").write("clean:\n  min_lenght: 5\n")
+    with pytest.raises(ValueError, match="min_lenght"):
+        pipeline.Config.from_yaml(f"{root}/bad.yaml")
+    for wrong in ({"url_validation": True}, {"cluster_method": "kmeans"}, {"cluster_method": "x"}, {"dedup": "x"}):
+        with pytest.raises(ValueError, match="url_cache|embeddings|cluster_method|dedup"):
+            pipeline.Config(**wrong).check()
     assert [tuple(r) for r in pipeline.run(spark, config).collect()] == [("c/c++", "CWD-1004", 3)]
     assert os.path.isdir(f"{root}/out/benchmark") and os.path.isdir(f"{root}/out/samples")
     with pytest.raises(RuntimeError, match="no dataset"):
-        pipeline.normalize(spark, pipeline.Config(source=f"{root}/none"))
+        pipeline.normalize(spark, pipeline.Config(source=f"{root}/none", out=f"{root}/none"))
+    asked = cli.parser().parse_args(["clean", "--set", "dedup=fixed", "min_length=3", "taxonomy=a=b"])
+    assert asked.set == [("dedup", "fixed"), ("min_length", 3), ("taxonomy", "a=b")]
+    assert cli.number(0, 1, float)("0.5") == 0.5
+    for text in ("2", "x", "-1"):
+        with pytest.raises(argparse.ArgumentTypeError):
+            cli.number(0, 1)(text)
     assert cli.parser().parse_args(["clean", "--limit", "3"]).limit == 3
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["clean", "--limit", "0"])
 
 
+def test_pipeline_with_cves_addresses_and_clusters(spark, tmp_path):
+    root = str(tmp_path)
+    os.makedirs(f"{root}/raw/sven/data_train_val/train")
+    os.makedirs(f"{root}/raw/sven/data_train_val/val")
+    entry = lambda i, repo: json.dumps({"func_src_before": f"int f{i}() {{ return {i}; }}", "func_src_after": f"int f{i}() {{ return -{i}1; }}", "vul_type": "CWE-22", "commit_link": f"https://github.com/o/{repo}/commit/a{i}", "file_name": "x.c"})
+    with open(f"{root}/raw/sven/data_train_val/train/cwe-1.jsonl", "w") as f:
+        f.write("\n".join([entry(i, "good") for i in range(6)] + [entry(6, "gone"), entry(7, "asked")]))
+    open(f"{root}/raw/sven/data_train_val/val/cwe-1.jsonl", "w").close()
+    with gzip.open(f"{root}/dump.sql.gz", "wt") as f:
+        f.write("INSERT INTO fixes VALUES('CVE-9','a1','r');\nINSERT INTO cve VALUES('CVE-9','d','d','[{''lang'': ''en'', ''value'': ''what went wrong''}]');\n")
+    json.dump(TREE, open(f"{root}/tree.json", "w"))
+    os.makedirs(f"{root}/cache")
+    open(f"{root}/cache/a.json", "w").write(json.dumps({"repo_key": "o/good", "valid": True, "status_code": 200}) + "\n")
+    calls = str(tmp_path / "calls")
+    os.makedirs(calls)
+
+    def ask(key):
+        open(f"{calls}/{key.replace('/', '-')}", "w").close()
+        return 200 if key == "o/asked" else 404
+
+    config = pipeline.Config(source=f"{root}/raw", out=f"{root}/out", taxonomy=f"{root}/tree.json", datasets=["sven"], url_validation=True, url_cache=f"{root}/cache", cvefixes_dump=f"{root}/dump.sql.gz")
+    pipeline.run(spark, config, ask)
+    found = spark.read.parquet(f"{root}/out/entries")
+    assert found.count() == 7 and not found.filter("entry.commit_url like '%gone%'").count()
+    assert [(r[0], r[1]) for r in found.filter("entry.CVE is not null").select("entry.CVE", "entry.review_message").collect()] == [("CVE-9", "what went wrong")]
+    assert sorted(os.listdir(calls)) == ["o-asked", "o-gone"]
+    assert {(r["repo_key"], r["valid"]) for r in spark.read.json(f"{root}/cache").collect()} == {("o/good", True), ("o/asked", True), ("o/gone", False)}
+    rows = spark.read.parquet(f"{root}/out/canonical")
+    rows.select("source", "row_id", F.array(F.when(F.col("code_before").rlike("return [0-3]"), 0.0).otherwise(9.0), F.lit(1.0)).cast("array<float>").alias("embedding")).write.parquet(f"{root}/vectors")
+    config.cluster_method, config.embeddings, config.max_per_group = "kmeans", f"{root}/vectors", 2
+    pipeline.run(spark, config)
+    picked = [r[0] for r in spark.read.parquet(f"{root}/out/entries").select("entry.vulnerable_code.context").collect()]
+    assert len(picked) == 2 and len({bool(re.search("return [0-3]", x)) for x in picked}) == 2
+
+
+def test_optimized_entries_are_written_back(spark, tmp_path):
+    side = lambda y: {"func": f"def f():\n    x = 1\n    y = {y}\n    z = x + y", "language": "python"}
+    entry = {"vulnerable_code": side(2), "benign_code": side(3), "other_data": "some_value"}
+    plain = {"vulnerable_code": "a\nb", "benign_code": "a\nc", "n": [1, {"k": None}]}
+    lines = [json.dumps(entry), "", "{broken", "[1]", json.dumps(plain), json.dumps({"vulnerable_code": "only", "benign_code": None})]
+    (tmp_path / "in.jsonl").write_text("\n".join(lines))
+    assert review.optimize_files(spark, str(tmp_path / "in.jsonl"), str(tmp_path / "out")) == 2
+    got = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "out")).collect()]
+    first = next(x for x in got if "other_data" in x)
+    assert first["_optimization"]["enabled"] and ">>>    3 |     y = 2" in first["vulnerable_code"]["context"] and ">>>    3 |     y = 3" in first["benign_code"]["context"]
+    assert first["vulnerable_code"]["_original_size"] == len(side(2)["func"]) * 2 and first["vulnerable_code"]["language"] == "python" and first["other_data"] == "some_value"
+    second = next(x for x in got if "n" in x)
+    assert second["n"] == plain["n"] and second["vulnerable_code"] == "       1 | a\n>>>    2 | b" and {"vulnerable_code": "only", "benign_code": None} in got
+    rows = spark.createDataFrame([(entry["vulnerable_code"], entry["benign_code"], 7), ({"func": "x", "language": "c"}, None, 8)], "vulnerable_code struct<func:string,language:string>, benign_code struct<func:string,language:string>, more int")
+    out = {r["more"]: r for r in review.optimized_entries(rows).collect()}
+    assert out[7]["vulnerable_code"]["context"] == first["vulnerable_code"]["context"] and out[7]["_optimization"]["original_size"] == first["_optimization"]["original_size"]
+    assert out[8]["_optimization"] is None and out[8]["vulnerable_code"]["func"] == "x" and out[8]["vulnerable_code"]["context"] is None
+
+
+def test_clients_with_a_backup():
+    seen = []
+
+    def down(prompt):
+        seen.append("down")
+        raise ConnectionError("down")
+
+    assert review.client(down, lambda p: seen.append("up") or p + "!", attempts=2, delay=0.0)("a") == "a!" and seen == ["down", "down", "up"]
+    with pytest.raises(ConnectionError):
+        review.client(down, down, attempts=1, delay=0.0)("a")
+
+
+def test_review_counters(spark):
+    rows = spark.createDataFrame([(i, "CWE-1", "a" if i else "bad", "b") for i in range(4)], "row_id long, CWE string, vulnerable string, benign string")
+
+    def generate(prompt):
+        if "bad" in prompt:
+            raise RuntimeError("down")
+        return '{"summary": "x"}'
+
+    left = review.pending(rows, rows.filter("row_id = 3").select("row_id"))
+    out = review.review(left, generate, {s: "{code_before}" for s in review.STAGES}, limit=2, attempts=2, delay=0.0)
+    assert {(r["row_id"], r["status"], r["calls"], r["regenerations"]) for r in out.collect()} == {(0, "failed", 2, 0), (1, "ok", 6, 1)}
+    assert tuple(review.review_stats(rows, out).first()) == (4, 2, 8, 1, 1)
+    report = review.quality_report(out).filter("metric = 'low_confidence'").orderBy("value").collect()
+    assert [r["value"] for r in report] == ["0", "1"]
+
+
+def test_merged_documents(spark):
+    first = spark.createDataFrame([('{"c": {"A": [{"n": 1}, {"n": 2}]}, "java": {"B": [{"n": 3}]}}',)], "document string")
+    second = spark.createDataFrame([('{"c": {"A": [{"n": 4, "x": [1]}], "C": [{"n": 5}]}}',)], "document string")
+    got = [tuple(r) for r in benchmark.merged(first, second).orderBy("language", "key", "pos").collect()]
+    assert got == [("c", "A", 0, '{"n":1}'), ("c", "A", 1, '{"n":2}'), ("c", "A", 2, '{"n":4,"x":[1]}'), ("c", "C", 0, '{"n":5}'), ("java", "B", 0, '{"n":3}')]
+
+
+def test_spot_check(spark):
+    checked = sampling.spot_check(spark.range(100).withColumnRenamed("id", "row_id"), F.col("row_id") % 4 == 0, 60)
+    assert checked.count() == 60 and tuple(sampling.tally(checked).first())[0] == 60 and sampling.tally(checked).first()["passed"] == checked.filter("row_id % 4 = 0").count()
+
+
+def test_classes_of_many_ids(spark, monkeypatch):
+    pairs = taxonomy.flatten(spark, TREE)[1]
+    rows = spark.createDataFrame([(1, ["CWE-79", "CWE-89", "CWE-22", "CWE-9"]), (2, []), (3, ["Unknown", "CWE-22"]), (4, ["CWE-22", "CWE-22"]), (5, ["CWE-9"])], "row_id long, cwes array<string>")
+    want = sorted(map(str, taxonomy.with_cwds(rows, pairs).collect()))
+    monkeypatch.setattr(taxonomy, "FEW", 0)
+    assert sorted(map(str, taxonomy.with_cwds(rows, pairs).collect())) == want
+
+
+def test_statistics(spark):
+    rows = spark.createDataFrame([(1, "b"), (2, "a"), (3, "a"), (4, None), (5, ""), (6, "Unknown"), (7, "b"), (8, "c")], "row_id long, cwe string")
+    got = stats.statistics(rows).first()
+    assert tuple(got)[:4] == (8, 5, 3, 5) and [tuple(x) for x in got["most_common"]] == [("b", 2), ("a", 2), ("", 2), ("Unknown", 1), ("c", 1)]
+    assert tuple(stats.statistics(rows.limit(0)).first())[:4] == (0, 0, 0, 0)
+
+
 def test_stream(spark, tmp_path):
     rows = six(spark).withColumn("arrived", F.lit("2024-01-01").cast("timestamp"))
     folder, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "cp"))
