@@ -16,7 +16,7 @@ from fissure.operators import sampling
 
 #: Rows of a group up to which one task clusters it. Larger groups are clustered as a whole too, in steps over all their rows.
 SHARD = 5000
-STARTS, ROUNDS = 3, 50
+STARTS, ROUNDS = 10, 50
 
 
 def kmeans(x: np.ndarray, k: int, seed: int = 42, starts: int = STARTS, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
@@ -24,9 +24,10 @@ def kmeans(x: np.ndarray, k: int, seed: int = 42, starts: int = STARTS, rounds:
     r, best = np.random.default_rng(seed), (np.inf, x[:1], np.zeros(len(x), int))
     for _ in range(starts):
         centers = x[r.integers(len(x))][None]
+        least = ((x - centers[0]) ** 2).sum(1)
         while len(centers) < k:
-            d = ((x[:, None] - centers[None]) ** 2).sum(2).min(1)
-            centers = np.concatenate([centers, x[r.choice(len(x), p=d / d.sum()) if d.sum() > 0 else r.integers(len(x))][None]])
+            centers = np.concatenate([centers, x[r.choice(len(x), p=least / least.sum()) if least.sum() > 0 else r.integers(len(x))][None]])
+            least = np.minimum(least, ((x - centers[-1]) ** 2).sum(1))
         of = np.full(len(x), -1)
         for _ in range(rounds):
             d = (x * x).sum(1)[:, None] - 2 * x @ centers.T + (centers * centers).sum(1)[None]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fissure.functions import code, cwe, udfs
 from fissure.operators import benchmark, cluster, review, sampling, stats, taxonomy
 from fissure.plans.bridge import classed, cleaned, nodes, pairs, query, read, vuln_rows
+from fissure.plans.rows import EXCERPTS, LINES
 
 
 def normed(spark, sf_dir):
@@ -35,9 +36,10 @@ def a06_counts(spark, sf_dir):
     return stats.counts(vuln_rows(spark, sf_dir), exclude_unknown=True)
 
 
-@query("a07_statistics", "SELECT count(*) AS total, count(DISTINCT cwe) AS distinct_ids, count(*) FILTER (cwe IN ('', 'Unknown')) AS unknown, count(*) FILTER (cwe NOT IN ('', 'Unknown')) AS valid FROM vuln_rows")
+@query("a07_statistics", """SELECT count(*) AS total, count(DISTINCT cwe) AS distinct_ids, count(*) FILTER (cwe IN ('', 'Unknown')) AS unknown, count(*) FILTER (cwe NOT IN ('', 'Unknown'))  AS valid,
+        (SELECT string_agg(cwe || ':' || n, ',' ORDER BY n DESC, first_row) FROM (SELECT cwe, count(*) AS n, min(row_id) AS first_row FROM vuln_rows GROUP BY cwe ORDER BY n DESC, first_row LIMIT 10)) AS most_common FROM vuln_rows""")
 def a07_statistics(spark, sf_dir):
-    return stats.statistics(vuln_rows(spark, sf_dir))
+    return stats.statistics(vuln_rows(spark, sf_dir)).withColumn("most_common", F.array_join(F.transform("most_common", lambda x: F.concat_ws(":", x["id"], x["n"].cast("string"))), ","))
 
 
 @query("l01_most_common", "SELECT cwe, count(*) AS n FROM vuln_rows GROUP BY cwe ORDER BY n DESC, min(row_id) LIMIT 10")
@@ -142,7 +144,10 @@ def a19_function_stats(spark, sf_dir):
     return stats.function_stats(vuln_rows(spark, sf_dir), udfs.function_count(raw, "language"))
 
 
-@query("a20_optimization_stats")
+@query("a20_optimization_stats", EXCERPTS + """
+    , t AS (SELECT count(*) AS total_entries, count(*) FILTER (optimized) AS optimized_entries, CAST(sum(original_size) FILTER (optimized) AS BIGINT) AS total_original_size, CAST(sum(optimized_size) FILTER (optimized) AS BIGINT) AS total_optimized_size FROM y)
+    SELECT *, optimized_entries / total_entries AS optimization_rate, (total_original_size - total_optimized_size) / total_original_size AS overall_reduction_ratio, CAST(trunc((total_original_size - total_optimized_size) / 4) AS BIGINT) AS estimated_token_savings FROM t
+""")
 def a20_optimization_stats(spark, sf_dir):
     rows = vuln_rows(spark, sf_dir).withColumnsRenamed({"code_before": "vulnerable_code", "code_after": "benign_code"})
     return stats.optimization_stats(review.optimize(rows))
@@ -247,11 +252,20 @@ def m11_pool_then_diverse(spark, sf_dir):
     return sampling.diverse(pool(spark, sf_dir), ["source"], 10, "total_lines").select("source", "row_id")
 
 
-@query("m05_kmeans", "SELECT label, CAST(least(count(*), 10) AS BIGINT) AS at_most FROM embeddings GROUP BY label")
+#: Points around well separated centres, along four of the axes: the member that is nearest to its cluster's mean is known.
+SEPARATE = """
+    , v AS (SELECT label, vec_id, vec_id % 4 AS c, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+    sized AS (SELECT *, count(*) OVER (PARTITION BY label) AS n FROM v),
+    moved AS (SELECT *, list_transform(range(1, 65), lambda i: e[i] / 4 + CASE WHEN i = c + 1 THEN 40 ELSE 0 END) AS m FROM sized),
+    parts AS (SELECT label, c, i, avg(m[i]) AS centre FROM moved, (SELECT unnest(range(1, 65)) AS i) GROUP BY ALL),
+    near AS (SELECT k.label, k.c, vec_id, n, sum((m[i] - centre) ** 2) AS d FROM moved k JOIN parts p ON k.label = p.label AND k.c = p.c GROUP BY ALL)
+"""
+
+
+@query("m05_kmeans", SEPARATE + " SELECT label, arg_min(vec_id, d) AS row_id FROM near GROUP BY label, c")
 def m05_kmeans(spark, sf_dir):
-    rows = read(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("row_id"), "embedding")
-    picked = cluster.representatives(rows, ["label"], 10)
-    return picked.groupBy("label").agg(F.count("*").alias("at_most"))
+    rows = read(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("row_id"), F.expr("transform(embedding, (x, i) -> cast(x as double) / 4 + if(i = vec_id % 4, 40, 0))").alias("embedding"))
+    return cluster.representatives(rows, ["label"], 4)
 
 
 @query("m05_representatives")
@@ -297,9 +311,16 @@ def t01_entries(spark, sf_dir):
     return found.select("row_id", "source", "language", "cwd", F.col("entry.CWE").alias("cwe"), "entry.commit_url", F.size("entry.other_CWEs").cast("long").alias("n_others"), F.length("entry.vulnerable_code.context").cast("long").alias("vulnerable_chars"))
 
 
-@query("t02_entries_full", "SELECT row_id, language, cwd FROM classed")
+@query("t02_entries_full", f"""
+    , l AS (SELECT *, {LINES.format('code_before')} AS b, {LINES.format('code_after')} AS a FROM classed)
+    SELECT row_id, language, cwd, sha256(code_before) AS vulnerable, sha256(code_after) AS benign, array_to_string(a[greatest(1, len(a) - 2):], chr(10)) AS hunk, 'https://' || commit_url AS commit_url
+    FROM l
+""")
 def t02_entries_full(spark, sf_dir):
-    return entries(spark, sf_dir, keep_classless=True, with_hunks=True).select("row_id", "language", "cwd")
+    """Whole entries: comments looked for, functions counted, hunks of every pair; code as digests."""
+    found = entries(spark, sf_dir, keep_classless=True, with_hunks=True)
+    side = lambda name: F.sha2(F.col(f"entry.{name}.context"), 256)
+    return found.select("row_id", "language", "cwd", side("vulnerable_code").alias("vulnerable"), side("benign_code").alias("benign"), F.array_join(F.flatten("entry.benign_code.lines"), "\n").alias("hunk"), "entry.commit_url")
 
 
 @query("k02_nested_round_trip", "SELECT language, cwd, CAST(row_number() OVER (PARTITION BY language, cwd ORDER BY row_id) - 1 AS INTEGER) AS pos, primary_cwe AS cwe, source FROM classed WHERE cwd IS NOT NULL")
@@ -370,8 +391,8 @@ def v01_reviews(spark, sf_dir):
     return vuln_rows(spark, sf_dir).select("row_id", udfs.review_check(raw, F.lit("CWE-1")).alias("r")).select("row_id", "r.valid", F.size("r.issues").alias("n_issues"), "r.regenerate")
 
 
-def reviewed(spark, sf_dir):
-    rows = vuln_rows(spark, sf_dir).select("row_id", F.col("cwe").alias("CWE"), F.col("code_before").alias("vulnerable"), F.col("code_after").alias("benign"))
+def reviewed(spark, sf_dir, rows=None):
+    rows = (vuln_rows(spark, sf_dir) if rows is None else rows).select("row_id", F.col("cwe").alias("CWE"), F.col("code_before").alias("vulnerable"), F.col("code_after").alias("benign"))
 
     def generate(prompt: str) -> str:
         import json
@@ -383,14 +404,36 @@ def reviewed(spark, sf_dir):
     return review.review(rows, generate, {s: "{code_after}" for s in review.STAGES}, delay=0.0)
 
 
-@query("v05_reviewed", "SELECT row_id, CASE WHEN code_after LIKE '% fixed' THEN 'ok' ELSE 'failed' END AS status FROM vuln_rows WHERE code_after LIKE '% fixed' OR code_after NOT LIKE '%fixed%'")
+#: The reply tells the prompt's length. Its confidence stays low where there is an id, which it doesn't name; then each of the three stages is asked for twice.
+REVIEWS = """
+    , w AS (SELECT row_id, code_after, code_after LIKE '%fixed%' AND cwe <> '' AS again, CASE WHEN code_after LIKE '%fixed%' THEN 'ok' ELSE 'failed' END AS status FROM vuln_rows)
+"""
+
+
+@query("v05_reviewed", REVIEWS + """
+    SELECT row_id, status, CASE WHEN status = 'ok' THEN CAST(length(code_after) AS BIGINT) END AS length, CASE WHEN status = 'failed' THEN 'nothing to say' END AS error, CAST(CASE WHEN again THEN 6 ELSE 3 END AS INTEGER) AS calls, CAST(again AS INTEGER) AS regenerations FROM w
+""")
 def v05_reviewed(spark, sf_dir):
-    return reviewed(spark, sf_dir).select("row_id", "status")
+    got = lambda path: F.get_json_object("review", path)
+    return reviewed(spark, sf_dir).select("row_id", "status", got("$.code_review.length").cast("long").alias("length"), got("$.error").alias("error"), "calls", "regenerations")
 
 
-@query("a21_quality_report")
+@query("a25_review_stats", REVIEWS + "SELECT count(*) AS total_processed, count(*) FILTER (row_id % 4 = 0) AS cache_hits, CAST(sum(CASE WHEN row_id % 4 = 0 THEN 0 WHEN again THEN 6 ELSE 3 END) AS BIGINT) AS api_calls, count(*) FILTER (row_id % 4 <> 0 AND status = 'failed') AS failures, count(*) FILTER (row_id % 4 <> 0 AND again) AS regenerations FROM w")
+def a25_review_stats(spark, sf_dir):
+    rows = vuln_rows(spark, sf_dir)
+    left = review.pending(rows, rows.filter("row_id % 4 = 0"))
+    return review.review_stats(rows, reviewed(spark, sf_dir, left))
+
+
+@query("a21_quality_report", REVIEWS + """
+    SELECT 'severity' AS metric, CASE WHEN status = 'ok' THEN 'HIGH' ELSE 'UNKNOWN' END AS value, count(*) AS n FROM w GROUP BY ALL
+    UNION ALL SELECT 'fix_quality', CASE WHEN status = 'ok' THEN 'GOOD' ELSE 'UNKNOWN' END, count(*) FROM w GROUP BY ALL
+    UNION ALL SELECT 'confidence', 'average', count(*) FROM w
+    UNION ALL SELECT 'confidence', 'low', count(*) FROM w
+    UNION ALL (SELECT 'low_confidence', CAST(row_id AS VARCHAR), 1 FROM w ORDER BY status, NOT again, row_id LIMIT 20)
+""")
 def a21_quality_report(spark, sf_dir):
-    return review.quality_report(reviewed(spark, sf_dir))
+    return review.quality_report(reviewed(spark, sf_dir)).select("metric", "value", "n")
 
 
 @query("f15_pending", "SELECT row_id FROM vuln_rows WHERE row_id NOT IN (SELECT row_id FROM cleaned)")

@@ -9,10 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fissure.functions import code, cwe, text
+from fissure.functions import code, cwe, text, udfs
 from fissure.operators import benchmark, cluster, review, sampling, stats, taxonomy
 from fissure.plans.bridge import classed, cleaned, nodes, pairs, query, read, vuln_rows
-from fissure.plans.groups import entries, scored
+from fissure.plans.groups import SEPARATE, entries, scored
 from fissure.sources import datasets, files, sinks
 
 
@@ -120,6 +120,17 @@ def u02_merged(spark, sf_dir):
     return found.unionByName(found.filter("row_id % 2 = 0")).groupBy("language", "cwd").agg(F.count("*").alias("n"))
 
 
+@query("u02_documents", """
+    , g AS (SELECT language, cwd AS key, row_id, 0 AS turn FROM classed WHERE cwd IS NOT NULL UNION ALL SELECT language, cwd, row_id, 1 FROM classed WHERE cwd IS NOT NULL AND row_id % 2 = 0)
+    SELECT language, key, CAST(row_number() OVER (PARTITION BY language, key ORDER BY turn, row_id) - 1 AS INTEGER) AS pos, 'https://github.com/org' || (row_id % 20) || '/repo/commit/' || left(md5(CAST(row_id AS VARCHAR)), 12) AS commit_url FROM g
+""")
+def u02_documents(spark, sf_dir):
+    """Two nested documents merged key by key."""
+    found = entries(spark, sf_dir, strip_comments=False, single_function=False)
+    both = benchmark.merged(benchmark.nested(found), benchmark.nested(found.filter("row_id % 2 = 0")))
+    return both.select("language", "key", "pos", F.get_json_object("item", "$.commit_url").alias("commit_url"))
+
+
 @query("p14_levels", "SELECT category, level, count(*) AS n, min(name) AS first_name FROM nodes GROUP BY ALL")
 def p14_levels(spark, sf_dir):
     return nodes(spark, sf_dir).groupBy("category", "level").agg(F.count("*").alias("n"), F.min("name").alias("first_name"))
@@ -203,16 +214,27 @@ def w07_carried(spark, sf_dir):
     return read(spark, sf_dir, "conversations").select("conv_id", "turn", "role").distinct().select("conv_id", "turn", F.last(F.when(F.col("role") == "user", F.col("turn")), True).over(w).alias("last_user_turn"))
 
 
-@query("m06_method_fallback", "SELECT label, count(*) AS n FROM embeddings GROUP BY label HAVING count(*) <= 1000000")
+@query("m06_method_fallback", SEPARATE + """
+    , missing AS (SELECT label FROM embeddings WHERE vec_id = 3),
+    drawn AS (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || vec_id), vec_id) AS rn FROM embeddings WHERE label IN (FROM missing))
+    SELECT label, arg_min(vec_id, d) AS row_id FROM near WHERE label NOT IN (FROM missing) GROUP BY label, c UNION ALL SELECT label, vec_id FROM drawn WHERE rn <= 4
+""")
 def m06_method_fallback(spark, sf_dir):
-    """Groups in which one embedding is missing fall back to the stratified sample; both keep groups below the cap whole."""
-    rows = read(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("row_id"), F.when(F.col("vec_id") != 3, F.col("embedding")).alias("embedding"), F.lit("s").alias("source"))
-    return cluster.select(rows, ["label"], 1_000_000).groupBy("label").agg(F.count("*").alias("n"))
+    """Four rows of each group: by clusters, but by a stratified sample in the group in which one embedding is missing."""
+    rows = read(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("row_id"), F.expr("if(vec_id <> 3, transform(embedding, (x, i) -> cast(x as double) / 4 + if(i = vec_id % 4, 40, 0)), null)").alias("embedding"), F.lit("s").alias("source"))
+    return cluster.select(rows, ["label"], 4).select("label", "row_id")
+
+
+@query("m15_tally", "SELECT count(*) AS checked, count(*) FILTER (row_id % 3 = 0) AS passed, count(*) FILTER (row_id % 3 <> 0) AS failed FROM (SELECT row_id, row_number() OVER (ORDER BY md5('7:' || row_id), row_id) AS rn FROM vuln_rows) WHERE rn <= 60")
+def m15_tally(spark, sf_dir):
+    """Of 60 random rows those whose code has just one function."""
+    snippet = F.expr("if(row_id % 3 = 0, 'int f(int a) { return a; }', 'int f(void) { }  int g(void) { }')")
+    return sampling.tally(sampling.spot_check(vuln_rows(spark, sf_dir), udfs.function_count(snippet, F.lit("c")) == 1))
 
 
 @query("m15_spot_check", "SELECT row_id FROM (SELECT row_id, row_number() OVER (ORDER BY md5('7:' || row_id), row_id) AS rn FROM vuln_rows) WHERE rn <= 60")
 def m15_spot_check(spark, sf_dir):
-    return vuln_rows(spark, sf_dir).orderBy(sampling.shuffled(7), "row_id").limit(60).select("row_id")
+    return sampling.spot_check(vuln_rows(spark, sf_dir), F.lit(True)).select("row_id")
 
 
 @query("m12_size_tiers", "SELECT source, count(*) AS n, CASE WHEN count(*) >= 5000 THEN 'large' WHEN count(*) >= 100 THEN 'medium' ELSE 'small' END AS tier FROM vuln_rows GROUP BY source")

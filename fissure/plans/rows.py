@@ -155,22 +155,71 @@ def p50_replies(spark, sf_dir):
     return vuln_rows(spark, sf_dir).select("row_id", udfs.parse_reply(raw).alias("reply"))
 
 
-@query("p34_comments", """
-    SELECT row_id, CASE WHEN row_id % 7 IN (0, 1, 2, 3, 4) THEN 'int f(int a) { return a; } ' || chr(10) || chr(10) || 'int x = ' || row_id || ';' ELSE 'int f(int a) { return a; } // end' || chr(10) || chr(10) || '/* note' || chr(10) || ' */' || chr(10) || 'int x = ' || row_id || ';' END AS code,
-        CAST(CASE WHEN row_id % 7 IN (0, 1, 2, 3, 4) THEN 1 ELSE -1 END AS INTEGER) AS functions
-    FROM vuln_rows
-""")
-def p34_comments(spark, sf_dir):
-    raw = F.expr("concat('int f(int a) { return a; } // end\n\n/* note\n */\nint x = ', row_id, ';')")
-    return vuln_rows(spark, sf_dir).select("row_id", udfs.stripped(raw, "language").alias("k")).select("row_id", "k.code", "k.functions")
 
 
-@query("p29_signatures", """
-    SELECT row_id, CASE WHEN row_id % 7 = 5 THEN 'f' || row_id || '(a, b) -> int' ELSE 'g' || row_id || '(int a, char b) -> char *' END AS signature FROM vuln_rows
-""")
+#: Language, head of a function (# stands for the row number) and its prototype. Each head stands before the row's text.
+HEADS = [
+    ("C", "#include <stdio.h>\n/* a ( comment */\nstatic inline char *g#(int  a,\n  char b)\n{", "g#(int a, char b) -> char *"),
+    ("c", "if (x) { y(); }\nunsigned long long *const *h#(void (*cb)(int, int), size_t n) {", "h#(void (*cb)(int, int), size_t n) -> unsigned long long *const *"),
+    ("C++", "virtual std::vector<int> &Foo::bar#(const std::string &s , T t) const override {", "Foo::bar#(const std::string &s, T t) -> std::vector<int> &"),
+    ("cpp", "template <class T>\nauto f#(T a) -> std::map<int, T> {", "f#(T a) -> std::map<int, T>"),
+    ("java", "@Override\npublic static final List<String> main#(String[] args) throws E {", "main#(String[] args) -> List<String>"),
+    ("C#", "internal static async Task<int> Run#(int a, // note\n  int b)\n{", "Run#(int a, int b) -> internal static async Task<int>"),
+    ("csharp", "public sealed override void Close#() {", "Close#() -> void"),
+    ("objc", "static void Log#(NSString *s, int n) {", "Log#(NSString *s, int n) -> void"),
+    ("objective-c++", "extern int Mix#(id a) {", "Mix#(id a) -> int"),
+    ("swift", "public func go#(a: Int, b: [String]) -> [Int: String] {", "go#(a: Int, b: [String]) -> [Int: String]"),
+    ("scala", "def add#(a: Int, b: Int): Int = {", "add#(a: Int, b: Int) -> def"),
+    ("kotlin", "private fun sum#(a: Int, b: Int): Int {", "sum#(a: Int, b: Int) -> fun"),
+    ("perl", "sub say#($x, $y) {", "say#($x, $y) -> sub"),
+    ("vb", "Public Function Get#(ByVal a As Integer) As String", "Get#(ByVal a As Integer) -> Function"),
+    ("python", "@decorated\ndef f#(a ,\n  b=1, *args) -> dict:\n", "f#(a, b=1, *args) -> dict"),
+    ("ruby", "def ok#?(a, b)\n", "ok#?(a, b)"),
+    ("go", "// note\nfunc (s *Server) Serve#(a int, b string) (int, error) {", "Server.Serve#(a int, b string) -> (int, error)"),
+    ("rust", "fn map#<T>(a: T, b: &str) -> Vec<T> where T: Copy {", "map#(a: T, b: &str) -> Vec<T>"),
+    ("php", "public static function show#($a, array $b): ?string {", "show#($a, array $b) -> ?string"),
+    ("JavaScript", "async function load#(url, {a, b}) {", "load#(url, {a, b})"),
+    ("javascriptreact", "render#(props) {", "render#(props)"),
+    ("TypeScript", "get#(a: number, b?: string): Promise<void> {", "get#(a: number, b?: string) -> Promise<void>"),
+]
+
+
+def escaped(text: str) -> str:
+    """As a Spark literal: backslashes and line feeds by their escapes."""
+    return text.replace("\\", "\\\\").replace("\n", "\\n")
+
+
+def by_row(values: list[str]) -> str:
+    """SQL for both engines: the value of a row by its number, # being that number."""
+    cases = " ".join(f"WHEN {i} THEN '" + v.replace("'", "''") + "'" for i, v in enumerate(values))
+    return f"replace(CASE row_id % {len(values)} {cases} END, '#', CAST(row_id AS STRING))"
+
+
+@query("p29_signatures", "SELECT row_id, " + by_row([h[2] for h in HEADS]) + " AS signature FROM vuln_rows")
 def p29_signatures(spark, sf_dir):
-    raw = F.expr("case when row_id % 7 = 5 then concat('def f', row_id, '(a ,b) -> int:\n', code_before) else concat('static inline char *g', row_id, '(int  a,\n  char b)\n{ ', code_before, '}') end")
-    return vuln_rows(spark, sf_dir).select("row_id", udfs.signature(raw, "language").alias("signature"))
+    language, head = F.expr(by_row([h[0] for h in HEADS])), F.expr(by_row([escaped(h[1]) for h in HEADS]))
+    return vuln_rows(spark, sf_dir).select("row_id", udfs.signature(F.concat(head, F.lit("\n"), "code_before", F.lit("\n}")), language).alias("signature"))
+
+
+#: Language, code, the code without comments, and its functions.
+COMMENTED = [
+    ("c", "int f#(int a) { return a; } // end\n\n/* note\n */\nint x = #;", "int f#(int a) { return a; } \n\nint x = #;", 1),
+    ("c", 'char *s = "/* no */ // no"; /* yes */\nint g(void)\n{\n  return 1; // one\n}\n\n\n\nstatic void h(int n) { }\n', 'char *s = "/* no */ // no"; \nint g(void)\n{\n  return 1; \n}\n\nstatic void h(int n) { }', 2),
+    ("cpp", "class A {\n public:\n  A() : x(1) {} // one\n  int get() const { return x; }\n  int x = 1;\n};\n", "class A {\n public:\n  A() : x(1) {} \n  int get() const { return x; }\n  int x = 1;\n};", 2),
+    ("C++", "int a; // goes on \\\n and on\nint b;", "int a; \nint b;", 0),
+    ("java", "/** doc\n * @param x #\n */\nclass B {\n  B() { }\n  int f(int x) { return x; }\n  abstract int g(int y);\n}", "class B {\n  B() { }\n  int f(int x) { return x; }\n  abstract int g(int y);\n}", 3),
+    ("Java", "// only a comment", "", 0),
+    ("java", "interface C { int a(); /* b */ int b(); }", "interface C { int a();  int b(); }", 2),
+    ("python", "# x\ndef f():\n    pass  // y", "# x\ndef f():\n    pass  // y", -1),
+    ("ruby", "// x", "// x", -1),
+    ("c", "int y = #;\n\n\n\nint z;", "int y = #;\n\n\n\nint z;", 0),
+]
+
+
+@query("p34_comments", "SELECT row_id, " + by_row([c[2] for c in COMMENTED]) + f" AS code, CAST([{', '.join(str(c[3]) for c in COMMENTED)}][row_id % {len(COMMENTED)} + 1] AS INTEGER) AS functions FROM vuln_rows")
+def p34_comments(spark, sf_dir):
+    language, raw = F.expr(by_row([c[0] for c in COMMENTED])), F.expr(by_row([escaped(c[1]) for c in COMMENTED]))
+    return vuln_rows(spark, sf_dir).select("row_id", udfs.stripped(raw, language).alias("k")).select("row_id", "k.code", "k.functions")
 
 
 CHANGED = f"""
@@ -209,13 +258,49 @@ def x02_optimized(spark, sf_dir):
     return review.optimize(rows).select("row_id", "opt.optimized", "opt.original_size", "opt.note", "opt.changed_line_count")
 
 
-@query("x03_excerpts")
-def x03_excerpts(spark, sf_dir):
-    rows = vuln_rows(spark, sf_dir).withColumnsRenamed({"code_before": "vulnerable_code", "code_after": "benign_code"})
-    return review.optimize(rows).select("row_id", "opt.vulnerable_code", "opt.benign_code", "opt.reduction_ratio", "opt.optimized_size")
+#: The pairs differ in their last line, or by one more line, or not at all: both sides as the lines around it, numbered.
+EXCERPTS = r"""
+    , s AS (SELECT row_id, code_before, code_after, string_split(b, chr(10)) AS old, string_split(a, chr(10)) AS new, code_before <> '' AND code_after <> '' AS whole, a = b AS same, b = '' AS none FROM strips),
+    e AS (
+        SELECT *,
+            array_to_string(list_transform(range(greatest(1, len(old) - 5), len(old) + 1), lambda i: CASE WHEN i = len(old) THEN '>>> ' ELSE '    ' END || printf('%4d', i) || ' | ' || old[i]), chr(10)) AS old_cut,
+            array_to_string(list_transform(range(greatest(1, len(new) - 5), len(new) + 1), lambda i: CASE WHEN i = len(new) THEN '>>> ' ELSE '    ' END || printf('%4d', i) || ' | ' || new[i]), chr(10)) AS new_cut,
+            CASE WHEN length(code_before) > 200 THEN left(code_before, 200) || '...' ELSE code_before END AS old_short, CASE WHEN length(code_after) > 200 THEN left(code_after, 200) || '...' ELSE code_after END AS new_short
+        FROM s),
+    x AS (
+        SELECT row_id, whole AS optimized, length(code_before) + length(code_after) AS original_size,
+            CASE WHEN NOT whole THEN code_before WHEN same THEN old_short WHEN none THEN '' ELSE old_cut END AS vulnerable_code, CASE WHEN NOT whole THEN code_after WHEN same THEN new_short ELSE new_cut END AS benign_code
+        FROM e),
+    y AS (SELECT *, CASE WHEN optimized THEN length(vulnerable_code) + length(benign_code) ELSE original_size END AS optimized_size FROM x)
+"""
 
 
-@query("x04_diffs")
+@query("x03_excerpts", EXCERPTS + " SELECT row_id, vulnerable_code, benign_code, CAST(optimized_size AS BIGINT) AS optimized_size FROM y")
+def x03_excerpts(spark, sf_dir):
+    rows = vuln_rows(spark, sf_dir).withColumnsRenamed({"code_before": "vulnerable_code", "code_after": "benign_code"})
+    return review.optimize(rows).select("row_id", "opt.vulnerable_code", "opt.benign_code", "opt.optimized_size")
+
+
+@query("x10_written_back", EXCERPTS + " SELECT row_id, vulnerable_code, benign_code, CASE WHEN optimized THEN CAST(original_size AS BIGINT) END AS original_size FROM y")
+def x10_written_back(spark, sf_dir):
+    """Entries as JSON lines, optimized line by line and read again."""
+    rows = vuln_rows(spark, sf_dir).select(F.to_json(F.struct("row_id", F.struct(F.col("code_before").alias("func"), F.lit(1).alias("kept")).alias("vulnerable_code"), F.col("code_after").alias("benign_code"))).alias("value"))
+    back = F.from_json(udfs.optimized_line("value"), "row_id long, vulnerable_code struct<context:string,func:string,_original_size:long>, benign_code string")
+    read_ = rows.select(back.alias("e")).select("e.*")
+    return read_.select("row_id", F.coalesce("vulnerable_code.context", "vulnerable_code.func").alias("vulnerable_code"), "benign_code", F.col("vulnerable_code._original_size").alias("original_size"))
+
+
+@query("x04_diffs", CHANGED + r"""
+    , d AS (
+        SELECT row_id, code_before, code_after, a, b, len(a) > len(b) AS more, code_before LIKE '%' || chr(10) AS ended, greatest(1, len(b) - 3 + CASE WHEN len(a) > len(b) THEN 1 ELSE 0 END) AS first FROM l),
+    h AS (SELECT *, len(b) - first + 1 AS n_old, len(a) - first + 1 AS n_new FROM d),
+    u AS (
+        SELECT row_id, CASE WHEN code_before = '' OR code_after = '' THEN '' WHEN code_before = code_after THEN 'No changes detected' ELSE
+            '--- vulnerable.c' || chr(10) || '+++ fixed.c' || chr(10) || '@@ -' || first || CASE WHEN n_old = 1 THEN '' ELSE ',' || n_old END || ' +' || first || CASE WHEN n_new = 1 THEN '' ELSE ',' || n_new END || ' @@' || chr(10)
+            || array_to_string(list_concat(list_transform(b[first:CASE WHEN more THEN len(b) ELSE len(b) - 1 END], lambda x: ' ' || x || chr(10)), CASE WHEN more THEN CAST([] AS VARCHAR[]) ELSE ['-' || b[len(b)]] END, ['+' || a[len(a)]]), chr(10)) END AS diff
+        FROM h)
+    SELECT row_id, diff AS unified, diff AS compact FROM u
+""")
 def x04_diffs(spark, sf_dir):
     return vuln_rows(spark, sf_dir).select("row_id", udfs.diff_texts("code_before", "code_after").alias("d")).select("row_id", "d.*")
 
@@ -404,7 +489,12 @@ def a23_signature_totals(spark, sf_dir):
     return dedup.totals(first_lines(spark, sf_dir))
 
 
-@query("j10_manifest")
+@query("j10_manifest", r"""
+    , k AS (
+        SELECT *, regexp_replace(array_to_string(list_transform(string_split(code_before, chr(10)), lambda x: regexp_replace(x, '[\s\p{Z}\x{0b}\x{85}\x{1c}-\x{1f}]+$', '')), chr(10)), '^[\s\p{Z}\x{0b}\x{85}\x{1c}-\x{1f}]+|[\s\p{Z}\x{0b}\x{85}\x{1c}-\x{1f}]+$', '', 'g') AS c FROM vuln_rows)
+    SELECT source AS dataset, row_id AS row, 'f' || row_id || '(int a) -> int' AS signature, cwe, CASE WHEN code_before = '' THEN '' ELSE sha256(replace(replace(replace(c, chr(92), chr(92) || chr(92)), chr(9), chr(92) || 't'), chr(10), chr(92) || 'n')) END AS code_before_hash FROM k
+""")
 def j10_manifest(spark, sf_dir):
-    rows = vuln_rows(spark, sf_dir)
-    return dedup.checked_manifest(rows, dedup.manifest(rows))
+    """Manifest lines of rows whose fixed side begins with a function's head."""
+    rows = vuln_rows(spark, sf_dir).withColumn("code_after", F.concat(F.lit("int f"), "row_id", F.lit("(int  a)\n{ "), "code_after")).withColumn("language", F.lit("c"))
+    return dedup.checked_manifest(rows, dedup.manifest(rows)).select("dataset", "row", "signature", "cwe", "code_before_hash")
