@@ -50,9 +50,105 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read(spark, sf_dir, "documents"), with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_simhash, op3_topk, op4_quality, op5_licenses, op6_sharding, op7_suffixes, op8_secrets, op9_mixing, op10_bpe)}
+def tokens_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections of every text, whose tokens add up to the document's."""
+    rows = token_counts.section_token_counts(read(spark, sf_dir, "documents"))
+    whole = rows.groupBy("doc_id").agg(F.sum("n_tokens").alias("total"))
+    return rows.join(whole, "doc_id").select("doc_id", "section", "start_char", "end_char", (F.abs(F.col("total") - F.col("doc_tokens")) < 1e-6).alias("adds_up"))
 
+
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_quality(spark, sf_dir).select("doc_id", *quality.COUNTS, "base_failed", (F.col("kept") & F.col("base_failed")).alias("kept_though_failed"))
+
+
+def licenses_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_licenses(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+def sharding_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes, whether equal texts share a shard, and whether the slots of the row's shard are 0, 1, 2 and so on."""
+    rows = sharding.shard(read(spark, sf_dir, "documents"))
+    texts = rows.groupBy("sha").agg((F.min("shard") == F.max("shard")).alias("together"))
+    shards = rows.groupBy("shard").agg(((F.count("*") == F.count_distinct("slot")) & (F.max("slot") == F.count("*") - 1) & (F.min("slot") == 0)).alias("gapless"))
+    return rows.join(texts, "sha").join(shards, "shard").select("doc_id", "size", "together", (F.col("gapless") & F.col("shard").between(0, 15)).alias("gapless"))
+
+
+def suffixes_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_suffixes(spark, sf_dir).select("doc_id", "dup_words", "spans")
+
+
+def secrets_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_secrets(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+def mixing_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes and targets, whether a document stays within its limit, and whether its source comes within 3 % or 100 words of its target."""
+    rows = op9_mixing(spark, sf_dir).join(read(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    sums = rows.groupBy("source").agg(F.sum("taken").alias("words"), F.first("target").alias("aim")).select(F.col("source").alias("of"), (F.abs(F.col("words") - F.col("aim")) <= F.greatest(F.lit(100.0), F.col("aim") * 0.03)).alias("near"))
+    return rows.join(sums, F.col("source").eqNullSafe(F.col("of"))).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), F.col("taken").between(0, 3 * F.col("size")).alias("within"), "near")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_simhash, op3_topk, op4_quality, op5_licenses, op6_sharding, op7_suffixes, op8_secrets, op9_mixing, op10_bpe, tokens_base, quality_base, licenses_base, sharding_base, suffixes_base, secrets_base, mixing_base)}
+
+#: What the contracts fix beside the methods' own verdicts is compared with SQL by the queries that end in ``_base``.
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ASSIGN = r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 ORACLE_SQL = {
+    "tokens_base": """
+        WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents),
+        s AS (SELECT doc_id, unnest(range(1, len(p) + 1)) AS i, len(p) AS n, p FROM l),
+        e AS (SELECT doc_id, i, length(p[i]) + CASE WHEN i < n THEN 1 ELSE 0 END AS chars FROM s WHERE NOT (i = n AND n > 1 AND p[i] = ''))
+        SELECT doc_id, CAST(i - 1 AS INTEGER) AS section, CAST(sum(chars) OVER w - chars AS BIGINT) AS start_char, CAST(sum(chars) OVER w AS BIGINT) AS end_char, true AS adds_up
+        FROM e WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+    """,
+    "quality_base": rf"""
+        WITH d AS (SELECT doc_id, text, {WORDS} AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+        g AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+        c AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+        r AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM c, (SELECT unnest(range(5)) AS j) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+            CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, len(w) < 10 OR 100 * coalesce(r.n, 0) > 20 * len(w) AS base_failed, false AS kept_though_failed
+        FROM d LEFT JOIN r USING (doc_id)
+    """,
+    "licenses_base": rf"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        p AS (SELECT doc_id, len(w) AS n, list_filter(range(1, len(w) + 1), lambda i: w[i] = 'cc' AND w[i + 1] = 'by') AS a, list_filter(range(1, len(w) + 1), lambda i: w[i] = 'general' AND w[i + 1] = 'public' AND w[i + 2] = 'license') AS b,
+            list_filter(range(1, len(w) + 1), lambda i: w[i] = 'all' AND w[i + 1] = 'rights' AND w[i + 2] = 'reserved') AS c FROM d)
+        SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(a) + len(b) + len(c) AS BIGINT) AS n_base, CAST(list_min(list_concat(a, b, c)) - 1 AS BIGINT) AS first_word, CAST(list_max(list_concat(a, b, c)) - 1 AS BIGINT) AS last_word,
+            concat_ws(',', CASE WHEN len(a) > 0 THEN 'cc-by' END, CASE WHEN len(b) > 0 THEN 'gpl' END, CASE WHEN len(c) > 0 THEN 'reserved' END) AS base_labels
+        FROM p
+    """,
+    "sharding_base": "SELECT doc_id, CAST(coalesce(octet_length(encode(text)), 0) + 1 AS BIGINT) AS size, true AS together, true AS gapless FROM documents",
+    "suffixes_base": rf"""
+        WITH d AS (SELECT DISTINCT doc_id, text, {WORDS} AS w FROM documents),
+        g AS (SELECT doc_id, i, md5(array_to_string(w[i + 1:i + 50], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(len(w) - 49)) AS i FROM d)),
+        f AS (SELECT doc_id, i FROM g WHERE g IN (SELECT g FROM g GROUP BY g HAVING count(DISTINCT doc_id) > 1)),
+        n AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER w + 50 OR lag(i) OVER w IS NULL THEN 1 ELSE 0 END AS fresh FROM (SELECT DISTINCT doc_id, i FROM f) WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        k AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM n),
+        s AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM k GROUP BY doc_id, k)
+        SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS dup_words, string_agg(a || '-' || b, ',' ORDER BY a) AS spans FROM s GROUP BY doc_id
+    """,
+    "secrets_base": rf"""
+        SELECT doc_id, CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), '{ASSIGN}', 2), lambda x: length(x) >= 12)) AS BIGINT) AS n_assign,
+            CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 18)) AS BIGINT) AS n_access, CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda x: length(x) >= 16)) AS BIGINT) AS n_hex
+        FROM documents
+    """,
+    "mixing_base": rf"""
+        WITH RECURSIVE d AS (SELECT doc_id, source, len({WORDS}) AS size FROM documents),
+        s AS (SELECT source, sum(size)::DOUBLE AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source),
+        f AS (
+            SELECT 0 AS turn, CAST([] AS VARCHAR[]) AS full_, (SELECT sum(source_size) / sum(weight) FROM s) AS level
+            UNION ALL
+            SELECT turn + 1, over_, CASE WHEN w = 0 THEN level ELSE (SELECT sum(source_size) FROM s) / w - taken / w END FROM (
+                SELECT f.turn, f.full_, f.level, list(coalesce(source, chr(0))) FILTER (level * weight > 3 * source_size) AS over_, coalesce(sum(weight) FILTER (NOT level * weight > 3 * source_size), 0) AS w,
+                    coalesce(sum(3 * source_size) FILTER (level * weight > 3 * source_size), 0) AS taken
+                FROM f, s GROUP BY f.turn, f.full_, f.level)
+            WHERE len(over_) > len(full_)),
+        x AS (SELECT level FROM f ORDER BY turn DESC LIMIT 1)
+        SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, round(least(3 * source_size, level * weight), 3) AS target, true AS within, true AS near
+        FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source, x
+    """,
     "op3_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
