@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fissure.functions import code, cwe, languages, udfs, urls
 from fissure.functions.text import text
-from fissure.operators import taxonomy
+from fissure.operators import sampling, taxonomy
 
 EXCLUDED = ("crossvul", "bigvul")
 SIDE = "struct<context:string,class:string,func:string,lines:array<array<string>>>"
@@ -122,10 +122,7 @@ def nested(found: DataFrame, key: str = "cwd") -> DataFrame:
 
 def group_lines(found: DataFrame, key: str = "cwd") -> DataFrame:
     """The same without one row that holds all: (language, key, pos, line), ``line`` being the entry as JSON text."""
-    from pyspark.sql import Window
-
-    pos = F.row_number().over(Window.partitionBy("language", key).orderBy("row_id")).cast("int") - 1
-    return found.select("language", key, pos.alias("pos"), F.to_json("entry", {"ignoreNullFields": "false"}).alias("line"))
+    return sampling.numbered(found, ["language", key]).select("language", key, F.col("at").cast("int").alias("pos"), F.to_json("entry", {"ignoreNullFields": "false"}).alias("line"))
 
 
 def flattened(documents: DataFrame, outer_wins: bool = False) -> DataFrame:

@@ -16,6 +16,21 @@ def with_sizes(rows: DataFrame, group: list[str], name: str = "group_size") -> D
     return rows.join(counts, group)
 
 
+def numbered(rows: DataFrame, group: list[str], by: str | None = None, row: str = "row_id", block: int = 1 << 20) -> DataFrame:
+    """``rows`` with ``at``, their number from 0 in the order of ``by`` and ``row`` within their group, and ``of``, the group's size.
+
+    Rows are counted by value and block of row numbers; the counts give each block's first number, so that a window sorts one block of one value at a time, and rows are shuffled once.
+    """
+    parts = [*group, *([by] if by else []), "block"]
+    keyed = rows.withColumn("block", F.expr(f"`{row}` div {block}")).withColumn("block_key", F.struct(*parts))
+    counts = keyed.groupBy("block_key").agg(F.count("*").alias("n"))
+    inside = Window.partitionBy(*[f"block_key.{g}" for g in group])
+    before = F.sum("n").over(inside.orderBy(*[f"block_key.{c}" for c in parts[len(group) :]])) - F.col("n")
+    counts = counts.select("block_key", before.alias("before"), F.sum("n").over(inside).alias("of"))
+    turn = F.row_number().over(Window.partitionBy("block_key").orderBy(row)) - 1
+    return keyed.withColumn("turn", turn).join(counts, "block_key").withColumn("at", F.col("before") + F.col("turn")).drop("block", "block_key", "turn", "before")
+
+
 def size_class(n: Column, large: int = 5000, medium: int = 100) -> Column:
     return F.when(n >= large, "large").when(n >= medium, "medium").otherwise("small")
 
@@ -34,7 +49,7 @@ def stratified(rows: DataFrame, group: list[str], stratum: str, n: int, seed: in
     """Up to ``n`` rows of each group, by quota of each stratum."""
     allowed = quotas(rows, group, stratum, n).select(*group, stratum, "quota")
     turn = F.row_number().over(Window.partitionBy(*group, stratum).orderBy(shuffled(seed), "row_id"))
-    return rows.withColumn("turn", turn).join(allowed, [*group, stratum]).filter("turn <= quota").drop("turn", "quota")
+    return rows.withColumn("turn", turn).filter(F.col("turn") <= n).join(allowed, [*group, stratum]).filter("turn <= quota").drop("turn", "quota")
 
 
 def capped(rows: DataFrame, group: list[str], stratum: str, most: int = 300, seed: int = 42) -> DataFrame:
@@ -58,7 +73,7 @@ def top(rows: DataFrame, group: list[str], n: int, order: list[Column]) -> DataF
 
 def diverse(rows: DataFrame, group: list[str], n: int, by: str) -> DataFrame:
     """``n`` rows of each group in even steps of the order by ``by``; groups of up to ``n`` rows stay whole."""
-    rows = with_sizes(rows, group, "of").withColumn("at", F.row_number().over(Window.partitionBy(*group).orderBy(by, "row_id")) - 1)
+    rows = numbered(rows, group, by)
     step = F.col("of") / F.lit(float(n))
     nearest = F.floor((F.col("at") + 1 - step / 2) / step)
     hit = F.exists(F.array(nearest - 1, nearest, nearest + 1), lambda i: (i >= 0) & (i < n) & (F.floor(i * step + step / 2) == F.col("at")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,8 +18,11 @@ from fissure.sources import datasets, files, sinks
 
 
 def shared(spark, name: str) -> str:
-    """A new path in the cluster's shared folder, or in a temporary one where the session names none, as in tests."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='shared-')}/{name}-{uuid.uuid4()}"
+    """A new path in the cluster's shared folder, or in a temporary one where the session names none and has no other machines, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{folder or tempfile.mkdtemp(prefix='shared-')}/{name}-{uuid.uuid4()}"
 
 
 @query("s01_cvefixes", """

@@ -459,6 +459,19 @@ def test_merged_documents(spark):
     assert got == [("c", "A", 0, '{"n":1}'), ("c", "A", 1, '{"n":2}'), ("c", "A", 2, '{"n":4,"x":[1]}'), ("c", "C", 0, '{"n":5}'), ("java", "B", 0, '{"n":3}')]
 
 
+def test_numbers_within_groups(spark):
+    import random
+
+    r = random.Random(3)
+    data = [(i, r.choice(["a", "b", None]), r.choice([1, 2, 3, None])) for i in r.sample(range(5000), 300)]
+    rows = spark.createDataFrame(data, "row_id long, g string, by int")
+    for block in (1, 64, 1 << 20):
+        got = {x["row_id"]: (x["at"], x["of"]) for x in sampling.numbered(rows, ["g"], "by", block=block).collect()}
+        for g in ("a", "b", None):
+            mine = sorted((x for x in data if x[1] == g), key=lambda x: (x[2] is not None, x[2] or 0, x[0]))
+            assert [got[x[0]] for x in mine] == [(i, len(mine)) for i in range(len(mine))]
+
+
 def test_spot_check(spark):
     checked = sampling.spot_check(spark.range(100).withColumnRenamed("id", "row_id"), F.col("row_id") % 4 == 0, 60)
     assert checked.count() == 60 and tuple(sampling.tally(checked).first())[0] == 60 and sampling.tally(checked).first()["passed"] == checked.filter("row_id % 4 = 0").count()
