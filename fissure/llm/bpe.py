@@ -19,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -45,7 +46,7 @@ def byte_symbols() -> list[str]:
 
 
 class WordBpe:
-    """Encoder for one vocabulary file; ids and decoded pieces of words are remembered."""
+    """Encoder for one vocabulary file; ids of words are remembered."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -59,14 +60,15 @@ class WordBpe:
         self.inner = BPE(vocab=self.vocab, merges=merges)
         self.final = BPE(vocab=self.vocab, merges=merges, end_of_word_suffix=self.end)
         self.symbols = byte_symbols()
+        self.tokens = pa.array([self.names.get(i) for i in range(max(self.names, default=-1) + 1)], pa.large_string())
         self.word = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"].replace(r"\s", BLANK.pattern[1:-2]))
         self.special = re.compile("(" + "|".join(re.escape(x) for x in sorted(self.specials, key=len, reverse=True)) + ")") if self.specials else None
         self.joined = {pair for token in self.vocab for pair in self._pairs(token)}
         self.forget()
 
     def forget(self) -> None:
-        self.young: dict[str, tuple[bytes, bytes]] = {}
-        self.old: dict[str, tuple[bytes, bytes]] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _pairs(self, token: str):
         text = token.removesuffix(self.end)
@@ -81,20 +83,18 @@ class WordBpe:
                 start = i
         return [*out, symbols[start:]]
 
-    def encode_word(self, word: str) -> tuple[bytes, bytes]:
-        """Encode each fragment by itself; only the last one carries the word-end suffix."""
+    def encode_word(self, word: str) -> bytes:
+        """Ids of a word, as little-endian 32-bit integers. Each fragment is encoded by itself; only the last one carries the word-end suffix."""
         fragments = self.cuts("".join(self.symbols[b] for b in word.encode("utf-8")))
         tokens = [t for fragment in fragments[:-1] for t in self.inner.tokenize(fragment)] + self.final.tokenize(fragments[-1])
-        return b"".join(t.id.to_bytes(4, "little") for t in tokens), " ".join(t.value for t in tokens).encode("utf-8")
+        return b"".join(t.id.to_bytes(4, "little") for t in tokens)
 
-    def encode_pieces(self, text: str) -> tuple[list[bytes], list[bytes]]:
-        """Ids, as little-endian 32-bit integers, and decoded text of each word and special token."""
+    def encode_bytes(self, text: str) -> bytes:
+        """Ids of a text, as little-endian 32-bit integers."""
         ids: list[bytes] = []
-        shown: list[bytes] = []
         for part in self.special.split(text) if self.special else [text]:
             if part in self.specials:
                 ids.append(self.specials[part].to_bytes(4, "little"))
-                shown.append(part.encode())
                 continue
             if not part.isascii():
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
@@ -108,15 +108,20 @@ class WordBpe:
                             self.old, self.young = young, {}
                             young = self.young
                         young[word] = got
-                ids.append(got[0])
-                shown.append(got[1])
-        return ids, shown
+                ids.append(got)
+        return b"".join(ids)
 
     def encode(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join(self.encode_pieces(text or "")[0]), "<u4")
+        return np.frombuffer(self.encode_bytes(text or ""), "<u4")
+
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """Texts of several documents' ids in a row; ``ends``: where each document's ids end."""
+        lists = pa.LargeListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int64), self.tokens.take(pa.array(ids)))
+        return pc.binary_join(lists, pa.scalar(" ", pa.large_string()))
 
     def decode(self, ids) -> str:
-        return " ".join(self.names[int(i)] for i in ids)
+        ids = np.asarray(ids, np.int64)
+        return self.decode_all(ids, np.array([len(ids)]))[0].as_py()
 
 
 @lru_cache(2)
@@ -130,16 +135,17 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, with_ids: b
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe = encoder(vocabulary)
-        n, first, second = [], [], []
-        for text in batch.column("text").to_pylist():
-            ids, shown = bpe.encode_pieces(text or "")
-            raw, decoded = b"".join(ids), b" ".join(x for x in shown if x)
-            n.append(len(raw) // 4)
-            first.append(np.frombuffer(raw, "<u4").astype(np.int32) if with_ids else hashlib.sha256(raw).hexdigest())
-            second.append(decoded.decode() if with_ids else hashlib.sha256(decoded).hexdigest())
+        raw = [bpe.encode_bytes(text or "") for text in batch.column("text").to_pylist()]
+        ids = np.frombuffer(b"".join(raw), "<u4").astype(np.int32)
+        n = np.array([len(x) // 4 for x in raw], np.int64)
+        second = bpe.decode_all(ids, np.cumsum(n))
+        if with_ids:
+            first = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]).astype(np.int32), pa.array(ids))
+        else:
+            first, second = [hashlib.sha256(x).hexdigest() for x in raw], [hashlib.sha256(x.as_buffer()).hexdigest() for x in second]
         kind = pa.list_(pa.int32()) if with_ids else pa.string()
         names = ["doc_id", "n_tokens", *(["ids", "decoded"] if with_ids else ["ids_sha256", "decoded_sha256"])]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(batch.column, keep), pa.array(n, pa.int64()), pa.array(first, kind), pa.array(second, pa.string())], names=[names[0], *keep, *names[1:]])
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(batch.column, keep), pa.array(n), first if with_ids else pa.array(first, kind), second.cast(pa.string()) if with_ids else pa.array(second, kind)], names=[names[0], *keep, *names[1:]])
 
     rows = pick(docs, "doc_id", *keep, "text")
     kinds = {"n_tokens": T.LongType()} | ({"ids": T.ArrayType(T.IntegerType()), "decoded": T.StringType()} if with_ids else {"ids_sha256": T.StringType(), "decoded_sha256": T.StringType()})
@@ -154,7 +160,8 @@ def decode_ids(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     def run(batches):
         bpe = encoder(vocabulary)
         for batch in batches:
-            texts = [bpe.decode(ids or ()) for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "decoded"])
+            ids = batch.column("ids")
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), bpe.decode_all(ids.flatten().to_numpy(zero_copy_only=False), ends).cast(pa.string())], names=["doc_id", "decoded"])
 
     return pick(encoded, "doc_id", "ids").mapInArrow(run, "doc_id long, decoded string")
