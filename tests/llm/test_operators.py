@@ -259,6 +259,48 @@ def test_licenses(docs, rows):
     assert got[14]["labels"] == "mit,reserved" and got[15]["labels"] == "cc-by,gpl,gpl-3" and got[20]["labels"] == ""
 
 
+def test_licenses_by_index_against_all_starts():
+    r = np.random.default_rng(9)
+    weight = r.uniform(0.5, 8, len(licenses.VOCABULARY))
+    names = sorted(licenses.VOCABULARY)
+    for cover in (0.6, 0.8, 0.95):
+        index = licenses.build(weight, cover)
+        found = 0
+        for _ in range(60):
+            t = int(r.integers(len(licenses.TEMPLATES)))
+            words = list(licenses.TEMPLATES[t][1])
+            for _ in range(int(r.integers(0, 1 + len(words) // 6))):
+                k = int(r.integers(len(words)))
+                words[k : k + 1] = [[], ["zzz"], [words[k], "zzz"]][int(r.integers(3))]
+            text = " ".join([*r.choice(names, 20), *words, *r.choice(names, 20)])
+            ids = licenses.licence_words(text)
+            possible, certain = set(), set()
+            for u, (label, _, _) in enumerate(licenses.TEMPLATES):
+                notice, heavy = licenses.NOTICES[u], weight[licenses.NOTICES[u]]
+                where = [licenses.places(ids, k) for k in licenses.KEYS[u]]
+                if not all(map(len, where)):
+                    continue
+                n, rare = len(notice), index.position[index.template == u]
+                for start in range(-n, len(ids)):
+                    near = [any(0 <= start + i + d < len(ids) and ids[start + i + d] == notice[i] for d in range(-2, 3)) for i in range(n)]
+                    if heavy[near].sum() / heavy.sum() >= cover and all(any(start - 2 <= p <= start + n + 2 for p in found_) for found_ in where):
+                        possible.add(label)
+                        if any(0 <= start + i < len(ids) and ids[start + i] == notice[i] for i in rare.tolist()):
+                            certain.add(label)
+            got, _ = licenses.match(ids, index, cover)
+            assert certain <= got <= possible
+            found += licenses.TEMPLATES[t][0] in got
+        assert found > 30
+
+
+def test_whole_licenses(spark):
+    data = [(1, "Copyright 2020 Jane Roe\n\n" + licenses.TEXTS[2][1])]
+    data += [(2, "# " + licenses.TEXTS[5][1].replace("\n", "\n# ")), (3, "/* SPDX-License-Identifier: GPL-2.0-or-later */ int a;"), (4, "// SPDX-License-Identifier: BSD-3-Clause"), (5, "the license of the software is granted to any person")]
+    data += [(6, "Copyright. " + " ".join(t[1] for t in licenses.TEXTS if t[0] in ("bsd", "bsd-2-clause", "bsd-3-clause"))), (7, next(t[1] for t in licenses.TEXTS if t[0] == "zlib")), (8, licenses.TEXTS[9][1] + " see the licenses"), (9, "mit license apache license gnu spdx")]
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got == {1: "mit", 2: "apache-2.0", 3: "gpl-2", 4: "bsd-3-clause", 5: "", 6: "bsd,bsd-2-clause,bsd-3-clause", 7: "zlib", 8: "gpl,gpl-3", 9: ""}
+
+
 # 6
 
 
