@@ -162,7 +162,9 @@ def count_functions(code: str | None, language: str | None) -> int:
                 stack.append("scope")
             elif typed:
                 stack.append("enum" if "enum" in flat and kind == "java" else "block" if "enum" in flat else "scope")
-            elif top in ("scope", "enum") and _callable(head, kind):
+            elif top == "enum":
+                stack.append("scope")  # the body of a constant
+            elif top == "scope" and _callable(head, kind):
                 count += 1
                 stack.append("block")
             else:

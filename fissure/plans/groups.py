@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fissure.functions import code, cwe, udfs
 from fissure.operators import benchmark, cluster, review, sampling, stats, taxonomy
 from fissure.plans.bridge import classed, cleaned, nodes, pairs, query, read, vuln_rows
-from fissure.plans.rows import EXCERPTS, LINES
+from fissure.plans.rows import COUNTS, EXCERPTS, LINES, counted
 
 
 def normed(spark, sf_dir):
@@ -138,10 +138,9 @@ def a18_size_classes(spark, sf_dir):
     return stats.size_classes(vuln_rows(spark, sf_dir), ["cwe"], 50, 20)
 
 
-@query("a19_function_stats", "SELECT count(*) AS total, count(*) FILTER (row_id % 7 < 5 AND row_id % 3 = 1) AS single_function, count(*) FILTER (row_id % 7 < 5 AND row_id % 3 = 2) AS multiple_functions, count(*) FILTER (row_id % 3 = 0 AND row_id % 7 < 5) AS no_functions, count(*) FILTER (row_id % 7 >= 5) AS parse_failures FROM vuln_rows")
+@query("a19_function_stats", f"SELECT count(*) AS total, count(*) FILTER ({COUNTS} = 1) AS single_function, count(*) FILTER ({COUNTS} > 1) AS multiple_functions, count(*) FILTER ({COUNTS} = 0) AS no_functions, count(*) FILTER ({COUNTS} = -1) AS parse_failures FROM vuln_rows")
 def a19_function_stats(spark, sf_dir):
-    raw = F.expr("case row_id % 3 when 0 then 'int a;' when 1 then 'int f() { }' else 'int f() { } int g() { }' end")
-    return stats.function_stats(vuln_rows(spark, sf_dir), udfs.function_count(raw, "language"))
+    return stats.function_stats(vuln_rows(spark, sf_dir), udfs.function_count(counted(1), counted(0)))
 
 
 @query("a20_optimization_stats", EXCERPTS + """

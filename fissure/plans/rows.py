@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fissure.functions import code, cwe, languages, text, udfs, urls
@@ -201,7 +202,7 @@ def p29_signatures(spark, sf_dir):
     return vuln_rows(spark, sf_dir).select("row_id", udfs.signature(F.concat(head, F.lit("\n"), "code_before", F.lit("\n}")), language).alias("signature"))
 
 
-#: Language, code, the code without comments, and its functions.
+#: Language, code, the code without comments, and the number of its functions.
 COMMENTED = [
     ("c", "int f#(int a) { return a; } // end\n\n/* note\n */\nint x = #;", "int f#(int a) { return a; } \n\nint x = #;", 1),
     ("c", 'char *s = "/* no */ // no"; /* yes */\nint g(void)\n{\n  return 1; // one\n}\n\n\n\nstatic void h(int n) { }\n', 'char *s = "/* no */ // no"; \nint g(void)\n{\n  return 1; \n}\n\nstatic void h(int n) { }', 2),
@@ -347,13 +348,43 @@ def f05_valid_urls(spark, sf_dir):
     return benchmark.valid_urls(rows, known).select("row_id", "commit_url")
 
 
-@query("f07_multi_function", """
-    SELECT row_id, CASE row_id % 4 WHEN 1 THEN 'benign' WHEN 2 THEN 'vulnerable' WHEN 3 THEN 'both' END AS reason FROM vuln_rows
+#: Language, code, and its functions.
+COUNTED = [
+    ("c", "static int a(int x)\n{\n  if (x) { return f(x); }\n  while (x--) { g(); }\n  return 0;\n}", 1),
+    ("c", "int a(void);\nextern int b(int);\nint c(void) { return a(); }", 1),
+    ("c", "struct s { int x; };\nenum e { A, B };\nint t[] = { 1, 2 };", 0),
+    ("c", "#define F(x) do { g(x); } while (0)\nvoid h(void) { F(1); }\nvoid i(void) { }", 2),
+    ("c/c++", "int (*fp)(int) = 0;\nvoid run(void (*cb)(int)) { cb(1); }", 1),
+    ("cpp", "namespace n { class A { public: A(); ~A() { } int f() const override { return 1; } }; }", 2),
+    ("cpp", "template <typename T> T max(T a, T b) { return a < b ? b : a; }\nint operator+(const A &a, const A &b) { return 0; }", 2),
+    ("C++", "auto f() -> int { auto g = [](int x) { return x; }; return g(1); }", 1),
+    ("C++", "A::A(int x) : a(x), b{x} { }\nvoid A::go() noexcept { try { h(); } catch (...) { } }", 2),
+    ("c", 'char *s = "int f() { }";\nint main(int argc, char **argv) { printf("}"); return \'{\'; }', 1),
+    ("java", 'public class A {\n  private int x = 1;\n  static { System.out.println(1); }\n  public A() { }\n  @Override public String toString() { return "{ }"; }\n  class B { void f() { } }\n}', 3),
+    ("java", "interface I { void a(); default int b() { return 1; } static <T> T c(T x) { return x; } }", 3),
+    ("Java", "enum E { X { int v() { return 1; } }, Y; abstract int v(); E() { } }", 3),
+    ("java", "class C { Runnable r = new Runnable() { public void run() { } }; void g() { if (a) { b(); } } }", 2),
+    ("java", "class D { int[] a = { 1, 2 }; List<String> f(Map<String, List<Integer>> m) throws E { for (int i : a) { } return null; } }", 1),
+    ("java", "record P(int x, int y) { int sum() { return x + y; } }", 1),
+    ("python", "def f():\n    pass", -1),
+    ("c", "   \n ", 0),
+]
+SINGLE = "int one(void) { return 1; }"
+COUNTS = "[" + ", ".join(str(c[2]) for c in COUNTED) + f"][row_id % {len(COUNTED)} + 1]"
+
+
+def counted(part: int) -> Column:
+    return F.expr(by_row([escaped(c[part]) for c in COUNTED]))
+
+
+@query("f07_multi_function", f"""
+    , c AS (SELECT row_id, {COUNTS} <> 1 AS other, CASE WHEN {COUNTS} = -1 THEN -1 ELSE 1 END <> 1 AS odd, row_id % 3 AS m FROM vuln_rows)
+    SELECT row_id, CASE WHEN CASE WHEN m <> 1 THEN other ELSE odd END AND CASE WHEN m <> 0 THEN other ELSE odd END THEN 'both' WHEN CASE WHEN m <> 1 THEN other ELSE odd END THEN 'benign' WHEN CASE WHEN m <> 0 THEN other ELSE odd END THEN 'vulnerable' END AS reason FROM c
 """)
 def f07_multi_function(spark, sf_dir):
-    one, two = F.expr("concat('int a() { ', row_id, '; }')"), F.expr("concat('int a() { ', row_id, '; } int b() { }')")
-    m = F.col("row_id") % 4
-    return vuln_rows(spark, sf_dir).select("row_id", benchmark.multi_function_reason(F.when(m.isin(1, 3), two).otherwise(one), F.when(m >= 2, two).otherwise(one), F.lit("c")).alias("reason"))
+    """Snippets on the benign, the vulnerable or on both sides, with a single function on the other."""
+    m = F.col("row_id") % 3
+    return vuln_rows(spark, sf_dir).select("row_id", benchmark.multi_function_reason(F.when(m != 1, counted(1)).otherwise(SINGLE), F.when(m != 0, counted(1)).otherwise(SINGLE), counted(0)).alias("reason"))
 
 
 @query("f08_excluded", "SELECT source, count(*) AS n FROM vuln_rows WHERE source NOT IN ('ds1', 'ds3') GROUP BY source")
