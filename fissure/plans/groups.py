@@ -263,14 +263,18 @@ SEPARATE = """
 
 @query("m05_kmeans", SEPARATE + " SELECT label, arg_min(vec_id, d) AS row_id FROM near GROUP BY label, c")
 def m05_kmeans(spark, sf_dir):
-    rows = read(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("row_id"), F.expr("transform(embedding, (x, i) -> cast(x as double) / 4 + if(i = vec_id % 4, 40, 0))").alias("embedding"))
-    return cluster.representatives(rows, ["label"], 4)
+    return cluster.representatives(apart(spark, sf_dir), ["label"], 4)
 
 
-@query("m05_representatives")
+def apart(spark, sf_dir, present: str = "true"):
+    """Embeddings around well separated centres, null where ``present`` doesn't hold."""
+    moved = f"if({present}, transform(embedding, (x, i) -> cast(x as double) / 4 + if(i = vec_id % 4, 40, 0)), null)"
+    return read(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("row_id"), F.expr(moved).alias("embedding"), F.expr("concat('s', vec_id % 3)").alias("source"))
+
+
+@query("m05_representatives", SEPARATE + " SELECT label, arg_min(vec_id, d) AS row_id, 's' || (arg_min(vec_id, d) % 3) AS source FROM near GROUP BY label, c")
 def m05_representatives(spark, sf_dir):
-    rows = read(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("row_id"), "embedding", F.expr("concat('s', vec_id % 3)").alias("source"))
-    return cluster.select(rows, ["label"], 10).select("label", "row_id")
+    return cluster.select(apart(spark, sf_dir), ["label"], 4).select("label", "row_id", "source")
 
 
 @query("m13_embeddings", "SELECT sha256(text) AS text_hash, CAST(length(text) AS DOUBLE) AS first_value FROM documents WHERE text <> '' GROUP BY text")

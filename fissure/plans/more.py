@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fissure.functions import code, cwe, text, udfs
 from fissure.operators import benchmark, cluster, review, sampling, stats, taxonomy
 from fissure.plans.bridge import classed, cleaned, nodes, pairs, query, read, vuln_rows
-from fissure.plans.groups import SEPARATE, entries, scored
+from fissure.plans.groups import SEPARATE, apart, entries, scored
 from fissure.sources import datasets, files, sinks
 
 
@@ -225,8 +225,7 @@ def w07_carried(spark, sf_dir):
 """)
 def m06_method_fallback(spark, sf_dir):
     """Four rows of each group: by clusters, but by a stratified sample in the group in which one embedding is missing."""
-    rows = read(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("row_id"), F.expr("if(vec_id <> 3, transform(embedding, (x, i) -> cast(x as double) / 4 + if(i = vec_id % 4, 40, 0)), null)").alias("embedding"), F.lit("s").alias("source"))
-    return cluster.select(rows, ["label"], 4).select("label", "row_id")
+    return cluster.select(apart(spark, sf_dir, "vec_id <> 3").withColumn("source", F.lit("s")), ["label"], 4).select("label", "row_id")
 
 
 @query("m15_tally", "SELECT count(*) AS checked, count(*) FILTER (row_id % 3 = 0) AS passed, count(*) FILTER (row_id % 3 <> 0) AS failed FROM (SELECT row_id, row_number() OVER (ORDER BY md5('7:' || row_id), row_id) AS rn FROM vuln_rows) WHERE rn <= 60")
@@ -246,11 +245,16 @@ def m12_size_tiers(spark, sf_dir):
     return stats.size_classes(vuln_rows(spark, sf_dir), ["source"]).withColumnRenamed("size_class", "tier")
 
 
-@query("m12_tiered")
+@query("m12_tiered", SEPARATE.replace("SELECT label, vec_id,", "SELECT label % 3 AS label, vec_id,") + """
+    , missing AS (SELECT label % 3 AS label FROM embeddings WHERE vec_id = 3),
+    small AS (SELECT label FROM v GROUP BY label HAVING count(*) < 100 UNION FROM missing),
+    drawn AS (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || vec_id), vec_id) AS rn FROM v WHERE label IN (FROM small))
+    SELECT label, arg_min(vec_id, d) AS row_id FROM near WHERE label NOT IN (FROM small) GROUP BY label, c UNION ALL SELECT label, vec_id FROM drawn WHERE rn <= 4
+""")
 def m12_tiered(spark, sf_dir):
-    """Picked rows of the two-tier job; the embeddings of one label are incomplete."""
-    rows = read(spark, sf_dir, "embeddings").select("label", F.col("vec_id").alias("row_id"), F.when(F.col("vec_id") != 3, F.col("embedding")).alias("embedding"))
-    return cluster.tiered(rows, ["label"]).select("label", "row_id")
+    """Picked rows of the two-tier job; the embeddings of one group are incomplete."""
+    rows = apart(spark, sf_dir, "vec_id <> 3").withColumn("label", F.col("label") % 3)
+    return cluster.tiered(rows, ["label"], 4).select("label", "row_id")
 
 
 @query("m09_random", "SELECT source, count(*) AS n FROM (SELECT source, row_number() OVER (PARTITION BY source ORDER BY md5('42:' || row_id)) AS rn FROM vuln_rows) WHERE rn <= 9 GROUP BY source")

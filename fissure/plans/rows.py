@@ -249,6 +249,33 @@ def x01_hunks(spark, sf_dir):
     return rows.select("row_id", F.array_join(F.flatten("h.benign"), "\n").alias("benign"), F.array_join(F.flatten("h.vulnerable"), "\n").alias("vulnerable"))
 
 
+#: Lines of which one is replaced, one is taken out and one is added, at places that vary from row to row.
+EDITED = """
+    , n AS (SELECT row_id, row_id % 3 + 3 AS p, row_id % 3 + 6 + row_id % 2 AS d, row_id % 3 + 9 + row_id % 2 + row_id % 5 AS i, 20 + row_id % 7 AS n FROM vuln_rows),
+    b AS (SELECT *, list_transform(range(1, n + 1), lambda k: 'line ' || row_id || ' ' || k) AS b FROM n),
+    a AS (SELECT *, list_concat(b[1:p - 1], ['replaced'], b[p + 1:d - 1], b[d + 1:i], ['added'], b[i + 1:n]) AS a FROM b)
+"""
+
+
+def edited(spark, sf_dir):
+    rows = vuln_rows(spark, sf_dir).selectExpr("row_id", "cast(row_id % 3 + 3 as int) as p", "cast(row_id % 3 + 6 + row_id % 2 as int) as d", "cast(row_id % 3 + 9 + row_id % 2 + row_id % 5 as int) as i", "cast(20 + row_id % 7 as int) as n")
+    rows = rows.withColumn("b", F.expr("transform(sequence(1, n), k -> concat('line ', row_id, ' ', k))"))
+    a = F.expr("concat(slice(b, 1, p - 1), array('replaced'), slice(b, p + 1, d - p - 1), slice(b, d + 1, i - d), array('added'), slice(b, i + 1, n - i))")
+    return rows.select("row_id", F.array_join("b", "\n").alias("code_before"), F.array_join(a, "\n").alias("code_after"))
+
+
+@query("x07_edits", EDITED + """
+    SELECT row_id, p || ',' || i AS added, p || ',' || d AS removed, p || '-' || (p + 1) || '-' || p || '-' || (p + 1) AS regions,
+        array_to_string(list_concat(a[p - 2:p + 2], a[d - 2:d + 1], a[i - 2:i + 2]), chr(10)) AS benign, array_to_string(list_concat(b[p - 2:p + 2], b[d - 2:d + 2], b[i - 1:i + 2]), chr(10)) AS vulnerable
+    FROM a
+""")
+def x07_edits(spark, sf_dir):
+    rows = edited(spark, sf_dir).select("row_id", udfs.changed_lines("code_before", "code_after").alias("c"), udfs.hunks("code_before", "code_after").alias("h"))
+    joined = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+    regions = F.array_join(F.transform("c.regions", lambda x: F.array_join(F.transform(x, lambda y: y.cast("string")), "-")), ",")
+    return rows.select("row_id", joined(F.col("c.added")).alias("added"), joined(F.col("c.removed")).alias("removed"), regions.alias("regions"), F.array_join(F.flatten("h.benign"), "\n").alias("benign"), F.array_join(F.flatten("h.vulnerable"), "\n").alias("vulnerable"))
+
+
 @query("x02_optimized", """
     SELECT row_id, code_before <> '' AND code_after <> '' AS optimized, CAST(length(code_before) + length(code_after) AS BIGINT) AS original_size,
         CASE WHEN code_before <> '' AND code_after <> '' AND b = a THEN 'No significant changes detected' END AS note, CAST(CASE WHEN code_before <> '' AND code_after <> '' AND b <> a AND b <> '' THEN 1 ELSE 0 END AS INTEGER) AS changed_line_count
