@@ -146,6 +146,8 @@ def count_functions(code: str | None, language: str | None) -> int:
     kind = family(language)
     if not kind:
         return -1
+    if "(" not in code or kind == "c" and "{" not in code and "=" not in code:
+        return 0
     types = {"class", "struct", "union", "namespace", "extern", "enum"} if kind == "c" else {"class", "interface", "enum", "record"}
     count, stack, now = 0, ["scope"], []
     for t in TOKEN.findall(bare(code, kind)):

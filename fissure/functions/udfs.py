@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 from fissure.functions import diffs, lexer, replies, signatures
 
 
-def vectorized(returns: str) -> Callable:
-    """A pandas UDF that is made when it is first used, since Spark needs a session to read its type."""
+def vectorized(returns: str, once: bool = False) -> Callable:
+    """A pandas UDF that is made when it is first used, since Spark needs a session to read its type.
+
+    ``once``: a filter on the result stays above it. Otherwise Spark may move the filter below a join, and evaluate the function there and again above.
+    """
 
     def wrap(f: Callable) -> Callable[..., Column]:
-        made = lru_cache(1)(lambda: F.pandas_udf(f, returns))
+        made = lru_cache(1)(lambda: F.pandas_udf(f, returns).asNondeterministic() if once else F.pandas_udf(f, returns))
 
         @wraps(f)
         def call(*columns: Column | str) -> Column:
@@ -34,7 +37,7 @@ def signature(code: pd.Series, language: pd.Series) -> pd.Series:
     return pd.Series([signatures.signature(c, x) for c, x in zip(code, language, strict=True)], dtype=object)
 
 
-@vectorized("code string, functions int")
+@vectorized("code string, functions int", once=True)
 def stripped(code: pd.Series, language: pd.Series) -> pd.DataFrame:
     """Code without comments, and the number of its functions, in one pass."""
     out = [lexer.remove_comments(c, x) for c, x in zip(code, language, strict=True)]

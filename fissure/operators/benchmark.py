@@ -88,7 +88,7 @@ def entries(rows: DataFrame, pairs: DataFrame, *, keep_classless: bool = False,
         rows = rows if name in rows.columns else rows.withColumn(name, F.lit(None).cast("string"))
     none = F.array().cast("array<array<string>>")
     if with_hunks:
-        rows = rows.withColumn("hunks", udfs.hunks("code_before", "code_after"))
+        rows = rows.withColumn("raw_before", F.col("code_before")).withColumn("raw_after", F.col("code_after"))
     lines = (lambda side: F.col(f"hunks.{side}")) if with_hunks else (lambda side: none)
     for side in ("after", "before"):
         name = f"code_{side}"
@@ -98,6 +98,8 @@ def entries(rows: DataFrame, pairs: DataFrame, *, keep_classless: bool = False,
         rows = rows.withColumn(f"s_{side}", code.structure(F.col(name), F.col("language")))
         if single_function:
             rows = rows.filter(F.col(f"s_{side}.func").isNull() | (F.col(f"k_{side}.functions") == 1))
+    if with_hunks:  # of the code with its comments, and of the rows that are left
+        rows = rows.withColumn("hunks", udfs.hunks("raw_before", "raw_after"))
     entry = F.struct(
         _side("s_after", lines("benign")).alias("benign_code"), _side("s_before", lines("vulnerable")).alias("vulnerable_code"), "source",
         F.nullif(urls.ensure_https(F.col("commit_url")), F.lit("")).alias("commit_url"), "review_message", F.col("primary_cwe").alias("CWE"), F.col("other_cwes").alias("other_CWEs"), F.col("other_cwds").alias("other_CWDs"), "CVE",
