@@ -483,7 +483,7 @@ def test_runs_beside_base_findings_and_without_digits():
     assert [len(x) for x in secrets.find_all(["deadbeefdeadbeef", "token=abcdefghijklmnop"], secrets.model(0.98))[1]] == [1, 1]
 
 
-def test_formats_that_were_not_learnt():
+def test_formats_of_services():
     d = secrets.Draws(41)
     full = secrets.FULL
     planted = {
