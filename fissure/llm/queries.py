@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fissure.llm import bpe, licenses, mixing, quality, secrets, sharding, simhash, suffixes, token_counts, topk
+from fissure.llm import alignment, bpe, collocations, licenses, mixing, quality, secrets, sharding, simhash, subwords, suffixes, token_counts, topk
 from fissure.llm._common import read
 
 
@@ -50,6 +50,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op11_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subwords.scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"))
+
+
 def tokens_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections of every text, whose tokens add up to the document's."""
     rows = token_counts.section_token_counts(read(spark, sf_dir, "documents"))
@@ -88,7 +100,12 @@ def mixing_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(sums, F.col("source").eqNullSafe(F.col("of"))).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), F.col("taken").between(0, 3 * F.col("size")).alias("within"), "near")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_simhash, op3_topk, op4_quality, op5_licenses, op6_sharding, op7_suffixes, op8_secrets, op9_mixing, op10_bpe, tokens_base, quality_base, licenses_base, sharding_base, suffixes_base, secrets_base, mixing_base)}
+def subwords_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The held-out fold, whether scores are between 0 and 1, and whether the cut is kept to."""
+    return op11_subwords(spark, sf_dir).select("doc_id", "held_out", F.col("score").between(0, 1).alias("bounded"), (F.col("predicted") == F.when(F.col("score") >= 0.3, 1).otherwise(0)).alias("cut_kept"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_simhash, op3_topk, op4_quality, op5_licenses, op6_sharding, op7_suffixes, op8_secrets, op9_mixing, op10_bpe, op11_subwords, op12_collocations, op13_alignment, tokens_base, quality_base, licenses_base, sharding_base, suffixes_base, secrets_base, mixing_base, subwords_base)}
 
 #: What the contracts fix beside the methods' own verdicts is compared with SQL by the queries that end in ``_base``.
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -149,6 +166,26 @@ ORACLE_SQL = {
         SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, round(least(3 * source_size, level * weight), 3) AS target, true AS within, true AS near
         FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source, x
     """,
+    "subwords_base": """
+        SELECT doc_id, xor(4294967295, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+            lambda crc, x: list_reduce(list_prepend(xor(crc, x), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), CAST(4294967295 AS BIGINT))) % 5 = 0 AS held_out,
+            true AS bounded, true AS cut_kept
+        FROM documents
+    """,
+    "op12_collocations": rf"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+        w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+        t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+        g AS (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k)),
+        f AS (SELECT lang, k, w[i:i + k - 1] AS w, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 10),
+        o AS (SELECT lang, w, max(a) AS longer FROM (SELECT lang, w[1:2] AS w, a FROM f WHERE k = 3 UNION ALL SELECT lang, w[2:3], a FROM f WHERE k = 3) GROUP BY lang, w),
+        c AS (SELECT f.lang, f.w, f.k, f.a FROM f LEFT JOIN o USING (lang, w) WHERE f.k > 1 AND (longer IS NULL OR 100 * longer < 50 * a)),
+        s AS (
+            SELECT c.lang, c.w, c.a, x.a AS l, y.a AS r, cut, CAST((CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+            FROM c JOIN (SELECT unnest([1, 2]) AS cut) ON cut < c.k JOIN f x ON x.lang = c.lang AND x.w = c.w[1:cut] JOIN f y ON y.lang = c.lang AND y.w = c.w[cut + 1:c.k]),
+        b AS (SELECT lang, array_to_string(w, ' ') AS phrase, a, l, r, score FROM s QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, cut) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM b JOIN t USING (lang) QUALIFY rank <= 2000
+    """,
     "op3_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
