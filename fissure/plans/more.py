@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import os
 import re
+import shutil
+import sqlite3
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -30,11 +35,51 @@ def shared(spark, name: str) -> str:
     FROM strips WHERE row_id % 7 = 0 AND code_before <> '' AND code_after <> '' AND a <> b
 """)
 def s01_cvefixes(spark, sf_dir):
+    changes, fixes, classes = cvefixes_tables(spark, sf_dir)
+    return datasets.cvefixes(changes, fixes, classes).filter("language = 'c'")
+
+
+def cvefixes_tables(spark, sf_dir):
     rows = vuln_rows(spark, sf_dir).withColumn("hash", F.substring_index("commit_url", "/commit/", -1))
     changes = rows.select("hash", F.col("row_id").cast("string").alias("filename"), "code_before", "code_after", F.nullif(F.col("language"), F.lit("")).alias("programming_language"))
     fixes = rows.select(F.concat(F.lit("CVE-"), "row_id").alias("cve_id"), "hash", F.concat(F.lit("https://"), F.substring_index("commit_url", "/commit/", 1), F.lit("/")).alias("repo_url"))
     classes = rows.select(F.concat(F.lit("CVE-"), "row_id").alias("cve_id"), F.explode(cwe.clean_list(F.col("cwe"))).alias("cwe_id"))
-    return datasets.cvefixes(changes, fixes, classes).filter("language = 'c'")
+    return changes, fixes, classes
+
+
+def write_database(rows, folder: str, table: str) -> int:
+    """The rows of each task as ``table`` of a SQLite file of its own; a task that is run again writes the same file again. The number of rows."""
+    names, places = ", ".join(f'"{c}" TEXT' for c in rows.columns), ", ".join("?" * len(rows.columns))
+
+    def run(batches):
+        os.makedirs(folder, exist_ok=True)
+        at = f"{folder}/{table}-{TaskContext.get().partitionId()}"
+        with tempfile.TemporaryDirectory() as own:
+            db = sqlite3.connect(f"{own}/a.db")
+            db.execute(f"CREATE TABLE {table} ({names})")
+            n = 0
+            for batch in batches:
+                n += db.executemany(f"INSERT INTO {table} VALUES ({places})", zip(*(c.to_pylist() for c in batch.columns), strict=True)).rowcount
+            db.commit()
+            db.close()
+            part = f"{at}-{uuid.uuid4()}.part"
+            shutil.copy(f"{own}/a.db", part)
+        os.replace(part, f"{at}.db")
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    return rows.mapInArrow(run, "n long").agg(F.sum("n")).first()[0]
+
+
+@query("s01_sqlite", """
+    SELECT array_to_string(list_sort(list_distinct(cwes)), '|') AS cwe, code_before, code_after, 'https://github.com/org' || (row_id % 20) || '/repo/commit/' || left(md5(CAST(row_id AS VARCHAR)), 12) AS commit_url, 'c' AS language
+    FROM strips WHERE row_id % 7 = 0 AND code_before <> '' AND code_after <> '' AND a <> b
+""")
+def s01_sqlite(spark, sf_dir):
+    """The three tables as SQLite files in the shared folder, read back in ranges of rows."""
+    folder = urlparse(shared(spark, "sqlite")).path
+    for rows, table in zip(cvefixes_tables(spark, sf_dir), ("file_change", "fixes", "cwe_classification"), strict=True):
+        write_database(rows, folder, table)
+    return datasets.cvefixes_database(spark, folder, ranges=4).filter("language = 'c'")
 
 
 @query("s05_dump_tally", "SELECT cwes[1] AS cwe, count(*) AS n FROM norm WHERE len(cwes) > 0 GROUP BY ALL")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fissure.functions import cwe, languages, udfs, urls
 from fissure.functions.text import squeeze, strip, text, unix_lines
-from fissure.sources import files
+from fissure.sources import files, sqlite
 
 #: Bug categories of the HTML list and their ids.
 CATEGORIES = {"race": "CWE-362", "resource deadlock": "CWE-833", "wait-notify deadlock": "CWE-833", "inconsistent synchronization": "CWE-820"}
@@ -54,6 +54,13 @@ def cvefixes_dump(spark: SparkSession, path: str) -> DataFrame:
     return cvefixes(changes, fixes, classes)
 
 
+def cvefixes_database(spark: SparkSession, path: str, ranges: int = 64, shipped: bool = False) -> DataFrame:
+    """From the SQLite database, or the folder of several, that the project ships; each table is read in ranges of rows, and of it the columns used here."""
+    get = lambda name, columns: sqlite.table(spark, path, name, columns, ranges, shipped)
+    changes = get("file_change", "hash string, filename string, code_before string, code_after string, programming_language string")
+    return cvefixes(changes, get("fixes", "cve_id string, hash string, repo_url string"), get("cwe_classification", "cve_id string, cwe_id string"))
+
+
 def dump_fixes(spark: SparkSession, path: str) -> DataFrame:
     """(hash, cve_id) of a dump."""
     rows = files.dump_lines(spark, path, "fixes").select(F.get("values", F.lit(1)).alias("hash"), F.get("values", F.lit(0)).alias("cve_id"))
@@ -72,12 +79,25 @@ def newest_version(names: list[str]) -> str | None:
     return max(found)[1] if found else None
 
 
+def newest_data(spark: SparkSession, root: str) -> str:
+    """The data folder of the newest version under ``root``; of all, if none has a version in its name."""
+    name = newest_version([x.getParent().getName() for x in _listed(spark, f"{root}/*/Data")])
+    return f"{root}/{name or '*'}/Data"
+
+
 def newest_dump(spark: SparkSession, root: str) -> str:
-    """Path of the dumps of the newest version under ``root``; of all, if none has a version in its name."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/Data")
-    listed = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    name = newest_version([x.getPath().getParent().getName() for x in listed])
-    return f"{root}/{name or '*'}/Data/*.sql.gz"
+    return f"{newest_data(spark, root)}/*.sql.gz"
+
+
+def _listed(spark: SparkSession, pattern: str) -> list:
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return [x.getPath() for x in place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []]
+
+
+def cvefixes_newest(spark: SparkSession, root: str) -> DataFrame:
+    """The newest version's database, or its dump where it has none."""
+    database = f"{newest_data(spark, root)}/*.db"
+    return cvefixes_database(spark, database) if _listed(spark, database) else cvefixes_dump(spark, newest_dump(spark, root))
 
 
 def megavul(spark: SparkSession, path: str) -> DataFrame:
@@ -177,7 +197,7 @@ def _under(reader: Callable, *places: str) -> Callable[[SparkSession, str], Data
 
 #: Dataset name -> reader of (spark, root). The pair dataset is left out on purpose: later stages exclude it.
 READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "cvefixes": lambda spark, root: cvefixes_dump(spark, newest_dump(spark, f"{root}/cvefixes")),
+    "cvefixes": lambda spark, root: cvefixes_newest(spark, f"{root}/cvefixes"),
     "jacontebe": _under(jacontebe, "JaConTeBe"),
     "juliet": _under(juliet, "juliet/juliet_test_suite_c_1_3-train.arrow", "juliet/juliet_test_suite_c_1_3-test.arrow"),
     "megavul": _under(megavul, "megavul/megavul/*/c_cpp/cve_with_graph_abstract_commit.json"),
