@@ -1,7 +1,6 @@
-"""Comments, literals and function definitions of C, C++ and Java code, by a hand-written scanner.
+"""Comments and literals of C, C++ and Java code, by a hand-written scanner.
 
-It agrees with a full parser on well-formed code. On broken code it is a guess: an unterminated comment runs to the end, an
-unterminated literal to the end of its line.
+On broken code it is a guess: an unterminated comment runs to the end, an unterminated literal to the end of its line.
 """
 
 from __future__ import annotations
@@ -90,104 +89,9 @@ def remove_comments(code: str | None, language: str | None) -> str | None:
 
 
 def bare(code: str, kind: str) -> str:
-    """Code in which comments are blank and literals are ``0``; preprocessor lines go."""
+    """Code in which comments are blank and literals are ``0``."""
     parts, at = [], 0
     for what, a, b in pieces(code, kind):
         parts += [code[at:a], " 0 " if what == "literal" else " "]
         at = b
-    text = "".join([*parts, code[at:]])
-    return re.sub(r"(?m)^[ \t]*#(?:[^\n\\]|\\.|\\\n)*", "", text) if kind == "c" else text
-
-
-def _callable(tokens: list[str], kind: str) -> bool:
-    """Does a declaration that ends here have a name before its first parenthesis at the top, and no ``=`` before it?"""
-    depth = 0
-    for i, t in enumerate(tokens):
-        if t == "(":
-            if depth == 0:
-                if not i:
-                    return False
-                name = tokens[i - 1]
-                if "operator" in tokens[max(0, i - 4) : i]:
-                    return True
-                return bool(re.match(r"[^\W\d]", name)) and name not in CONTROL and "=" not in tokens[:i] and "new" not in tokens[:i]
-            depth += 1
-        elif t == "<" and kind == "c" and "template" in tokens[:i]:
-            continue
-        elif t == ")":
-            depth -= 1
-    return False
-
-
-def _without_annotations(tokens: list[str]) -> list[str]:
-    out, i = [], 0
-    while i < len(tokens):
-        if tokens[i] == "@" and i + 1 < len(tokens) and tokens[i + 1] != "interface":
-            i += 2
-            while i + 1 < len(tokens) and tokens[i] == ".":
-                i += 2
-            if i < len(tokens) and tokens[i] == "(":
-                depth = 0
-                while i < len(tokens):
-                    depth += (tokens[i] == "(") - (tokens[i] == ")")
-                    i += 1
-                    if not depth:
-                        break
-            continue
-        out.append(tokens[i])
-        i += 1
-    return out
-
-
-def count_functions(code: str | None, language: str | None) -> int:
-    """Function definitions of C and C++, methods and constructors of Java (with or without a body); -1 for other languages, 0 for blank code."""
-    if not code or not code.strip():
-        return 0
-    kind = family(language)
-    if not kind:
-        return -1
-    if "(" not in code or kind == "c" and "{" not in code and "=" not in code:
-        return 0
-    types = {"class", "struct", "union", "namespace", "extern", "enum"} if kind == "c" else {"class", "interface", "enum", "record"}
-    count, stack, now = 0, ["scope"], []
-    for t in TOKEN.findall(bare(code, kind)):
-        top = stack[-1]
-        if t == "{":
-            head = _without_annotations(now) if kind == "java" else now
-            flat = [x for i, x in enumerate(head) if head[:i].count("(") == head[:i].count(")")]
-            typed = types & set(flat) and (not head or head[-1] != ")" or "record" in flat)
-            member = kind == "c" and ")" in head and ":" in flat[flat.index(")") if ")" in flat else 0 :] and re.match(r"\w", head[-1]) and len(head) > 1 and head[-2] in (":", ",", "::", ">")
-            if member and top == "scope":
-                stack.append("init")
-                continue
-            if "new" in flat and head[-1:] == [")"] and kind == "java":
-                stack.append("scope")
-            elif typed:
-                stack.append("enum" if "enum" in flat and kind == "java" else "block" if "enum" in flat else "scope")
-            elif top == "enum":
-                stack.append("scope")  # the body of a constant
-            elif top == "scope" and _callable(head, kind):
-                count += 1
-                stack.append("block")
-            else:
-                stack.append("block")
-            now = []
-        elif t == "}":
-            closed = stack.pop() if len(stack) > 1 else "scope"
-            if closed != "init":
-                now = []
-        elif t == ";":
-            if now.count("(") > now.count(")"):
-                continue
-            if stack[-1] == "enum":
-                stack[-1] = "scope"
-            elif stack[-1] == "scope":
-                head = _without_annotations(now) if kind == "java" else now
-                if kind == "c":
-                    count += len(head) > 3 and head[-2] == "=" and head[-1] in ("default", "delete") and "(" in head
-                else:
-                    count += _callable(head, kind) and len(head) > 3 and bool(re.match(r"[\w>\]]", head[head.index("(") - 2]) if head.index("(") > 1 else False) and not {"return", "throw"} & set(head)
-            now = []
-        else:
-            now.append(t)
-    return count
+    return "".join([*parts, code[at:]])

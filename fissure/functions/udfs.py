@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fissure.functions import diffs, lexer, replies, signatures
+from fissure.functions import diffs, lexer, replies, scopes, signatures
 
 
 def vectorized(returns: str, once: bool = False) -> Callable:
@@ -41,12 +41,12 @@ def signature(code: pd.Series, language: pd.Series) -> pd.Series:
 def stripped(code: pd.Series, language: pd.Series) -> pd.DataFrame:
     """Code without comments, and the number of its functions, in one pass."""
     out = [lexer.remove_comments(c, x) for c, x in zip(code, language, strict=True)]
-    return pd.DataFrame({"code": out, "functions": [lexer.count_functions(c, x) for c, x in zip(out, language, strict=True)]})
+    return pd.DataFrame({"code": out, "functions": [scopes.count_functions(c, x) for c, x in zip(out, language, strict=True)]})
 
 
 @vectorized("int")
 def function_count(code: pd.Series, language: pd.Series) -> pd.Series:
-    return pd.Series([lexer.count_functions(c, x) for c, x in zip(code, language, strict=True)])
+    return pd.Series([scopes.count_functions(c, x) for c, x in zip(code, language, strict=True)])
 
 
 @vectorized("string")

@@ -395,13 +395,18 @@ COUNTED = [
     ("java", "record P(int x, int y) { int sum() { return x + y; } }", 1),
     ("python", "def f():\n    pass", -1),
     ("c", "   \n ", 0),
+    ("java", 'class G { @SuppressWarnings({"a", "b"}) public void f() { } @Test(value = {1, 2}) int g() { return 1; } @interface H { String[] value() default {"x"}; } }', 2),
+    ("c", "int f(a, b)\n  int a;\n  char *b;\n{\n  if (a) { return 1; }\n  return 0;\n}\nint (*t[])(void) = { f, g };", 1),
+    ("c", "void f(int a)\n{\n#ifdef X\n  if (a) {\n#else\n  if (!a) {\n#endif\n    g();\n  }\n}\n#if Y\nint h(void) { return 1; }\n#else\nint i(void) { return 2; }\n#endif", 3),
+    ("c++", "} } int f(int a) { if (a { g(); } }\nstruct s *h(void) { struct { int x; } y = { 1 }; return 0; }", 2),
 ]
 SINGLE = "int one(void) { return 1; }"
 COUNTS = "[" + ", ".join(str(c[2]) for c in COUNTED) + f"][row_id % {len(COUNTED)} + 1]"
 
 
 def counted(part: int) -> Column:
-    return F.expr(by_row([escaped(c[part]) for c in COUNTED]))
+    # by_row puts the row's number in the place of each #
+    return F.replace(F.expr(by_row([escaped(c[part]).replace("#", "\x7f") for c in COUNTED])), F.lit("\x7f"), F.lit("#"))
 
 
 @query("f07_multi_function", f"""

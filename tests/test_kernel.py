@@ -8,7 +8,7 @@ import random
 
 import pytest
 
-from fissure.functions import diffs, lexer, replies, signatures
+from fissure.functions import diffs, lexer, replies, scopes, signatures
 
 
 @pytest.mark.parametrize(("language", "source", "n"), [
@@ -26,7 +26,7 @@ from fissure.functions import diffs, lexer, replies, signatures
     ("c", "", 0), ("c", "  \n", 0), ("c", "int x;", 0), ("python", "def f(): pass", -1), ("", "int a() { }", -1), (None, "x", -1),
 ])
 def test_function_count(language, source, n):
-    assert lexer.count_functions(source, language) == n
+    assert scopes.count_functions(source, language) == n
 
 
 @pytest.mark.parametrize(("language", "source", "out"), [
