@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
+from collections import deque
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +18,8 @@ from fissure.functions import code, diffs, replies, udfs
 from fissure.functions.text import strip
 
 STAGES = ("vulnerability_analysis", "fix_analysis", "code_review")
+REVIEW = "review string, confidence double, status string, calls int, regenerations int"
+SAVED = f"key string, {REVIEW}"
 
 
 def cwe_info(rows: DataFrame, names: DataFrame, key: str = "CWE") -> DataFrame:
@@ -62,12 +67,15 @@ def client(primary: Callable[[str], str], backup: Callable[[str], str] | None =
     return ask
 
 
-def review(rows: DataFrame, generate: Callable[[str], str], templates: dict[str, str], *, limit: int | None = None, tries: int = 2, attempts: int = 3, delay: float = 1.0, version: str = "v1", now: str = "1970-01-01T00:00:00Z") -> DataFrame:
+def review(rows: DataFrame, generate: Callable[[str], str], templates: dict[str, str], *, limit: int | None = None, tries: int = 2, attempts: int = 3, delay: float = 1.0, version: str = "v1", now: str = "1970-01-01T00:00:00Z", concurrency: int = 1, tasks: int | None = None) -> DataFrame:
     """(row_id, review, confidence, status, calls, regenerations) of ``rows(row_id, CWE, vulnerable, benign)``, or of the first ``limit`` of them by row_id, in three stages each.
 
     ``generate(prompt)`` is called on the executors, up to ``attempts`` times where it raises an error, with ``delay`` seconds, then twice as many, in between. The last error, or a reply without
     JSON, gives a placeholder. A review below the confidence threshold is asked for again, ``tries`` times in all. ``now`` is the stamp of
     all reviews, so that reruns agree.
+
+    Each task has up to ``concurrency`` rows under way at once, whose results it returns in the order of the rows; it reads at most twice as many ahead. ``tasks``: how many tasks share the rows, else as many as there are partitions,
+    and with a ``limit`` as many as Spark runs at a time.
     """
 
     def one(row) -> tuple[str, float, str, int, int]:
@@ -99,13 +107,66 @@ def review(rows: DataFrame, generate: Callable[[str], str], templates: dict[str,
         return json.dumps({**done, "metadata": {"generated_by": "model", "generated_at": now, "prompt_version": version, "confidence": score}}), score, "ok", calls, turn
 
     def run(frames):
-        for frame in frames:
-            out = [one(r) for r in frame.itertuples(index=False)]
-            yield pd.DataFrame({"row_id": frame["row_id"], **{name: [o[i] for o in out] for i, name in enumerate(("review", "confidence", "status", "calls", "regenerations"))}})
-
+        with ThreadPoolExecutor(concurrency) as pool:
+            under_way, out = deque(), []
+            for frame in frames:
+                for row in frame.itertuples(index=False):
+                    under_way.append((row.row_id, pool.submit(one, row)))
+                    if len(under_way) > 2 * concurrency:
+                        id_, result = under_way.popleft()
+                        out.append((id_, *result.result()))
+                if out:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+            out = [(id_, *result.result()) for id_, result in under_way]
+            if out:
+                yield pd.DataFrame(out, columns=names)
+
+    names = ["row_id", "review", "confidence", "status", "calls", "regenerations"]
     asked = rows.select("row_id", "CWE", "vulnerable", "benign")
-    asked = asked if limit is None else asked.orderBy("row_id").limit(limit)
-    return asked.mapInPandas(run, "row_id long, review string, confidence double, status string, calls int, regenerations int")
+    if limit is not None:
+        asked = asked.orderBy("row_id").limit(limit)
+        # the first rows come in one partition
+        tasks = tasks or rows.sparkSession.sparkContext.defaultParallelism
+    if tasks:
+        asked = asked.repartition(tasks, "row_id")
+    return asked.mapInPandas(run, f"row_id long, {REVIEW}")
+
+
+def review_saved(rows: DataFrame, generate: Callable[[str], str], templates: dict[str, str], path: str, *, batch: int = 100, tasks: int = 8, **options) -> DataFrame:
+    """``review`` of ``rows`` with results that are saved under ``path`` while the run goes on, so that a run that was lost goes on where it ended.
+
+    Entries are known by ``cache_key``: equal ones are asked about once, and what ``path`` holds from runs before, failures apart, is not asked about again. The rest is laid out in files of up to ``batch`` entries; a stream takes ``tasks`` of them
+    at a time and appends their reviews, which Spark commits as a whole. So what a lost run has to repeat is one such step, and what a lost task has to repeat is one file. (row_id, key, review, confidence, status, calls, regenerations)
+    of all rows; ``calls`` are those that the saved review took.
+    """
+    spark = rows.sparkSession
+    keyed = rows.select("row_id", "CWE", "vulnerable", "benign", cache_key(F.col("vulnerable"), F.col("benign"), F.col("CWE")).alias("key"))
+    todo = keyed.groupBy("key").agg(F.min_by(F.struct("row_id", "CWE", "vulnerable", "benign"), "row_id").alias("r")).select("key", "r.*")
+    todo = todo.join(saved_reviews(spark, path).filter("status = 'ok'").select("key"), "key", "left_anti")
+    own = f"{path}/run-{uuid.uuid4()}"
+    todo.write.option("maxRecordsPerFile", batch).parquet(f"{own}/rows")
+
+    def step(part: DataFrame, number: int) -> None:
+        part = part.persist()
+        done = review(part, generate, templates, **options)
+        done.join(part.select("row_id", "key"), "row_id").drop("row_id").write.mode("append").parquet(f"{own}/reviews")
+        part.unpersist()
+
+    shape = spark.read.parquet(f"{own}/rows").schema
+    stream = spark.readStream.schema(shape).option("maxFilesPerTrigger", tasks).parquet(f"{own}/rows")
+    stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{own}/progress").trigger(availableNow=True).start().awaitTermination()
+    return keyed.select("row_id", "key").join(saved_reviews(spark, path), "key")
+
+
+def saved_reviews(spark: SparkSession, path: str) -> DataFrame:
+    """One review per key of those that all runs have saved under ``path``: one that went well, if there is any."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/run-*/reviews")
+    # by name, since Spark takes two reads of one folder for the same, whatever was added in between
+    runs = sorted(x.getPath().toString() for x in place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or [])
+    found = spark.read.schema(SAVED).parquet(*runs) if runs else spark.createDataFrame([], SAVED)
+    columns = [c for c in found.columns if c != "key"]
+    return found.groupBy("key").agg(F.min_by(F.struct(*columns), F.struct(F.col("status") != "ok", "review")).alias("r")).select("key", "r.*")
 
 
 def review_stats(rows: DataFrame, reviews: DataFrame) -> DataFrame:

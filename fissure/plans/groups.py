@@ -394,17 +394,20 @@ def v01_reviews(spark, sf_dir):
     return vuln_rows(spark, sf_dir).select("row_id", udfs.review_check(raw, F.lit("CWE-1")).alias("r")).select("row_id", "r.valid", F.size("r.issues").alias("n_issues"), "r.regenerate")
 
 
-def reviewed(spark, sf_dir, rows=None):
-    rows = (vuln_rows(spark, sf_dir) if rows is None else rows).select("row_id", F.col("cwe").alias("CWE"), F.col("code_before").alias("vulnerable"), F.col("code_after").alias("benign"))
+def to_review(spark, sf_dir, rows=None):
+    return (vuln_rows(spark, sf_dir) if rows is None else rows).select("row_id", F.col("cwe").alias("CWE"), F.col("code_before").alias("vulnerable"), F.col("code_after").alias("benign"))
+
 
-    def generate(prompt: str) -> str:
-        import json
+def reply(prompt: str) -> str:
+    import json
 
-        if "fixed" not in prompt:
-            raise RuntimeError("nothing to say")
-        return json.dumps({"severity": "HIGH", "fix_quality": "GOOD", "length": len(prompt)})
+    if "fixed" not in prompt:
+        raise RuntimeError("nothing to say")
+    return json.dumps({"severity": "HIGH", "fix_quality": "GOOD", "length": len(prompt)})
 
-    return review.review(rows, generate, {s: "{code_after}" for s in review.STAGES}, delay=0.0)
+
+def reviewed(spark, sf_dir, rows=None):
+    return review.review(to_review(spark, sf_dir, rows), reply, {s: "{code_after}" for s in review.STAGES}, delay=0.0)
 
 
 #: The reply tells the prompt's length. Its confidence stays low where there is an id, which it doesn't name; then each of the three stages is asked for twice.
@@ -421,6 +424,28 @@ def v05_reviewed(spark, sf_dir):
     return reviewed(spark, sf_dir).select("row_id", "status", got("$.code_review.length").cast("long").alias("length"), got("$.error").alias("error"), "calls", "regenerations")
 
 
+@query("v07_resumed", REVIEWS + """
+    SELECT row_id, status, CASE WHEN status = 'ok' THEN CAST(length(code_after) AS BIGINT) END AS length, status = 'ok' AND bool_or(row_id % 2 = 0) OVER (PARTITION BY code_before, code_after, cwe) AS kept,
+        count(*) OVER (PARTITION BY code_before, code_after, cwe) AS alike
+    FROM (SELECT w.*, code_before, cwe FROM w JOIN vuln_rows USING (row_id, code_after))
+""")
+def v07_resumed(spark, sf_dir):
+    """A run over every second row, and one over all of them with another client, which must not be asked about what is saved."""
+    from fissure.plans.more import shared
+
+    def second(prompt: str) -> str:
+        return reply(prompt).replace("{", '{"second": 1, ', 1)
+
+    path, rows, templates = shared(spark, "reviews"), to_review(spark, sf_dir), {s: "{code_after}" for s in review.STAGES}
+    options = {"delay": 0.0, "batch": 5000, "concurrency": 4}
+    first = review.review_saved(rows.filter("row_id % 2 = 0"), reply, templates, path, **options).select("key", F.lit(True).alias("early")).distinct()
+    done = review.review_saved(rows, second, templates, path, **options).join(first, "key", "left")
+    got = lambda path: F.get_json_object("review", path)
+    alike = done.groupBy("key").agg(F.count("*").alias("alike"))
+    again = F.col("early") & (F.col("status") == "ok") & got("$.code_review.second").isNull()
+    return done.join(alike, "key").select("row_id", "status", got("$.code_review.length").cast("long").alias("length"), F.coalesce(again, F.lit(False)).alias("kept"), "alike")
+
+
 @query("a25_review_stats", REVIEWS + "SELECT count(*) AS total_processed, count(*) FILTER (row_id % 4 = 0) AS cache_hits, CAST(sum(CASE WHEN row_id % 4 = 0 THEN 0 WHEN again THEN 6 ELSE 3 END) AS BIGINT) AS api_calls, count(*) FILTER (row_id % 4 <> 0 AND status = 'failed') AS failures, count(*) FILTER (row_id % 4 <> 0 AND again) AS regenerations FROM w")
 def a25_review_stats(spark, sf_dir):
     rows = vuln_rows(spark, sf_dir)
