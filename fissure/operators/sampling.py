@@ -1,4 +1,4 @@
-"""Samples of groups of rows. All random order is the order of a hash of the row number, so that it is the same in every run."""
+"""Samples of groups of rows. All random order is the order of a hash of the row number, so that it is the same in every run. Nulls in groups and strata are a group and a stratum of their own."""
 
 from __future__ import annotations
 
@@ -10,10 +10,18 @@ def shuffled(seed: int = 42, row: str = "row_id") -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(row).cast("string")))
 
 
+def joined(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """A join by ``keys`` in which nulls are equal, as they are in groups; the key columns are those of ``left``."""
+    theirs = {k: f"joined key {i}" for i, k in enumerate(keys)}
+    right = right.withColumnsRenamed(theirs)
+    same = [left[f"`{k}`"].eqNullSafe(right[f"`{other}`"]) for k, other in theirs.items()]
+    return left.join(right, same, how).drop(*theirs.values())
+
+
 def with_sizes(rows: DataFrame, group: list[str], name: str = "group_size") -> DataFrame:
     """``rows`` with the size of their group: an aggregation and a join, not a window over whole groups."""
     counts = rows.groupBy(*group).agg(F.count("*").alias(name))
-    return rows.join(counts, group)
+    return joined(rows, counts, group)
 
 
 def numbered(rows: DataFrame, group: list[str], by: str | None = None, row: str = "row_id", block: int = 1 << 20) -> DataFrame:
@@ -49,7 +57,7 @@ def stratified(rows: DataFrame, group: list[str], stratum: str, n: int, seed: in
     """Up to ``n`` rows of each group, by quota of each stratum."""
     allowed = quotas(rows, group, stratum, n).select(*group, stratum, "quota")
     turn = F.row_number().over(Window.partitionBy(*group, stratum).orderBy(shuffled(seed), "row_id"))
-    return rows.withColumn("turn", turn).filter(F.col("turn") <= n).join(allowed, [*group, stratum]).filter("turn <= quota").drop("turn", "quota")
+    return joined(rows.withColumn("turn", turn).filter(F.col("turn") <= n), allowed, [*group, stratum]).filter("turn <= quota").drop("turn", "quota")
 
 
 def capped(rows: DataFrame, group: list[str], stratum: str, most: int = 300, seed: int = 42) -> DataFrame:

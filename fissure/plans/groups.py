@@ -8,6 +8,7 @@ from fissure.functions import code, cwe, udfs
 from fissure.operators import benchmark, cluster, review, sampling, stats, taxonomy
 from fissure.plans.bridge import classed, cleaned, nodes, pairs, query, read, vuln_rows
 from fissure.plans.rows import COUNTS, EXCERPTS, LINES, counted
+from fissure.session import shared
 
 
 def normed(spark, sf_dir):
@@ -176,19 +177,35 @@ def w04_quotas(spark, sf_dir):
     return sampling.quotas(cleaned(spark, sf_dir), ["language"], "source", 20)
 
 
-@query("m04_stratified", QUOTAS + " SELECT language, source, row_id FROM (SELECT c.language, c.source, row_id, quota, row_number() OVER (PARTITION BY c.language, c.source ORDER BY md5('42:' || row_id), row_id) AS rn FROM cleaned c JOIN u USING (language, source)) WHERE rn <= quota")
+#: Rows of which some have no class, some no source and some no language.
+GAPS = """, gaps AS (SELECT * REPLACE (CASE WHEN row_id % 11 <> 0 THEN {cwe} END AS {cwe}, CASE WHEN row_id % 6 <> 0 THEN source END AS source, CASE WHEN row_id % 10 <> 3 THEN language END AS language) FROM {rows})"""
+
+
+def gaps(rows, cwe="cwe"):
+    return rows.withColumns({cwe: F.expr(f"if(row_id % 11 <> 0, {cwe}, null)"), "source": F.expr("if(row_id % 6 <> 0, source, null)"), "language": F.expr("if(row_id % 10 <> 3, language, null)")})
+
+
+@query("m04_stratified", GAPS.format(cwe="cwes", rows="cleaned") + QUOTAS.replace("FROM cleaned", "FROM gaps").replace("ORDER BY source", "ORDER BY source NULLS FIRST") + """
+    SELECT language, source, row_id FROM (
+        SELECT c.language, c.source, row_id, quota, row_number() OVER (PARTITION BY c.language, c.source ORDER BY md5('42:' || row_id), row_id) AS rn
+        FROM gaps c JOIN u ON c.language IS NOT DISTINCT FROM u.language AND c.source IS NOT DISTINCT FROM u.source)
+    WHERE rn <= quota
+""")
 def m04_stratified(spark, sf_dir):
-    return sampling.stratified(cleaned(spark, sf_dir), ["language"], "source", 20).select("language", "source", "row_id")
+    return sampling.stratified(gaps(cleaned(spark, sf_dir), "cwes"), ["language"], "source", 20).select("language", "source", "row_id")
 
 
-@query("m03_capped", """
-    , g AS (SELECT cwe, source, count(*) AS available FROM vuln_rows GROUP BY ALL), t AS (SELECT *, sum(available) OVER (PARTITION BY cwe) AS total FROM g),
-    s AS (SELECT *, CAST(greatest(1, floor(30 * available / total)) AS BIGINT) AS share FROM t),
-    u AS (SELECT cwe, source, total, least(available, least(share, greatest(0, 30 - coalesce(sum(share) OVER (PARTITION BY cwe ORDER BY source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)))) AS quota FROM s)
-    SELECT cwe, row_id FROM (SELECT v.cwe, row_id, quota, total, row_number() OVER (PARTITION BY v.cwe, v.source ORDER BY md5('42:' || row_id), row_id) AS rn FROM vuln_rows v JOIN u USING (cwe, source)) WHERE total <= 30 OR rn <= quota
+@query("m03_capped", GAPS.format(cwe="cwe", rows="vuln_rows") + """
+    , g AS (SELECT cwe, language, source, count(*) AS available FROM gaps GROUP BY ALL), t AS (SELECT *, sum(available) OVER (PARTITION BY cwe, language) AS total FROM g),
+    s AS (SELECT *, CAST(greatest(1, floor(8 * available / total)) AS BIGINT) AS share FROM t),
+    u AS (SELECT cwe, language, source, total, least(available, least(share, greatest(0, 8 - coalesce(sum(share) OVER (PARTITION BY cwe, language ORDER BY source NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)))) AS quota FROM s)
+    SELECT cwe, language, row_id FROM (
+        SELECT v.cwe, v.language, row_id, quota, total, row_number() OVER (PARTITION BY v.cwe, v.language, v.source ORDER BY md5('42:' || row_id), row_id) AS rn
+        FROM gaps v JOIN u ON v.cwe IS NOT DISTINCT FROM u.cwe AND v.language IS NOT DISTINCT FROM u.language AND v.source IS NOT DISTINCT FROM u.source)
+    WHERE total <= 8 OR rn <= quota
 """)
 def m03_capped(spark, sf_dir):
-    return sampling.capped(vuln_rows(spark, sf_dir), ["cwe"], "source", 30).select("cwe", "row_id")
+    return sampling.capped(gaps(vuln_rows(spark, sf_dir)), ["cwe", "language"], "source", 8).select("cwe", "language", "row_id")
 
 
 @query("m07_random", "SELECT source, row_id FROM (SELECT source, row_id, row_number() OVER (PARTITION BY source ORDER BY md5('42:' || row_id), row_id) AS rn FROM vuln_rows) WHERE rn <= 15")
@@ -431,8 +448,6 @@ def v05_reviewed(spark, sf_dir):
 """)
 def v07_resumed(spark, sf_dir):
     """A run over every second row, and one over all of them with another client, which must not be asked about what is saved."""
-    from fissure.plans.more import shared
-
     def second(prompt: str) -> str:
         return reply(prompt).replace("{", '{"second": 1, ', 1)
 

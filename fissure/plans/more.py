@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import shutil
 import sqlite3
 import tempfile
@@ -19,17 +18,10 @@ from fissure.functions import code, cwe, text, udfs
 from fissure.operators import benchmark, cluster, review, sampling, stats, taxonomy
 from fissure.plans.bridge import classed, cleaned, nodes, pairs, query, read, vuln_rows
 from fissure.plans.groups import SEPARATE, apart, entries, scored
+from fissure.session import shared
 from fissure.sources import datasets, files, sinks
 
 
-def shared(spark, name: str) -> str:
-    """A new path in the cluster's shared folder, or in a temporary one where the session names none and has no other machines, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{folder or tempfile.mkdtemp(prefix='shared-')}/{name}-{uuid.uuid4()}"
-
-
 @query("s01_cvefixes", """
     SELECT array_to_string(list_sort(list_distinct(cwes)), '|') AS cwe, code_before, code_after, 'https://github.com/org' || (row_id % 20) || '/repo/commit/' || left(md5(CAST(row_id AS VARCHAR)), 12) AS commit_url, 'c' AS language
     FROM strips WHERE row_id % 7 = 0 AND code_before <> '' AND code_after <> '' AND a <> b

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 #: Adaptive plans size and split shuffles; Arrow batches are bounded by rows, so that long texts don't pile up in one.
@@ -20,3 +24,11 @@ def session(name: str = "fissure", master: str | None = None, **settings: str) -
     builder = SparkSession.builder.appName(name)
     builder = builder.master(master) if master else builder
     return builder.config(map=SETTINGS | settings).getOrCreate()
+
+
+def shared(spark: SparkSession, name: str) -> str:
+    """A new path in the cluster's shared folder, or in a temporary one where the session names none and has no other machines, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{folder or tempfile.mkdtemp(prefix='shared-')}/{name}-{uuid.uuid4()}"
