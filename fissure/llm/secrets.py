@@ -31,7 +31,13 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 MIN_ASSIGN, MIN_ACCESS = 12, 18
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-][A-Za-z0-9+/_=.-]{14,}[A-Za-z0-9+/_=-]")
 LEADS = ("key", "auth", "bearer", "pwd", "passphrase", "credential", "pin", "login")
-LED = re.compile(rf"""\b(?:[a-z]+[_-])*(?:{"|".join(LEADS)})[a-z_-]{{0,16}}["']?\x20*[:=\x20]\x20*["']?([^\s"'<>]{{12,}})""", re.I | re.A)
+_LEADS = "|".join(LEADS)
+#: A lead word where a run of letters begins.
+LEAD = re.compile(rf"(?<![a-z])(?:{_LEADS})", re.I | re.A)
+#: Words with a mark behind each, between one lead word and the next.
+LINKED = re.compile(r"(?:[a-z]+[_-])++", re.I | re.A)
+#: From a lead word to the value; no part of it can be read in two ways.
+LED = re.compile(rf"""(?:{_LEADS})[a-z_-]{{0,16}}+["']?+(?:\x20*+[:=]\x20*+["']?+([^\s"'<>]{{12,}}+)|\x20++["']?+([^\s"'<>]{{12,}}+))""", re.I | re.A)
 BEFORE, INSIDE, AFTER = 24, 32, 4
 #: Characters from one window of a candidate to the next.
 STEP = 8
@@ -50,12 +56,55 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _begins(text: str, at: int) -> bool:
+    """Does a word begin at a lead word, or at one of the words that are linked before it?"""
+    while at and text[at - 1] == "_":
+        word = at - 1
+        while word and text[word - 1].isascii() and text[word - 1].isalpha():
+            word -= 1
+        if word == at - 1:
+            return False
+        at = word
+    return not at or not (text[at - 1].isascii() and text[at - 1].isalnum())
+
+
+def led(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the values behind lead words, from left to right, none within another.
+
+    Lead words that are linked by letters with single ``_`` or ``-`` in between belong together; the last of them that a value follows counts, if a word begins with them or with a word linked before. Each character is looked at a bounded number of times.
+    """
+    out, chain, at, end = [], [], 0, 0
+
+    def close() -> None:
+        nonlocal at
+        for lead in reversed(chain):
+            if (m := LED.match(text, lead)) and _begins_before(lead):
+                out.append(m.span(m.lastindex))
+                at = m.end()
+                break
+
+    def _begins_before(lead: int) -> bool:
+        # a hyphen before any of them begins a word; else the words before the first one decide
+        return "-" in text[chain[0] - 1 : lead] or _begins(text, chain[0]) if chain[0] else True
+
+    for m in LEAD.finditer(text):
+        if chain and not LINKED.fullmatch(text, end, m.start()):
+            close()
+            chain = []
+        if m.start() < at:
+            continue
+        chain.append(end := m.start())
+    if chain:
+        close()
+    return out
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     """(start, end) of what the network is asked about beside the base findings, which are sorted; runs that these hold as a whole are left out."""
     runs = {m.span() for m in CANDIDATE.finditer(text)}
     low = text.lower()
     if any(w in low for w in LEADS):
-        runs |= {m.span(1) for m in LED.finditer(text)}
+        runs |= set(led(text))
     out, whole = [], []
     for a, _, b in base:
         if whole and a <= whole[-1][1]:

@@ -111,13 +111,22 @@ def links(fps: DataFrame) -> DataFrame:
     crowds = again.groupBy("key", "part").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD).select("key", "part")
     few = again.join(crowds, ["key", "part"], "left_anti").groupBy("key", "part").agg(F.collect_set("fp").alias("fps"))
     left = f"(case when part < 65536L then shiftrightunsigned({rest}, 16) else {rest} & 65535L end)"
-    many = (
+    third = (
         again.join(crowds, ["key", "part"])
         .select("fp", "key", "part", F.expr(f"{left} & 255L").alias("low"), F.expr(f"shiftrightunsigned({left}, 8)").alias("high"))
         .select("fp", "key", "part", F.explode(F.expr(f"concat({_ball('low', 8)}, transform({_ball('high', 8)}, x -> x | 256L))")).alias("last"))
-        .groupBy("key", "part", "last").agg(F.collect_set("fp").alias("fps"))
     )
-    groups = few.select("fps").unionAll(many.select("fps")).filter("size(fps) > 1")
+    # a group agrees on 56 bits up to one bit of each part, so it has at most 256 * 33 * 17 * 9 fingerprints; the halves of the last 8 bits and a bit each leave 16 * 33 * 17 * 9 * 5 at most
+    packed = cut(third.distinct().join(third.groupBy("key", "part", "last").agg(F.approx_count_distinct("fp").alias("n")).withColumn("crowded", F.col("n") > CROWD).drop("n"), ["key", "part", "last"]))
+    many = packed.filter("not crowded").groupBy("key", "part", "last").agg(F.collect_set("fp").alias("fps"))
+    end = f"(case when last < 256L then shiftrightunsigned({left}, 8) else {left} & 255L end)"
+    most = (
+        packed.filter("crowded")
+        .select("fp", "key", "part", "last", F.expr(f"{end} & 15L").alias("low"), F.expr(f"shiftrightunsigned({end}, 4)").alias("high"))
+        .select("fp", "key", "part", "last", F.explode(F.expr(f"concat({_ball('low', 4)}, transform({_ball('high', 4)}, x -> x | 16L))")).alias("end"))
+        .groupBy("key", "part", "last", "end").agg(F.collect_set("fp").alias("fps"))
+    )
+    groups = few.select("fps").unionAll(many.select("fps")).unionAll(most.select("fps")).filter("size(fps) > 1")
     return near.unionAll(groups.mapInArrow(_forests, "a long, b long")).distinct()
 
 
@@ -140,36 +149,41 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` without all but one document of each component: one whose doc_id is the component's id.
 
-    Of repeated rows of that doc_id one stays, and where they hold different texts, one of the component's; where a component has no doc_id at all, one of its rows stays.
+    Of repeated rows of that doc_id one stays, and where they hold different texts, one of the component's; where a component has no doc_id at all, one of its rows stays. Texts are shuffled only of rows whose doc_id is missing or repeats.
     """
     each, by_fp = _components(docs)
-    found = cut(each.join(by_fp, "fp").filter("doc_id <=> component_id").groupBy("root").agg(F.min("component_id").alias("kept_id"), F.min("fp").alias("kept_fp")))
-    twice = cut(each.filter("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).filter("low <> high").select(F.col("doc_id").alias("twice_id")))
-    named, nameless = docs.filter("doc_id is not null"), docs.filter("doc_id is null")
-    ids = found.filter("kept_id is not null")
-    several, missing = not twice.isEmpty(), not nameless.isEmpty()
-    once = ids.join(twice, F.col("kept_id") == F.col("twice_id"), "left_anti") if several else ids
-    kept = named.join(once.select("kept_id"), F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    found = cut(each.join(by_fp, "fp").filter("doc_id <=> component_id").groupBy("root").agg(F.min("component_id").alias("id"), F.min("fp").alias("fp")))
+    twice = cut(each.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"))
+    several, missing = not twice.isEmpty(), not found.filter("id is null").isEmpty()
+    # the caller's columns are joined under numbers, so that no name of theirs meets one of ours
+    rows = docs.toDF(*map(str, range(len(docs.columns))))
+    own = [F.col(f"`{i}`") for i in range(len(docs.columns))]
+    id_ = F.col(f"`{docs.columns.index('doc_id')}`")
+    ids = found.filter("id is not null").select(F.col("id").alias("kept id"), F.col("fp").alias("kept fp"))
+    repeated = twice.select(F.col("doc_id").alias("repeated id"))
+    once = ids.join(repeated, F.col("kept id") == F.col("repeated id"), "left_anti") if several else ids
+    kept = rows.join(once, id_ == F.col("kept id"), "left_semi")
     if several:
-        marked = _fingerprinted(named.join(twice, F.col("doc_id") == F.col("twice_id"), "left_semi"))
-        marked = marked.join(ids.select("kept_id", "kept_fp"), (F.col("doc_id") == F.col("kept_id")) & (F.col(MARK) == F.col("kept_fp")), "left_semi").dropDuplicates(["doc_id", MARK])
-        kept = kept.unionAll(marked.drop(MARK))
+        marked = _fingerprinted(rows.join(repeated, id_ == F.col("repeated id"), "left_semi"), docs.columns.index("text"))
+        marked = marked.join(ids, (id_ == F.col("kept id")) & (F.col(MARK) == F.col("kept fp")), "left_semi").dropDuplicates([str(docs.columns.index("doc_id")), MARK])
+        kept = kept.unionAll(marked.select(own))
     if missing:
-        marked = _fingerprinted(nameless).join(found.filter("kept_id is null").select("kept_fp"), F.col(MARK) == F.col("kept_fp"), "left_semi").dropDuplicates([MARK])
-        kept = kept.unionAll(marked.drop(MARK))
-    return kept
+        nameless = found.filter("id is null").select(F.col("fp").alias("kept fp"))
+        marked = _fingerprinted(rows.filter(id_.isNull()), docs.columns.index("text")).join(nameless, F.col(MARK) == F.col("kept fp"), "left_semi").dropDuplicates([MARK])
+        kept = kept.unionAll(marked.select(own))
+    return kept.toDF(*docs.columns)
 
 
-#: Column that holds the fingerprint beside a table's own columns.
-MARK = "simhash fingerprint"
+#: Column that holds the fingerprint beside a table's own columns, which are numbered here.
+MARK = "fingerprint"
 
 
-def _fingerprinted(docs: DataFrame) -> DataFrame:
-    """``docs`` with the column MARK, for the few rows that have no doc_id to join by, or one that holds several texts."""
-    schema = T.StructType([*docs.schema.fields, T.StructField(MARK, T.LongType())])
+def _fingerprinted(rows: DataFrame, text: int) -> DataFrame:
+    """``rows`` with the column MARK, for the few rows that have no doc_id to join by, or one that repeats. ``text``: the place of their text."""
+    schema = T.StructType([*rows.schema.fields, T.StructField(MARK, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.append_column(MARK, pa.array([fingerprint(x) for x in batch.column("text").to_pylist()], pa.int64()))
+            yield batch.append_column(MARK, pa.array([fingerprint(x) for x in batch.column(text).to_pylist()], pa.int64()))
 
-    return docs.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)

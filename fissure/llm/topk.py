@@ -9,8 +9,8 @@ The number of rings grows with the vectors, about ``RING`` to a ring, and beyond
 with up to about ``QUERIES`` of the queries that visit it at a time; so a block is sent once for every that many visits, and not at all if no query visits it.
 
 Pivots come from a sample of at most ``sample`` vectors (the first by a hash of vec_id); all vectors are indexed, and the result is exact whatever the pivots are. Vectors that are null or hold
-null or non-finite components, and rows without vec_id, take no part. Shorter vectors count as filled up with zeros. Rows that share a vec_id are one vector, the smallest by
-component order; extra columns are ignored. Scores are exact in 64 bits: where the squares of a vector's integers may sum to 2^53 or more, integers are multiplied instead of doubles; sums of 2^63 and more are an
+null or non-finite components, and rows without vec_id, take no part. Shorter vectors count as filled up with zeros. Every row is a vector of its own, also where rows share a vec_id:
+such rows are numbered in the order of their vec_id, each asks for itself and is a candidate for the others. Extra columns are ignored. Scores are exact in 64 bits: where the squares of a vector's integers may sum to 2^53 or more, integers are multiplied instead of doubles; sums of 2^63 and more are an
 error of Spark's arithmetic.
 """
 
@@ -33,7 +33,7 @@ NONE = -(1 << 63)
 def integers(vectors: DataFrame, scale: int = 256) -> DataFrame:
     """``(vec_id, v)``: the vectors that take part, as integers."""
     ok = F.expr("vec_id is not null and embedding is not null and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))")
-    return vectors.filter(ok).select("vec_id", F.expr(f"transform(embedding, x -> cast(floor({scale} * cast(x as double)) as bigint))").alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return vectors.filter(ok).select("vec_id", F.expr(f"transform(embedding, x -> cast(floor({scale} * cast(x as double)) as bigint))").alias("v"))
 
 
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
@@ -107,8 +107,20 @@ def _search(k: int, size: int, kind: type):
 
 def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, sample: int = 4096) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` for the vectors of ``vectors(vec_id, embedding)`` where the column ``is_query`` holds."""
-    whole = cut(integers(vectors, scale))
-    facts = whole.agg(F.count("*"), F.max(F.size("v")), F.max(F.expr("aggregate(v, 0L, (s, x) -> s + x * x)")), F.count_if(is_query)).first()
+    whole = cut(integers(vectors, scale).withColumn("asked", F.coalesce(is_query, F.lit(False))))
+    if not whole.groupBy("vec_id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        # the second key lets the sort split rows of one id; numbers rise with the ids, so ties fall as they do by id
+        numbered = cut(whole.withColumn("turn", F.monotonically_increasing_id()).orderBy("vec_id", "turn").withColumn("row", F.monotonically_increasing_id()))
+        found = _search_all(numbered.select(F.col("row").alias("vec_id"), "v", "asked"), k, sample)
+        names = numbered.select("row", F.col("vec_id").alias("name"))
+        found = found.join(names.select(F.col("row").alias("query_id"), F.col("name").alias("query")), "query_id").join(names.select(F.col("row").alias("vec_id"), "name"), "vec_id")
+        return found.select(F.col("query").alias("query_id"), "rank", F.col("name").alias("vec_id"), "score")
+    return _search_all(whole, k, sample)
+
+
+def _search_all(whole: DataFrame, k: int, sample: int) -> DataFrame:
+    """``top_k`` of ``whole(vec_id, v, asked)``, in which no vec_id repeats."""
+    facts = whole.agg(F.count("*"), F.max(F.size("v")), F.max(F.expr("aggregate(v, 0L, (s, x) -> s + x * x)")), F.count_if("asked")).first()
     n, size, largest, asked = facts[0], facts[1] or 0, facts[2] or 0, facts[3]
     norm, kind = float(largest), float if largest < 1 << 53 else np.int64
     #: what rounding may change in a distance
@@ -123,9 +135,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, sample: in
         for batch in batches:
             d = _distances(_lifted(_matrix(batch.column("v"), size), norm), pivots)
             near = d.argmin(1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.int32()), pa.array(d[np.arange(len(d)), near], pa.float64())], names=["vec_id", "v", "pivot", "dist"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near, pa.int32()), pa.array(d[np.arange(len(d)), near], pa.float64())], names=["vec_id", "v", "asked", "pivot", "dist"])
 
-    keyed = cut(whole.mapInArrow(key, "vec_id long, v array<long>, pivot int, dist double"))
+    keyed = cut(whole.mapInArrow(key, "vec_id long, v array<long>, asked boolean, pivot int, dist double"))
     shares = ", ".join(str((i + 1) / rings) for i in range(rings - 1))
     edges = {r["pivot"]: np.array(r["e"]) for r in keyed.groupBy("pivot").agg(F.expr(f"percentile_approx(dist, array({shares}))").alias("e")).collect()} if rings > 1 else {}
 
@@ -208,7 +220,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, sample: in
         return there.groupBy(*by).cogroup(blocks.groupBy(*by)).applyInPandas(_search(k, size, kind), "query_id long, vec_id long, score long")
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    queries = keyed.filter(is_query).select("vec_id", "v")
+    queries = keyed.filter("asked").select("vec_id", "v")
     first = cut(spread(queries.withColumn("bound", F.lit(NONE)), True).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k))
     bounds = first.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("bound"))
     bounded = queries.join(bounds, "vec_id", "left").withColumn("bound", F.coalesce("bound", F.lit(NONE)))

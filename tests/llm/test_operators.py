@@ -110,7 +110,7 @@ def test_simhash(docs, rows):
     assert of(simhash.near_duplicates(docs), "doc_id", "fingerprint", "component_id") == Counter((i, f"{f:016x}", least.get(root[f])) for i, f in fps)
 
 
-@pytest.mark.parametrize(("bucket", "crowd"), [(0, 2048), (0, 1), (4, 8), (64, 2048)])
+@pytest.mark.parametrize(("bucket", "crowd"), [(0, 2048), (0, 1), (0, -1), (4, 8), (64, 2048)])
 def test_simhash_links(spark, bucket, crowd, monkeypatch):
     monkeypatch.setattr(simhash, "BUCKET", bucket)
     monkeypatch.setattr(simhash, "CROWD", crowd)
@@ -136,6 +136,16 @@ def test_keep_one(docs, rows):
     assert kept.count() == len(set(linked(fps).values()))
 
 
+def test_keep_one_with_names_of_its_own(spark):
+    names = ["kept_id", "kept_fp", "twice_id", "simhash fingerprint", "fingerprint", "fp", "root", "id", "component_id", "kept id", "kept fp", "repeated id", "least", "node", "doc.id", "0", "1"]
+    a, b = (" ".join(f"{k}{i * i % 97}" for i in range(60)) for k in "ab")
+    data = [(str(i), text, id_, *([i] * (len(names) - 1))) for i, (id_, text) in enumerate([(1, a), (2, a), (3, b), (3, a), (None, b), (5, b), (3, b), (None, "x y z"), (None, "x y z")])]
+    docs = spark.createDataFrame(data, ", ".join(["`0` string", "text string", "doc_id long", *(f"`{n}` long" for n in names if n != "0")]))
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns and kept.schema.simpleString() == docs.schema.simpleString()
+    assert of(kept, "doc_id", "text") == Counter([(1, a), (3, b), (None, "x y z")])
+
+
 def test_keep_one_of_ids_with_several_texts(spark):
     a, b, c = (" ".join(f"{k}{i * i % 97}" for i in range(60)) for k in "abc")
     data = [(1, a), (1, b), (1, b), (2, a), (0, c), (3, c), (1, c), (4, b)]
@@ -157,18 +167,24 @@ def test_topk(spark):
     v[100:300] = v[100]
     data = [(i, x.tolist(), "e") for i, x in enumerate(v)] + [(700, None, "e"), (701, [None] + [0.5] * 7, "e"), (750, [float("nan")] * 8, "e"), (None, [0.1] * 8, "e"), (703, [], "e"), (704, [1.0, 2.0], "e"), (3, v[3].tolist(), "e")]
     df = spark.createDataFrame(data, "vec_id long, embedding array<float>, score string")
-    whole = {i: np.floor(256 * np.array(x, float)) for i, x, _ in data if i is not None and x is not None and all(y is not None and math.isfinite(y) for y in x)}
-    whole = {i: np.pad(x, (0, 8 - len(x))) for i, x in whole.items()}
-    want = set()
-    for q in (i for i in whole if i % 50 == 0):
-        best = sorted((-int(whole[q] @ x), i) for i, x in whole.items() if i != q)[:5]
-        want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(best)}
+    data += [(50, v[7].tolist(), "e"), (50, (v[7] * 2).tolist(), "e"), (50, v[50].tolist(), "e")]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>, score string")
+    # every row by itself, also those that share a vec_id
+    whole = [(i, np.floor(256 * np.array(x, float))) for i, x, _ in data if i is not None and x is not None and all(y is not None and math.isfinite(y) for y in x)]
+    whole = [(i, np.pad(x, (0, 8 - len(x)))) for i, x in whole]
+    want = Counter()
+    for at, (q, x) in enumerate(whole):
+        if q % 50 == 0:
+            best = sorted((-int(x @ y), i) for other, (i, y) in enumerate(whole) if other != at)[:5]
+            want.update((q, k + 1, i, -s) for k, (s, i) in enumerate(best))
     for ring, block, queries in ((512, 8192, 4096), (40, 32, 5)):
         topk.RING, topk.BLOCK, topk.QUERIES = ring, block, queries
-        assert set(of(topk.top_k(df, F.expr("vec_id % 50 = 0")), "query_id", "rank", "vec_id", "score")) == want
+        assert of(topk.top_k(df, F.expr("vec_id % 50 = 0")), "query_id", "rank", "vec_id", "score") == want
     topk.RING, topk.BLOCK, topk.QUERIES = 512, 8192, 4096
     few = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert set(of(topk.top_k(few, F.expr("vec_id % 50 = 0")), "query_id", "rank", "vec_id", "score")) == {(0, 1, 1, 256 * 512)}
+    twice = spark.createDataFrame([(7, [2.0, 0.0]), (7, [3.0, 0.0]), (0, [1.0, 0.0])], "vec_id long, embedding array<float>")
+    assert of(topk.top_k(twice, F.expr("vec_id % 50 = 0")), "query_id", "rank", "vec_id", "score") == Counter([(0, 1, 7, 3 * 65536), (0, 2, 7, 2 * 65536)])
     assert topk.top_k(few.limit(0), F.expr("vec_id % 50 = 0")).count() == 0
 
 
@@ -517,6 +533,27 @@ def test_candidates_beside_base_findings():
     assert len(secrets.candidates(many, secrets.base_spans(many))) == 3000
 
 
+def test_led_values():
+    """The linear walk finds what one pattern, which takes time in the square of a text's length, finds."""
+    import random
+
+    slow = re.compile(rf"""\b(?:[a-z]+[_-])*(?:{"|".join(secrets.LEADS)})[a-z_-]{{0,16}}["']?\x20*[:=\x20]\x20*["']?([^\s"'<>]{{12,}})""", re.I | re.A)
+    r = random.Random(4)
+    parts = ["key", "auth", "pin", "pwd", "KEY", "Login", "x", "ab", "_", "-", "_", "-", " ", "  ", ":", "=", "'", '"', "9", "é", "\n", "<", "abcdefghijkl", "abcdefghijk", "a" * 17, "1234567890123", ".", "credential", "a_", "a-", "ſ", "\u212a"]
+    for _ in range(30_000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(1, 22)))
+        assert secrets.led(text) == [m.span(1) for m in slow.finditer(text)], text
+
+
+@pytest.mark.parametrize("text", ["key" + " " * 1_000_000, "x-" * 500_000 + "key", "key" + "x-" * 500_000, "key-" * 250_000, "a_" * 500_000 + "key: abcdefghijklmnop", "key" + "a" * 1_000_000, "key " * 250_000, "key='" * 200_000, "pin" * 300_000 + " " * 1_000_000, "key" + ":" * 1_000_000, "a" * 15 + "." * 1_000_000, "token" + " " * 1_000_000])
+def test_candidates_of_long_texts(text):
+    import time
+
+    began = time.monotonic()
+    secrets.candidates(text, secrets.base_spans(text))
+    assert time.monotonic() - began < 10
+
+
 # 9
 
 
