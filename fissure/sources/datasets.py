@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fissure.functions import cwe, languages, udfs, urls
 from fissure.functions.text import squeeze, strip, text, unix_lines
-from fissure.sources import files, sqlite
+from fissure.session import shared
+from fissure.sources import files, ranges, sqlite
 
 #: Bug categories of the HTML list and their ids.
 CATEGORIES = {"race": "CWE-362", "resource deadlock": "CWE-833", "wait-notify deadlock": "CWE-833", "inconsistent synchronization": "CWE-820"}
@@ -100,22 +102,22 @@ def cvefixes_newest(spark: SparkSession, root: str) -> DataFrame:
     return cvefixes_database(spark, database) if _listed(spark, database) else cvefixes_dump(spark, newest_dump(spark, root))
 
 
-def megavul(spark: SparkSession, path: str) -> DataFrame:
-    """From JSON arrays; entries, commits, files and functions are unfolded, missing lists give no rows."""
+def megavul(spark: SparkSession, path: str, places: bool = False) -> DataFrame:
+    """From JSON arrays, which are read in ranges; entries, commits, files and functions are unfolded, missing lists give no rows. ``places``: with the column ``place``, by which rows are in their order."""
     shape = "cwe_ids array<string>, commits array<struct<git_url:string,repo_name:string,commit_hash:string,files:array<struct<language:string,vulnerable_functions:array<struct<func_before:string,func_after:string>>>>>>"
-    rows = spark.read.schema(shape).json(path, multiLine=True)
-    rows = rows.select("cwe_ids", F.explode("commits").alias("c")).select("cwe_ids", "c", F.explode("c.files").alias("f")).select("cwe_ids", "c", "f.language", F.explode("f.vulnerable_functions").alias("v"))
-    rows = rows.select("cwe_ids", "c", "language", "v.func_before", "v.func_after").filter(_both("func_before", "func_after"))
+    rows = ranges.json_array(spark, path, shape)
+    rows = rows.select("file", "number", "cwe_ids", F.posexplode("commits").alias("i", "c")).select("*", F.posexplode("c.files").alias("j", "f")).select("*", F.posexplode("f.vulnerable_functions").alias("k", "v"))
+    rows = rows.select(F.struct("file", "number", "i", "j", "k").alias("place"), "cwe_ids", "c", "f.language", "v.func_before", "v.func_after").filter(_both("func_before", "func_after"))
     repo = F.regexp_replace(text(F.col("c.repo_name")), "^/+|/+$", "")
     base = F.when(repo.rlike("^https?://"), repo).otherwise(F.concat(F.lit("https://github.com/"), repo))
     built = F.when((repo == "") | (text(F.col("c.commit_hash")) == ""), "").otherwise(F.concat(base, F.lit("/commit/"), F.col("c.commit_hash")))
     url = urls.ensure_https(F.col("c.git_url"))
-    return rows.select(canonical(packed(F.filter("cwe_ids", lambda x: text(x) != "")), F.col("func_before"), F.col("func_after"), F.when(url != "", url).otherwise(built), F.col("language")))
+    return rows.select(*canonical(packed(F.filter("cwe_ids", lambda x: text(x) != "")), F.col("func_before"), F.col("func_after"), F.when(url != "", url).otherwise(built), F.col("language")), *(["place"] if places else []))
 
 
-def msr(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"').filter(_both("func_before", "func_after"))
-    return rows.select(canonical(cwe.normalize(F.col("`CWE ID`")), F.col("func_before"), F.col("func_after"), urls.ensure_https(F.col("codeLink")), strip(F.col("lang"))))
+def msr(spark: SparkSession, path: str, places: bool = False) -> DataFrame:
+    rows = ranges.csv_rows(spark, path, ["CWE ID", "func_before", "func_after", "codeLink", "lang"]).filter(_both("func_before", "func_after"))
+    return rows.select(*canonical(cwe.normalize(F.col("`CWE ID`")), F.col("func_before"), F.col("func_after"), urls.ensure_https(F.col("codeLink")), strip(F.col("lang"))), *([F.struct("file", "number").alias("place")] if places else []))
 
 
 def paired(records: DataFrame) -> DataFrame:
@@ -200,18 +202,35 @@ READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cvefixes": lambda spark, root: cvefixes_newest(spark, f"{root}/cvefixes"),
     "jacontebe": _under(jacontebe, "JaConTeBe"),
     "juliet": _under(juliet, "juliet/juliet_test_suite_c_1_3-train.arrow", "juliet/juliet_test_suite_c_1_3-test.arrow"),
-    "megavul": _under(megavul, "megavul/megavul/*/c_cpp/cve_with_graph_abstract_commit.json"),
-    "msr": _under(msr, "MSR/MSR_data_cleaned.csv"),
+    "megavul": _under(partial(megavul, places=True), "megavul/megavul/*/c_cpp/cve_with_graph_abstract_commit.json"),
+    "msr": _under(partial(msr, places=True), "MSR/MSR_data_cleaned.csv"),
     "primevul": _under(primevul, "primevul/primevul_train_paired.jsonl", "primevul/primevul_valid_paired.jsonl", "primevul/primevul_test_paired.jsonl"),
     "sven": _under(sven, "sven/data_train_val/train/cwe-*.jsonl", "sven/data_train_val/val/cwe-*.jsonl"),
 }
 
 
 def normalize(spark: SparkSession, name: str, root: str) -> DataFrame:
-    """Canonical rows of a registered dataset with source and row_id."""
+    """Canonical rows of a registered dataset with source and row_id, as ``numbered`` gives it."""
     if name not in READERS:
         raise ValueError(f"unknown dataset {name!r}; known are {', '.join(sorted(READERS))}")
-    return READERS[name](spark, root).withColumn("source", F.lit(name)).withColumn("row_id", F.monotonically_increasing_id() + 1)
+    return numbered(READERS[name](spark, root)).select("cwe", "code_before", "code_after", "commit_url", "language", F.lit(name).alias("source"), "row_id")
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with row_id from 1, which depends on the data alone, not on how Spark cut it.
+
+    Rows that have a ``place`` are numbered in its order; others, whose joins leave no order, in that of a hash of their content. Rows are sorted and written, with their part and their number in it; the sizes of the parts, of which there are few,
+    give each part's first number.
+    """
+    names = [c for c in rows.columns if c != "place"]
+    order = [*(["place"] if "place" in rows.columns else []), F.md5(F.to_json(F.struct(*names))), *names]
+    path = shared(rows.sparkSession, "numbered")
+    rows.orderBy(*order).select(*names, F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")).write.parquet(path)
+    written = rows.sparkSession.read.parquet(path)
+    sizes = written.groupBy("part").agg(F.count("*").alias("n"), F.min("at").alias("low"))
+    # a row for each part
+    sizes = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n") - F.col("low") + 1).alias("add"))
+    return written.join(F.broadcast(sizes), "part").withColumn("row_id", F.col("at") + F.col("add")).select(*names, "row_id")
 
 
 def normalize_all(spark: SparkSession, root: str, path: str, names: list[str] | None = None, limit: int | None = None) -> tuple[DataFrame | None, dict[str, str]]:

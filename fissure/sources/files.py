@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pathlib import PurePosixPath
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fissure.functions import udfs
+from fissure.sources import ranges
 
 CANONICAL = "cwe string, code_before string, code_after string, commit_url string, language string"
 
@@ -21,13 +25,13 @@ def texts(spark: SparkSession, path: str, fallback: str = "ISO-8859-1") -> DataF
 
 
 def canonical_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Canonical rows of CSV files: source is the file's stem, empty fields are empty strings, row_id counts the rows of a file from 1.
+    """Canonical rows of CSV files with a header: source is the file's stem, empty and missing fields are empty strings, row_id counts the rows of a source from 1.
 
-    Quoted line ends stay as they are; a file is read by one task, so large corpora belong in Parquet.
+    Quoted line ends stay as they are; files are read in ranges, as ``ranges`` says, and the numbers don't depend on them.
     """
-    rows = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', lineSep="\r\n", schema=CANONICAL)
-    rows = rows.fillna("").withColumn("source", F.regexp_extract("_metadata.file_name", r"^(.*?)(?:\.[^.]*)?$", 1)).withColumn("at", F.monotonically_increasing_id())
-    return rows.withColumn("row_id", F.row_number().over(Window.partitionBy("source").orderBy("at")).cast("long")).drop("at")
+    names = [c.split()[0] for c in CANONICAL.split(", ")]
+    rows = ranges.csv_rows(spark, path, names, lambda file: PurePosixPath(unquote(file)).stem).fillna("", names)
+    return rows.select(*names, F.regexp_extract(F.url_decode("file"), r"([^/]*?)(?:\.[^./]*)?$", 1).alias("source"), F.col("number").alias("row_id"))
 
 
 def json_lines(spark: SparkSession, path: str, schema: str | None = None, strict: bool = True) -> DataFrame:
