@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import json
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -259,7 +260,7 @@ def shard_row(batch: pa.RecordBatch | pa.Table, number: int, vocabularies: tuple
     b, b_at = encode_chunks([x if ok else "" for x, ok in zip(texts, whole, strict=True)], second)
     names = np.empty(n, object)
     groups = np.zeros(n, np.int64)
-    closed: list[tuple[int, int]] = []
+    closed = array("q")
     listed_a, listed_b = a.tolist(), b.tolist()
     i0 = j0 = 0
     for c, (i1, j1) in enumerate(zip(a_at.tolist(), b_at.tolist(), strict=True)):
@@ -268,7 +269,9 @@ def shard_row(batch: pa.RecordBatch | pa.Table, number: int, vocabularies: tuple
             whole[c], names[c] = False, ""
         else:
             groups[c] = len(found)
-            closed += [(i0 + i, j0 + j) for i, j in found]
+            for i, j in found:
+                closed.append(i0 + i)
+                closed.append(j0 + j)
             at, said = (0, 0), []
             for end in found:
                 said.append(f"{','.join(map(str, xa[at[0] : end[0]]))}|{','.join(map(str, xb[at[1] : end[1]]))}")
@@ -278,7 +281,8 @@ def shard_row(batch: pa.RecordBatch | pa.Table, number: int, vocabularies: tuple
     # tokens of chunks that don't align belong to no group; the others' groups are contiguous
     n_a, n_b = np.diff(a_at, prepend=0) * whole, np.diff(b_at, prepend=0) * whole
     keep_a, keep_b = np.repeat(whole, np.diff(a_at, prepend=0)), np.repeat(whole, np.diff(b_at, prepend=0))
-    ends = np.array(closed, np.int64).reshape(-1, 2)
+    del listed_a, listed_b
+    ends = np.frombuffer(closed, np.int64).reshape(-1, 2) if closed else np.zeros((0, 2), np.int64)
     less_a, less_b = np.concatenate([[0], np.cumsum(~keep_a)]), np.concatenate([[0], np.cumsum(~keep_b)])
     code, many, code_at = chunk_links(np.repeat(np.arange(n), groups), a[keep_a], b[keep_b], ends[:, 0] - less_a[ends[:, 0]], ends[:, 1] - less_b[ends[:, 1]], n)
     links = np.add.reduceat(np.append(many, 0), np.concatenate([[0], code_at[:-1]]).astype(np.int64)) * (np.diff(code_at, prepend=0) > 0) if n else many
