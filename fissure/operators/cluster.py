@@ -212,6 +212,11 @@ def _drawn(round_: int, seed: int, many: int) -> Callable:
     return kernel
 
 
+def with_embeddings(rows: DataFrame, embeddings: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with the embedding of the same ``keys``; rows without one have null, and a key that has several is an error of the caller's."""
+    return rows.join(embeddings.select(*keys, "embedding"), keys, "left")
+
+
 def select(rows: DataFrame, group: list[str], n: int, method: str = "kmeans", stratum: str = "source", seed: int = 42) -> DataFrame:
     """k-means where every row of a group has an embedding, else a stratified sample; every other method is stratified too."""
     if method != "kmeans":

@@ -402,13 +402,36 @@ def s17_export_lines(spark, sf_dir):
     return files.export_lines(laid).groupBy("cwd", "cwe", "language", "has_others").agg(F.count("*").alias("n"))
 
 
-@query("v01_reviews", """
-    SELECT row_id, row_id % 3 = 0 AS valid, CAST(CASE row_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 3 END AS INTEGER) AS n_issues, row_id % 3 = 2 AS regenerate FROM vuln_rows
-""")
+#: What varied_review gets wrong in each row, and the parts of its score.
+FAULTS = """
+    , sev AS (SELECT *, ['LOW', 'HUGE', 'high', 'CRITICAL'][row_id % 4 + 1] AS severity FROM vuln_rows),
+    faults AS (SELECT row_id, severity, concat_ws('; ',
+        CASE WHEN row_id % 11 = 0 THEN 'vulnerability_analysis: Missing fields: attack_vector' END, CASE WHEN row_id % 4 IN (1, 2) THEN 'vulnerability_analysis: Invalid severity: ' || severity END,
+        CASE WHEN row_id % 7 = 0 THEN 'fix_analysis: Section missing' END, CASE WHEN row_id % 7 <> 0 AND row_id % 6 = 5 THEN 'fix_analysis: Invalid fix_quality: BAD' END,
+        CASE WHEN row_id % 7 <> 0 AND row_id % 3 = 1 THEN 'fix_analysis: changes_made must be a list' END, CASE WHEN row_id % 5 = 0 THEN 'code_review: Missing fields: remaining_concerns, best_practices' END) AS issues FROM sev),
+    judged AS (SELECT row_id, issues, round(CASE WHEN issues = '' THEN 0.25e0 ELSE 0 END + (CASE WHEN row_id % 7 = 0 THEN 2e0 ELSE 3e0 END) / 3 * 0.2e0 + 0.15e0 + (CASE WHEN row_id % 9 = 0 THEN 0.05e0 ELSE 0.1e0 END)
+        + (CASE WHEN row_id % 2 = 0 THEN 0.1e0 ELSE 0.08e0 END) + (CASE WHEN row_id % 13 = 0 THEN 0 ELSE 0.1e0 END) + (CASE WHEN severity = 'high' THEN 0.05e0 ELSE 0.1e0 END), 3) AS confidence FROM faults)
+"""
+
+
+def varied_review():
+    """A review as JSON whose fields, lengths and faults follow from the row."""
+    r = F.col("row_id")
+    list_or_text = F.when(r % 3 == 1, F.lit("one")).otherwise(F.to_json(F.array(F.lit("one"))))
+    analysis = F.struct(
+        F.concat(F.when(r % 13 == 0, "unable to say, ").otherwise("in "), F.col("source"), F.when(r % 2 == 0, F.repeat(F.lit(" more"), 120)).otherwise("")).alias("summary"), F.element_at(F.array(*map(F.lit, ("LOW", "HUGE", "high", "CRITICAL"))), (r % 4 + 1).cast("int")).alias("severity"),
+        F.repeat(F.lit("root "), 5).alias("root_cause"), F.when(r % 11 != 0, "remote").alias("attack_vector"), F.col("cwe").alias("cwe_explanation"), F.when(r % 9 != 0, F.array(r)).alias("affected_lines"),
+    )
+    fix = F.struct(F.lit("s").alias("summary"), list_or_text.alias("changes_made"), F.when(r % 6 == 5, "BAD").otherwise("GOOD").alias("fix_quality"), F.lit("COMPLETE").alias("completeness"))
+    some = F.when(r % 5 != 0, F.array(F.lit("x")))
+    text = F.to_json(F.struct(analysis.alias("vulnerability_analysis"), F.when(r % 7 != 0, fix).alias("fix_analysis"), F.struct(F.array().cast("array<string>").alias("security_improvements"), some.alias("remaining_concerns"), some.alias("best_practices")).alias("code_review")))
+    # a list is not a text of a list
+    return F.replace(text, F.lit('"[\\"one\\"]"'), F.lit('["one"]'))
+
+
+@query("v01_reviews", FAULTS + "SELECT row_id, issues = '' AS valid, issues, confidence < 0.6 AS regenerate FROM judged")
 def v01_reviews(spark, sf_dir):
-    good = '{"vulnerability_analysis": {"summary": "s", "severity": "%s", "root_cause": "r", "attack_vector": "a", "cwe_explanation": "CWE-1", "affected_lines": [1]}, "fix_analysis": {"summary": "s", "changes_made": %s, "fix_quality": "GOOD", "completeness": "COMPLETE"}, "code_review": {"security_improvements": [], "remaining_concerns": [], "best_practices": []}}'
-    raw = F.when(F.col("row_id") % 3 == 0, good % ("HIGH", "[]")).when(F.col("row_id") % 3 == 1, good % ("HUGE", '"x"')).otherwise("I apologize")
-    return vuln_rows(spark, sf_dir).select("row_id", udfs.review_check(raw, F.lit("CWE-1")).alias("r")).select("row_id", "r.valid", F.size("r.issues").alias("n_issues"), "r.regenerate")
+    return vuln_rows(spark, sf_dir).select("row_id", udfs.review_check(varied_review(), F.col("cwe")).alias("r")).select("row_id", "r.valid", F.array_join("r.issues", "; ").alias("issues"), "r.regenerate")
 
 
 def to_review(spark, sf_dir, rows=None):

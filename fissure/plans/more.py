@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from fissure.functions import code, cwe, text, udfs
 from fissure.operators import benchmark, cluster, review, sampling, stats, taxonomy
 from fissure.plans.bridge import classed, cleaned, nodes, pairs, query, read, vuln_rows
-from fissure.plans.groups import SEPARATE, apart, entries, scored
+from fissure.plans.groups import FAULTS, SEPARATE, apart, entries, scored, varied_review
 from fissure.session import shared
 from fissure.sources import datasets, files, sinks
 
@@ -172,9 +172,21 @@ def u02_documents(spark, sf_dir):
     return both.select("language", "key", "pos", F.get_json_object("item", "$.commit_url").alias("commit_url"))
 
 
-@query("p14_levels", "SELECT category, level, count(*) AS n, min(name) AS first_name FROM nodes GROUP BY ALL")
+@query("p14_levels", """
+    , tree AS (SELECT r_name AS category, n_name AS name, 'CWD-' || (1000 + n_nationkey) AS cwd, n_nationkey, first_value('CWD-' || (1000 + n_nationkey)) OVER (PARTITION BY r_name ORDER BY n_nationkey) AS root FROM nation JOIN region ON n_regionkey = r_regionkey)
+    SELECT category, cwd, name, CASE WHEN cwd <> root THEN root END AS parent_cwd, CAST(CASE WHEN cwd = root THEN 2 ELSE 3 END AS INTEGER) AS level, 'CWE-' || n_nationkey AS cwe FROM tree
+""")
 def p14_levels(spark, sf_dir):
-    return nodes(spark, sf_dir).groupBy("category", "level").agg(F.count("*").alias("n"), F.min("name").alias("first_name"))
+    """A document with a category for each region: its first nation is the root, the others are below it."""
+    # 25 nations in 5 regions by definition of the tables
+    found = read(spark, sf_dir, "nation").join(read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).orderBy("n_nationkey").collect()
+    tree: dict = {}
+    for r in found:
+        item = {"id": f"CWD-{1000 + r['n_nationkey']}", "name": r["n_name"], "cwe": [f"CWE-{r['n_nationkey']}"]}
+        items = tree.setdefault(r["r_name"], {"items": []})["items"]
+        (items[0].setdefault("children", []) if items else items).append(item)
+    flat, pairs_ = taxonomy.flatten(spark, tree)
+    return flat.join(pairs_.select("cwd", "cwe"), "cwd").select("category", "cwd", "name", "parent_cwd", "level", "cwe")
 
 
 @query("p15_targets", "SELECT DISTINCT 'CWE-' || (n_nationkey + 1) AS cwe FROM nation")
@@ -227,10 +239,11 @@ def j05_primary_class(spark, sf_dir):
     return classed(spark, sf_dir).groupBy("primary_cwe", "cwd").agg(F.count("*").alias("n"))
 
 
-@query("j14_embeddings", "SELECT d.doc_id AS row_id, e.label FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id")
+@query("j14_embeddings", "SELECT d.doc_id AS row_id, CAST(round(list_sum(list_transform(e.embedding, lambda x: CAST(x AS DOUBLE))), 3) AS DECIMAL(12, 3)) AS total FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id")
 def j14_embeddings(spark, sf_dir):
-    """Entries and embeddings by row id, never by position."""
-    return vuln_rows(spark, sf_dir).join(read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("row_id"), "label"), "row_id").select("row_id", "label")
+    """Entries and embeddings by row id, never by position; rows without one stay."""
+    found = cluster.with_embeddings(vuln_rows(spark, sf_dir), read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("row_id"), "embedding"), ["row_id"])
+    return found.select("row_id", F.round(F.expr("aggregate(embedding, 0d, (s, x) -> s + cast(x as double))"), 3).cast("decimal(12,3)").alias("total"))
 
 
 @query("a01_id_lists", "SELECT o_custkey, array_to_string(list_sort(list_distinct(list('CWE-' || (o_orderkey % 11)))), '|') AS cwes FROM orders GROUP BY o_custkey")
@@ -330,13 +343,9 @@ def k01_parquet_by_source(spark, sf_dir):
     return benchmark.included(spark.read.parquet(path), ("ds2",)).select("row_id", "language")
 
 
-@query("v02_confidence", "SELECT row_id, CASE WHEN row_id % 2 = 0 THEN 0.98 ELSE 0.13 END AS confidence FROM vuln_rows")
+@query("v02_confidence", FAULTS + "SELECT row_id, CAST(confidence AS DECIMAL(5, 3)) AS confidence FROM judged")
 def v02_confidence(spark, sf_dir):
-    from fissure.functions import udfs
-
-    good = '{"vulnerability_analysis": {"summary": "s", "severity": "HIGH", "root_cause": "r", "attack_vector": "a", "cwe_explanation": "CWE-1", "affected_lines": [1]}, "fix_analysis": {"summary": "s", "changes_made": [], "fix_quality": "GOOD", "completeness": "COMPLETE"}, "code_review": {"security_improvements": [], "remaining_concerns": [], "best_practices": []}}'
-    raw = F.when(F.col("row_id") % 2 == 0, good).otherwise("{}")
-    return vuln_rows(spark, sf_dir).select("row_id", udfs.review_check(raw, F.lit("CWE-1"))["confidence"].cast("decimal(5,2)").alias("confidence"))
+    return vuln_rows(spark, sf_dir).select("row_id", udfs.review_check(varied_review(), F.col("cwe"))["confidence"].cast("decimal(5,3)").alias("confidence"))
 
 
 @query("p26_line_ends", "SELECT row_id, code_before AS code FROM vuln_rows")

@@ -124,7 +124,7 @@ def transformed(spark: SparkSession, rows: DataFrame, config: Config, pairs: Dat
     found = benchmark.entries(rows, pairs, keep_classless=config.keep_classless, strip_comments=config.remove_comments, single_function=config.filter_multiple_functions, with_hunks=config.with_hunks)
     if config.cluster_method == "kmeans":
         embeddings = spark.read.parquet(config.embeddings).select("source", "row_id", "embedding")
-        return cluster.select(found.join(embeddings, ["source", "row_id"], "left"), ["language", "cwd"], config.max_per_group).drop("embedding").select(*found.columns)
+        return cluster.select(cluster.with_embeddings(found, embeddings, ["source", "row_id"]), ["language", "cwd"], config.max_per_group).drop("embedding").select(*found.columns)
     return sampling.capped(found, ["language", "cwd"], "source", config.max_per_group)
 
 

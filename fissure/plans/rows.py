@@ -495,13 +495,15 @@ def j06_commit_cve(spark, sf_dir):
 
 
 @query("j12_unmatched", """
-    SELECT CAST(c_custkey AS VARCHAR) AS subject, 'no sources' AS problem FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
-    UNION ALL SELECT DISTINCT CAST(o_custkey AS VARCHAR), 'not listed' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+    SELECT CAST(c_custkey AS VARCHAR) AS subject, 'no sources' AS problem FROM customer WHERE c_custkey NOT IN (SELECT o_custkey + 7 FROM orders)
+    UNION ALL SELECT DISTINCT CAST(o_custkey + 7 AS VARCHAR), 'not listed' FROM orders WHERE o_custkey + 7 NOT IN (SELECT c_custkey FROM customer)
 """)
 def j12_unmatched(spark, sf_dir):
+    """Orders' customers are taken for others, seven further on, so that some have no orders and some orders no customer."""
     from fissure.sources import datasets
 
-    return datasets.unmatched_subjects(read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("subject")), read(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("subject")))
+    listed, there = read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("subject")), read(spark, sf_dir, "orders").select((F.col("o_custkey") + 7).cast("string").alias("subject"))
+    return datasets.unmatched_subjects(listed, there)
 
 
 @query("j13_cwe_info", """
