@@ -26,9 +26,22 @@ def session(name: str = "fissure", master: str | None = None, **settings: str) -
     return builder.config(map=SETTINGS | settings).getOrCreate()
 
 
-def shared(spark: SparkSession, name: str) -> str:
-    """A new path in the cluster's shared folder, or in a temporary one where the session names none and has no other machines, as in tests."""
+def _folder(spark: SparkSession) -> str:
+    """The cluster's shared folder, or a temporary one where the session names none and has no other machines, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{folder or tempfile.mkdtemp(prefix='shared-')}/{name}-{uuid.uuid4()}"
+    return folder or _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="shared-"))
+
+
+_own: dict[str, str] = {}
+
+
+def shared(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{_folder(spark)}/{name}-{uuid.uuid4()}"
+
+
+def kept(spark: SparkSession, name: str) -> str:
+    """The path of this name in the shared folder, the same in every run."""
+    return f"{_folder(spark)}/{name}"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fissure.functions import cwe, languages, udfs, urls
 from fissure.functions.text import squeeze, strip, text, unix_lines
 from fissure.session import shared
-from fissure.sources import files, ranges, sqlite
+from fissure.sources import files, ranges, sqlite, stores
 
 #: Bug categories of the HTML list and their ids.
 CATEGORIES = {"race": "CWE-362", "resource deadlock": "CWE-833", "wait-notify deadlock": "CWE-833", "inconsistent synchronization": "CWE-820"}
@@ -83,7 +83,7 @@ def newest_version(names: list[str]) -> str | None:
 
 def newest_data(spark: SparkSession, root: str) -> str:
     """The data folder of the newest version under ``root``; of all, if none has a version in its name."""
-    name = newest_version([x.getParent().getName() for x in _listed(spark, f"{root}/*/Data")])
+    name = newest_version([x.getPath().getParent().getName() for x in stores.listed(spark, f"{root}/*/Data")])
     return f"{root}/{name or '*'}/Data"
 
 
@@ -91,15 +91,10 @@ def newest_dump(spark: SparkSession, root: str) -> str:
     return f"{newest_data(spark, root)}/*.sql.gz"
 
 
-def _listed(spark: SparkSession, pattern: str) -> list:
-    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    return [x.getPath() for x in place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []]
-
-
 def cvefixes_newest(spark: SparkSession, root: str) -> DataFrame:
     """The newest version's database, or its dump where it has none."""
     database = f"{newest_data(spark, root)}/*.db"
-    return cvefixes_database(spark, database) if _listed(spark, database) else cvefixes_dump(spark, newest_dump(spark, root))
+    return cvefixes_database(spark, database) if stores.listed(spark, database) else cvefixes_dump(spark, newest_dump(spark, root))
 
 
 def megavul(spark: SparkSession, path: str, places: bool = False) -> DataFrame:

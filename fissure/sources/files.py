@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from pathlib import PurePosixPath
 from urllib.parse import unquote
 
@@ -9,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fissure.functions import udfs
-from fissure.sources import ranges
+from fissure.session import kept, shared
+from fissure.sources import ranges, stores
 
 CANONICAL = "cwe string, code_before string, code_after string, commit_url string, language string"
 
@@ -72,16 +74,44 @@ def arrow_files(spark: SparkSession, paths: list[str], columns: str) -> DataFram
     return arrow_rows(spark.read.format("binaryFile").load(paths), columns)
 
 
+#: Bytes of a zipped dump from which on it is laid out anew.
+ZIPPED = 8 << 20
+
+
+def splittable(spark: SparkSession, path: str, lines: int = 20_000) -> list[str]:
+    """Paths with the same lines as the text files at ``path``, each of which several tasks can read.
+
+    A zipped file is a stream that only one task can get through. Such a file from ZIPPED bytes on is read once and written as files of up to ``lines`` whole lines, zipped one by one, in the shared folder; they are found again by the file's
+    place, size and time.
+    """
+    out = []
+    for status in stores.listed(spark, path):
+        place = status.getPath().toString()
+        if not place.endswith(".gz") or status.getLen() < ZIPPED:
+            out.append(place)
+            continue
+        name = hashlib.sha256(f"{place} {status.getLen()} {status.getModificationTime()} {lines}".encode()).hexdigest()
+        target = kept(spark, f"lines-{name}")
+        if not stores.listed(spark, f"{target}/_SUCCESS"):
+            own = shared(spark, "lines")
+            spark.read.text(place).write.option("maxRecordsPerFile", lines).text(own, compression="gzip")
+            fs, there = stores.place(spark, target)
+            if not fs.rename(stores.place(spark, own)[1], there):
+                target = own  # another run was faster, and its files may be at work
+        out.append(target)
+    return out
+
+
 def dump_lines(spark: SparkSession, path: str, table: str) -> DataFrame:
     """(values): literals of the INSERT lines of one table in SQL dumps, zipped or not. Other tables' lines are filtered before any parsing."""
-    lines = spark.read.text(path).filter(F.startswith("value", F.lit(f"INSERT INTO {table} ")))
+    lines = spark.read.text(splittable(spark, path)).filter(F.startswith("value", F.lit(f"INSERT INTO {table} ")))
     return lines.select(udfs.sql_values("value").alias("values"))
 
 
 def dump_cwe_tally(spark: SparkSession, path: str) -> DataFrame:
     """(cwe, n) of the classification lines of a dump."""
     pattern = r"INSERT INTO cwe_classification VALUES\('([^']+)','([^']+)'\);"
-    found = spark.read.text(path).select(F.regexp_extract("value", pattern, 2).alias("cwe")).filter("cwe <> ''")
+    found = spark.read.text(splittable(spark, path)).select(F.regexp_extract("value", pattern, 2).alias("cwe")).filter("cwe <> ''")
     return found.groupBy("cwe").agg(F.count("*").alias("n"))
 
 

@@ -129,6 +129,15 @@ class QuotedLines:
         return spans, after, 1
 
 
+class Lines(QuotedLines):
+    """Records are plain lines."""
+
+    @staticmethod
+    def lines(data: np.ndarray, inside: bool) -> tuple[np.ndarray, np.ndarray, bool]:
+        ends = np.flatnonzero(data == 10) + 1
+        return np.concatenate([[0], ends[:-1]]).astype(np.int64), ends, False
+
+
 def beginnings(found: list, lines: bool) -> tuple[dict[tuple[str, int], tuple[bool, int, int]], dict[str, int]]:
     """(in a string, depth, records that ended before in the file) at the beginning of every range, and the records of every file.
 

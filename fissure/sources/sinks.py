@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import json
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fissure.operators import benchmark, sampling
+from fissure.session import shared
+from fissure.sources import ranges, stores
 
 
 def parquet(rows: DataFrame, path: str) -> None:
@@ -37,8 +41,59 @@ def json_lines(rows: DataFrame, path: str) -> None:
 
 
 def document(entries: DataFrame, path: str, key: str = "cwd") -> None:
-    """The whole nested document as one line; for results of a size that one process can hold. Larger ones are written by ``json_lines`` of ``group_lines``."""
-    benchmark.nested(entries, key).coalesce(1).write.mode("overwrite").text(path)
+    """The nested document ``{language: {key: [entries]}}`` as one file of any size, an entry a line, keys in order, entries by row number.
+
+    Spark sorts and writes the lines in parts, each with what opens and closes groups before it; the parts are then joined, stream to stream, and the file appears under its name when it is whole. ``document_entries`` reads it in ranges.
+    """
+    spark = entries.sparkSession
+    lines = benchmark.group_lines(entries, key)
+    # a row for each group, of which there are languages times classes
+    groups = lines.filter("pos = 0").select("language", key)
+    order = Window.orderBy("language", key)
+    name = lambda c: F.regexp_extract(F.to_json(F.struct(F.col(c).alias("k"))), r'^\{"k":(.*)\}$', 1)
+    inner = F.concat(name(key), F.lit(": [\n"))
+    opened = F.when(F.row_number().over(order) == 1, F.concat(F.lit("{"), name("language"), F.lit(": {"), inner)).when(F.lag("language").over(order) == F.col("language"), F.concat(F.lit("], "), inner)).otherwise(F.concat(F.lit("]}, "), name("language"), F.lit(": {"), inner))
+    groups = groups.select("language", key, opened.alias("opened"))
+    first = F.col("pos") == 0
+    text = F.concat(F.when(first, F.col("opened")).otherwise(""), F.col("line"), F.when(F.col("pos") + 1 < F.col("of"), ",").otherwise(""))
+    sized = lines.join(groups.withColumn("pos", F.lit(0)), ["language", key, "pos"], "left").join(lines.groupBy("language", key).agg(F.count("*").alias("of")), ["language", key])
+    folder = shared(spark, "document")
+    sized.orderBy("language", key, "pos").select(text.alias("value")).write.text(folder)
+    empty = spark.read.text(folder).isEmpty()
+    with stores.writing(spark, path) as file:
+        if not empty:
+            stores.joined(spark, file, folder)
+        file.write("{}\n" if empty else "]}}\n")
+
+
+def document_entries(spark: SparkSession, path: str, key: str = "cwd") -> DataFrame:
+    """(language, key, pos, line) of a file that ``document`` wrote, read in ranges."""
+    found, _, _ = ranges.records(spark, path, ranges.Lines())
+    opens = found.filter(F.endswith("record", F.lit(": [\n"))).select("number", "record").orderBy("number").collect()
+    # a line for each group
+    starts, names, language = [], [], None
+    for r in opens:
+        text = r["record"].lstrip("{]}, ") if not r["record"].startswith("{") else r["record"][1:]
+        found_names, at = [], 0
+        while len(found_names) < 2 and at < len(text) and text[at] == '"':
+            value, end = json.JSONDecoder().raw_decode(text, at)
+            found_names.append(value)
+            at = end + 3 if text[end : end + 3] == ": {" else len(text)
+        language = found_names[0] if len(found_names) == 2 else language
+        starts.append(r["number"])
+        names.append((language, found_names[-1]))
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for number, record in zip(batch.column("number").to_pylist(), batch.column("record").to_pylist(), strict=True):
+                at = bisect.bisect_right(starts, number) - 1
+                if at >= 0 and number != starts[at] and record.startswith("{"):
+                    out.append((*names[at], number - starts[at] - 1, record.rstrip("\n").removesuffix(",")))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.string(), pa.int32(), pa.string()), strict=True)], names=["language", key, "pos", "line"])
+
+    return found.select("number", "record").mapInArrow(run, f"language string, {key} string, pos int, line string")
 
 
 def both_documents(entries: DataFrame, path: str) -> None:
@@ -63,12 +118,13 @@ def stats_csv(stats: DataFrame, path: str) -> None:
 def counts_json(counts: DataFrame, path: str) -> None:
     """{source: {cwe: n}} of all lines of a report, written source by source."""
     lines = counts.orderBy("source", "cwe").select("source", "cwe", "n").toLocalIterator()
-    with open(path, "w", encoding="utf-8") as file:
+    with stores.writing(counts.sparkSession, path) as file:
+        i = -1
         file.write("{")
         for i, (source, rows) in enumerate(itertools.groupby(lines, key=lambda r: r["source"])):
             body = json.dumps({source: {r["cwe"]: r["n"] for r in rows}}, indent=2, ensure_ascii=False)
             file.write(("," if i else "") + body[1:-2])
-        file.write("\n}" if file.tell() > 1 else "}")
+        file.write("\n}" if i >= 0 else "}")
 
 
 def yaml_export(entries: DataFrame, path: str, per_group: int = 5) -> None:
@@ -80,7 +136,7 @@ def yaml_export(entries: DataFrame, path: str, per_group: int = 5) -> None:
     for row in few.orderBy("language", "cwd", "row_id").select("language", "cwd", F.to_json("entry", {"ignoreNullFields": "false"}).alias("e")).toLocalIterator():
         groups.setdefault(row["language"], {}).setdefault(row["cwd"], []).append(json.loads(row["e"]))
     out = [{"Language": language, "CWEs": [{"CWD Number": cwd, "samples": samples_} for cwd, samples_ in body.items()]} for language, body in groups.items()]
-    with open(path, "w", encoding="utf-8") as file:
+    with stores.writing(entries.sparkSession, path) as file:
         yaml.safe_dump(out, file, sort_keys=False, allow_unicode=True)
 
 
@@ -88,7 +144,7 @@ def markdown_report(report: DataFrame, path: str) -> None:
     """A quality report as Markdown; its lines are few by nature."""
     rows = report.orderBy("metric", "value").collect()
     lines = ["# Review quality", "", "| metric | value | n | figure |", "|-|-|-|-|", *[f"| {r['metric']} | {r['value']} | {r['n']} | {'' if r['x'] is None else r['x']} |" for r in rows]]
-    with open(path, "w", encoding="utf-8") as file:
+    with stores.writing(report.sparkSession, path) as file:
         file.write("\n".join(lines) + "\n")
 
 
