@@ -19,7 +19,7 @@ from fissure.operators import benchmark, cluster, review, sampling, stats, taxon
 from fissure.plans.bridge import classed, cleaned, nodes, pairs, query, read, vuln_rows
 from fissure.plans.groups import FAULTS, SEPARATE, apart, entries, scored, varied_review
 from fissure.session import shared
-from fissure.sources import datasets, files, sinks
+from fissure.sources import datasets, files, ranges, sinks
 
 
 @query("s01_cvefixes", """
@@ -359,3 +359,84 @@ def s13_csv_round_trip(spark, sf_dir):
     path = shared(spark, "csv")
     sinks.canonical_csv(vuln_rows(spark, sf_dir), path)
     return files.canonical_csv(spark, path).drop("source", "row_id")
+
+
+@query("s09_ranges", "SELECT row_id, code_before, cwes FROM norm")
+def s09_ranges(spark, sf_dir):
+    """Rows as JSON arrays, a file for each task, read in ranges of bytes."""
+    path = shared(spark, "arrays")
+
+    def arrays(batches):
+        mark = "["
+        for batch in batches:
+            for line in batch.column("value").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([mark + line])], names=["value"])
+                mark = ","
+        if mark == ",":
+            yield pa.RecordBatch.from_arrays([pa.array(["]"])], names=["value"])
+
+    rows = vuln_rows(spark, sf_dir).select("row_id", "code_before", cwe.clean_list(F.col("cwe")).alias("cwes"))
+    rows.select(F.to_json(F.struct("*")).alias("value")).mapInArrow(arrays, "value string").write.text(path)
+    return ranges.json_array(spark, path, "row_id long, code_before string, cwes array<string>").select("row_id", "code_before", "cwes")
+
+
+@query("s20_numbered", """SELECT o_orderkey, row_number() OVER (ORDER BY md5('{"k":"' || o_orderkey || '"}'), CAST(o_orderkey AS VARCHAR)) AS row_id FROM orders""")
+def s20_numbered(spark, sf_dir):
+    """Rows without a place of their own, numbered by their content."""
+    return datasets.numbered(read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("k"))).select(F.col("k").cast("long").alias("o_orderkey"), "row_id")
+
+
+@query("k02_document", "SELECT language, cwd, CAST(row_number() OVER (PARTITION BY language, cwd ORDER BY row_id) - 1 AS INTEGER) AS pos, primary_cwe AS cwe, source FROM classed WHERE cwd IS NOT NULL")
+def k02_document(spark, sf_dir):
+    """The whole document as one file, read back in ranges."""
+    path = shared(spark, "document.json")
+    sinks.document(entries(spark, sf_dir, strip_comments=False, single_function=False), path)
+    got = lambda field: F.get_json_object("line", f"$.{field}").alias(field.lower())
+    return sinks.document_entries(spark, path).select("language", "cwd", "pos", got("CWE"), got("source"))
+
+
+@query("k03_both_documents", "SELECT 'by_cwd' AS kind, language, cwd AS key, count(*) AS n FROM classed WHERE cwd IS NOT NULL GROUP BY ALL UNION ALL SELECT 'by_cwe', language, primary_cwe, count(*) FROM classed WHERE cwd IS NOT NULL GROUP BY ALL")
+def k03_both_documents(spark, sf_dir):
+    path = shared(spark, "documents")
+    sinks.both_documents(entries(spark, sf_dir, strip_comments=False, single_function=False), path)
+    one, two = (sinks.document_entries(spark, f"{path}/{kind}", "key").groupBy(F.lit(kind).alias("kind"), "language", "key").agg(F.count("*").alias("n")) for kind in ("by_cwd", "by_cwe"))
+    return one.unionByName(two)
+
+
+@query("k06_stats_csv", "SELECT source, language, count(*) AS n FROM cleaned GROUP BY ALL")
+def k06_stats_csv(spark, sf_dir):
+    path = shared(spark, "stats")
+    sinks.stats_csv(cleaned(spark, sf_dir).groupBy("source", "language").agg(F.count("*").alias("n")), path)
+    return spark.read.csv(path, header=True, schema="source string, language string, n long")
+
+
+@query("k07_counts_json", "SELECT source, cwes[1] AS cwe, count(*) AS n FROM norm WHERE len(cwes) > 0 GROUP BY ALL")
+def k07_counts_json(spark, sf_dir):
+    path = shared(spark, "counts.json")
+    rows = vuln_rows(spark, sf_dir).withColumn("cwe", cwe.primary(cwe.clean_list(F.col("cwe")))).filter("cwe is not null")
+    sinks.counts_json(rows.groupBy("source", "cwe").agg(F.count("*").alias("n")), path)
+    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,map<string,long>>").alias("d"))
+    return whole.select(F.explode("d").alias("source", "m")).select("source", F.explode("m").alias("cwe", "n"))
+
+
+@query("m14_cached", "SELECT sha256(text) AS text_hash, CASE WHEN n % 2 = 0 THEN -1 ELSE n END AS value FROM (SELECT DISTINCT code_before AS text, length(code_before) AS n FROM vuln_rows)")
+def m14_cached(spark, sf_dir):
+    """Texts of even length have an embedding already, which is kept; the others get one."""
+    texts = vuln_rows(spark, sf_dir).select(F.col("code_before").alias("text"))
+    known = texts.distinct().withColumn("text_hash", F.when(F.length("text") % 2 == 0, F.sha2("text", 256))).filter("text_hash is not null").select("text_hash", F.array(F.lit(-1.0).cast("float")).alias("embedding"))
+    return cluster.embed(texts, lambda part: [[float(len(x))] for x in part], known).select("text_hash", F.col("embedding")[0].cast("long").alias("value"))
+
+
+@query("v06_backup", "SELECT row_id, CASE WHEN code_after LIKE '%fixed%' THEN 'first' ELSE 'backup' END AS said, CAST(3 AS INTEGER) AS calls FROM vuln_rows")
+def v06_backup(spark, sf_dir):
+    """Prompts that the first client has no answer to go to the second."""
+
+    def first(prompt: str) -> str:
+        if "fixed" not in prompt:
+            raise ConnectionError("down")
+        return '{"by": "first"}'
+
+    generate = review.client(first, lambda prompt: '{"by": "backup"}', attempts=2, delay=0.0)
+    rows = vuln_rows(spark, sf_dir).select("row_id", F.lit("").alias("CWE"), F.col("code_before").alias("vulnerable"), F.col("code_after").alias("benign"))
+    out = review.review(rows, generate, {s: "{code_after}" for s in review.STAGES}, tries=1, delay=0.0, concurrency=4)
+    return out.select("row_id", F.get_json_object("review", "$.fix_analysis.by").alias("said"), "calls")
