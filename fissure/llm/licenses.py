@@ -3,7 +3,7 @@
 Notices and texts of licences are templates of words, weighted by inverse document frequency over the whole corpus. The index holds, for each template, its rarest words with their positions: as many
 as make sure that a file which agrees with ``cover`` of the template's weight has two of them. A file's own words are looked up in it; each place of such a word implies a start for every template that
 has it, and starts at which two words of a template meet, give or take ``SLACK`` words, are looked at closer: the template's other words are sought at their relative positions. A start counts if words with at
-least ``cover`` of the template's weight agree and all its key phrases stand there word for word.
+least ``cover`` of the template's weight agree and all its key phrases stand there word for word. Behind a start of the SPDX tag the expression is read, and its licences are the labels.
 
 Null texts count as empty. A file without licence words has no places, empty labels and the score 0. Repeated rows give repeated results;
 extra columns are ignored.
@@ -11,6 +11,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -75,12 +76,14 @@ TEXTS = [
     ("cc0", "released under CC0 1.0 Universal public domain dedication", "cc0 1 0"),
     ("proprietary", "copyright all rights reserved no part may be reproduced", "all rights reserved"),
 ]
-#: Identifiers of the SPDX list that stand behind the tag of that name, and their labels where these differ from the identifier in lower case.
-SPDX = ["MIT", "MIT-0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "0BSD", "ISC", "Zlib", "BSL-1.0", "MPL-2.0", "EPL-2.0", "Unlicense", "WTFPL", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "Artistic-2.0"]
-SPDX += [f"{name}-{version}-{which}" for name, versions in (("GPL", ("2.0", "3.0")), ("LGPL", ("2.1", "3.0")), ("AGPL", ("3.0",))) for version in versions for which in ("only", "or-later")]
-SHOWN = {"cc0-1.0": "cc0", "gpl-2.0-only": "gpl-2", "gpl-2.0-or-later": "gpl-2", "gpl-3.0-only": "gpl-3", "gpl-3.0-or-later": "gpl-3", "lgpl-2.1-only": "lgpl", "lgpl-2.1-or-later": "lgpl", "lgpl-3.0-only": "lgpl", "lgpl-3.0-or-later": "lgpl", "agpl-3.0-only": "agpl-3", "agpl-3.0-or-later": "agpl-3"}
+#: Labels of SPDX identifiers, in lower case, that differ from the identifier; the names of old, without "only" and "or later", among them.
+SHOWN = {"cc0-1.0": "cc0"} | {f"{name}-{version}{which}": label for name, version, label in (("gpl", "2.0", "gpl-2"), ("gpl", "3.0", "gpl-3"), ("lgpl", "2.0", "lgpl"), ("lgpl", "2.1", "lgpl"), ("lgpl", "3.0", "lgpl"), ("agpl", "3.0", "agpl-3")) for which in ("", "-only", "-or-later")}
+#: Identifiers of one word.
+SINGLE = {"mit", "isc", "zlib", "unlicense", "wtfpl", "0bsd", "beerware", "curl", "libpng", "ntp", "openssl", "php", "python", "ruby", "tcl", "vim", "x11", "postgresql"}
+TAG = "spdx"
+EXPRESSION = re.compile(r"SPDX-License-Identifier:[ \t]*+((?:[( \t]*+[A-Za-z0-9][A-Za-z0-9.:+-]*+[) \t]*+)++)", re.I)
 TEMPLATES = [(label, words_of(text), [words_of(k) for k in keys.split("|")]) for label, text, keys in TEXTS]
-TEMPLATES += [(SHOWN.get(x.lower(), x.lower()), tag, [tag]) for x in SPDX for tag in [words_of(f"SPDX-License-Identifier: {x}")]]
+TEMPLATES += [(TAG, words_of("SPDX-License-Identifier"), [words_of("SPDX-License-Identifier")])]
 SLACK = 2
 
 VOCABULARY = {w: i for i, w in enumerate(sorted({w for _, notice, keys in TEMPLATES for part in (notice, *keys) for w in part} | {w for p in BASE for w in p.split()}))}
@@ -101,6 +104,28 @@ def _others():
         yield -1
 
 
+def expression_labels(text: str) -> set[str]:
+    """Labels of the licences that the expressions behind SPDX tags name: identifiers joined by AND and OR, each with a plus for later versions, or an exception behind WITH. What is no such expression names none."""
+    out: set[str] = set()
+    for m in EXPRESSION.finditer(text):
+        names: list[str] = []
+        want = True
+        for token in re.findall(r"[A-Za-z0-9.:+-]+", m[1]):
+            operator = token.upper() in ("AND", "OR", "WITH")
+            if operator == want:
+                break
+            if not operator and names[-1:] != ["with"]:
+                names.append(token.lower().rstrip("+-"))
+            elif operator:
+                names.append("with") if token.upper() == "WITH" else None
+            elif names:
+                names.pop()
+            want = operator
+        else:
+            out |= {SHOWN.get(x, x) for x in names if not want and (x in SINGLE or re.fullmatch(r"[a-z0-9.:]+(?:-[a-z0-9.:]+)+", x))}
+    return out
+
+
 def places(ids: np.ndarray, phrase: list[int]) -> np.ndarray:
     n = len(ids) - len(phrase) + 1
     if n <= 0:
@@ -210,6 +235,8 @@ def scan(docs: DataFrame, cover: float = 0.8) -> DataFrame:
             where = np.concatenate(list(found.values()))
             base = {label for label, x in found.items() if len(x)}
             more, best = match(ids, index, cover)
+            if TAG in more:
+                more = more - {TAG} | expression_labels(text)
             rows.append((len(ids), len(where), int(where.min()) if len(where) else None, int(where.max()) if len(where) else None, ",".join(sorted(base)), ",".join(sorted(base | more)), 1.0 if base else min(1.0, best)))
         columns = list(zip(*rows, strict=True))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["doc_id", *names])

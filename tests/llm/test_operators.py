@@ -309,12 +309,20 @@ def test_licenses_by_index_against_all_starts():
         assert found > 30
 
 
+@pytest.mark.parametrize(("tag", "labels"), [
+    ("MIT", "mit"), ("MIT-0", "mit-0"), ("BSD-2-Clause-Patent */", "bsd-2-clause-patent"), ("BSD-2-Clause", "bsd-2-clause"), ("MIT OR Apache-2.0", "apache-2.0,mit"), ("GPL-2.0", "gpl-2"), ("GPL-2.0+ */", "gpl-2"), ("gpl-3.0-or-later -->", "gpl-3"), ("LGPL-2.1-only", "lgpl"),
+    ("(GPL-2.0-only WITH Linux-syscall-note) AND MIT\nint a;", "gpl-2,mit"), ("((MIT)) or ISC", "isc,mit"), ("Apache-2.0 WITH LLVM-exception", "apache-2.0"), ("LicenseRef-own-1", "licenseref-own-1"), ("see the file", ""), ("TODO", ""), ("<id>", ""), ("MIT OR", ""), ("CC0-1.0", "cc0"),
+])
+def test_license_expressions(tag, labels):
+    assert ",".join(sorted(licenses.expression_labels(f"// SPDX-License-Identifier: {tag}\nmore text"))) == labels
+
+
 def test_whole_licenses(spark):
     data = [(1, "Copyright 2020 Jane Roe\n\n" + licenses.TEXTS[2][1])]
     data += [(2, "# " + licenses.TEXTS[5][1].replace("\n", "\n# ")), (3, "/* SPDX-License-Identifier: GPL-2.0-or-later */ int a;"), (4, "// SPDX-License-Identifier: BSD-3-Clause"), (5, "the license of the software is granted to any person")]
-    data += [(6, "Copyright. " + " ".join(t[1] for t in licenses.TEXTS if t[0] in ("bsd", "bsd-2-clause", "bsd-3-clause"))), (7, next(t[1] for t in licenses.TEXTS if t[0] == "zlib")), (8, licenses.TEXTS[9][1] + " see the licenses"), (9, "mit license apache license gnu spdx")]
+    data += [(6, "Copyright. " + " ".join(t[1] for t in licenses.TEXTS if t[0] in ("bsd", "bsd-2-clause", "bsd-3-clause"))), (7, next(t[1] for t in licenses.TEXTS if t[0] == "zlib")), (8, licenses.TEXTS[9][1] + " see the licenses"), (9, "mit license apache license gnu spdx"), (10, "# SPDX-License-Identifier: MIT-0 OR GPL-2.0+\n"), (11, "the words spdx license identifier alone: MIT")]
     got = {r["doc_id"]: r["labels"] for r in licenses.scan(spark.createDataFrame(data, "doc_id long, text string")).collect()}
-    assert got == {1: "mit", 2: "apache-2.0", 3: "gpl-2", 4: "bsd-3-clause", 5: "", 6: "bsd,bsd-2-clause,bsd-3-clause", 7: "zlib", 8: "gpl,gpl-3", 9: ""}
+    assert got == {1: "mit", 2: "apache-2.0", 3: "gpl-2", 4: "bsd-3-clause", 5: "", 6: "bsd,bsd-2-clause,bsd-3-clause", 7: "zlib", 8: "gpl,gpl-3", 9: "", 10: "gpl-2,mit-0", 11: ""}
 
 
 # 6
