@@ -82,3 +82,5 @@ def test_zipped_dumps_are_laid_out_once(spark, tmp_path, monkeypatch):
     assert files.dump_lines(spark, path, "fixes").count() == 1
     monkeypatch.setattr(files, "ZIPPED", 1 << 40)
     assert files.dump_lines(spark, path, "cwe_classification").count() == 5003
+    with pytest.raises(Exception, match="(?i)path"):
+        files.dump_lines(spark, f"{tmp_path}/none/*.sql.gz", "fixes").count()
