@@ -3,6 +3,8 @@
 Spark's text reader cuts a file into ranges anywhere; here a piece ends at each ``}`` or line feed. Whether a range begins inside a string, and how deep, is not known to it. So there are two passes. In the first, each range says what it
 makes of either beginning: where it ends up, how deep, and how many records end in it. From these few numbers the beginning of every range follows, in the order of the ranges. In the second pass each range returns its records, and the parts
 of the records that cross its ends; those of one record are joined. No task holds a file, and each record has its number in the file, however the file was cut.
+
+CSV must have quotes as its writers set them, around fields and doubled inside; a single quote in the middle of a bare field would be taken for the beginning of a string.
 """
 
 from __future__ import annotations
