@@ -4,13 +4,17 @@ Every shard of about SHARD bytes of text gets the suffix automaton of its pieces
 added up over shards in two rounds. The first one adds up hashes of all phrases below the longest, in order to tell which are frequent; these go to the tasks as a bitmap of BITS bits, whatever the corpus. The second round counts words themselves:
 of the phrases whose parts are all in the bitmap. A hash that two phrases share, or a bitmap that is full, only makes the second round count phrases that turn out rare.
 
-A phrase is subsumed by the phrases one word longer: the longer one's suffix link, and the state that it is reached from by its last word, are the two that it holds, and no phrase longer still is more frequent.
+A phrase of the longest kind is only looked at if its suffix link, the phrase without its first word, and the state that its last word leads from, the phrase without that, are in the bitmap. The same two are what a phrase
+may subsume; no phrase longer still is more frequent.
 
 Null texts are empty, a null ``lang`` is ``und``. Repeated rows count as often as they stand there. Extra columns are ignored. All numbers are exact.
 """
 
 from __future__ import annotations
 
+import re
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -21,12 +25,13 @@ from pyspark.sql import functions as F
 from fissure.llm._common import release, slices, table
 from fissure.llm.automaton import Automaton, build
 
-#: Bytes of text of a shard; a longer document is a shard of its own.
-SHARD = 8 << 20
+#: Bytes of text of a shard. A longer document is cut between pieces, which no phrase crosses; a longer piece is a shard of its own.
+SHARD = 2 << 20
 BITS = 27
 #: Places of the bitmap that one row of its table holds.
 BLOCK = 17
 PIECES = r"[.,;:!?\n-\r]"
+SEPARATOR = re.compile(PIECES)
 ODD = np.random.default_rng(7).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Parts of a language's phrases that are ranked apart before they are ranked together.
 PARTS = 256
@@ -68,17 +73,32 @@ class Shard:
         return pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())).cast(pa.string())
 
 
+def _divided(part: pa.RecordBatch):
+    """A document of more than SHARD bytes in parts of about SHARD characters that end with a piece; anything else as it is."""
+    text = part.column("text")[0].as_py() if part.num_rows == 1 else None
+    if text is None or len(text) <= SHARD:
+        yield part
+        return
+    at = 0
+    while at < len(text):
+        mark = SEPARATOR.search(text, at + SHARD)
+        end = mark.end() if mark else len(text)
+        yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array([text[at:end]])], names=["lang", "text"])
+        at = end
+
+
 def _over_shards(rows, longest: int):
     """``rows`` of each shard of a partition, a batch at a time."""
 
     def run(batches):
         size, rest = 0, []
         try:
-            for part in slices(batches):
+            for part in chain.from_iterable(map(_divided, slices(batches))):
                 more = pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
                 if rest and size + more > SHARD:
                     yield from rows(Shard(pa.Table.from_batches(rest), longest))
                     size, rest = 0, []
+                    release()
                 rest.append(part)
                 size += more
             if rest:
@@ -119,10 +139,7 @@ def frequent_bits(texts: DataFrame, longest: int, least: int) -> np.ndarray:
 
 
 def frequent(texts: DataFrame, longest: int, least: int) -> DataFrame:
-    """``(lang, size, phrase, a, left, right)`` of all phrases of up to ``longest`` words that occur ``least`` times, and a row of size 0 per language that counts its words.
-
-    ``left`` and ``right``: the phrase without its last and first word.
-    """
+    """``(lang, size, phrase, a)`` of all phrases of up to ``longest`` words that occur ``least`` times, and a row of size 0 per language that counts its words."""
     # written to the executors once; its size does not depend on the data
     bitmap = texts.sparkSession.sparkContext.broadcast(frequent_bits(texts, longest, least))
 
@@ -130,12 +147,11 @@ def frequent(texts: DataFrame, longest: int, least: int) -> DataFrame:
         bits, automaton = bitmap.value, shard.automaton
         langs = pa.array(shard.langs, pa.string())
 
-        def batch(depth: int, lang: np.ndarray, phrase, n: np.ndarray, left, right) -> pa.RecordBatch:
-            none = pa.nulls(len(n), pa.string())
-            return pa.RecordBatch.from_arrays([langs.take(pa.array(lang)), pa.array(np.full(len(n), depth, np.int32)), phrase, pa.array(n), none if left is None else left, none if right is None else right], names=["lang", "size", "phrase", "a", "left", "right"])
+        def batch(depth: int, lang: np.ndarray, phrase: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([langs.take(pa.array(lang)), pa.array(np.full(len(n), depth, np.int32)), phrase, pa.array(n)], names=["lang", "size", "phrase", "a"])
 
         total = np.bincount(shard.lang[shard.words], minlength=len(langs)) if len(shard.words) else np.zeros(len(langs), np.int64)
-        yield batch(0, np.arange(len(langs)), pa.array([""] * len(langs), pa.string()), total.astype(np.int64), None, None)
+        yield batch(0, np.arange(len(langs)), pa.array([""] * len(langs), pa.string()), total.astype(np.int64))
         known = None
         for depth in range(1, longest + 1):
             states, ends = automaton.substrings(depth)
@@ -154,11 +170,10 @@ def frequent(texts: DataFrame, longest: int, least: int) -> DataFrame:
             states, ends = states[held], ends[held]
             for i in range(0, len(ends), 1 << 16):
                 e = ends[i : i + (1 << 16)]
-                sides = (shard.phrases(depth - 1, e - 1), shard.phrases(depth - 1, e)) if depth > 2 else (None, None)
-                yield batch(depth, shard.lang[shard.words[e]], shard.phrases(depth, e), automaton.count[states[i : i + (1 << 16)]], *sides)
+                yield batch(depth, shard.lang[shard.words[e]], shard.phrases(depth, e), automaton.count[states[i : i + (1 << 16)]])
 
-    counted = texts.mapInArrow(_over_shards(rows, longest), "lang string, size int, phrase string, a long, left string, right string")
-    return counted.groupBy("lang", "size", "phrase").agg(F.sum("a").alias("a"), F.first("left").alias("left"), F.first("right").alias("right")).filter(F.expr(f"size = 0 or a >= {least}"))
+    counted = texts.mapInArrow(_over_shards(rows, longest), "lang string, size int, phrase string, a long")
+    return counted.groupBy("lang", "size", "phrase").agg(F.sum("a").alias("a")).filter(F.expr(f"size = 0 or a >= {least}"))
 
 
 def score(a: Column, left: Column, right: Column) -> Column:
@@ -176,7 +191,9 @@ def mine(docs: DataFrame, longest: int = 3, least: int = 10, top: int = 2000, sh
     texts = docs.select(F.col("`lang`").alias("lang"), F.col("`text`").alias("text"))
     counts = table(frequent(texts, longest, least))
     phrases = counts.filter("size > 1")
-    longer = phrases.filter("size > 2").select("lang", F.explode(F.array("left", "right")).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
+    words = F.split("phrase", " ")
+    held = F.array(F.array_join(F.slice(words, F.lit(1), F.col("size") - 1), " "), F.array_join(F.slice(words, F.lit(2), F.col("size") - 1), " "))
+    longer = phrases.filter("size > 2").select("lang", F.explode(held).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     kept = phrases.join(longer, ["lang", "phrase"], "left").filter(f"longer is null or 100 * cast(longer as decimal(38,0)) < {share} * cast(a as decimal(38,0))").select("lang", "size", "phrase", "a")
     parts = kept.select("*", F.split("phrase", " ").alias("w")).select("lang", "phrase", "a", F.explode(F.expr("sequence(1, size - 1)")).alias("k"), "w")
     sides = parts.select("lang", "phrase", "a", "k", F.array_join(F.slice("w", F.lit(1), F.col("k")), " ").alias("head"), F.array_join(F.slice("w", F.col("k") + 1, F.size("w")), " ").alias("tail"))

@@ -143,7 +143,7 @@ def test_collocations(spark, monkeypatch, longest, least, top, bits, shard):
     words = ["the", "Of", "new", "york", "CITY", "é", "É", "a\x1cb", "x y", "und", "z"]
     weights = [9, 7, 6, 6, 5, 1, 1, 1, 1, 2, 1]
     rows = [(r.choice(["en", "en", "de", None, "und"]), "".join(r.choices(words, weights)[0] + r.choice([" ", " ", " ", "  ", "\t", ". ", ",", "\n", "\r\x0b"]) for _ in range(r.randint(0, 60)))) for _ in range(120)]
-    rows += [("en", None), (None, None), ("fr", ""), ("es", "new york " * 700), ("es", "new york"), rows[0], rows[0]]
+    rows += [("en", None), (None, None), ("fr", ""), ("es", "new york " * 700), ("de", "new york, the of. " * 900), ("es", "new york"), rows[0], rows[0]]
     docs = spark.createDataFrame([(*x, 1, "q", 3) for x in rows], "lang string, text string, a long, phrase string, size int").repartition(4)
     got = of(collocations.mine(docs, longest, least, top), "lang", "rank", "phrase", "a", "l", "r", "n", "score")
     assert got == brute_collocations(rows, longest, least, top, 50)
