@@ -1,8 +1,8 @@
 """Phrase collocation mining with generalised suffix automata.
 
 Every shard of about SHARD bytes of text gets the suffix automaton of its pieces, bounded in depth, whose states enumerate the phrases of up to ``longest`` words with the number of places where they end. Counts are
-added up over shards in two rounds. The first one adds up hashes of all phrases below the longest, in order to tell which are frequent; these go to the tasks as a bitmap of BITS bits, whatever the corpus. The second round counts words themselves:
-of the phrases whose parts are all in the bitmap. A hash that two phrases share, or a bitmap that is full, only makes the second round count phrases that turn out rare.
+added up over shards in three rounds. The first adds up places in a bitmap of BITS bits to which phrases below the longest are hashed, in order to tell which may be frequent; the bitmap goes to the tasks, and its size is the same for every corpus. The second does so for
+the longest phrases whose parts are in it. The third counts the words themselves, of the phrases that are in the bitmaps. A place that several phrases share, or a bitmap that is full, only makes the third round count phrases that turn out rare.
 
 A phrase of the longest kind is only looked at if its suffix link, the phrase without its first word, and the state that its last word leads from, the phrase without that, are in the bitmap. The same two are what a phrase
 may subsume; no phrase longer still is more frequent.
@@ -13,6 +13,8 @@ Null texts are empty, a null ``lang`` is ``und``. Repeated rows count as often a
 from __future__ import annotations
 
 import re
+import zlib
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -109,42 +111,92 @@ def _over_shards(rows, longest: int):
     return run
 
 
-def frequent_bits(texts: DataFrame, longest: int, least: int) -> np.ndarray:
-    """A bitmap over the first BITS bits of hashes: all phrases of fewer than ``longest`` words that occur ``least`` times are in it, and few others. Its size is fixed."""
+def counted_bits(texts: DataFrame, least: int, depths: range, held=None) -> np.ndarray:
+    """A bitmap over the first BITS bits of hashes: all phrases of ``depths`` words that occur ``least`` times are in it, and few others. Its size is fixed.
+
+    A task sends, for each block of places of the bitmap, the places that its shards' phrases have, as sorted steps, and how often; these are added up block by block. ``held(shard, depth, ends)`` leaves out what can't be frequent.
+    """
 
     def rows(shard: Shard):
-        for depth in range(1, longest):
+        for depth in depths:
             states, ends = shard.automaton.substrings(depth)
-            yield pa.RecordBatch.from_arrays([pa.array(shard.hashes(depth, ends).view(np.int64)), pa.array(shard.automaton.count[states])], names=["h", "n"])
-
-    def blocks(batches):
+            if held is not None:
+                keep = held(shard, depth, ends)
+                states, ends = states[keep], ends[keep]
+            place, inverse = np.unique(shard.hashes(depth, ends) >> np.uint64(64 - BITS), return_inverse=True)
+            n = np.minimum(np.bincount(inverse, weights=shard.automaton.count[states], minlength=len(place)), least)
+            block = place >> np.uint64(BLOCK)
+            edges = np.searchsorted(block, np.unique(block))
+            inside = (place & np.uint64((1 << BLOCK) - 1)).astype(np.int32)
+            parts = [(int(block[a]), _packed(inside[a:z], n[a:z]), z - a) for a, z in zip(edges.tolist(), [*edges[1:].tolist(), len(block)], strict=True)]
+            for i in range(0, len(parts), 256):
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*parts[i : i + 256], strict=True), (pa.int32(), pa.binary(), pa.int64()), strict=True)], names=["block", "data", "n"])
+
+    found = texts.mapInArrow(_over_shards(rows, max(depths)), "block int, data binary, n long").withColumn("salt", F.spark_partition_id().cast("int") / F.lit(64))
+    # the parts of up to 64 tasks, then what is left of those
+    merged = found.withColumn("salt", F.col("salt").cast("int")).groupBy("block", "salt").applyInArrow(_merged(least), "block int, data binary, n long").groupBy("block").applyInArrow(_merged(least), "block int, data binary, n long")
+
+    def bits(batches):
         for batch in batches:
-            places = batch.column("places")
-            got = []
-            for row in places:
-                bits = np.zeros(1 << BLOCK, bool)
-                bits[row.values.to_numpy()] = True
-                got.append(np.packbits(bits).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(got, pa.binary())], names=["block", "bits"])
-
-    counts = texts.mapInArrow(_over_shards(rows, max(longest - 1, 1)), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    place = F.shiftrightunsigned("h", 64 - BITS)
-    # places, not phrases, are gathered: a block has no more of them than bits
-    held = counts.select(F.shiftright(place, BLOCK).cast("int").alias("block"), place.bitwiseAND((1 << BLOCK) - 1).cast("int").alias("place"))
-    found = held.groupBy("block").agg(F.collect_set("place").alias("places")).mapInArrow(blocks, "block int, bits binary").toArrow()
+            out = []
+            for data, n in zip(batch.column("data").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                at, times = _unpacked(data, n)
+                flags = np.zeros(1 << BLOCK, bool)
+                flags[at[times >= least]] = True
+                out.append(np.packbits(flags).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(out, pa.binary())], names=["block", "bits"])
+
     out = np.zeros((1 << (BITS - BLOCK), 1 << (BLOCK - 3)), np.uint8)
-    for block, bits in zip(found.column("block").to_pylist(), found.column("bits").to_pylist(), strict=True):
-        out[block] = np.frombuffer(bits, np.uint8)
+    got = merged.mapInArrow(bits, "block int, bits binary").toArrow()
+    for block, flags in zip(got.column("block").to_pylist(), got.column("bits").to_pylist(), strict=True):
+        out[block] = np.frombuffer(flags, np.uint8)
     return out.ravel()
 
 
+def _packed(at: np.ndarray, times: np.ndarray) -> bytes:
+    """Sorted places of a block as steps, and how often each is met."""
+    return zlib.compress(np.diff(at, prepend=0).astype(np.int32).tobytes() + times.astype(np.int32).tobytes(), 1)
+
+
+def _unpacked(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    raw = zlib.decompress(data)
+    return np.cumsum(np.frombuffer(raw, np.int32, n)), np.frombuffer(raw, np.int32, n, 4 * n)
+
+
+def _merged(least: int):
+    """Adds up the parts of one block, a batch at a time; beyond ``least`` it doesn't matter how often."""
+
+    def run(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << BLOCK, np.int64)
+        for batch in parts:
+            for data, n in zip(batch.column("data").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                at, times = _unpacked(data, n)
+                total[at] += times
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([_packed(at, np.minimum(total[at], least))], pa.binary()), pa.array([len(at)], pa.int64())], names=["block", "data", "n"])
+
+    return run
+
+
+def _in(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    h = hashes >> np.uint64(65 - (len(bits) * 8).bit_length())
+    return (bits[h >> np.uint64(3)] >> (np.uint64(7) - (h & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
+
+
 def frequent(texts: DataFrame, longest: int, least: int) -> DataFrame:
     """``(lang, size, phrase, a)`` of all phrases of up to ``longest`` words that occur ``least`` times, and a row of size 0 per language that counts its words."""
-    # written to the executors once; its size does not depend on the data
-    bitmap = texts.sparkSession.sparkContext.broadcast(frequent_bits(texts, longest, least))
+    sent = texts.sparkSession.sparkContext.broadcast
+    # written to the executors once; the size does not depend on the data
+    shorter = sent(counted_bits(texts, least, range(1, longest)))
+
+    def possible(shard: Shard, depth: int, ends: np.ndarray) -> np.ndarray:
+        """Are the phrase without its first word, its suffix link, and the one without its last word, which leads to it, in the bitmap?"""
+        return _in(shorter.value, shard.hashes(depth - 1, ends)) & _in(shorter.value, shard.hashes(depth - 1, ends - 1))
+
+    full = sent(counted_bits(texts, least, range(longest, longest + 1), possible)) if longest > 1 else shorter
 
     def rows(shard: Shard):
-        bits, automaton = bitmap.value, shard.automaton
+        automaton = shard.automaton
         langs = pa.array(shard.langs, pa.string())
 
         def batch(depth: int, lang: np.ndarray, phrase: pa.Array, n: np.ndarray) -> pa.RecordBatch:
@@ -155,11 +207,7 @@ def frequent(texts: DataFrame, longest: int, least: int) -> DataFrame:
         known = None
         for depth in range(1, longest + 1):
             states, ends = automaton.substrings(depth)
-            if depth < longest:
-                h = shard.hashes(depth, ends) >> np.uint64(64 - BITS)
-                held = (bits[h >> np.uint64(3)] >> (np.uint64(7) - (h & np.uint64(7))).astype(np.uint8) & 1).astype(bool)
-            else:
-                held = np.ones(len(ends), bool)
+            held = _in((shorter if depth < longest else full).value, shard.hashes(depth, ends))
             if known is not None:
                 # the suffix link's side and the side that the last word is added to
                 held &= known[automaton.at[depth - 2][ends]] & known[automaton.at[depth - 2][ends - 1]]
