@@ -45,6 +45,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that must not be broadcast: Spark takes exploded rows for no larger than what they were made of, and would build tables of many millions of them on the driver."""
+    return df.hint("merge")
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """Cut batches so that the text of each slice stays near SLICE_BYTES."""
     for batch in batches:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fissure.llm._common import cut
+from fissure.llm._common import cut, merged
 
 
 def _state(links: DataFrame) -> tuple:
@@ -18,7 +18,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     if large:
         around = around.unionAll(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
     least = around.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    joined = around.join(least, "u")
+    joined = around.join(merged(least), "u")
     out = joined.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")) if large else joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionAll(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
     return out.filter("a > b").distinct()
 

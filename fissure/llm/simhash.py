@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fissure.llm._common import cut, map_text, pick
+from fissure.llm._common import cut, map_text, merged, pick
 from fissure.llm.components import connected_components
 
 DISTANCE = 3
@@ -98,8 +98,8 @@ def links(fps: DataFrame) -> DataFrame:
     halves = fps.select("fp", F.explode(F.expr("array(fp & 4294967295L, shiftrightunsigned(fp, 32) | 4294967296L)")).alias("key"))
     probes = fps.select("fp", F.explode(F.expr(f"concat({_ball('(fp & 4294967295L)', 32)}, transform({_ball('shiftrightunsigned(fp, 32)', 32)}, x -> x | 4294967296L))")).alias("key"))
     counts = halves.groupBy("key").agg(F.count("*").alias("n"))
-    table = halves.join(counts.filter(F.col("n") <= BUCKET), "key").select("key", F.col("fp").alias("other")).unionAll(counts.filter(F.col("n") > BUCKET).select("key", F.lit(None).cast("long")))
-    met = cut(probes.join(table, "key").filter(f"other is null or (fp <> other and bit_count(fp ^ other) <= {DISTANCE})"))
+    table = halves.join(merged(counts.filter(F.col("n") <= BUCKET)), "key").select("key", F.col("fp").alias("other")).unionAll(counts.filter(F.col("n") > BUCKET).select("key", F.lit(None).cast("long")))
+    met = cut(probes.join(merged(table), "key").filter(f"other is null or (fp <> other and bit_count(fp ^ other) <= {DISTANCE})"))
     near = met.filter("other is not null").select(F.col("fp").alias("a"), F.col("other").alias("b"))
     rest = "(case when key < 4294967296L then shiftrightunsigned(fp, 32) else fp & 4294967295L end)"
     again = (
@@ -109,15 +109,15 @@ def links(fps: DataFrame) -> DataFrame:
     )
     again = cut(again.distinct())
     crowds = again.groupBy("key", "part").agg(F.count("*").alias("n")).filter(F.col("n") > CROWD).select("key", "part")
-    few = again.join(crowds, ["key", "part"], "left_anti").groupBy("key", "part").agg(F.collect_set("fp").alias("fps"))
+    few = again.join(merged(crowds), ["key", "part"], "left_anti").groupBy("key", "part").agg(F.collect_set("fp").alias("fps"))
     left = f"(case when part < 65536L then shiftrightunsigned({rest}, 16) else {rest} & 65535L end)"
     third = (
-        again.join(crowds, ["key", "part"])
+        again.join(merged(crowds), ["key", "part"])
         .select("fp", "key", "part", F.expr(f"{left} & 255L").alias("low"), F.expr(f"shiftrightunsigned({left}, 8)").alias("high"))
         .select("fp", "key", "part", F.explode(F.expr(f"concat({_ball('low', 8)}, transform({_ball('high', 8)}, x -> x | 256L))")).alias("last"))
     )
     # a group agrees on 56 bits up to one bit of each part, so it has at most 256 * 33 * 17 * 9 fingerprints; the halves of the last 8 bits and a bit each leave 16 * 33 * 17 * 9 * 5 at most
-    packed = cut(third.distinct().join(third.groupBy("key", "part", "last").agg(F.approx_count_distinct("fp").alias("n")).withColumn("crowded", F.col("n") > CROWD).drop("n"), ["key", "part", "last"]))
+    packed = cut(third.distinct().join(merged(third.groupBy("key", "part", "last").agg(F.approx_count_distinct("fp").alias("n")).withColumn("crowded", F.col("n") > CROWD).drop("n")), ["key", "part", "last"]))
     many = packed.filter("not crowded").groupBy("key", "part", "last").agg(F.collect_set("fp").alias("fps"))
     end = f"(case when last < 256L then shiftrightunsigned({left}, 8) else {left} & 255L end)"
     most = (
@@ -135,15 +135,15 @@ def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     each = cut(fingerprints(docs))
     roots = connected_components(links(each.select("fp").distinct()))
     least = each.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    rooted = least.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = least.join(merged(roots), F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     of = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return each, rooted.join(of, "root").select("fp", "root", "component_id")
+    return each, rooted.join(merged(of), "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, fp, fingerprint, component_id)`` for every row of ``docs(doc_id, text)``."""
     each, by_fp = _components(docs)
-    return each.join(by_fp, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return each.join(merged(by_fp), "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -152,7 +152,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Of repeated rows of that doc_id one stays, and where they hold different texts, one of the component's; where a component has no doc_id at all, one of its rows stays. Texts are shuffled only of rows whose doc_id is missing or repeats.
     """
     each, by_fp = _components(docs)
-    found = cut(each.join(by_fp, "fp").filter("doc_id <=> component_id").groupBy("root").agg(F.min("component_id").alias("id"), F.min("fp").alias("fp")))
+    found = cut(each.join(merged(by_fp), "fp").filter("doc_id <=> component_id").groupBy("root").agg(F.min("component_id").alias("id"), F.min("fp").alias("fp")))
     twice = cut(each.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"))
     several, missing = not twice.isEmpty(), not found.filter("id is null").isEmpty()
     # the caller's columns are joined under numbers, so that no name of theirs meets one of ours
@@ -161,15 +161,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     id_ = F.col(f"`{docs.columns.index('doc_id')}`")
     ids = found.filter("id is not null").select(F.col("id").alias("kept id"), F.col("fp").alias("kept fp"))
     repeated = twice.select(F.col("doc_id").alias("repeated id"))
-    once = ids.join(repeated, F.col("kept id") == F.col("repeated id"), "left_anti") if several else ids
-    kept = rows.join(once, id_ == F.col("kept id"), "left_semi")
+    once = ids.join(merged(repeated), F.col("kept id") == F.col("repeated id"), "left_anti") if several else ids
+    kept = rows.join(merged(once), id_ == F.col("kept id"), "left_semi")
     if several:
-        marked = _fingerprinted(rows.join(repeated, id_ == F.col("repeated id"), "left_semi"), docs.columns.index("text"))
-        marked = marked.join(ids, (id_ == F.col("kept id")) & (F.col(MARK) == F.col("kept fp")), "left_semi").dropDuplicates([str(docs.columns.index("doc_id")), MARK])
+        marked = _fingerprinted(rows.join(merged(repeated), id_ == F.col("repeated id"), "left_semi"), docs.columns.index("text"))
+        marked = marked.join(merged(ids), (id_ == F.col("kept id")) & (F.col(MARK) == F.col("kept fp")), "left_semi").dropDuplicates([str(docs.columns.index("doc_id")), MARK])
         kept = kept.unionAll(marked.select(own))
     if missing:
         nameless = found.filter("id is null").select(F.col("fp").alias("kept fp"))
-        marked = _fingerprinted(rows.filter(id_.isNull()), docs.columns.index("text")).join(nameless, F.col(MARK) == F.col("kept fp"), "left_semi").dropDuplicates([MARK])
+        marked = _fingerprinted(rows.filter(id_.isNull()), docs.columns.index("text")).join(merged(nameless), F.col(MARK) == F.col("kept fp"), "left_semi").dropDuplicates([MARK])
         kept = kept.unionAll(marked.select(own))
     return kept.toDF(*docs.columns)
 
