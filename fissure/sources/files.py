@@ -116,15 +116,25 @@ def dump_cwe_tally(spark: SparkSession, path: str) -> DataFrame:
     return found.groupBy("cwe").agg(F.count("*").alias("n"))
 
 
+#: Line numbers in a block of an exported document.
+BLOCK = 100_000
+
+
 def export_lines(lines: DataFrame) -> DataFrame:
     """(ord, language, cwd, cwe, has_others) of each sample of an exported document ``lines(file, ord, value)``.
 
     A group's language line follows its samples, its class line precedes them; a sample's other ids stand before the next sample.
-    The state is carried along one file at a time, which is a document that one process wrote.
+    The state is carried along inside blocks of line numbers; what each block begins and ends with follows from one row a block. So no task holds a file, and the work grows with the lines.
     """
     found = lambda p: F.nullif(F.trim(F.regexp_extract("value", p, 1)), F.lit(""))
-    marks = lines.select("file", "ord", found(r"^\s*-?\s+Language:\s*(.+)").alias("lang"), found(r"^\s+- CWD Number:\s*(.+)").alias("number"), found(r"^\s+- CWE:\s*(.+)").alias("cwe"), found(r"^\s+other CWEs\(CWDs\):\s*(.+)").alias("others"))
-    order = Window.partitionBy("file").orderBy("ord")
-    marks = marks.withColumn("cwd", F.last("number", True).over(order)).withColumn("language", F.first("lang", True).over(order.rowsBetween(0, Window.unboundedFollowing))).withColumn("sample", F.sum(F.when(F.col("cwe").isNotNull(), 1).otherwise(0)).over(order))
+    marks = lines.select("file", "ord", F.expr(f"ord div {BLOCK}").alias("block"), found(r"^\s*-?\s+Language:\s*(.+)").alias("lang"), found(r"^\s+- CWD Number:\s*(.+)").alias("number"), found(r"^\s+- CWE:\s*(.+)").alias("cwe"), found(r"^\s+other CWEs\(CWDs\):\s*(.+)").alias("others"))
+    inside, whole = Window.partitionBy("file", "block"), Window.partitionBy("file")
+    at = lambda c: F.when(F.col(c).isNotNull(), F.col("ord"))
+    blocks = marks.groupBy("file", "block").agg(F.max_by("number", at("number")).alias("number"), F.min_by("lang", at("lang")).alias("lang"), F.count("cwe").alias("n"))
+    before, after = (whole.orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in ("block", F.desc("block")))
+    blocks = blocks.select("file", "block", F.last("number", True).over(before).alias("number_before"), F.last("lang", True).over(after).alias("lang_after"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("samples_before"))
+    # the next language line is looked for from the block's end, since a frame that is open towards the end is gone through anew for every row
+    marks = marks.withColumn("cwd", F.last("number", True).over(inside.orderBy("ord"))).withColumn("sample", F.count("cwe").over(inside.orderBy("ord"))).withColumn("language", F.last("lang", True).over(inside.orderBy(F.desc("ord"))))
+    marks = marks.join(blocks, ["file", "block"]).withColumns({"cwd": F.coalesce("cwd", "number_before"), "language": F.coalesce("language", "lang_after"), "sample": F.col("sample") + F.col("samples_before")})
     per = marks.filter("sample > 0").groupBy("file", "sample").agg(F.min("ord").alias("ord"), F.min_by("language", "ord").alias("language"), F.min_by("cwd", "ord").alias("cwd"), F.min_by("cwe", "ord").alias("cwe"), F.coalesce(F.max(F.col("others").isNotNull() & (F.col("others") != "[]")), F.lit(False)).alias("has_others"))
     return per.select("file", "ord", "language", "cwd", "cwe", "has_others")
