@@ -113,6 +113,15 @@ def multi_function_reason(benign: Column, vulnerable: Column, language: Column)
     return F.when(b & v, "both").when(b, "benign").when(v, "vulnerable")
 
 
+#: Entries in one of the documents that a large one is cut into.
+PART = 64
+
+
+def _first(documents: DataFrame) -> Column:
+    """Entries that stand before a document's own: none, unless it is a part of one."""
+    return F.col("first") if "first" in documents.columns else F.lit(0)
+
+
 def nested(found: DataFrame, key: str = "cwd") -> DataFrame:
     """One row: the whole document as JSON text, keys in order, entries by row number, nulls written out."""
     groups = found.groupBy("language", key).agg(F.array_sort(F.collect_list(F.struct("row_id", "entry"))).alias("e"))
@@ -122,6 +131,15 @@ def nested(found: DataFrame, key: str = "cwd") -> DataFrame:
     return whole.select(F.to_json("d", {"ignoreNullFields": "false"}).alias("document"))
 
 
+def nested_parts(found: DataFrame, key: str = "cwd") -> DataFrame:
+    """(first, document): the same in documents of up to PART entries of one group each, of which ``first`` stand before in the group. ``flattened`` and ``merged`` take these for one document."""
+    lines = sampling.numbered(found.select("row_id", "language", key, F.to_json("entry", {"ignoreNullFields": "false"}).alias("line")), ["language", key])
+    parts = lines.groupBy("language", key, F.expr(f"at div {PART}").alias("part")).agg(F.array_sort(F.collect_list(F.struct("at", "line"))).alias("e"))
+    name = lambda c: F.regexp_extract(F.to_json(F.struct(F.col(c).alias("k"))), r'(?s)^\{"k":(.*)\}$', 1)
+    text = F.concat(F.lit("{"), name("language"), F.lit(":{"), name(key), F.lit(":["), F.array_join(F.transform("e", lambda x: x["line"]), ","), F.lit("]}}"))
+    return parts.select((F.col("part") * PART).alias("first"), text.alias("document"))
+
+
 def group_lines(found: DataFrame, key: str = "cwd") -> DataFrame:
     """The same without one row that holds all: (language, key, pos, line), ``line`` being the entry as JSON text."""
     return sampling.numbered(found, ["language", key]).select("language", key, F.col("at").cast("int").alias("pos"), F.to_json("entry", {"ignoreNullFields": "false"}).alias("line"))
@@ -132,8 +150,9 @@ def flattened(documents: DataFrame, outer_wins: bool = False) -> DataFrame:
 
     An entry's own ``language`` or ``cwd`` field wins over the document's key unless ``outer_wins``.
     """
-    parsed = documents.select(F.from_json("document", "map<string,map<string,array<string>>>").alias("d"))
-    rows = parsed.select(F.explode("d").alias("outer_language", "m")).select("outer_language", F.explode("m").alias("outer_cwd", "items")).select("outer_language", "outer_cwd", F.posexplode("items").alias("pos", "item"))
+    parsed = documents.select(_first(documents).alias("first"), F.from_json("document", "map<string,map<string,array<string>>>").alias("d"))
+    rows = parsed.select("first", F.explode("d").alias("outer_language", "m")).select("first", "outer_language", F.explode("m").alias("outer_cwd", "items")).select("first", "outer_language", "outer_cwd", F.posexplode("items").alias("at", "item"))
+    rows = rows.withColumn("pos", (F.col("first") + F.col("at")).cast("int"))
     own = lambda name: F.get_json_object("item", f"$.{name}")
     pick = lambda name: F.col(f"outer_{name}") if outer_wins else F.coalesce(own(name), F.col(f"outer_{name}"))
     return rows.select(pick("language").alias("language"), pick("cwd").alias("cwd"), "pos", F.from_json("item", ENTRY).alias("entry"))
@@ -145,14 +164,15 @@ def flat_entry(rows: DataFrame) -> DataFrame:
 
 
 def merged(first: DataFrame, second: DataFrame) -> DataFrame:
-    """(language, key, pos, item) of two nested documents ``(document)``: under each key the entries of the first, then those of the second, each with all its fields as JSON text."""
+    """(language, key, pos, item) of two nested documents ``(document)``, whole or in parts: under each key the entries of the first, then those of the second, each with all its fields as JSON text."""
     from pyspark.sql import Window
 
     def items(documents: DataFrame, turn: int) -> DataFrame:
-        parsed = documents.select(F.from_json("document", "map<string,map<string,array<string>>>").alias("d")).select(F.explode("d").alias("language", "m"))
-        return parsed.select("language", F.explode("m").alias("key", "items")).select("language", "key", F.lit(turn).alias("turn"), F.posexplode("items").alias("pos", "item"))
+        parsed = documents.select(_first(documents).alias("first"), F.from_json("document", "map<string,map<string,array<string>>>").alias("d")).select("first", F.explode("d").alias("language", "m"))
+        return parsed.select("first", "language", F.explode("m").alias("key", "items"), F.lit(turn).alias("turn"))
 
     both = items(first, 0).unionByName(items(second, 1))
-    counts = both.groupBy("language", "key", "turn").agg(F.count("*").alias("n"))
+    counts = both.groupBy("language", "key", "turn").agg(F.sum(F.size("items")).alias("n"))
+    both = both.select("first", "language", "key", "turn", F.posexplode("items").alias("at", "item"))
     before = counts.select("language", "key", "turn", (F.sum("n").over(Window.partitionBy("language", "key").orderBy("turn")) - F.col("n")).alias("before"))
-    return both.join(before, ["language", "key", "turn"]).select("language", "key", (F.col("before") + F.col("pos")).cast("int").alias("pos"), "item")
+    return both.join(before, ["language", "key", "turn"]).select("language", "key", (F.col("before") + F.col("first") + F.col("at")).cast("int").alias("pos"), "item")
