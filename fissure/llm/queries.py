@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fissure.llm import alignment, bpe, collocations, licenses, mixing, quality, secrets, sharding, simhash, subwords, suffixes, token_counts, topk
@@ -65,8 +65,8 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tokens_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections of every text, whose tokens add up to the document's."""
     rows = token_counts.section_token_counts(read(spark, sf_dir, "documents"))
-    whole = rows.groupBy("doc_id").agg(F.sum("n_tokens").alias("total"))
-    return rows.join(whole, "doc_id").select("doc_id", "section", "start_char", "end_char", (F.abs(F.col("total") - F.col("doc_tokens")) < 1e-6).alias("adds_up"))
+    total = F.sum("n_tokens").over(Window.partitionBy("doc_id"))
+    return rows.select("doc_id", "section", "start_char", "end_char", (F.abs(total - F.col("doc_tokens")) < 1e-6).alias("adds_up"))
 
 
 def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
