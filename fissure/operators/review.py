@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from fissure.functions import code, diffs, replies, udfs
 from fissure.functions.text import strip
+from fissure.session import shared
 
 STAGES = ("vulnerability_analysis", "fix_analysis", "code_review")
 REVIEW = "review string, confidence double, status string, calls int, regenerations int"
@@ -90,11 +91,12 @@ def review(rows: DataFrame, generate: Callable[[str], str], templates: dict[str,
         ask = client(counted, attempts=attempts, delay=delay)
         for turn in range(tries):
             try:
-                values = {"code_before": row.vulnerable or "", "code_after": row.benign or "", "cwe": row.CWE or "", "diff": diffs.compact(row.vulnerable, row.benign)}
+                # what no prompt asks for is not made
+                values = {"code_before": lambda: row.vulnerable or "", "code_after": lambda: row.benign or "", "cwe": lambda: row.CWE or "", "diff": lambda: diffs.compact(row.vulnerable, row.benign), "previous": lambda: json.dumps(done)}
                 for stage in STAGES:
                     text = templates.get(stage, "")
-                    for name, value in {**values, "previous": json.dumps(done)}.items():
-                        text = text.replace("{" + name + "}", value)
+                    for name, value in values.items():
+                        text = text.replace("{" + name + "}", value()) if "{" + name + "}" in text else text
                     reply = replies.parse_reply(ask(text))
                     if reply is None:
                         raise ValueError("no JSON in the reply")
@@ -187,12 +189,16 @@ def cache_key(vulnerable: Column, benign: Column, cwe: Column) -> Column:
 
 def quality_report(reviews: DataFrame, low: float = 0.75) -> DataFrame:
     """(metric, value, n, x): average confidence, the number of reviews of low confidence, the 20 lowest by row number, and histograms of severity and fix quality."""
+    # all parts are made of one table of a few short columns, so that no entry is reviewed again for each of them
+    path = shared(reviews.sparkSession, "report")
     field = lambda path: F.coalesce(F.get_json_object("review", path), F.lit("UNKNOWN"))
-    histogram = lambda name, path: reviews.groupBy(field(path).alias("value")).agg(F.count("*").alias("n"), F.lit(None).cast("double").alias("x")).select(F.lit(name).alias("metric"), "value", "n", "x")
+    reviews.select("row_id", "confidence", field("$.vulnerability_analysis.severity").alias("severity"), field("$.fix_analysis.fix_quality").alias("fix_quality")).write.parquet(path)
+    reviews = reviews.sparkSession.read.parquet(path)
+    histogram = lambda name: reviews.groupBy(F.col(name).alias("value")).agg(F.count("*").alias("n"), F.lit(None).cast("double").alias("x")).select(F.lit(name).alias("metric"), "value", "n", "x")
     mean = reviews.agg(F.count("*").alias("n"), F.bround(F.avg("confidence"), 3).alias("x")).select(F.lit("confidence").alias("metric"), F.lit("average").alias("value"), "n", "x")
     few = reviews.agg(F.count_if(F.col("confidence") < low).alias("n")).select(F.lit("confidence").alias("metric"), F.lit("low").alias("value"), "n", F.lit(low).alias("x"))
     lowest = low_confidence(reviews, low).select(F.lit("low_confidence").alias("metric"), F.col("row_id").cast("string").alias("value"), F.lit(1).cast("long").alias("n"), F.col("confidence").alias("x"))
-    return mean.unionByName(few).unionByName(lowest).unionByName(histogram("severity", "$.vulnerability_analysis.severity")).unionByName(histogram("fix_quality", "$.fix_analysis.fix_quality"))
+    return mean.unionByName(few).unionByName(lowest).unionByName(histogram("severity")).unionByName(histogram("fix_quality"))
 
 
 def low_confidence(reviews: DataFrame, low: float = 0.75, n: int = 20) -> DataFrame:
