@@ -13,7 +13,6 @@ Null texts are empty, a null ``lang`` is ``und``. Repeated rows count as often a
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -24,42 +23,74 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fissure.llm._common import release, slices, table
-from fissure.llm.automaton import Automaton, build
+from fissure.llm._common import release, slices, table, utf8
+from fissure.llm.automaton import Automaton, build, grouped
 
 #: Bytes of text of a shard. A longer document is cut between pieces, which no phrase crosses; a longer piece is a shard of its own.
 SHARD = 2 << 20
 BITS = 27
 #: Places of the bitmap that one row of its table holds.
 BLOCK = 17
-PIECES = r"[.,;:!?\n-\r]"
-SEPARATOR = re.compile(PIECES)
+HALF = 1 << 16
+SEPARATOR = re.compile(r"[.,;:!?\n-\r]")
+#: By byte: does it end a piece, is it between words, and its lower case.
+SPLITS, BLANK = np.zeros(256, bool), np.zeros(256, bool)
+SPLITS[list(b".,;:!?\n\x0b\x0c\r")] = True
+BLANK[list(b" \t")] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+POWER = np.uint64(0x9FB21C651E98DF25)
 ODD = np.random.default_rng(7).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Parts of a language's phrases that are ranked apart before they are ranked together.
 PARTS = 256
 
 
+def _word_hashes(words: pa.Array) -> np.ndarray:
+    """A polynomial of each word's bytes modulo 2^64, mixed. Words that share one share places of a bitmap, which costs time only."""
+    data, offsets = utf8(words)
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    size = np.diff(offsets)
+    power = np.full(int(size.max()), POWER)
+    power[0] = 1
+    power = np.cumprod(power, dtype=np.uint64)
+    at = np.arange(len(data)) - np.repeat(offsets[:-1], size)
+    return _mixed(np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * power[at], offsets[:-1]))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
+
 class Shard:
     """Words of some documents as numbers, and the automaton over them. The same word in two languages has two numbers."""
 
     def __init__(self, batch: pa.Table, longest: int):
-        text = pc.fill_null(batch.column("text"), "").cast(pa.large_string())
+        data, offsets = utf8(batch.column("text").combine_chunks())
+        data = LOWER[data]
         lang = pc.fill_null(batch.column("lang"), "und").combine_chunks().dictionary_encode()
         self.langs = lang.dictionary.to_pylist()
-        pieces = pc.split_pattern_regex(pc.ascii_lower(text.combine_chunks()), PIECES)
-        of_piece = np.repeat(lang.indices.to_numpy().astype(np.int64), pc.list_value_length(pieces).to_numpy())
-        words = pc.split_pattern_regex(pieces.flatten(), r"[ \t]+")
-        piece = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy())
-        flat = words.flatten()
-        full = pc.greater(pc.binary_length(flat), 0)
-        coded = flat.filter(full).dictionary_encode()
-        self.piece = piece[full.to_numpy(zero_copy_only=False)]
-        k = len(self.langs)
-        number = coded.indices.to_numpy().astype(np.int64) * k + of_piece[self.piece] if len(self.piece) else np.zeros(0, np.int64)
-        distinct, self.words = np.unique(number, return_inverse=True)
-        self.texts, self.lang = coded.dictionary.take(pa.array(distinct // max(k, 1))), distinct % max(k, 1)
-        seeds = [xxhash.xxh64_intdigest(x) for x in self.langs]
-        self.hash = np.fromiter((xxhash.xxh64_intdigest(w, seeds[i]) for w, i in zip(self.texts.to_pylist(), self.lang.tolist(), strict=True)), np.uint64, len(distinct))
+        inside = ~(SPLITS | BLANK)[data]
+        # a word begins after a blank, a mark or the end of a text
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        edges = offsets[:-1][offsets[:-1] < len(data)]
+        begins[edges] = inside[edges]
+        starts = np.flatnonzero(begins)
+        doc = np.searchsorted(offsets, starts, side="right") - 1
+        self.piece = np.cumsum(SPLITS[data])[starts] + doc
+        # the bytes of words alone, and where each begins
+        packed = data[inside]
+        at = np.append(np.cumsum(inside)[starts] - 1, len(packed)).astype(np.int64)
+        coded = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(packed)).dictionary_encode()
+        k = max(len(self.langs), 1)
+        number = coded.indices.to_numpy().astype(np.int64) * k + lang.indices.to_numpy().astype(np.int64)[doc]
+        first, self.words, _ = grouped(number)
+        distinct = number[first]
+        self.texts, self.lang = coded.dictionary.take(pa.array(distinct // k)), distinct % k
+        seeds = np.fromiter((xxhash.xxh64_intdigest(x) for x in self.langs), np.uint64, len(self.langs))
+        self.hash = _word_hashes(self.texts) + seeds[self.lang]
         self.automaton: Automaton = build(self.words, self.piece, longest)
 
     def hashes(self, depth: int, ends: np.ndarray) -> np.ndarray:
@@ -67,8 +98,7 @@ class Shard:
         out = np.full(len(ends), depth, np.uint64)
         for k in range(depth):
             out += self.hash[self.words[ends - k]] * ODD[k]
-        out = (out ^ (out >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-        return out ^ (out >> np.uint64(29))
+        return _mixed(out)
 
     def phrases(self, depth: int, ends: np.ndarray) -> pa.Array:
         parts = [self.texts.take(pa.array(self.words[ends - k])) for k in reversed(range(depth))]
@@ -114,7 +144,7 @@ def _over_shards(rows, longest: int):
 def counted_bits(texts: DataFrame, least: int, depths: range, held=None) -> np.ndarray:
     """A bitmap over the first BITS bits of hashes: all phrases of ``depths`` words that occur ``least`` times are in it, and few others. Its size is fixed.
 
-    A task sends, for each block of places of the bitmap, the places that its shards' phrases have, as sorted steps, and how often; these are added up block by block. ``held(shard, depth, ends)`` leaves out what can't be frequent.
+    A task sends, for each block of places of the bitmap, the places that its shards' phrases have, sorted, and how often; these are added up block by block. ``held(shard, depth, ends)`` leaves out what can't be frequent.
     """
 
     def rows(shard: Shard):
@@ -123,12 +153,16 @@ def counted_bits(texts: DataFrame, least: int, depths: range, held=None) -> np.n
             if held is not None:
                 keep = held(shard, depth, ends)
                 states, ends = states[keep], ends[keep]
-            place, inverse = np.unique(shard.hashes(depth, ends) >> np.uint64(64 - BITS), return_inverse=True)
-            n = np.minimum(np.bincount(inverse, weights=shard.automaton.count[states], minlength=len(place)), least)
-            block = place >> np.uint64(BLOCK)
-            edges = np.searchsorted(block, np.unique(block))
-            inside = (place & np.uint64((1 << BLOCK) - 1)).astype(np.int32)
-            parts = [(int(block[a]), _packed(inside[a:z], n[a:z]), z - a) for a, z in zip(edges.tolist(), [*edges[1:].tolist(), len(block)], strict=True)]
+            place = (shard.hashes(depth, ends) >> np.uint64(64 - BITS)).astype(np.int64)
+            # place and count in one number; beyond ``least`` it doesn't matter how often
+            pairs = np.sort(place << 31 | np.minimum(shard.automaton.count[states], least))
+            first = np.flatnonzero(np.diff(pairs >> 31, prepend=-1))
+            place = pairs[first] >> 31
+            n = np.minimum(np.add.reduceat(pairs & ((1 << 31) - 1), first), least) if len(first) else first
+            block = place >> BLOCK
+            edges = np.flatnonzero(np.diff(block, prepend=-1))
+            inside = (place & ((1 << BLOCK) - 1)).astype(np.int32)
+            parts = [(int(block[a]), _packed(inside[a:z], n[a:z], least), z - a) for a, z in zip(edges.tolist(), [*edges[1:].tolist(), len(block)], strict=True)]
             for i in range(0, len(parts), 256):
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*parts[i : i + 256], strict=True), (pa.int32(), pa.binary(), pa.int64()), strict=True)], names=["block", "data", "n"])
 
@@ -140,7 +174,7 @@ def counted_bits(texts: DataFrame, least: int, depths: range, held=None) -> np.n
         for batch in batches:
             out = []
             for data, n in zip(batch.column("data").to_pylist(), batch.column("n").to_pylist(), strict=True):
-                at, times = _unpacked(data, n)
+                at, times = _unpacked(data, n, least)
                 flags = np.zeros(1 << BLOCK, bool)
                 flags[at[times >= least]] = True
                 out.append(np.packbits(flags).tobytes())
@@ -153,14 +187,20 @@ def counted_bits(texts: DataFrame, least: int, depths: range, held=None) -> np.n
     return out.ravel()
 
 
-def _packed(at: np.ndarray, times: np.ndarray) -> bytes:
-    """Sorted places of a block as steps, and how often each is met."""
-    return zlib.compress(np.diff(at, prepend=0).astype(np.int32).tobytes() + times.astype(np.int32).tobytes(), 1)
+def _packed(at: np.ndarray, times: np.ndarray, least: int) -> bytes:
+    """Sorted places of a block, and how often each is met: how many lie in its first half, two bytes a place, a bit for what is met again, and how often that is (``least`` at most)."""
+    again = times > 1
+    return b"".join(x.tobytes() for x in (np.searchsorted(at, HALF).astype(np.int32), at.astype(np.uint16), np.packbits(again), times[again].astype(np.min_scalar_type(least))))
 
 
-def _unpacked(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
-    raw = zlib.decompress(data)
-    return np.cumsum(np.frombuffer(raw, np.int32, n)), np.frombuffer(raw, np.int32, n, 4 * n)
+def _unpacked(data: bytes, n: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    at = np.frombuffer(data, np.uint16, n, 4).astype(np.int64)
+    at[np.frombuffer(data, np.int32, 1)[0] :] += HALF
+    bits = -(-n // 8)
+    again = np.unpackbits(np.frombuffer(data, np.uint8, bits, 4 + 2 * n), count=n).astype(bool)
+    times = np.ones(n, np.int64)
+    times[again] = np.frombuffer(data[4 + 2 * n + bits :], np.min_scalar_type(least))
+    return at, times
 
 
 def _merged(least: int):
@@ -170,10 +210,10 @@ def _merged(least: int):
         total = np.zeros(1 << BLOCK, np.int64)
         for batch in parts:
             for data, n in zip(batch.column("data").to_pylist(), batch.column("n").to_pylist(), strict=True):
-                at, times = _unpacked(data, n)
+                at, times = _unpacked(data, n, least)
                 total[at] += times
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([_packed(at, np.minimum(total[at], least))], pa.binary()), pa.array([len(at)], pa.int64())], names=["block", "data", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([_packed(at, np.minimum(total[at], least), least)], pa.binary()), pa.array([len(at)], pa.int64())], names=["block", "data", "n"])
 
     return run
 

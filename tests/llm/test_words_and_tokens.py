@@ -117,6 +117,39 @@ def test_automaton():
             assert found.length[s] == len(longest) and found.link[s] == (state[further[0]] if further else -1)
 
 
+@pytest.mark.parametrize("top", [1, 5, 1 << 20, 1 << 62])
+def test_grouped(top):
+    draws = np.random.default_rng(3)
+    for n in (0, 1, 2, 1000):
+        key = draws.integers(0, top, n)
+        first, inverse, count = automaton.grouped(key)
+        for got, wanted in zip((first, inverse, count), np.unique(key, return_index=True, return_inverse=True, return_counts=True)[1:], strict=True):
+            assert (got == wanted).all()
+
+
+@pytest.mark.parametrize("least", [1, 10, 300, 70_000])
+def test_places_of_a_block(least):
+    """Four bytes, two for each place, a bit for each that is met again and its number: less than the steps were, and nothing is compressed."""
+    draws = np.random.default_rng(4)
+    for n in (0, 1, 7, 5000, 1 << collocations.BLOCK):
+        at = np.sort(draws.permutation(1 << collocations.BLOCK)[:n])
+        times = np.minimum(draws.integers(1, 100_000, n), least)
+        data = collocations._packed(at, times, least)
+        assert len(data) == 4 + 2 * n + -(-n // 8) + int((times > 1).sum()) * np.min_scalar_type(least).itemsize
+        for got, wanted in zip(collocations._unpacked(data, n, least), (at, times), strict=True):
+            assert (got == wanted).all()
+
+
+def test_words_of_a_shard():
+    rows = [("en", "One two,THREE  ÀB\x00c\tfour\x0bfive"), ("de", None), (None, ""), ("en", "."), ("de", "one"), ("en", "x"), ("en", "y one;")]
+    shard = collocations.Shard(pa.table({"lang": pa.array([r[0] for r in rows], pa.string()), "text": pa.array([r[1] for r in rows], pa.string())}), 3)
+    got = [(shard.langs[shard.lang[w]], shard.texts[w].as_py()) for w in shard.words.tolist()]
+    pieces = [(lang, re.findall(r"[^ \t]+", p.translate(LOWER))) for lang, text in rows for p in re.split(r"[.,;:!?\n-\r]", text or "")]
+    assert got == [(lang, w) for lang, p in pieces for w in p]
+    assert np.diff(np.flatnonzero(np.diff(shard.piece, prepend=-1)), append=len(got)).tolist() == [len(p) for _, p in pieces if p]
+    assert len(set(shard.hash.tolist())) == len(set(got))
+
+
 def brute_collocations(rows, longest, least, top, share):
     f, n = Counter(), Counter()
     for lang, text in rows:
