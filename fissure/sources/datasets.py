@@ -118,15 +118,18 @@ def msr(spark: SparkSession, path: str, places: bool = False) -> DataFrame:
 def paired(records: DataFrame) -> DataFrame:
     """Pairs of vulnerable and fixed functions of a commit by their rank among (file, first line, index); what has no partner goes.
 
-    ``records``: project, commit_id, target, file_name, func, idx and whatever is to be kept. Columns of the fixed side get the prefix ``after_``.
+    ``records``: project, commit_id, target, file_name, func, idx and whatever is to be kept. Columns of the fixed side get the prefix ``after_``. Code is shuffled once: ranks and pairs are found where the rows of a commit lie.
     """
     first_line = F.coalesce(F.get(F.filter(F.transform(F.split(text(F.col("func")), r"\r\n|[\n\r\x0b\x0c]"), strip), lambda x: x != ""), F.lit(0)), F.lit(""))
     keyed = records.withColumn("project", text(F.col("project"))).withColumn("commit_id", text(F.col("commit_id"))).withColumn("side", F.coalesce(F.col("target") == 1, F.lit(False)))
     order = [text(F.col("file_name")), first_line, F.coalesce(strip(F.col("idx").cast("string")).try_cast("bigint"), F.lit(0)), F.col("func")]
-    ranked = keyed.withColumn("rank", F.row_number().over(Window.partitionBy("project", "commit_id", "side").orderBy(*order)))
+    ranked = keyed.repartition("project", "commit_id").withColumn("rank", F.row_number().over(Window.partitionBy("project", "commit_id", "side").orderBy(*order)))
     key = ["project", "commit_id", "rank"]
-    before, after = ranked.filter("side").drop("side"), ranked.filter("not side").drop("side")
-    return before.join(after.select(*key, *[F.col(c).alias(f"after_{c}") for c in after.columns if c not in key]), key)
+    others = [c for c in records.columns if c not in key]
+    # a rank has at most one row of each side
+    of = lambda side, prefix: [F.first(F.when(side, F.col(f"`{c}`")), ignorenulls=True).alias(prefix + c) for c in others]
+    both = (F.bool_or("side") & F.bool_or(~F.col("side"))).alias("both")
+    return ranked.groupBy(*key).agg(*of(F.col("side"), ""), *of(~F.col("side"), "after_"), both).filter("both").drop("both")
 
 
 def primevul(spark: SparkSession, paths: list[str]) -> DataFrame:
