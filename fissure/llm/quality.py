@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fissure.llm._common import CONTINUATION, SPACE, cut, map_text, pick, plain_words, sums, utf8
+from fissure.llm._common import CONTINUATION, SPACE, cut, map_text, merged, pick, plain_words, sums, utf8
 from fissure.llm.gbt import Trees, fit
 
 MIN_WORDS, WINDOW, MAX_REPEAT_PERCENT = 10, 5, 20
@@ -112,7 +112,7 @@ def features(c: dict[str, np.ndarray]) -> np.ndarray:
 def train(stats: DataFrame, labels: DataFrame, sample: int = 20_000, keep_share: float = 0.999) -> tuple[Trees, float] | None:
     """Trees and the least score that is kept, from at most ``sample`` labelled rows; None without rows of both classes."""
     known = labels.select("doc_id", F.col("quality").alias("good")).filter("doc_id is not null and good in (0, 1)").groupBy("doc_id").agg(F.min("good").alias("good"))
-    labelled = cut(stats.join(known, "doc_id").withColumn("turn", F.expr("pmod(xxhash64(doc_id), 1000000)")))
+    labelled = cut(stats.join(merged(known), "doc_id").withColumn("turn", F.expr("pmod(xxhash64(doc_id), 1000000)")))
     n = labelled.count()
     # a part that holds about, and in the end at most, ``sample`` rows
     part = labelled.filter(F.col("turn") < int(1_020_000 * sample / n)) if n > sample else labelled
