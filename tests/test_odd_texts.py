@@ -6,7 +6,9 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+from fissure.functions import text
 from fissure.plans import catalog
 
 TEXTS = [None, "", "\n", "\n\n\n", " ", "\n \n", "\r", "\r\n", "a", "a\n", "\na", "a\n\n\nb", "a\n \nb", "a\r\n\r\nb", "a\u2028b\x0cc\x85d\n", "|", "a|\n|\n\n|b", "x" * 201, "é " * 120, "😀" * 9000]
@@ -29,9 +31,16 @@ def odd(tmp_path_factory):
     return con, str(folder)
 
 
-@pytest.mark.parametrize("name", ["p33_prepared"])
+@pytest.mark.parametrize("name", ["p33_prepared", "p35_blank_lines"])
 def test_odd_texts(spark, odd, name):
     con, folder = odd
     found = con.sql(catalog.ORACLE_SQL[name])
     df = catalog.QUERIES[name](spark, folder).select(*found.columns)
     assert Counter(map(tuple, df.collect())) == Counter(found.fetchall())
+
+
+def test_long_blank_runs(spark):
+    n = 100_000
+    data = ["a" + "\n" * n + "b", " \n" * n + "b", "b" + "\n\t" * n, "\n" * n, "a\n" + " " * n + "\nb", "a" + " " * n + "b"]
+    got = spark.createDataFrame([(d,) for d in data], "x string").select(text.drop_blank_runs(F.col("x"))).collect()
+    assert [r[0] for r in got] == ["a\n\nb", "b", "b", "", "a\n\nb", data[5]]
