@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from fissure.functions import text
+from fissure.functions import code, text
 from fissure.plans import catalog
 
 TEXTS = [None, "", "\n", "\n\n\n", " ", "\n \n", "\r", "\r\n", "a", "a\n", "\na", "a\n\n\nb", "a\n \nb", "a\r\n\r\nb", "a\u2028b\x0cc\x85d\n", "|", "a|\n|\n\n|b", "x" * 201, "é " * 120, "😀" * 9000]
@@ -31,7 +31,7 @@ def odd(tmp_path_factory):
     return con, str(folder)
 
 
-@pytest.mark.parametrize("name", ["p33_prepared", "p35_blank_lines"])
+@pytest.mark.parametrize("name", ["p33_prepared", "p35_blank_lines", "p40_excerpts"])
 def test_odd_texts(spark, odd, name):
     con, folder = odd
     found = con.sql(catalog.ORACLE_SQL[name])
@@ -44,3 +44,9 @@ def test_long_blank_runs(spark):
     data = ["a" + "\n" * n + "b", " \n" * n + "b", "b" + "\n\t" * n, "\n" * n, "a\n" + " " * n + "\nb", "a" + " " * n + "b"]
     got = spark.createDataFrame([(d,) for d in data], "x string").select(text.drop_blank_runs(F.col("x"))).collect()
     assert [r[0] for r in got] == ["a\n\nb", "b", "b", "", "a\n\nb", data[5]]
+
+
+def test_embedding_text_of_empty_sides(spark):
+    rows = [([], ["x"]), ([""], ["x"]), (None, ["x"]), (["a", "b"], None), (["a"], ["x", "y"]), (None, None)]
+    got = spark.createDataFrame(rows, "b array<string>, v array<string>").select(code.embedding_text(F.col("b"), F.col("v"), F.lit("other"))).collect()
+    assert [r[0] for r in got] == ["\n\nx", "\n\nx", "x", "a\nb", "a\n\nx\ny", "other"]
